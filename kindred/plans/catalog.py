@@ -1,6 +1,9 @@
 """All registered queries; importing this module fills the registry."""
 
-from kindred.plans import retrieval_queries  # noqa: F401
+from kindred.plans import (  # noqa: F401
+    evaluation_queries,
+    retrieval_queries,
+)
 from kindred.plans.registry import ORACLES, QUERIES
 
 __all__ = ["ORACLES", "QUERIES"]
