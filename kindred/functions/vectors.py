@@ -20,9 +20,13 @@ def norm(a: Column) -> Column:
 
 
 def l2_normalise(a: Column) -> Column:
-    """Unit vector; a zero vector stays zero."""
-    length = norm(a)
-    return F.transform(_doubles(a), lambda x: x / F.when(length == 0, 1.0).otherwise(length))
+    """Unit vector; a zero vector stays zero.
+
+    The length is bound once per row as a lambda variable; written inside the
+    inner lambda it would be computed again for every element.
+    """
+    length = F.array(F.when(norm(a) == 0, 1.0).otherwise(norm(a)))
+    return F.get(F.transform(length, lambda n: F.transform(_doubles(a), lambda x: x / n)), F.lit(0))
 
 
 def cosine(a: Column, b: Column) -> Column:

@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from collections.abc import Callable
-from functools import reduce
 
 from pyspark.ml.feature import IDF, PCA, HashingTF, Normalizer, PCAModel, RegexTokenizer
 from pyspark.ml.functions import array_to_vector, vector_to_array
@@ -41,11 +40,16 @@ def feature_moments(df: DataFrame, features: list[str] = MODEL_FEATURES) -> Data
 
 
 def standardise(df: DataFrame, moments: DataFrame, features: list[str] = MODEL_FEATURES) -> DataFrame:
-    """Add ``scaled``: features standardised by fitted moments (one broadcast row)."""
-    values = F.array(*feature_columns(df, features))
-    fitted = df.crossJoin(F.broadcast(moments.limit(1)))
-    scaled = F.zip_with(values, F.col("moments"), lambda v, m: (v - m["mean"]) / m["scale"])
-    return fitted.withColumn("scaled", scaled).drop("moments")
+    """Add ``scaled``: features standardised by fitted moments.
+
+    The fitted row (two numbers per feature) becomes literals of the plan.
+    """
+    fitted = {m["feature"]: m for m in moments.first()["moments"]}
+    cells = [
+        (value - F.lit(fitted[f]["mean"])) / F.lit(fitted[f]["scale"])
+        for f, value in zip(features, feature_columns(df, features))
+    ]
+    return df.withColumn("scaled", F.array(*cells))
 
 
 def fit_pca(standardised: DataFrame, n_components: int) -> PCAModel:
@@ -130,7 +134,3 @@ def build_embeddings(
     profiled = with_profile_text(stat)
     encoded = encoder(profiled) if encoder else encode_text(profiled, text_pipeline().fit(profiled))
     return unit_blocks(encoded.select("row_id", "player", "stat", "text"), ["stat", "text"])
-
-
-def column_means(df: DataFrame, columns: list[str]) -> list[Column]:
-    return reduce(lambda acc, c: [*acc, F.avg(as_double(c)).alias(c)], columns, [])
