@@ -61,12 +61,15 @@ def sorted_tokens(text: Column) -> Column:
 # -------------------------------------------------------------- name variants
 
 
-def search_variants(name: Column) -> Column:
-    """Ordered search spellings of a name, without case-insensitive repeats."""
+def search_variants(name: Column, plain: Column) -> Column:
+    """Ordered search spellings of a name, without case-insensitive repeats.
+
+    ``plain`` is the ``fold_plain`` form, computed in an earlier step: Spark
+    allows no Python kernel inside a higher-order function.
+    """
     full = F.trim(name)
     parts = F.split(full, r"\s+")
     first, last = F.element_at(parts, 1), F.element_at(parts, -1)
-    plain = fold_plain(full)
     several = F.size(parts) >= 2
     suffixless = F.trim(F.regexp_replace(full, r"(?i)\s+(Jr\.?|Sr\.?|II|III|IV)$", ""))
     raw = F.array(

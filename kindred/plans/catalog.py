@@ -2,6 +2,7 @@
 
 from kindred.plans import (  # noqa: F401
     evaluation_queries,
+    linkage_queries,
     quality_queries,
     retrieval_queries,
 )

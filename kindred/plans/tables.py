@@ -95,3 +95,26 @@ PART_STATS_SQL = f"""part_stats AS (
                avg(CASE WHEN l_returnflag = 'R' THEN 100.0::DOUBLE ELSE 0.0 END) AS pass_completion_pct,
                count(*) AS kp
         FROM lineitem GROUP BY l_partkey) s JOIN part ON l_partkey = p_partkey)"""
+
+
+# Letters that stand for hexadecimal digits when names are derived from keys.
+_HEX, _LETTERS = "0123456789abcdef", "etaoinshrdlucmfw"
+
+
+def people(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One derived two-word name per part, with the brand as club."""
+    digest = F.md5(F.col("p_partkey").cast("string"))
+    return table(spark, sf_dir, "part").select(
+        F.col("p_partkey").alias("row_id"),
+        F.translate(F.substring(digest, 1, 10), _HEX, _LETTERS).alias("first"),
+        F.translate(F.substring(digest, 11, 12), _HEX, _LETTERS).alias("last"),
+        F.col("p_brand").alias("squad"),
+        F.col("p_retailprice").alias("market_value_eur"),
+    ).withColumn("player", F.concat_ws(" ", "first", "last"))
+
+
+PEOPLE_SQL = f"""people AS (
+  SELECT *, first || ' ' || last AS player FROM (
+    SELECT p_partkey AS row_id, translate(substr(md5(p_partkey::VARCHAR), 1, 10), '{_HEX}', '{_LETTERS}') AS first,
+           translate(substr(md5(p_partkey::VARCHAR), 11, 12), '{_HEX}', '{_LETTERS}') AS last,
+           p_brand AS squad, p_retailprice AS market_value_eur FROM part))"""
