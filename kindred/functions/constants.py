@@ -280,3 +280,17 @@ FLAGGED_NATIONS = [
     "SWE", "HUN", "GHA", "CMR", "ALG", "WAL", "SVK", "SVN", "CZE", "ROU", "TUN", "KSA",
     "CRC", "PER", "CHI", "RSA", "COD", "GUI", "BFA", "GAB", "MLI", "JAM", "IRL", "FIN",
 ]
+
+# --- fixed values: request patterns, in matching order ----------------------
+MILLION_PATTERNS = [
+    r"(?:under|below|less\s+than|max|maximum|budget|price|value|cost|limit|cap|of|to)\s*[\$€£]?\s*(\d+(?:\.\d+)?)\s*(?:m|million|M)\b",
+    r"[\$€£]\s*(\d+(?:\.\d+)?)\s*(?:m|million|M)\b",
+]
+FULL_NUMBER_PATTERN = r"(?:under|below|less\s+than|max|maximum|budget)\s*[\$€£]?\s*(\d{1,3}(?:,\d{3})+|\d{6,10})\b"
+ANY_MILLION_PATTERN = r"\b(\d+(?:\.\d+)?)\s*(?:m|million|M)\b"
+MONEY_TEXT_PATTERNS = [
+    r"(?:under|below|less\s+than|max|maximum|budget|price|value|cost|limit|cap|of|to)?\s*[\$€£]?\s*\d+(?:\.\d+)?\s*(?:m|million|M)\b",
+    r"[\$€£]\s*\d+(?:\.\d+)?\s*(?:m|million|M)\b",
+    r"(?:under|below|less\s+than|max|maximum|budget)\s*[\$€£]?\s*(?:\d{1,3}(?:,\d{3})+|\d{6,10})\b",
+]
+REQUEST_NAME_LETTERS = r"[a-zA-Z\s'\-ÆæØøÅåÉéÈèÜüÄäÖöíáóúñ]+"

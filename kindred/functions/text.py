@@ -272,9 +272,9 @@ def profile_sentence(df: DataFrame) -> Column:
 
 
 def whole_word(text: Column, phrase: str) -> Column:
-    return F.rlike(text, F.lit(rf"\b{re.escape(phrase)}\b"))
+    return F.rlike(text, F.lit(rf"(?U)\b{re.escape(phrase)}\b"))
 
 
 def drop_phrases(text: Column, phrases: list[str], put: str = " ") -> Column:
     """Blank each whole phrase, in the order given."""
-    return reduce(lambda t, p: F.regexp_replace(t, rf"\b{re.escape(p)}\b", put), phrases, text)
+    return reduce(lambda t, p: F.regexp_replace(t, rf"(?U)\b{re.escape(p)}\b", put), phrases, text)

@@ -4,8 +4,9 @@ Both sides are packed into Arrow blocks of a few thousand rows, so that one
 joined row is a pair of blocks and a kernel scores it with numpy.  No pair of
 rows is ever a Spark row: a task emits at most k rows per query.
 
-* few queries (counted first): the packed queries are broadcast and candidates
-  stream past them without a shuffle;
+* few queries (counted first): the packed queries are broadcast.  A handful
+  lets the candidates stream past without a shuffle; from some hundreds on the
+  scoring outweighs moving each candidate once, so blocks are spread evenly;
 * many queries: candidate blocks are spread over grid cells and query blocks
   are sent to every cell, an equi-join on the cell.  Memory per task stays at
   two blocks plus the running best lists, which are flushed when they grow.
@@ -13,22 +14,35 @@ rows is ever a Spark row: a task emits at most k rows per query.
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-BLOCK_ROWS = 2048
+QUERY_BLOCK_ROWS = 2048
+CANDIDATE_BLOCK_ROWS = 512
 BROADCAST_ROWS = 8192
+SPREAD_ROWS = 256
 RUNNING_ROWS = 2_000_000
+PREPARED_BLOCKS = 8
 
-# (queries, candidates, floor per query) -> (query index, candidate index, score)
-Kernel = Callable[[pa.Table, pa.Table, np.ndarray], tuple[np.ndarray, np.ndarray, np.ndarray]]
 
+class Kernel:
+    """Scores one block of queries against one block of candidates."""
 
-def pack_blocks(df: DataFrame, key: str, block_rows: int = BLOCK_ROWS) -> DataFrame:
+    def prepare(self, block: pa.Table, is_query: bool):
+        """Numpy form of a block; kept for query blocks, which recur."""
+        raise NotImplementedError
+
+    def score(self, queries, candidates, floor: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """``(query index, candidate index, score)`` of all pairs that may rank, given
+        the k-th best score each query has so far."""
+        raise NotImplementedError
+
+
+def pack_blocks(df: DataFrame, key: str, block_rows: int) -> DataFrame:
     """One row per block: ``first_key`` and the block as Arrow stream bytes."""
 
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -62,13 +76,16 @@ def pack_blocks(df: DataFrame, key: str, block_rows: int = BLOCK_ROWS) -> DataFr
 def block_pairs(queries: DataFrame, candidates: DataFrame, query_key: str, key: str) -> DataFrame:
     """Every query block beside every candidate block, by broadcast or grid."""
     spark = queries.sparkSession
-    left = pack_blocks(queries, query_key).toDF("q_key", "q_block")
-    right = pack_blocks(candidates, key).toDF("c_key", "c_block")
-    if queries.count() <= BROADCAST_ROWS:
-        left = F.broadcast(left.coalesce(1).withColumn("cell", F.lit(0)))
+    left = pack_blocks(queries, query_key, QUERY_BLOCK_ROWS).toDF("q_key", "q_block")
+    right = pack_blocks(candidates, key, CANDIDATE_BLOCK_ROWS).toDF("c_key", "c_block")
+    cells = max(int(spark.conf.get("spark.sql.shuffle.partitions")), spark.sparkContext.defaultParallelism)
+    n_queries = queries.count()
+    if n_queries <= BROADCAST_ROWS:
+        left = F.broadcast(left.withColumn("cell", F.lit(0)))
+        if n_queries > SPREAD_ROWS:
+            right = right.repartition(cells, "c_key")
         right = right.withColumn("cell", F.pmod("c_key", F.lit(1)).cast("int"))
     else:
-        cells = int(spark.conf.get("spark.sql.shuffle.partitions"))
         left = left.withColumn("cell", F.explode(F.sequence(F.lit(0), F.lit(cells - 1))))
         right = right.withColumn("cell", F.pmod(F.xxhash64("c_key"), F.lit(cells)).cast("int"))
     return right.join(left, "cell").select("q_key", "q_block", "c_block")
@@ -105,9 +122,11 @@ def top_matches(
 ) -> DataFrame:
     """``(query_key, key, score, rank)``: best k candidates of every query."""
     pairs = block_pairs(queries, candidates, query_key, key)
+    none = (np.empty(0, dtype=np.int64), np.empty(0, dtype=np.int64), np.empty(0))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         running: dict[int, tuple] = {}
+        prepared: dict[int, tuple] = {}
 
         def drain() -> Iterator[pa.RecordBatch]:
             for ids, qi, rid, score in running.values():
@@ -117,18 +136,17 @@ def top_matches(
         for batch in batches:
             for i in range(batch.num_rows):
                 q_key = batch["q_key"][i].as_py()
-                queries_table = pa.ipc.open_stream(batch["q_block"][i].as_buffer()).read_all()
+                if q_key not in prepared:
+                    if len(prepared) == PREPARED_BLOCKS:
+                        prepared.pop(next(iter(prepared)))
+                    table = pa.ipc.open_stream(batch["q_block"][i].as_buffer()).read_all()
+                    prepared[q_key] = (table[query_key].to_numpy(), kernel.prepare(table, True))
+                ids, ready = prepared[q_key]
                 block = pa.ipc.open_stream(batch["c_block"][i].as_buffer()).read_all()
-                if q_key not in running:
-                    ids = queries_table[query_key].to_numpy()
-                    none = np.empty(0, dtype=np.int64)
-                    running[q_key] = (ids, none, none, np.empty(0))
-                ids, qi, rid, score = running[q_key]
-                new_q, new_c, new_s = kernel(queries_table, block, _floors(qi, score, len(ids), k))
-                block_ids = block[key].to_numpy()
-                merged = _best(
-                    np.r_[qi, new_q].astype(np.int64), np.r_[rid, block_ids[new_c]].astype(np.int64), np.r_[score, new_s], k
-                )
+                _, qi, rid, score = running.get(q_key) or (ids, *none)
+                new_q, new_c, new_s = kernel.score(ready, kernel.prepare(block, False), _floors(qi, score, len(ids), k))
+                new_rid = block[key].to_numpy()[new_c]
+                merged = _best(np.r_[qi, new_q], np.r_[rid, new_rid], np.r_[score, new_s], k)
                 running[q_key] = (ids, *merged)
                 if sum(len(r[1]) for r in running.values()) > RUNNING_ROWS:
                     yield from drain()

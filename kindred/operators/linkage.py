@@ -27,8 +27,8 @@ from kindred.functions import fuzzy
 from kindred.functions.columns import present_columns
 from kindred.functions.constants import VALUE_METADATA
 from kindred.functions.text import fold_name, match_key, sorted_tokens, token_name_score
-from kindred.operators.blocks import rank_within, top_matches
-from kindred.session import cut_lineage
+from kindred.operators.blocks import Kernel, rank_within, top_matches
+from kindred.session import cut_lineage, spread
 
 NEAR = 95.0
 SPARE_SEGMENTS = 2
@@ -69,8 +69,9 @@ def right_segments(right: DataFrame, t: float) -> DataFrame:
     """``(r_text, seg)`` index rows; over-common pieces are dropped where enough others remain.
 
     Each text has ``SPARE_SEGMENTS`` pieces more than needed, so that many of
-    its pieces may be left out without losing a partner.  The list of common
-    pieces holds at most ``HOT_SHARE`` entries by construction and is broadcast.
+    its pieces may be left out without losing a partner.  A common piece is held
+    by more than one text in ``HOT_SHARE``, so there are at most ``HOT_SHARE``
+    of them per piece of a text; that list is broadcast.
     """
     n = F.length("r_text")
     m = _pieces(n, t)
@@ -81,7 +82,7 @@ def right_segments(right: DataFrame, t: float) -> DataFrame:
         "r_text", _piece_start(F.col("n"), F.col("m"), F.col("i")) + 1, _piece_length(F.col("n"), F.col("m"), F.col("i"))
     )
     rows = rows.select("r_text", "spare", F.xxhash64("n", "i", piece).alias("seg"))
-    total = rows.agg(F.count(F.lit(1)).alias("n")).scalar()
+    total = right.agg(F.count(F.lit(1)).alias("n")).scalar()
     hot = rows.groupBy("seg").agg(F.count(F.lit(1)).alias("hits")).where(
         F.col("hits") > F.greatest(F.lit(HOT_ROWS), (total / HOT_SHARE).cast("long"))
     )
@@ -138,99 +139,111 @@ def _letter_counts(texts: list[str]) -> np.ndarray:
     return np.bincount(rows * _SLOTS + slots, minlength=len(texts) * _SLOTS).reshape(len(texts), _SLOTS)
 
 
-def shared_letters(left: list[str], right: list[str]) -> np.ndarray:
+class _Texts:
+    """A block of texts with lengths and letter counts."""
+
+    def __init__(self, texts: list[str]):
+        self.texts = texts
+        self.length = np.fromiter((len(t) for t in texts), dtype=np.float32, count=len(texts))
+        self.counts = _letter_counts(texts)
+
+    def words(self) -> None:
+        """Add token facts: a repeated token or blank makes the token bounds loose."""
+        self.tokens = [set(t.split()) for t in self.texts]
+        self.loose = np.array([" ".join(dict.fromkeys(t.split())) != t for t in self.texts])
+
+
+def shared_letters(left: _Texts, right: _Texts) -> np.ndarray:
     """Size of the common letter multiset of every pair, an upper bound of its LCS.
 
     ``min(x, y)`` is the number of j with x >= j and y >= j, so one matrix
     product over such 0/1 columns gives all sums of minima.
     """
-    a, b = _letter_counts(left), _letter_counts(right)
+    a, b = left.counts, right.counts
     depth = np.minimum(a.max(axis=0), b.max(axis=0))
     slot = np.repeat(np.arange(_SLOTS), depth)
     level = np.concatenate([np.arange(1, d + 1) for d in depth]) if depth.any() else np.empty(0, dtype=np.int64)
     return (a[:, slot] >= level).astype(np.float32) @ (b[:, slot] >= level).astype(np.float32).T
 
 
-def _lengths(texts: list[str]) -> np.ndarray:
-    return np.fromiter((len(t) for t in texts), dtype=np.float64, count=len(texts))
+class IndelKernel(Kernel):
+    """Best indel similarity; pairs below the threshold by the letter bound are never scored."""
 
+    def __init__(self, threshold: float):
+        self.threshold = threshold
 
-def indel_kernel(threshold: float, text: str = "text"):
-    """Best indel similarity; pairs below ``threshold`` by the letter bound are never scored."""
+    def prepare(self, block: pa.Table, is_query: bool) -> _Texts:
+        return _Texts(block["text"].to_pylist())
 
-    def kernel(q: pa.Table, c: pa.Table, floor: np.ndarray):
-        left, right = q[text].to_pylist(), c[text].to_pylist()
-        total = _lengths(left)[:, None] + _lengths(right)[None, :]
-        bound = np.where(total == 0, 100.0, 200.0 * shared_letters(left, right) / np.maximum(total, 1.0))
-        qi, ci = np.nonzero(bound >= np.maximum(floor, threshold)[:, None] - SLACK)
-        lcs = fuzzy.lcs_lengths([left[i] for i in qi], [right[i] for i in ci])
-        size = total[qi, ci]
+    def score(self, q: _Texts, c: _Texts, floor: np.ndarray):
+        total = q.length[:, None] + c.length[None, :]
+        least = np.maximum(floor, self.threshold) - 1e-4
+        met = 200.0 * shared_letters(q, c) >= least[:, None].astype(np.float32) * total
+        qi, ci = np.nonzero(met)
+        lcs = fuzzy.lcs_lengths([q.texts[i] for i in qi], [c.texts[i] for i in ci])
+        size = total[qi, ci].astype(np.float64)
         score = np.where(size == 0, 100.0, 200.0 * lcs / np.maximum(size, 1.0))
-        keep = score >= threshold - SLACK
+        keep = score >= self.threshold - SLACK
         return qi[keep], ci[keep], score[keep]
 
-    return kernel
 
-
-def _weighted_bound(left: list[str], right: list[str]) -> np.ndarray:
+def weighted_bound(q: _Texts, c: _Texts) -> np.ndarray:
     """Upper bound of the blended ratio from lengths, shared letters and shared tokens."""
-    a, b = _lengths(left)[:, None], _lengths(right)[None, :]
-    m = shared_letters(left, right).astype(np.float64)
+    a, b = q.length[:, None], c.length[None, :]
+    m = shared_letters(q, c)
     short, long = np.minimum(a, b), np.maximum(a, b)
     plain = 200.0 * m / np.maximum(a + b, 1.0)
-    tokens = sorted({t for x in left for t in x.split()} & {t for x in right for t in x.split()})
-    index = {t: i for i, t in enumerate(tokens)}
-    hold_a = np.zeros((len(left), len(tokens)), dtype=np.float32)
-    hold_b = np.zeros((len(right), len(tokens)), dtype=np.float32)
-    for hold, texts in ((hold_a, left), (hold_b, right)):
-        for i, x in enumerate(texts):
-            for t in x.split():
-                if t in index:
-                    hold[i, index[t]] = 1.0
-    share = (hold_a @ hold_b.T) > 0
-    # A repeated token or blank shortens the token forms; such texts get the loose bound.
-    loose_a = np.array([" ".join(dict.fromkeys(x.split())) != x for x in left])[:, None]
-    loose_b = np.array([" ".join(dict.fromkeys(x.split())) != x for x in right])[None, :]
-    token_cap = np.where(share | loose_a | loose_b, 95.0, 0.95 * plain)
-    close = np.maximum(plain, token_cap)
-    part = np.where(loose_a | loose_b, 100.0, np.minimum(100.0, 200.0 * m / np.maximum(short + m, 1.0)))
+    common = set().union(*q.tokens) & set().union(*c.tokens)
+    share = np.zeros(m.shape, dtype=bool)
+    for token in common:
+        has_q = np.array([token in t for t in q.tokens])
+        has_c = np.array([token in t for t in c.tokens])
+        share[np.ix_(has_q, has_c)] = True
+    loose = q.loose[:, None] | c.loose[None, :]
+    close = np.maximum(plain, np.where(share | loose, 95.0, 0.95 * plain))
+    part = np.where(loose, 100.0, np.minimum(100.0, 200.0 * m / np.maximum(short + m, 1.0)))
     scale = np.where(long <= 8 * short, 0.9, 0.6)
-    token_part = np.where(share, 100.0, part)
-    apart = np.maximum(plain, scale * np.maximum(part, 0.95 * token_part))
-    return np.where(long < 1.5 * short, close, apart)
+    apart = np.maximum(plain, scale * np.maximum(part, 0.95 * np.where(share, 100.0, part)))
+    return np.where(long < 1.5 * short, close, apart) + 1e-3
 
 
-def weighted_kernel(threshold: float, text: str = "text"):
+class WeightedKernel(Kernel):
     """Best blended ratio per query by branch and bound.
 
     Candidates are scored in order of their upper bound and a query stops once
     the next bound is below its best score, so the result is exact.
     """
 
-    def kernel(q: pa.Table, c: pa.Table, floor: np.ndarray):
-        left, right = q[text].to_pylist(), c[text].to_pylist()
-        bound = _weighted_bound(left, right)
+    def __init__(self, threshold: float):
+        self.threshold = threshold
+
+    def prepare(self, block: pa.Table, is_query: bool) -> _Texts:
+        ready = _Texts(block["text"].to_pylist())
+        ready.words()
+        return ready
+
+    def score(self, q: _Texts, c: _Texts, floor: np.ndarray):
+        bound = weighted_bound(q, c)
+        start = np.maximum(floor, self.threshold)
         found: list[tuple[int, int, float]] = []
-        for i, x in enumerate(left):
-            best = max(threshold, floor[i])
-            open_ = np.flatnonzero(bound[i] >= best - SLACK)
+        for i in np.flatnonzero(bound.max(axis=1) >= start):
+            best = start[i]
+            open_ = np.flatnonzero(bound[i] >= best)
             for j in open_[np.argsort(-bound[i, open_], kind="stable")]:
-                if bound[i, j] < best - SLACK:
+                if bound[i, j] < best:
                     break
-                score = fuzzy.weighted(x, right[j])
+                score = fuzzy.weighted(q.texts[i], c.texts[j])
                 if score >= best:
                     best = score
-                    found.append((i, int(j), score))
+                    found.append((int(i), int(j), score))
         if not found:
             none = np.empty(0, dtype=np.int64)
             return none, none, np.empty(0)
         qi, ci, score = zip(*found)
         return np.array(qi), np.array(ci), np.array(score)
 
-    return kernel
-
 
-def best_fuzzy(queries: DataFrame, names: DataFrame, threshold: float, kernel=weighted_kernel) -> DataFrame:
+def best_fuzzy(queries: DataFrame, names: DataFrame, threshold: float, kernel=WeightedKernel) -> DataFrame:
     """``(query_id, row_id, score)``: best name of every query, the lower ``row_id`` on ties.
 
     ``queries(query_id, text)``, ``names(row_id, text)``.  Both sides are sorted
@@ -249,9 +262,9 @@ def best_sorted_matches(left: DataFrame, right: DataFrame, threshold: float) ->
 
     ``left(l_key)``; ``right(r_key, ord)`` with the ordinal that settles ties.
     """
-    l_texts = left.select("l_key", sorted_tokens(F.col("l_key")).alias("l_text")).distinct()
+    l_texts = spread(left.select("l_key", sorted_tokens(F.col("l_key")).alias("l_text")), "l_text")
     r_texts = (
-        right.select("r_key", "ord", sorted_tokens(F.col("r_key")).alias("r_text"))
+        spread(right.select("r_key", "ord", sorted_tokens(F.col("r_key")).alias("r_text")), "r_text")
         .groupBy("r_text")
         .agg(F.min_by("r_key", "ord").alias("r_key"), F.min("ord").alias("ord"))
     )
@@ -275,7 +288,7 @@ def best_sorted_matches(left: DataFrame, right: DataFrame, threshold: float) ->
             F.xxhash64("l_text").alias("query_id"), F.col("l_text").alias("text")
         )
         names = r_texts.select(F.col("ord").alias("row_id"), F.col("r_text").alias("text"), "r_key")
-        far = best_fuzzy(rest, names, threshold, indel_kernel)
+        far = best_fuzzy(rest, names, threshold, IndelKernel)
         far = far.join(names.select("row_id", "r_key"), "row_id").join(rest.withColumnRenamed("text", "l_text"), "query_id")
         found = found.unionByName(far.select("l_text", "r_key", "score"))
     return l_texts.join(found, "l_text").select("l_key", "r_key", "score")

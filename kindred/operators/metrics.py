@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from kindred.functions.constants import EVALUATION_GROUPS
 from kindred.functions.positions import evaluation_group
+from kindred.session import cut_lineage
 
 METRICS = ["precision_at_k", "recall_at_k", "ndcg_at_k", "f1_at_k"]
 
@@ -156,8 +157,8 @@ def evaluate(
     if edges is not None:
         methods.append(("curated_benchmark", *curated_queries(edges, profiles), curated_hits))
     rows = reduce(DataFrame.unionByName, [q.select("row_id") for _, q, _, _ in methods]).distinct()
-    asked = rows.select(F.col("row_id").alias("query_id"), "row_id")
-    retrieved = reduce(
+    asked = cut_lineage(rows.select(F.col("row_id").alias("query_id"), "row_id"))
+    found = reduce(
         DataFrame.unionByName,
         [
             retrieve(asked, max(k_values)).select(
@@ -166,6 +167,7 @@ def evaluate(
             for label, retrieve in retrievers.items()
         ],
     )
+    retrieved = cut_lineage(found)
     keys = ["embedding_type", "query_id"]
     labels = F.explode(F.array(*[F.lit(label) for label in retrievers]))
     frames = []

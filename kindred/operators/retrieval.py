@@ -20,11 +20,10 @@ from pyspark.sql import functions as F
 from kindred.functions.columns import as_double
 from kindred.functions.constants import BROAD_POSITIONS
 from kindred.functions.positions import broad_group, contains_code
-from kindred.operators.blocks import rank_within, top_matches
+from kindred.operators.blocks import Kernel, rank_within, top_matches
 
 Weights = dict[str, float]
 SCORE_DECIMALS = 12
-TILE = 2048
 
 # Optional per-query limits the kernel understands, with the candidate column each reads.
 LIMITS = {
@@ -47,6 +46,10 @@ def stat_text_weights(alpha: float, stat: str = "stat", text: str = "text") -> W
 # ------------------------------------------------------------------- the kernel
 
 
+def _floats(column: pa.ChunkedArray) -> np.ndarray:
+    return column.cast(pa.float64()).to_numpy()
+
+
 def _matrix(column: pa.ChunkedArray) -> np.ndarray:
     """Dense float64 matrix of a list column; missing lists are zero rows."""
     lists = column.combine_chunks()
@@ -61,82 +64,81 @@ def _matrix(column: pa.ChunkedArray) -> np.ndarray:
     return out
 
 
-def _texts(column: pa.ChunkedArray) -> list:
-    return column.to_pylist()
-
-
 def _codes(values: list) -> tuple[list, np.ndarray]:
     distinct = sorted({v for v in values if v is not None})
     index = {v: i for i, v in enumerate(distinct)}
     return distinct, np.array([index.get(v, -1) for v in values], dtype=np.int64)
 
 
-def _allowed(q: pa.Table, c: pa.Table, nulls_pass: bool) -> np.ndarray | None:
-    """Boolean query-by-candidate mask of all limits present, or None."""
-    masks = []
-    names = set(q.column_names)
-    if "exclude_row_id" in names:
-        own = np.array([-1 if v is None else v for v in q["exclude_row_id"].to_pylist()], dtype=np.int64)
-        masks.append(c["row_id"].to_numpy()[None, :] != own[:, None])
-    if "want_pos" in names:
-        wanted, q_code = _codes([v and v.upper() for v in _texts(q["want_pos"])])
-        held, c_code = _codes([v and v.upper() for v in _texts(c["pos"])])
-        table = np.zeros((len(wanted) + 1, len(held) + 1), dtype=bool)
-        for i, code in enumerate(wanted):
-            table[i, : len(held)] = [code in pos for pos in held]
-        table[-1, :] = True
-        masks.append(table[q_code][:, c_code])
-    if "want_group" in names:
-        both = _texts(q["want_group"]) + _texts(c["pos_group"])
-        code = _codes(both)[1]
-        q_code, c_code = code[: q.num_rows], code[q.num_rows :]
-        masks.append((q_code[:, None] == c_code[None, :]) | (q_code[:, None] < 0))
-    if "max_value" in names:
-        cap = q["max_value"].cast(pa.float64()).to_numpy()
-        value = c["value"].cast(pa.float64()).to_numpy()
-        ok = value[None, :] <= cap[:, None]
-        if nulls_pass:
-            ok |= np.isnan(value)[None, :]
-        masks.append(ok | np.isnan(cap)[:, None])
-    if "want_flag" in names:
-        wanted = np.array([bool(v) for v in q["want_flag"].to_pylist()])
-        held = np.array([v == 1 for v in c["flag"].to_pylist()])
-        masks.append(held[None, :] | ~wanted[:, None])
-    if not masks:
-        return None
-    return np.logical_and.reduce(np.broadcast_arrays(*masks))
-
-
-def cosine_kernel(weights: Weights, k: int, nulls_pass: bool = True):
-    """Kernel for ``top_matches``: blended cosine under the per-query limits."""
-
-    def kernel(q: pa.Table, c: pa.Table, floor: np.ndarray):
-        dots, q_norm, c_norm = 0.0, 0.0, 0.0
-        for column, weight in weights.items():
-            a, b = _matrix(q[column]), _matrix(c[column])
-            if a.shape[1] == 0 or b.shape[1] == 0:
-                continue
-            dots = dots + weight**2 * (a @ b.T)
-            q_norm = q_norm + weight**2 * (a * a).sum(axis=1)
-            c_norm = c_norm + weight**2 * (b * b).sum(axis=1)
-        scale = np.sqrt(np.outer(np.broadcast_to(q_norm, q.num_rows), np.broadcast_to(c_norm, c.num_rows)))
+def _upper_codes(column: pa.ChunkedArray) -> tuple[list, np.ndarray]:
+    return _codes([v and v.upper() for v in column.to_pylist()])
+
+
+def _same_group(q: dict, c: dict) -> np.ndarray:
+    wanted = {g: i for i, g in enumerate(q["want_group"][0])}
+    held = np.array([wanted.get(g, -2) for g in c["pos_group"][0]] + [-2])
+    return (q["want_group"][1][:, None] == held[c["pos_group"][1]][None, :]) | (q["want_group"][1] < 0)[:, None]
+
+
+def _holds_code(q: dict, c: dict) -> np.ndarray:
+    table = np.array([[code in pos for pos in c["pos"][0]] + [False] for code in q["want_pos"][0]] + [[True] * (len(c["pos"][0]) + 1)])
+    return table[q["want_pos"][1]][:, c["pos"][1]]
+
+
+class CosineKernel(Kernel):
+    """Blended cosine under the per-query limits."""
+
+    def __init__(self, weights: Weights, k: int, nulls_pass: bool = True):
+        self.weights, self.k, self.nulls_pass = weights, k, nulls_pass
+
+    def prepare(self, block: pa.Table, is_query: bool) -> dict:
+        ready = {c: _matrix(block[c]) * w for c, w in self.weights.items()}
+        ready["norm"] = np.sqrt(sum((m * m).sum(axis=1) for m in ready.values()))
+        names = set(block.column_names)
+        readers = {
+            "want_pos": _upper_codes, "pos": _upper_codes,
+            "want_group": lambda x: _codes(x.to_pylist()), "pos_group": lambda x: _codes(x.to_pylist()),
+            "exclude_row_id": lambda x: np.asarray(pc.fill_null(x, -1)), "row_id": lambda x: x.to_numpy(),
+            "max_value": _floats, "value": _floats, "min_similarity": _floats,
+            "want_flag": lambda x: np.array([bool(v) for v in x.to_pylist()]),
+            "flag": lambda x: np.array([v == 1 for v in x.to_pylist()]),
+        }
+        ready.update({n: read(block[n]) for n, read in readers.items() if n in names})
+        return ready
+
+    def _allowed(self, q: dict, c: dict) -> np.ndarray | None:
+        masks = []
+        if "exclude_row_id" in q:
+            masks.append(c["row_id"][None, :] != q["exclude_row_id"][:, None])
+        if "want_pos" in q:
+            masks.append(_holds_code(q, c))
+        if "want_group" in q:
+            masks.append(_same_group(q, c))
+        if "max_value" in q:
+            cap, value = q["max_value"], c["value"]
+            within = value[None, :] <= cap[:, None]
+            if self.nulls_pass:
+                within |= np.isnan(value)[None, :]
+            masks.append(within | np.isnan(cap)[:, None])
+        if "want_flag" in q:
+            masks.append(c["flag"][None, :] | ~q["want_flag"][:, None])
+        return np.logical_and.reduce(masks) if masks else None
+
+    def score(self, q: dict, c: dict, floor: np.ndarray):
+        dots = sum(q[b] @ c[b].T for b in self.weights if q[b].shape[1] and c[b].shape[1])
+        scale = np.outer(q["norm"], c["norm"])
         score = np.divide(dots, scale, out=np.zeros_like(scale), where=scale > 0)
-        score = np.round(score, SCORE_DECIMALS)
-        limit = floor.copy()
-        if "min_similarity" in q.column_names:
-            low = q["min_similarity"].cast(pa.float64()).to_numpy()
-            limit = np.fmax(limit, low)
-        allowed = _allowed(q, c, nulls_pass)
+        np.round(score, SCORE_DECIMALS, out=score)
+        limit = np.fmax(floor, q["min_similarity"]) if "min_similarity" in q else floor
+        allowed = self._allowed(q, c)
         if allowed is not None:
-            score = np.where(allowed, score, -np.inf)
-        if score.shape[1] > k:
-            kth = np.partition(score, score.shape[1] - k, axis=1)[:, score.shape[1] - k]
+            score[~allowed] = -np.inf
+        if score.shape[1] > self.k:
+            kth = np.partition(score, score.shape[1] - self.k, axis=1)[:, score.shape[1] - self.k]
             limit = np.maximum(limit, kth)
         qi, ci = np.nonzero((score >= limit[:, None]) & (score > -np.inf))
         return qi, ci, score[qi, ci]
 
-    return kernel
-
 
 def nearest(
     profiles: DataFrame,
@@ -161,7 +163,7 @@ def nearest(
     needed = [LIMITS[c] for c in used if LIMITS[c]]
     candidates = profiles.select("row_id", *weights, *[readers[n].alias(n) for n in needed])
     block = queries.select("query_id", *weights, *used)
-    return top_matches(block, candidates, cosine_kernel(weights, k, nulls_pass), k)
+    return top_matches(block, candidates, CosineKernel(weights, k, nulls_pass), k)
 
 
 # ------------------------------------------------------------------- result shape

@@ -35,3 +35,14 @@ def cut_lineage(df: DataFrame) -> DataFrame:
         folder = context.getConf().get("spark.checkpoint.dir") or tempfile.mkdtemp(prefix="kindred-checkpoint-")
         context.setCheckpointDir(folder)
     return df.checkpoint(eager=True)
+
+
+def spread(df: DataFrame, *keys: str) -> DataFrame:
+    """Hash-partition by ``keys`` ahead of row-multiplying or heavy work.
+
+    A fixed partition number keeps adaptive execution from merging small
+    inputs into one task; a following aggregation on the same keys reuses it.
+    """
+    spark = df.sparkSession
+    parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), spark.sparkContext.defaultParallelism)
+    return df.repartition(parts, *keys)
