@@ -91,33 +91,60 @@ def weighted(a: str, b: str) -> float:
     return max(base, scale * partial(a, b), 0.95 * scale * partial_token)
 
 
-def _codes(texts: list[str], width: int, pad: int) -> np.ndarray:
-    packed = "".join(t.ljust(width, chr(pad)) for t in texts)
-    return np.frombuffer(packed.encode("utf-32-le"), dtype=np.uint32).reshape(len(texts), width)
+WORD = 64
+PAIRS_AT_ONCE = 65_536
+# Signs outside any text; a pad never equals a letter or the other side's pad.
+LEFT_PAD, RIGHT_PAD = 0x10FFFE, 0x10FFFF
 
 
-def lcs_lengths(left: list[str], right: list[str]) -> np.ndarray:
-    """LCS length of each pair; one vectorised sweep for pairs of up to 64 characters."""
+def letter_codes(texts: list[str], pad: int) -> np.ndarray:
+    """Matrix of character codes, one row per text, cut and padded to the word size."""
+    packed = "".join(t[:WORD].ljust(WORD, chr(pad)) for t in texts)
+    return np.frombuffer(packed.encode("utf-32-le"), dtype=np.uint32).reshape(len(texts), WORD)
+
+
+def _narrow(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """One-byte codes where both sides together use fewer than 256 signs."""
+    signs = np.unique(np.concatenate([np.unique(a), np.unique(b)]))
+    if len(signs) > 256:
+        return a, b
+    return np.searchsorted(signs, a).astype(np.uint8), np.searchsorted(signs, b).astype(np.uint8)
+
+
+def lcs_pairs(left: list[str], right: list[str], qi: np.ndarray, ci: np.ndarray) -> np.ndarray:
+    """LCS length of the pairs ``(left[qi], right[ci])``.
+
+    Pairs of texts up to 64 characters go through one vectorised sweep per
+    chunk; longer texts are done one by one.
+    """
     la = np.fromiter((len(x) for x in left), dtype=np.int64, count=len(left))
     lb = np.fromiter((len(x) for x in right), dtype=np.int64, count=len(right))
-    out = np.zeros(len(left), dtype=np.int64)
-    short = np.flatnonzero((la <= 64) & (lb <= 64))
-    for i in np.flatnonzero((la > 64) | (lb > 64)):
-        out[i] = lcs_length(left[i], right[i])
-    if len(short) == 0 or int(lb[short].max()) == 0:
+    out = np.zeros(len(qi), dtype=np.int64)
+    fits = (la[qi] <= WORD) & (lb[ci] <= WORD)
+    for p in np.flatnonzero(~fits):
+        out[p] = lcs_length(left[qi[p]], right[ci[p]])
+    short = np.flatnonzero(fits)
+    if len(short) == 0:
         return out
-    # Two distinct pad signs outside the Unicode text range used by names never match.
-    a = _codes([left[i] for i in short], 64, 0x10FFFE)
-    b = _codes([right[i] for i in short], int(lb[short].max()), 0x10FFFF)
-    free = np.full(len(short), np.uint64(0xFFFFFFFFFFFFFFFF))
-    for j in range(b.shape[1]):
-        hit_bits = np.packbits(a == b[:, j : j + 1], axis=1, bitorder="little").view(np.uint64)[:, 0]
-        hit = free & hit_bits
-        free = (free + hit) | (free - hit)
-    out[short] = 64 - np.bitwise_count(free).astype(np.int64)
+    a_codes, b_codes = _narrow(letter_codes(left, LEFT_PAD), letter_codes(right, RIGHT_PAD))
+    for start in range(0, len(short), PAIRS_AT_ONCE):
+        part = short[start : start + PAIRS_AT_ONCE]
+        a, b = a_codes[qi[part]], b_codes[ci[part]]
+        free = np.full(len(part), np.uint64(0xFFFFFFFFFFFFFFFF))
+        for j in range(int(lb[ci[part]].max())):
+            hits = np.packbits(a == b[:, j : j + 1], axis=1, bitorder="little").view(np.uint64)[:, 0]
+            hit = free & hits
+            free = (free + hit) | (free - hit)
+        out[part] = WORD - np.bitwise_count(free).astype(np.int64)
     return out
 
 
+def lcs_lengths(left: list[str], right: list[str]) -> np.ndarray:
+    """LCS length of each aligned pair."""
+    both = np.arange(len(left))
+    return lcs_pairs(left, right, both, both)
+
+
 @F.pandas_udf(T.DoubleType())
 def indel_ratio(left: pd.Series, right: pd.Series) -> pd.Series:
     """Indel similarity 0-100 of two text columns; NULL when either is NULL."""

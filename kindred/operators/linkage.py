@@ -151,6 +151,7 @@ class _Texts:
         """Add token facts: a repeated token or blank makes the token bounds loose."""
         self.tokens = [set(t.split()) for t in self.texts]
         self.loose = np.array([" ".join(dict.fromkeys(t.split())) != t for t in self.texts])
+        self.sorted = [" ".join(sorted(t.split())) for t in self.texts]
 
 
 def shared_letters(left: _Texts, right: _Texts) -> np.ndarray:
@@ -180,38 +181,45 @@ class IndelKernel(Kernel):
         least = np.maximum(floor, self.threshold) - 1e-4
         met = 200.0 * shared_letters(q, c) >= least[:, None].astype(np.float32) * total
         qi, ci = np.nonzero(met)
-        lcs = fuzzy.lcs_lengths([q.texts[i] for i in qi], [c.texts[i] for i in ci])
+        lcs = fuzzy.lcs_pairs(q.texts, c.texts, qi, ci)
         size = total[qi, ci].astype(np.float64)
         score = np.where(size == 0, 100.0, 200.0 * lcs / np.maximum(size, 1.0))
         keep = score >= self.threshold - SLACK
         return qi[keep], ci[keep], score[keep]
 
 
-def weighted_bound(q: _Texts, c: _Texts) -> np.ndarray:
-    """Upper bound of the blended ratio from lengths, shared letters and shared tokens."""
-    a, b = q.length[:, None], c.length[None, :]
-    m = shared_letters(q, c)
-    short, long = np.minimum(a, b), np.maximum(a, b)
-    plain = 200.0 * m / np.maximum(a + b, 1.0)
-    common = set().union(*q.tokens) & set().union(*c.tokens)
-    share = np.zeros(m.shape, dtype=bool)
-    for token in common:
-        has_q = np.array([token in t for t in q.tokens])
-        has_c = np.array([token in t for t in c.tokens])
-        share[np.ix_(has_q, has_c)] = True
-    loose = q.loose[:, None] | c.loose[None, :]
-    close = np.maximum(plain, np.where(share | loose, 95.0, 0.95 * plain))
-    part = np.where(loose, 100.0, np.minimum(100.0, 200.0 * m / np.maximum(short + m, 1.0)))
+def _blend_bound(plain, sorted_, short, long, token_free):
+    """Bound of the blended ratio from bounds of the common letters of both forms.
+
+    ``plain`` and ``sorted_`` bound the LCS of the texts and of their sorted
+    tokens; ``token_free`` marks pairs whose token forms these do not bound.
+    """
+    total = np.maximum(short + long, 1.0)
+    ratio = 200.0 * plain / total
+    close = np.maximum(ratio, np.where(token_free, 95.0, 190.0 * sorted_ / total))
+    part = 200.0 * plain / np.maximum(short + plain, 1.0)
+    token_part = np.where(token_free, 100.0, 200.0 * sorted_ / np.maximum(short + sorted_, 1.0))
     scale = np.where(long <= 8 * short, 0.9, 0.6)
-    apart = np.maximum(plain, scale * np.maximum(part, 0.95 * np.where(share, 100.0, part)))
+    apart = np.maximum(ratio, scale * np.maximum(part, 0.95 * token_part))
     return np.where(long < 1.5 * short, close, apart) + 1e-3
 
 
+def _token_free(q: _Texts, c: _Texts) -> np.ndarray:
+    """Pairs that share a token, or where a repeated token or blank shortens the token forms."""
+    free = q.loose[:, None] | c.loose[None, :]
+    for token in set().union(*q.tokens) & set().union(*c.tokens):
+        has_q = np.array([token in t for t in q.tokens])
+        has_c = np.array([token in t for t in c.tokens])
+        free[np.ix_(has_q, has_c)] = True
+    return free
+
+
 class WeightedKernel(Kernel):
     """Best blended ratio per query by branch and bound.
 
-    Candidates are scored in order of their upper bound and a query stops once
-    the next bound is below its best score, so the result is exact.
+    Pairs are bounded by their shared letters, the survivors by their LCS, and
+    what is left is scored in order of its bound; a query stops once the next
+    bound is below its best score, so the result is exact.
     """
 
     def __init__(self, threshold: float):
@@ -223,21 +231,30 @@ class WeightedKernel(Kernel):
         return ready
 
     def score(self, q: _Texts, c: _Texts, floor: np.ndarray):
-        bound = weighted_bound(q, c)
+        none = np.empty(0, dtype=np.int64)
         start = np.maximum(floor, self.threshold)
+        short = np.minimum(q.length[:, None], c.length[None, :])
+        long = np.maximum(q.length[:, None], c.length[None, :])
+        free = _token_free(q, c)
+        letters = shared_letters(q, c)
+        qi, ci = np.nonzero(_blend_bound(letters, letters, short, long, free) >= start[:, None])
+        plain = fuzzy.lcs_pairs(q.texts, c.texts, qi, ci)
+        ordered = fuzzy.lcs_pairs(q.sorted, c.sorted, qi, ci)
+        bound = _blend_bound(plain, ordered, short[qi, ci], long[qi, ci], free[qi, ci])
+        keep = bound >= start[qi]
+        qi, ci, bound = qi[keep], ci[keep], bound[keep]
+        order = np.lexsort((ci, -bound, qi))
         found: list[tuple[int, int, float]] = []
-        for i in np.flatnonzero(bound.max(axis=1) >= start):
-            best = start[i]
-            open_ = np.flatnonzero(bound[i] >= best)
-            for j in open_[np.argsort(-bound[i, open_], kind="stable")]:
-                if bound[i, j] < best:
-                    break
-                score = fuzzy.weighted(q.texts[i], c.texts[j])
-                if score >= best:
-                    best = score
-                    found.append((int(i), int(j), score))
+        best: dict[int, float] = {}
+        for i, j, top in zip(qi[order].tolist(), ci[order].tolist(), bound[order].tolist()):
+            least = best.get(i, start[i])
+            if top < least:
+                continue
+            score = fuzzy.weighted(q.texts[i], c.texts[j])
+            if score >= least:
+                best[i] = score
+                found.append((i, j, score))
         if not found:
-            none = np.empty(0, dtype=np.int64)
             return none, none, np.empty(0)
         qi, ci, score = zip(*found)
         return np.array(qi), np.array(ci), np.array(score)

@@ -108,14 +108,12 @@ def _sorted_names(names: DataFrame) -> DataFrame:
 
 def cued_names(requests: DataFrame, names: DataFrame) -> DataFrame:
     """Step B: the text after a cue such as ``like``, matched fuzzily (at least 60)."""
-    cut = [
-        F.transform(
-            F.regexp_extract_all("text", F.lit(f"{cue}({K.REQUEST_NAME_LETTERS})"), F.lit(1)),
-            lambda s, i, c=n: F.struct(F.lit(c).alias("cue"), i.alias("nth"), F.trim(F.regexp_replace(s, r"\s+", " ")).alias("segment")),
-        )
-        for n, cue in enumerate(K.REQUEST_CUES)
-    ]
-    segments = requests.select("query_id", F.inline(F.concat(*cut))).where(F.length("segment") >= 3)
+    def cut(number: int, cue: str) -> Column:
+        found = F.regexp_extract_all("text", F.lit(f"{cue}({K.REQUEST_NAME_LETTERS})"), F.lit(1))
+        clean = F.transform(found, lambda s: F.trim(F.regexp_replace(s, r"\s+", " ")))
+        return F.transform(clean, lambda s, i: F.struct(F.lit(number).alias("cue"), i.alias("nth"), s.alias("segment")))
+
+    segments = requests.select("query_id", F.inline(F.concat(*[cut(n, cue) for n, cue in enumerate(K.REQUEST_CUES)]))).where(F.length("segment") >= 3)
     known = _sorted_names(names)
     texts = cut_lineage(_distinct_texts(segments.select(F.col("segment").alias("text"))))
     best = best_fuzzy(texts, known.select("row_id", "text"), FUZZY_FLOOR).join(known.select("row_id", "player"), "row_id")

@@ -13,6 +13,7 @@ from kindred.operators.features import encode_text, text_pipeline, unit_blocks
 from kindred.operators.retrieval import stat_text_weights
 from kindred.plans.registry import query
 from kindred.plans.tables import PEOPLE_SQL, block_profiles, people, table
+from kindred.session import cut_lineage, spread
 from kindred.sources import html as H
 from kindred.sources.synthetic import synthesise
 from kindred.sources.tables import map_alternate
@@ -163,7 +164,7 @@ def _order_pages(spark, sf_dir, head, row, tail):
     """One HTML page per order, one table row per line item."""
     li = table(spark, sf_dir, "lineitem")
     line = F.struct("l_linenumber", "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice", "l_returnflag")
-    grouped = li.groupBy(F.col("l_orderkey").alias("page_id")).agg(F.array_sort(F.collect_list(line)).alias("lines"))
+    grouped = spread(li, "l_orderkey").groupBy(F.col("l_orderkey").alias("page_id")).agg(F.array_sort(F.collect_list(line)).alias("lines"))
     body = F.array_join(F.transform("lines", row), "")
     return grouped.select("page_id", F.lit("League").alias("league"), F.concat(F.lit(head), body, F.lit(tail)).alias("html"))
 
@@ -348,7 +349,7 @@ def request_answers(spark, sf_dir):
         .otherwise(F.concat(F.lit("replacement for "), "player", F.lit(" quick economy")))
     )
     asked = p.select(F.col("row_id").alias("query_id"), wording.alias("query"))
-    parsed = Q.cut_lineage(Q.parse_requests(asked, p))
+    parsed = cut_lineage(Q.parse_requests(asked, p))
     return Q.answer_requests(parsed, vectors, stat_text_weights(0.6), "text", lambda d: encode_text(d, model)).select(
         "query_id", "rank", "row_id", "player", "similarity"
     )
