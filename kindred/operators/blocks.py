@@ -81,7 +81,7 @@ def block_pairs(queries: DataFrame, candidates: DataFrame, query_key: str, key:
     cells = max(int(spark.conf.get("spark.sql.shuffle.partitions")), spark.sparkContext.defaultParallelism)
     n_queries = queries.count()
     if n_queries <= BROADCAST_ROWS:
-        left = F.broadcast(left.withColumn("cell", F.lit(0)))
+        left = F.broadcast(left.withColumn("cell", F.pmod("q_key", F.lit(1)).cast("int")))
         if n_queries > SPREAD_ROWS:
             right = right.repartition(cells, "c_key")
         right = right.withColumn("cell", F.pmod("c_key", F.lit(1)).cast("int"))

@@ -425,10 +425,10 @@ def resolve_names(requests: DataFrame, profiles: DataFrame) -> DataFrame:
         "query_id", F.lit("exact").alias("stage"), "row_id", F.lit(100.0).alias("score"), F.lit(1).cast("long").alias("candidates")
     )
     open_1 = asked.join(exact, "query_id", "left_anti")
-    first_name = names.agg(F.min_by("row_id", "ord")).scalar()
-    blank = open_1.where(F.col("text") == "").select(
-        "query_id", F.lit("contained").alias("stage"), first_name.alias("row_id"), F.lit(None).cast("double").alias("score"),
-        names.agg(F.count(F.lit(1))).scalar().alias("candidates"),
+    # An empty text is contained in every name: one aggregate row answers it.
+    all_names = names.agg(F.min_by("row_id", "ord").alias("row_id"), F.count(F.lit(1)).alias("candidates"))
+    blank = open_1.where(F.col("text") == "").join(F.broadcast(all_names.withColumn("text", F.lit(""))), "text").select(
+        "query_id", F.lit("contained").alias("stage"), "row_id", F.lit(None).cast("double").alias("score"), "candidates"
     )
     inside = containing_names(open_1, names).join(names.select("ord", "row_id"), "ord").select(
         "query_id", F.lit("contained").alias("stage"), "row_id", F.lit(None).cast("double").alias("score"), F.col("hits").alias("candidates")
