@@ -26,7 +26,7 @@ def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     spark = local_session(os.environ.get("BENCH_CPUS", "8"), "kindred-bench")
     spark.sparkContext.setLogLevel("ERROR")
-    runs = int(os.environ.get("BENCH_RUNS", "2"))
+    runs = int(os.environ.get("BENCH_RUNS", "1"))
     spark.range(1000).selectExpr("sum(id)").collect()
     times: dict[str, float] = {}
     for name in HEADLINE:

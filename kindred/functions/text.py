@@ -17,30 +17,28 @@ from kindred.functions.columns import as_double, detect_col, literal_map, lookup
 # ---------------------------------------------------------------- normalisers
 
 
-def _strip_marks(form: str, drop):
-    def one(text: str | None) -> str:
-        if text is None:
-            return ""
-        if text.isascii():
-            return text.lower()
-        return "".join(c for c in unicodedata.normalize(form, text) if not drop(c)).lower()
-
-    return one
-
-
-_fold_canonical = _strip_marks("NFD", lambda c: unicodedata.category(c) == "Mn")
-_fold_compatible = _strip_marks("NFKD", unicodedata.combining)
+def _fold(text: str | None, compatible: bool) -> str:
+    """Lower-case without marks: combining signs, or non-spacing marks only."""
+    if text is None:
+        return ""
+    if text.isascii():
+        return text.lower()
+    plain = unicodedata.normalize("NFKD" if compatible else "NFD", text)
+    for sign in set(plain):
+        if unicodedata.combining(sign) if compatible else unicodedata.category(sign) == "Mn":
+            plain = plain.replace(sign, "")
+    return plain.lower()
 
 
 @F.pandas_udf(T.StringType())
 def fold_name(names: pd.Series) -> pd.Series:
     """Drop diacritics (canonical decomposition), lower-case, trim; missing text is ''."""
-    return names.map(_fold_canonical, na_action=None).str.strip()
+    return pd.Series([_fold(x, False).strip() for x in names], dtype="object")
 
 
 @F.pandas_udf(T.StringType())
 def _fold_marks(names: pd.Series) -> pd.Series:
-    return names.map(_fold_compatible, na_action=None)
+    return pd.Series([_fold(x, True) for x in names], dtype="object")
 
 
 def fold_plain(name: Column) -> Column:

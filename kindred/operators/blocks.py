@@ -7,9 +7,9 @@ rows is ever a Spark row: a task emits at most k rows per query.
 * few queries (counted first): the packed queries are broadcast.  A handful
   lets the candidates stream past without a shuffle; from some hundreds on the
   scoring outweighs moving each candidate once, so blocks are spread evenly;
-* many queries: candidate blocks are spread over grid cells and query blocks
-  are sent to every cell, an equi-join on the cell.  Memory per task stays at
-  two blocks plus the running best lists, which are flushed when they grow.
+* many queries: both sides are counted and laid out on a grid of cells whose
+  shape copies the least data, an equi-join on the cell.  Memory per task stays
+  at two blocks plus the running best lists, which are flushed when they grow.
 """
 
 from __future__ import annotations
@@ -73,21 +73,35 @@ def pack_blocks(df: DataFrame, key: str, block_rows: int) -> DataFrame:
     return df.mapInArrow(pack, "first_key long, block binary")
 
 
+def grid_shape(n_queries: int, n_candidates: int, cells: int) -> tuple[int, int]:
+    """Rows and columns of a grid of about ``cells`` cells that copies the least data.
+
+    Queries are copied once per column and candidates once per row.
+    """
+    rows = round((cells * n_queries / max(n_candidates, 1)) ** 0.5)
+    rows = min(max(rows, 1), cells)
+    return rows, -(-cells // rows)
+
+
 def block_pairs(queries: DataFrame, candidates: DataFrame, query_key: str, key: str) -> DataFrame:
     """Every query block beside every candidate block, by broadcast or grid."""
     spark = queries.sparkSession
+    parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), spark.sparkContext.defaultParallelism)
     left = pack_blocks(queries, query_key, QUERY_BLOCK_ROWS).toDF("q_key", "q_block")
     right = pack_blocks(candidates, key, CANDIDATE_BLOCK_ROWS).toDF("c_key", "c_block")
-    cells = max(int(spark.conf.get("spark.sql.shuffle.partitions")), spark.sparkContext.defaultParallelism)
     n_queries = queries.count()
     if n_queries <= BROADCAST_ROWS:
         left = F.broadcast(left.withColumn("cell", F.pmod("q_key", F.lit(1)).cast("int")))
         if n_queries > SPREAD_ROWS:
-            right = right.repartition(cells, "c_key")
+            right = right.repartition(parts, "c_key")
         right = right.withColumn("cell", F.pmod("c_key", F.lit(1)).cast("int"))
     else:
-        left = left.withColumn("cell", F.explode(F.sequence(F.lit(0), F.lit(cells - 1))))
-        right = right.withColumn("cell", F.pmod(F.xxhash64("c_key"), F.lit(cells)).cast("int"))
+        rows, columns = grid_shape(n_queries, candidates.count(), 2 * parts)
+        row, column = F.pmod(F.xxhash64("q_key"), F.lit(rows)), F.pmod(F.xxhash64("c_key"), F.lit(columns))
+        left = left.select("*", F.explode(F.sequence(F.lit(0), F.lit(columns - 1))).alias("at"))
+        left = left.withColumn("cell", (row * columns + F.col("at")).cast("int")).repartition(parts, "cell")
+        right = right.select("*", F.explode(F.sequence(F.lit(0), F.lit(rows - 1))).alias("at"))
+        right = right.withColumn("cell", (F.col("at") * columns + column).cast("int")).repartition(parts, "cell")
     return right.join(left, "cell").select("q_key", "q_block", "c_block")
 
 

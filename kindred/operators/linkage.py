@@ -398,7 +398,8 @@ def containing_names(queries: DataFrame, names: DataFrame) -> DataFrame:
     Every gram of a contained text is a gram of the name, so a query meets
     names through its rarest gram only; a gram no name has ends the query.
     """
-    index = names.select("ord", "name", F.explode(_grams(F.col("name"), GRAM_SIZES)).alias("gram"))
+    spaced = spread(names.select("ord", "name"), "ord")
+    index = spaced.select("ord", "name", F.explode(_grams(F.col("name"), GRAM_SIZES)).alias("gram"))
     frequency = index.groupBy("gram").agg(F.count(F.lit(1)).alias("df"))
     own = F.when(F.length("text") >= 3, _grams(F.col("text"), (3,))).when(
         F.length("text") == 2, _grams(F.col("text"), (2,))

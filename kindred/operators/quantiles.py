@@ -5,7 +5,8 @@
    inside it (map-side combined, so repeated values collapse).
 3. A running count over the bracketed values picks the two order statistics.
 
-Below ``accuracy`` rows the bracket is the whole column, which is then small.
+A frame counted at no more than ``DIRECT_ROWS`` rows is answered by Spark's
+exact percentile aggregate in one pass; its buffer is bounded by that count.
 """
 
 from __future__ import annotations
@@ -17,6 +18,7 @@ from kindred.functions.columns import as_double, quoted
 
 ACCURACY = 1_000_000
 MARGIN = 10.0 / ACCURACY
+DIRECT_ROWS = 1_000_000
 
 
 def _brackets(df: DataFrame, columns: list[str], probs: list[float]) -> DataFrame:
@@ -48,8 +50,27 @@ def _brackets(df: DataFrame, columns: list[str], probs: list[float]) -> DataFram
     )
 
 
+def _direct_quantiles(df: DataFrame, columns: list[str], probs: list[float]) -> DataFrame:
+    """All quantiles by the exact aggregate, for a frame of checked size."""
+    stats = []
+    for c in columns:
+        value = as_double(quoted(c))
+        stats += [F.count(value).alias(f"n_{c}"), F.percentile(value, probs).alias(f"q_{c}")]
+    cells = [
+        F.struct(
+            F.lit(c).alias("feature"), F.lit(p).alias("prob"), F.col(quoted(f"n_{c}")).alias("n"),
+            F.get(F.col(quoted(f"q_{c}")), F.lit(i)).alias("quantile"),
+        )
+        for c in columns
+        for i, p in enumerate(probs)
+    ]
+    return df.agg(*stats).select(F.inline(F.array(*cells)))
+
+
 def exact_quantiles(df: DataFrame, columns: list[str], probs: list[float]) -> DataFrame:
     """``(feature, prob, n, quantile)``; NULL where a column holds no number."""
+    if df.count() <= DIRECT_ROWS:
+        return _direct_quantiles(df, columns, probs)
     brackets = _brackets(df, columns, probs)
     named = [F.struct(F.lit(c).alias("feature"), as_double(quoted(c)).alias("value")) for c in columns]
     values = df.select(F.inline(F.array(*named))).where(F.col("value").isNotNull())

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
+from functools import cache
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -25,16 +27,23 @@ def local_session(cpus: int | str | None = None, app: str = "kindred") -> SparkS
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:
-    """Write ``df`` to the reliable checkpoint folder and read it back.
+    """Write ``df`` as a table in the shared checkpoint folder and read it back.
 
     The folder is the one the cluster names in ``spark.checkpoint.dir``; a
-    temporary folder is used only where that setting is absent (tests).
+    temporary folder is used only where that setting is absent (tests).  The
+    written table outlives lost executors, and its known size lets Spark
+    choose the next joins.
     """
-    context = df.sparkSession.sparkContext
-    if context.getCheckpointDir() is None:
-        folder = context.getConf().get("spark.checkpoint.dir") or tempfile.mkdtemp(prefix="kindred-checkpoint-")
-        context.setCheckpointDir(folder)
-    return df.checkpoint(eager=True)
+    spark = df.sparkSession
+    folder = spark.conf.get("spark.checkpoint.dir", None) or _own_folder()
+    path = f"{folder.rstrip('/')}/{spark.sparkContext.applicationId}/{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
+@cache
+def _own_folder() -> str:
+    return tempfile.mkdtemp(prefix="kindred-checkpoint-")
 
 
 def spread(df: DataFrame, *keys: str) -> DataFrame:

@@ -184,6 +184,7 @@ def test_bracketed_quantiles_equal_the_sorted_answer(spark, monkeypatch):
 
     monkeypatch.setattr(quantiles, "ACCURACY", 500)
     monkeypatch.setattr(quantiles, "MARGIN", 10.0 / 500)
+    monkeypatch.setattr(quantiles, "DIRECT_ROWS", 0)
     numbers = np.round(np.random.default_rng(5).lognormal(size=20_000), 2)
     df = spark.createDataFrame([(float(x),) for x in numbers], "v double").repartition(4)
     found = {r.prob: r.quantile for r in exact_quantiles(df, ["v"], [0.05, 0.5, 0.95]).collect()}
