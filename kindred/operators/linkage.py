@@ -116,7 +116,7 @@ def left_segments(left: DataFrame, t: float) -> DataFrame:
     )
     pos = F.col("start") + F.col("shift")
     inside = at.where((pos >= 0) & (pos + F.col("len") <= F.col("a")))
-    return inside.select("l_text", F.xxhash64("n", "i", F.substring("l_text", pos + 1, F.col("len"))).alias("seg")).distinct()
+    return inside.select("l_text", F.xxhash64("n", "i", F.substring("l_text", pos + 1, F.col("len"))).alias("seg"))
 
 
 def near_pairs(left: DataFrame, right: DataFrame, t: float) -> DataFrame:

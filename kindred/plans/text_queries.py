@@ -8,6 +8,7 @@ from kindred.functions import constants as K
 from kindred.functions import text as X
 from kindred.functions.columns import clean_column_names
 from kindred.operators import enrich as N
+from kindred.operators import filters as W
 from kindred.operators import requests as Q
 from kindred.operators.features import encode_text, text_pipeline, unit_blocks
 from kindred.operators.retrieval import stat_text_weights
@@ -244,20 +245,14 @@ _CODES = ["ENG", "BRA", "FRA", "CHN", "XYZ", "bra", "KSA", "USA", "CIV", "MAR"]
 def country_filter(spark, sf_dir):
     codes = F.array(*[F.lit(c) for c in _CODES])
     c, n = table(spark, sf_dir, "customer"), table(spark, sf_dir, "nation")
-    people_of = c.join(F.broadcast(n), c.c_nationkey == n.n_nationkey).select(
+    people_of = c.join(n, c.c_nationkey == n.n_nationkey).select(
         "c_custkey", F.element_at(codes, (F.col("n_nationkey") % 10 + 1).cast("int")).alias("nation")
     )
-    kept = country_selected(people_of, ["Brazil 🇧🇷", "fra", "United States"])
+    kept = W.country_filter(people_of, ["Brazil 🇧🇷", "fra", "United States"])
     nation = X.nation_text(kept)
     return kept.select("c_custkey", "nation", X.nation_label(nation).alias("label"), X.flag_key(nation).alias("flag"))
 
 
-def country_selected(df, selected):
-    from kindred.operators.filters import country_filter as keep
-
-    return keep(df, selected)
-
-
 # --------------------------------------------------------------------- requests
 
 # Request number modulo 6 decides the clause appended to a user turn.

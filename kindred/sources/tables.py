@@ -3,13 +3,14 @@
 from __future__ import annotations
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from kindred.functions.columns import as_double
 from kindred.functions.constants import ALTERNATE_COLUMNS, MIN_MINUTES, MODEL_FEATURES
 from kindred.operators.quality import minimum_exposure, per90_rates
+from kindred.session import cut_lineage
 
 
 def _schema(**fields: T.DataType) -> T.StructType:
@@ -45,12 +46,12 @@ def with_row_id(df: DataFrame, *order: str) -> DataFrame:
     """Stable ``row_id`` by a total order, numbered without one global window.
 
     Rows are range-partitioned and sorted; each partition's start is the sum
-    of the counts before it, a table of one row per partition.
+    of the counts before it, a table of one row per partition.  The placed
+    rows are written once, so counts and numbers come from the same layout.
     """
-    from pyspark.sql import Window
-
     placed = df.repartitionByRange(*order).sortWithinPartitions(*order)
     placed = placed.withColumn("_part", F.spark_partition_id()).withColumn("_at", F.monotonically_increasing_id())
+    placed = cut_lineage(placed)
     counts = placed.groupBy("_part").agg(F.count(F.lit(1)).alias("_n"), F.min("_at").alias("_first"))
     before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
     starts = counts.withColumn("_start", F.coalesce(F.sum("_n").over(before), F.lit(0))).drop("_n")
