@@ -18,6 +18,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -41,9 +42,16 @@ class Kernel:
         the k-th best score each query has so far."""
         raise NotImplementedError
 
+    # Name of a text column whose shortest and longest length describe a block, if any.
+    length_of: str | None = None
 
-def pack_blocks(df: DataFrame, key: str, block_rows: int) -> DataFrame:
-    """One row per block: ``first_key`` and the block as Arrow stream bytes."""
+    def may_match(self, q_lo: Column, q_hi: Column, c_lo: Column, c_hi: Column) -> Column:
+        """Whether blocks of these lengths can hold a match; others never reach Python."""
+        return F.lit(True)
+
+
+def pack_blocks(df: DataFrame, key: str, block_rows: int, length_of: str | None = None) -> DataFrame:
+    """One row per block: ``first_key``, the range of text lengths, the block as Arrow stream bytes."""
 
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def encode(parts: list[pa.RecordBatch]) -> pa.RecordBatch:
@@ -51,9 +59,11 @@ def pack_blocks(df: DataFrame, key: str, block_rows: int) -> DataFrame:
             sink = pa.BufferOutputStream()
             with pa.ipc.new_stream(sink, table.schema) as writer:
                 writer.write_table(table)
+            sizes = pc.min_max(pc.utf8_length(table[length_of])).as_py() if length_of else {"min": 0, "max": 0}
+            values = [(table[key][0].as_py(), pa.int64()), (sizes["min"], pa.int32()), (sizes["max"], pa.int32())]
             return pa.record_batch(
-                [pa.array([table[key][0].as_py()], pa.int64()), pa.array([sink.getvalue().to_pybytes()], pa.binary())],
-                names=["first_key", "block"],
+                [*[pa.array([v], t) for v, t in values], pa.array([sink.getvalue().to_pybytes()], pa.binary())],
+                names=["first_key", "lo", "hi", "block"],
             )
 
         held: list[pa.RecordBatch] = []
@@ -70,7 +80,7 @@ def pack_blocks(df: DataFrame, key: str, block_rows: int) -> DataFrame:
         if held:
             yield encode(held)
 
-    return df.mapInArrow(pack, "first_key long, block binary")
+    return df.mapInArrow(pack, "first_key long, lo int, hi int, block binary")
 
 
 def grid_shape(n_queries: int, n_candidates: int, cells: int) -> tuple[int, int]:
@@ -83,12 +93,12 @@ def grid_shape(n_queries: int, n_candidates: int, cells: int) -> tuple[int, int]
     return rows, -(-cells // rows)
 
 
-def block_pairs(queries: DataFrame, candidates: DataFrame, query_key: str, key: str) -> DataFrame:
-    """Every query block beside every candidate block, by broadcast or grid."""
+def block_pairs(queries: DataFrame, candidates: DataFrame, kernel: Kernel, query_key: str, key: str) -> DataFrame:
+    """Every query block beside every candidate block it may match, by broadcast or grid."""
     spark = queries.sparkSession
     parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), spark.sparkContext.defaultParallelism)
-    left = pack_blocks(queries, query_key, QUERY_BLOCK_ROWS).toDF("q_key", "q_block")
-    right = pack_blocks(candidates, key, CANDIDATE_BLOCK_ROWS).toDF("c_key", "c_block")
+    left = pack_blocks(queries, query_key, QUERY_BLOCK_ROWS, kernel.length_of).toDF("q_key", "q_lo", "q_hi", "q_block")
+    right = pack_blocks(candidates, key, CANDIDATE_BLOCK_ROWS, kernel.length_of).toDF("c_key", "c_lo", "c_hi", "c_block")
     n_queries = queries.count()
     if n_queries <= BROADCAST_ROWS:
         left = F.broadcast(left.withColumn("cell", F.pmod("q_key", F.lit(1)).cast("int")))
@@ -102,7 +112,8 @@ def block_pairs(queries: DataFrame, candidates: DataFrame, query_key: str, key:
         left = left.withColumn("cell", (row * columns + F.col("at")).cast("int")).repartition(parts, "cell")
         right = right.select("*", F.explode(F.sequence(F.lit(0), F.lit(rows - 1))).alias("at"))
         right = right.withColumn("cell", (F.col("at") * columns + column).cast("int")).repartition(parts, "cell")
-    return right.join(left, "cell").select("q_key", "q_block", "c_block")
+    met = right.join(left, "cell").where(kernel.may_match(*[F.col(c) for c in ("q_lo", "q_hi", "c_lo", "c_hi")]))
+    return met.select("q_key", "q_block", "c_block")
 
 
 def _best(qi: np.ndarray, rid: np.ndarray, score: np.ndarray, k: int):
@@ -135,7 +146,7 @@ def top_matches(
     key: str = "row_id",
 ) -> DataFrame:
     """``(query_key, key, score, rank)``: best k candidates of every query."""
-    pairs = block_pairs(queries, candidates, query_key, key)
+    pairs = block_pairs(queries, candidates, kernel, query_key, key)
     none = (np.empty(0, dtype=np.int64), np.empty(0, dtype=np.int64), np.empty(0))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -170,9 +170,16 @@ def shared_letters(left: _Texts, right: _Texts) -> np.ndarray:
 class IndelKernel(Kernel):
     """Best indel similarity; pairs below the threshold by the letter bound are never scored."""
 
+    length_of = "text"
+
     def __init__(self, threshold: float):
         self.threshold = threshold
 
+    def may_match(self, q_lo: Column, q_hi: Column, c_lo: Column, c_hi: Column) -> Column:
+        """Lengths may differ at most by the factor ``(200 - t) / t``."""
+        grow = (200.0 - self.threshold) / self.threshold + SLACK
+        return (q_hi * grow >= c_lo) & (c_hi * grow >= q_lo)
+
     def prepare(self, block: pa.Table, is_query: bool) -> _Texts:
         return _Texts(block["text"].to_pylist())
 

@@ -82,7 +82,10 @@ def name_resolution(spark, sf_dir):
     return found.select("query_id", "stage", "row_id", "candidates")
 
 
-@query("name_resolution_fuzzy")
+@query(
+    "name_resolution_fuzzy",
+    "WITH " + PEOPLE_SQL + " SELECT row_id AS query_id, 'fuzzy_last_name' AS stage, row_id, round(200.0::DOUBLE * 11 / 23, 6) AS score FROM people",
+)
 def name_resolution_fuzzy(spark, sf_dir):
     """Last words with a letter missing in the middle."""
     p = people(spark, sf_dir)
@@ -106,7 +109,12 @@ def profile_lookup(spark, sf_dir):
     return found.select("query_id", "status", "row_id")
 
 
-@query("benchmark_alignment")
+@query(
+    "benchmark_alignment",
+    "WITH " + PEOPLE_SQL + """
+SELECT q.player AS query_player, c.player AS similar_player, row_number() OVER (PARTITION BY q.row_id ORDER BY j)::INTEGER AS tm_rank
+FROM people q, (VALUES (1), (2)) v(j) JOIN people c ON c.row_id = (q.row_id * 7 + j) % (SELECT count(*) FROM people) WHERE c.row_id <> q.row_id""",
+)
 def benchmark_alignment(spark, sf_dir):
     """Each person paired with two others, all spelled with a letter missing."""
     p = people(spark, sf_dir)

@@ -204,10 +204,20 @@ def pca_features(spark, sf_dir):
     return reduced.select("row_id", F.round(norm(F.col("stat")), 6).alias("length"))
 
 
-@query("build_embeddings")
+@query(
+    "build_embeddings",
+    "WITH " + PART_STATS_SQL + """ SELECT row_id, player, 8::INTEGER AS stat_dims, 384::INTEGER AS text_dims, 1.0::DOUBLE AS stat_length,
+       1.0::DOUBLE AS text_length FROM part_stats""",
+)
 def build_embeddings(spark, sf_dir):
+    """Size and length of both blocks of every row; blocks are unit vectors."""
+    from kindred.functions.vectors import norm
+
     built = E.build_embeddings(part_stats(spark, sf_dir), method="pca", n_components=8)
-    return built.select("row_id", "player", F.size("stat").alias("stat_dims"), F.size("text").alias("text_dims"))
+    return built.select(
+        "row_id", "player", F.size("stat").alias("stat_dims"), F.size("text").alias("text_dims"),
+        F.round(norm(F.col("stat")), 6).alias("stat_length"), F.round(norm(F.col("text")), 6).alias("text_length"),
+    )
 
 
 @query(

@@ -320,7 +320,10 @@ def request_reference(spark, sf_dir):
     return Q.reference_names(asked, p).select("query_id", "reference", "step", "segment")
 
 
-@query("request_scan")
+@query(
+    "request_scan",
+    "WITH " + PEOPLE_SQL + " SELECT row_id AS query_id, player AS reference, 'scan' AS step, substr(last, 1, 5) || substr(last, 7) AS segment FROM people",
+)
 def request_scan(spark, sf_dir):
     """Short requests whose only clue is a misspelt last word."""
     p = people(spark, sf_dir)
