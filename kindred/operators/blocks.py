@@ -22,6 +22,8 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from kindred.session import task_count
+
 QUERY_BLOCK_ROWS = 2048
 CANDIDATE_BLOCK_ROWS = 512
 BROADCAST_ROWS = 8192
@@ -95,8 +97,7 @@ def grid_shape(n_queries: int, n_candidates: int, cells: int) -> tuple[int, int]
 
 def block_pairs(queries: DataFrame, candidates: DataFrame, kernel: Kernel, query_key: str, key: str) -> DataFrame:
     """Every query block beside every candidate block it may match, by broadcast or grid."""
-    spark = queries.sparkSession
-    parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), spark.sparkContext.defaultParallelism)
+    parts = task_count(queries.sparkSession)
     left = pack_blocks(queries, query_key, QUERY_BLOCK_ROWS, kernel.length_of).toDF("q_key", "q_lo", "q_hi", "q_block")
     right = pack_blocks(candidates, key, CANDIDATE_BLOCK_ROWS, kernel.length_of).toDF("c_key", "c_lo", "c_hi", "c_block")
     n_queries = queries.count()

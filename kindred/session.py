@@ -46,12 +46,16 @@ def _own_folder() -> str:
     return tempfile.mkdtemp(prefix="kindred-checkpoint-")
 
 
+def task_count(spark: SparkSession) -> int:
+    """Tasks for heavy work: the shuffle setting, between one and four per core."""
+    cores = spark.sparkContext.defaultParallelism
+    return max(cores, min(int(spark.conf.get("spark.sql.shuffle.partitions")), 4 * cores))
+
+
 def spread(df: DataFrame, *keys: str) -> DataFrame:
     """Hash-partition by ``keys`` ahead of row-multiplying or heavy work.
 
     A fixed partition number keeps adaptive execution from merging small
     inputs into one task; a following aggregation on the same keys reuses it.
     """
-    spark = df.sparkSession
-    parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), spark.sparkContext.defaultParallelism)
-    return df.repartition(parts, *keys)
+    return df.repartition(task_count(df.sparkSession), *keys)
