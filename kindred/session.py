@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import atexit
 import os
+import shutil
 import tempfile
 import uuid
 from functools import cache
@@ -26,30 +28,49 @@ def local_session(cpus: int | str | None = None, app: str = "kindred") -> SparkS
     )
 
 
+def shared_folder(spark: SparkSession) -> str:
+    """Folder that the driver and every executor see, without a trailing slash.
+
+    It is the one the cluster names in ``spark.checkpoint.dir``, or else the one
+    given to ``SparkContext.setCheckpointDir``.  A local session has one machine
+    only and may fall back to a folder of its own, which is removed at exit; on a
+    cluster a missing setting is an error, since executors would write to folders
+    that nobody else can read.
+    """
+    named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    if named:
+        return named.rstrip("/")
+    if not spark.sparkContext.master.startswith("local"):
+        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+    return _own_folder()
+
+
+def fresh_folder(spark: SparkSession, kind: str) -> str:
+    """Path of a new folder in the shared one, not made yet."""
+    return f"{shared_folder(spark)}/{spark.sparkContext.applicationId}/{kind}-{uuid.uuid4().hex}"
+
+
 def cut_lineage(df: DataFrame) -> DataFrame:
-    """Write ``df`` as a table in the shared checkpoint folder and read it back.
+    """Write ``df`` as a table in the shared folder and read it back.
 
-    The folder is the one the cluster names in ``spark.checkpoint.dir``; a
-    temporary folder is used only where that setting is absent (tests).  The
-    written table outlives lost executors, and its known size lets Spark
+    The written table outlives lost executors, and its known size lets Spark
     choose the next joins.
     """
-    spark = df.sparkSession
-    folder = spark.conf.get("spark.checkpoint.dir", None) or _own_folder()
-    path = f"{folder.rstrip('/')}/{spark.sparkContext.applicationId}/{uuid.uuid4().hex}"
+    path = fresh_folder(df.sparkSession, "table")
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 @cache
 def _own_folder() -> str:
-    return tempfile.mkdtemp(prefix="kindred-checkpoint-")
+    folder = tempfile.mkdtemp(prefix="kindred-checkpoint-")
+    atexit.register(shutil.rmtree, folder, ignore_errors=True)
+    return folder
 
 
 def task_count(spark: SparkSession) -> int:
-    """Tasks for heavy work: the shuffle setting, between one and four per core."""
-    cores = spark.sparkContext.defaultParallelism
-    return max(cores, min(int(spark.conf.get("spark.sql.shuffle.partitions")), 4 * cores))
+    """Tasks for heavy work: what the cluster sets for shuffles, one per core at least."""
+    return max(spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")))
 
 
 def spread(df: DataFrame, *keys: str) -> DataFrame:
