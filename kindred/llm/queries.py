@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from kindred.llm import mixing
+from kindred.llm import mixing, quality_rules
 from kindred.llm.sql import OP4
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -27,6 +27,13 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+@query("op1_quality_rules")
+def op1_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Base counts, likelihood-ratio score and verdict of every document."""
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    return quality_rules.quality_rules(docs, _table(spark, sf_dir, "labels")).drop("text")
+
+
 @query("op4_source_mix", OP4)
 def op4_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Words that the mix takes of every document."""
