@@ -6,8 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from kindred.llm import mixing, quality_rules
-from kindred.llm.sql import OP4
+from kindred.llm import line_dedup, mixing, quality_rules
+from kindred.llm.sql import OP4, OP8
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -39,3 +39,9 @@ def op4_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Words that the mix takes of every document."""
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text", "source")
     return mixing.mix(docs).select("doc_id", "size", "source_size", "target", "taken")
+
+
+@query("op8_line_dedup", OP8)
+def op8_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document without the line chunks that come earlier elsewhere."""
+    return line_dedup.line_dedup(_table(spark, sf_dir, "documents").select("doc_id", "text"))

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from kindred.llm import line_dedup as L
 from kindred.llm import mixing as M
 
 OP4 = rf"""
@@ -41,3 +42,30 @@ SELECT doc_id, size, source_size, target,
          lambda b: (least((b + 1) * {M.BLOCK_WORDS}, stop) - greatest(b * {M.BLOCK_WORDS}, stop - size))
                    * (quota // n_blocks + CASE WHEN (a * b + c) % n_blocks < quota % n_blocks THEN 1 ELSE 0 END))), 0)::BIGINT AS taken
 FROM placed"""
+
+OP8 = rf"""
+WITH lines AS (
+  SELECT coalesce(doc_id, {L.LAST}) AS id, doc_id, text, string_split(coalesce(text, ''), chr(10)) AS l FROM documents),
+hashed AS (SELECT *, list_transform(l, lambda x: ('0x' || substr(md5(x), 1, 8))::BIGINT) AS h FROM lines),
+ended AS (
+  SELECT *, list_filter(range(1, len(l) + 1), lambda i: i = len(l) OR
+    (({" + ".join(f"coalesce(CASE WHEN i > {k} THEN h[i - {k}] END, 0) * {L.FACTOR**k}" for k in range(L.WINDOW))}) // 4096) % {L.DIVISOR} = 0) AS e
+  FROM hashed),
+chunks AS (
+  SELECT id, doc_id, text, l, unnest(range(1, len(e) + 1)) AS o, e FROM ended),
+pieces AS (
+  SELECT id, doc_id, text, len(l) AS n_lines, o, list_slice(l, CASE WHEN o = 1 THEN 1 ELSE e[o - 1] + 1 END, e[o]) AS p FROM chunks),
+told AS (
+  SELECT *, array_to_string(p, chr(10)) AS c,
+         len(list_filter(p, lambda x: regexp_matches(x, '[^\x20\x09-\x0D]'))) > 1 AS multi FROM pieces),
+first AS (
+  SELECT c, min(id) AS first_id, count(*) AS n FROM told WHERE multi GROUP BY c),
+judged AS (
+  SELECT t.*, multi AND n > 1 AND (id <> first_id OR row_number() OVER (PARTITION BY id, text, t.c, multi ORDER BY o) > 1) AS gone
+  FROM told t LEFT JOIN first f ON t.c = f.c)
+SELECT doc_id, CASE WHEN text IS NOT NULL THEN coalesce(string_agg(c, chr(10) ORDER BY o) FILTER (WHERE NOT coalesce(gone, FALSE)), '') END AS text,
+       CASE WHEN text IS NULL THEN 0 ELSE max(n_lines) END::BIGINT AS n_lines,
+       CASE WHEN text IS NULL THEN 0 ELSE count(*) END::BIGINT AS n_chunks,
+       (count(*) FILTER (WHERE gone))::BIGINT AS n_removed_chunks,
+       coalesce(sum(len(p)) FILTER (WHERE gone), 0)::BIGINT AS n_removed_lines
+FROM judged j GROUP BY doc_id, id, text"""
