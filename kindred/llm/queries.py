@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from kindred.llm import line_dedup, mixing, quality_rules
+from kindred.llm import license_scan, line_dedup, mixing, quality_rules
 from kindred.llm.sql import OP4, OP8
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -45,3 +45,9 @@ def op4_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op8_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document without the line chunks that come earlier elsewhere."""
     return line_dedup.line_dedup(_table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
+@query("op10_license_scan")
+def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Licence places, labels and score of every document."""
+    return license_scan.license_scan(_table(spark, sf_dir, "documents").select("doc_id", "text")).drop("text")
