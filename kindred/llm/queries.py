@@ -4,9 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from kindred.llm import license_scan, line_dedup, mixing, quality_rules
+from kindred.llm import bpe, license_scan, line_dedup, mixing, quality_rules, token_ids
 from kindred.llm.sql import OP4, OP8
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -51,3 +52,18 @@ def op8_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Licence places, labels and score of every document."""
     return license_scan.license_scan(_table(spark, sf_dir, "documents").select("doc_id", "text")).drop("text")
+
+
+@query("op3_token_ids")
+def op3_token_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's ids as read back from the shards written of the whole table."""
+    vocabulary = public_tokenizers.path("byte_bpe_50k.json")
+    manifest = token_ids.write_token_ids(_table(spark, sf_dir, "documents"), vocabulary)
+    return token_ids.read_token_ids(manifest, token_ids.id_width(vocabulary))
+
+
+@query("op5_bpe")
+def op5_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Digests of every document's ids and of their decoding."""
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    return bpe.bpe_digests(docs, public_tokenizers.path("word_bpe_49k.json"))
