@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from kindred.llm import bpe, license_scan, line_dedup, mixing, quality_rules, token_ids
+from kindred.llm import bpe, license_scan, line_dedup, mixing, quality_rules, simhash, token_ids
 from kindred.llm.sql import OP4, OP8
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -67,3 +67,9 @@ def op5_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Digests of every document's ids and of their decoding."""
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
     return bpe.bpe_digests(docs, public_tokenizers.path("word_bpe_49k.json"))
+
+
+@query("op2_simhash")
+def op2_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprint and component of near duplicates of every document."""
+    return simhash.near_duplicates(_table(spark, sf_dir, "documents"))
