@@ -22,6 +22,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from kindred.llm.expressions import WORD, let
+from kindred.session import cut_lineage
 
 #: Lines whose hashes decide on a boundary, the factor of the polynomial, and one boundary in so many lines.
 WINDOW = 2
@@ -35,6 +36,10 @@ def _at(array: Column, i: Column) -> Column:
     return F.element_at(array, i.cast("int"))
 
 
+def chunk_hash(text: Column) -> Column:
+    return F.xxhash64(text)
+
+
 def line_chunks(text: Column) -> Column:
     """Chunks of a text in order: first line (from 1), number of lines, lines with words, bytes."""
 
@@ -77,13 +82,17 @@ def _decisions(keyed: DataFrame) -> DataFrame:
     multi = lambda *more: (
         keyed.select("_id", "_t", F.explode_outer("_chunks").alias("c"))
         .where("c.multi")
-        .select(*more, F.xxhash64("c.text").alias("h"))
+        .select(*more, chunk_hash(F.col("c.text")).alias("h"))
     )
     groups = multi("_id", F.col("c.text").alias("bytes")).groupBy("h", "bytes").agg(F.count(F.lit(1)).alias("n"), F.min("_id").alias("first"))
     hashes = groups.groupBy("h").agg(F.count(F.lit(1)).alias("variants"), F.sum("n").alias("n"), F.min("first").alias("first"))
-    alone = hashes.where("variants = 1 AND n > 1").select("h", "first", F.lit(None).cast("string").alias("bytes"))
-    collided = groups.where("n > 1").join(hashes.where("variants > 1").select("h"), "h").select("h", "first", "bytes")
-    found = multi("_id", "_t", F.col("c.ordinal").alias("ordinal")).join(alone.unionByName(collided), "h")
+    # written, so that the texts are shuffled once; a few columns of numbers for each repeated hash
+    repeated = cut_lineage(hashes.where("n > 1"))
+    held = repeated.where("variants = 1").select("h", "first", F.lit(None).cast("string").alias("bytes"))
+    collided = repeated.where("variants > 1").select("h")
+    if not collided.isEmpty():
+        held = held.unionByName(groups.where("n > 1").join(collided, "h").select("h", "first", "bytes"))
+    found = multi("_id", "_t", F.col("c.ordinal").alias("ordinal")).join(held, "h")
     return found.groupBy("_id", "_t").agg(F.collect_list(F.struct("h", "bytes", "ordinal", "first")).alias("_found"))
 
 
