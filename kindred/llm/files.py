@@ -24,7 +24,7 @@ def writer(uri: str):
     """Stream to a new file; its folder is made."""
     system, path = _open(uri)
     system.create_dir(path.rpartition("/")[0], recursive=True)
-    return system.open_output_stream(path)
+    return system.open_output_stream(path, compression=None)
 
 
 def reader(uri: str):

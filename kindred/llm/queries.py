@@ -7,8 +7,8 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from kindred.llm import bpe, license_scan, line_dedup, mixing, quality_rules, simhash, token_ids
-from kindred.llm.sql import OP4, OP8
+from kindred.llm import bpe, license_scan, line_dedup, mixing, quality_rules, simhash, token_ids, warc
+from kindred.llm.sql import OP4, OP7, OP8
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -73,3 +73,11 @@ def op5_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op2_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fingerprint and component of near duplicates of every document."""
     return simhash.near_duplicates(_table(spark, sf_dir, "documents"))
+
+
+@query("op7_warc", OP7)
+def op7_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every page's record as read back from the archives, found by its URL in the capture index."""
+    pages = _table(spark, sf_dir, "pages").select("page_id", "url", "html")
+    _, index = warc.archive(pages)
+    return warc.read_records(warc.lookup(index, pages))

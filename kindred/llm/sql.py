@@ -69,3 +69,12 @@ SELECT doc_id, CASE WHEN text IS NOT NULL THEN coalesce(string_agg(c, chr(10) OR
        (count(*) FILTER (WHERE gone))::BIGINT AS n_removed_chunks,
        coalesce(sum(len(p)) FILTER (WHERE gone), 0)::BIGINT AS n_removed_lines
 FROM judged j GROUP BY doc_id, id, text"""
+
+OP7 = """
+WITH told AS (
+  SELECT page_id, strlen(coalesce(html, '')) AS n, sha256(coalesce(html, '')) AS d FROM pages),
+first AS (SELECT d, min(page_id) AS first FROM told WHERE n >= 100 GROUP BY d)
+SELECT page_id, n::BIGINT AS payload_bytes, d AS payload_digest,
+       CASE WHEN page_id > first THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN page_id > first THEN first END AS refers_to
+FROM told LEFT JOIN first USING (d)"""
