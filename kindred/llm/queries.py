@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from kindred.llm import bpe, license_scan, line_dedup, mixing, quality_rules, simhash, token_ids, warc
+from kindred.llm import bpe, cap_filters, license_scan, line_dedup, mixing, quality_rules, simhash, token_ids, warc
 from kindred.llm.sql import OP4, OP7, OP8
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -81,3 +81,9 @@ def op7_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = _table(spark, sf_dir, "pages").select("page_id", "url", "html")
     _, index = warc.archive(pages)
     return warc.read_records(warc.lookup(index, pages))
+
+
+@query("op6_cap_filters")
+def op6_cap_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Links and component of near duplicates of every vector."""
+    return cap_filters.near_duplicate_vectors(_table(spark, sf_dir, "embeddings"))
