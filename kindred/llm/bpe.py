@@ -33,6 +33,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from kindred.llm.expressions import carry
 from kindred.llm.pieces import CACHE_PIECES, PieceCache, grouped
 
 END = "</w>"
@@ -251,8 +252,13 @@ def bpe_digests(docs: DataFrame, path: str) -> DataFrame:
 
 def bpe_encode(docs: DataFrame, path: str, ids: bool = True) -> DataFrame:
     """Documents with the digests of :func:`bpe_digests` and, by choice, the array ``ids``."""
-    taken = {*RESULTS, "ids"} if ids else set(RESULTS)
-    kept = [c for c in docs.columns if c not in taken and c != "text"]
+    results = [*RESULTS, "ids"] if ids else RESULTS
+    others = carry(docs, ["text"], [*results, "text"], lambda rows: _encoded(rows, path, ids))
+    return others.drop("text")
+
+
+def _encoded(docs: DataFrame, path: str, ids: bool) -> DataFrame:
+    kept = [c for c in docs.columns if c != "text"]
     fields = [T.StructField("n_tokens", T.LongType()), T.StructField("ids_sha256", T.StringType()), T.StructField("decoded_sha256", T.StringType())]
     fields += [T.StructField("ids", T.ArrayType(T.IntegerType(), False))] if ids else []
 
@@ -272,4 +278,4 @@ def bpe_encode(docs: DataFrame, path: str, ids: bool = True) -> DataFrame:
                 yield pa.RecordBatch.from_arrays([*own, *columns], names=[*kept, *[f.name for f in fields]])
 
     source = docs.select(F.col("text"), *kept)
-    return source.mapInArrow(run, T.StructType([*docs.select(*kept).schema.fields, *fields]))
+    return source.mapInArrow(run, T.StructType([*docs.select(*kept).schema.fields, *fields])).withColumn("text", F.lit(None).cast("string"))

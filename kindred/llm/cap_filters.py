@@ -32,6 +32,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from kindred.llm.components import Forest, connected_components
+from kindred.llm.expressions import only
 from kindred.session import cut_lineage, task_count
 
 COSINE = 0.98
@@ -215,7 +216,7 @@ def _usable(vector: str = "embedding"):
 
 def near_duplicate_vectors(vectors: DataFrame, cosine: float = COSINE) -> DataFrame:
     """``vec_id``, ``n_links``, ``component_id`` and ``kept`` of every row of (vec_id, embedding, label)."""
-    rows = vectors.select("vec_id", "embedding", "label").withColumn("_use", F.coalesce(_usable(), F.lit(False)))
+    rows = only(vectors, "vec_id", "embedding", "label").withColumn("_use", F.coalesce(_usable(), F.lit(False)))
     good, rest = rows.where("_use").drop("_use"), rows.where("NOT _use")
     classes = good.groupBy("label", "embedding").agg(F.count(F.lit(1)).alias("n"), F.min("vec_id").alias("least"))
     classes = cut_lineage(classes.withColumn("cid", F.monotonically_increasing_id()))

@@ -31,6 +31,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from kindred.llm.expressions import carry, only
+
 # fixed values: base phrases and their labels
 BASE = [("under the mit license", "mit"), ("apache license version 2", "apache-2"), ("cc by nc", "cc-by-nc")]
 # fixed values: label, notice, key phrases of which each must stand near its place
@@ -191,8 +193,12 @@ def word_idf(docs: DataFrame) -> dict[bytes, float]:
 
 def license_scan(docs: DataFrame) -> DataFrame:
     """Documents with word count, base places and labels, the method's labels and its score."""
-    idf = word_idf(docs)
-    kept = [c for c in docs.columns if c not in RESULTS]
+    idf = word_idf(only(docs, "text"))
+    return carry(docs, ["text"], RESULTS, lambda rows: _scanned(rows, idf))
+
+
+def _scanned(docs: DataFrame, idf: dict[bytes, float]) -> DataFrame:
+    kept = docs.columns
     schema = T.StructType([*docs.select(*kept).schema.fields, *[T.StructField(n, T.LongType() if k == "long" else T.DoubleType() if k == "double" else T.StringType()) for n, k in FIELDS]])
     at = kept.index("text")
     kinds = [pa.int64() if k == "long" else pa.float64() if k == "double" else pa.string() for _, k in FIELDS]

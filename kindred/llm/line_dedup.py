@@ -21,7 +21,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from kindred.llm.expressions import WORD, let
+from kindred.llm.expressions import WORD, carry, let
 from kindred.session import cut_lineage
 
 #: Lines whose hashes decide on a boundary, the factor of the polynomial, and one boundary in so many lines.
@@ -101,8 +101,12 @@ def line_dedup(docs: DataFrame) -> DataFrame:
 
     Adds ``n_lines``, ``n_chunks``, ``n_removed_chunks`` and ``n_removed_lines``.
     """
+    return carry(docs, ["doc_id", "text"], RESULTS, _deduplicated)
+
+
+def _deduplicated(docs: DataFrame) -> DataFrame:
     keys = {"_id": F.coalesce("doc_id", F.lit(LAST)), "_t": F.xxhash64("text")}
-    rows = docs.drop(*RESULTS).withColumns(keys)
+    rows = docs.withColumns(keys)
     decisions = _decisions(rows.select("_id", "_t", line_chunks(F.col("text")).alias("_chunks")))
     rows = rows.join(decisions, ["_id", "_t"], "left")
 
@@ -140,9 +144,7 @@ def line_dedup(docs: DataFrame) -> DataFrame:
     rows = rows.withColumn("_r", let(line_chunks(F.col("text")), settled))
     null = F.col("text").isNull()
     results = {c: F.when(null, F.lit(0).cast("long")).otherwise(F.col(f"_r.{c}")) for c in RESULTS}
-    return rows.withColumns({"text": F.when(~null, F.col("_r.text")), **results}).select(
-        *[c for c in docs.columns if c not in RESULTS], *RESULTS
-    )
+    return rows.withColumns({"text": F.when(~null, F.col("_r.text")), **results})
 
 
 def without_repeated_lines(docs: DataFrame) -> DataFrame:
@@ -150,9 +152,12 @@ def without_repeated_lines(docs: DataFrame) -> DataFrame:
 
     ``n_chars``, where present, is the new length.  A document that had no word before stays.
     """
-    own = {f"_own_{c}": F.col(c) for c in docs.columns if c in RESULTS}
-    rows = line_dedup(docs.withColumns(own)).where(F.coalesce(F.col("text").rlike(WORD), F.lit(True)) | (F.col("n_removed_lines") == 0))
-    if "n_chars" in docs.columns and "n_chars" not in RESULTS:
-        kind = docs.schema["n_chars"].dataType
-        rows = rows.withColumn("n_chars", F.when(F.col("n_removed_lines") > 0, F.length("text")).otherwise(F.col("n_chars")).cast(kind))
-    return rows.select(*[F.col(f"_own_{c}").alias(c) if c in RESULTS else F.col(c) for c in docs.columns])
+
+    def body(rows: DataFrame) -> DataFrame:
+        rows = _deduplicated(rows).where(F.coalesce(F.col("text").rlike(WORD), F.lit(True)) | (F.col("n_removed_lines") == 0))
+        if "n_chars" not in rows.columns:
+            return rows
+        length = F.when(F.col("n_removed_lines") > 0, F.length("text")).otherwise(F.col("n_chars"))
+        return rows.withColumn("n_chars", length.cast(rows.schema["n_chars"].dataType))
+
+    return carry(docs, ["doc_id", "text", "n_chars"], [], body)

@@ -18,7 +18,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-WORD = r"[^\x20\x09-\x0D]+"
+from kindred.llm.expressions import WORD, carry
+
 WEIGHTS = (5, 2, 1)
 SHARE = 1.5
 MOST = 2
@@ -44,8 +45,7 @@ def _placed(docs: DataFrame, seed: int) -> DataFrame:
     name = F.coalesce(F.col("doc_id").cast("string"), F.md5("text"), F.lit(""))
     place = F.conv(F.substring(F.md5(F.concat(F.lit(f"{seed}:"), name)), 1, 15), 16, 10).cast("long")
     return (
-        docs.drop(*RESULTS)
-        .withColumns(
+        docs.withColumns(
             {
                 "size": F.coalesce(F.regexp_count("text", F.lit(WORD)), F.lit(0)).cast("long"),
                 "_src": F.when(F.col("source").isNull(), "t").otherwise(F.concat(F.lit("s"), "source")),
@@ -148,6 +148,10 @@ def mix(docs: DataFrame, block_words: int = BLOCK_WORDS, share: float = SHARE, s
     (0 to 2) and the first draw number of its block.  The prefix sums that place documents
     on their source's stream go over two levels of seeded buckets, so no task sees a source.
     """
+    return carry(docs, ["doc_id", "text", "source"], RESULTS, lambda rows: _mixed(rows, block_words, share, seed))
+
+
+def _mixed(docs: DataFrame, block_words: int = BLOCK_WORDS, share: float = SHARE, seed: int = SEED) -> DataFrame:
     placed = _placed(docs, seed)
     inner = placed.groupBy("_src", "_outer", "_inner").agg(F.sum("size").alias("_words"))
     outer = inner.groupBy("_src", "_outer").agg(F.sum("_words").alias("_words"))
@@ -178,16 +182,15 @@ def mix(docs: DataFrame, block_words: int = BLOCK_WORDS, share: float = SHARE, s
     kind = "array<struct<first_word:bigint,n_words:bigint,times:bigint,draw:bigint>>"
     rows = rows.withColumn("draws", F.when(F.col("size") > 0, F.transform(blocks, cut)).otherwise(F.array()).cast(kind))
     taken = F.aggregate("draws", F.lit(0).cast("long"), lambda x, d: x + d["n_words"] * d["times"])
-    kept = [c for c in docs.columns if c not in RESULTS]
-    return rows.withColumn("taken", taken).select(*kept, *RESULTS)
+    return rows.withColumn("taken", taken)
 
 
-def mixed_texts(mixed: DataFrame) -> DataFrame:
+def mixed_texts(docs: DataFrame, block_words: int = BLOCK_WORDS, share: float = SHARE, seed: int = SEED) -> DataFrame:
     """The mix itself: per pass one row for each document that the pass takes words of.
 
-    Columns are those of ``mixed`` without the results of :func:`mix`; ``text`` holds the
-    taken words with the blanks that followed them, and ``n_chars``, where present, its
-    length.  A document taken twice gives two rows; one not taken gives none.
+    Columns are those of ``docs``; ``text`` holds the taken words with the blanks that followed
+    them (the whole text where all of it is taken), and ``n_chars``, where present, its length.
+    A document taken twice gives two rows; one not taken gives none.
     """
     pieces = F.regexp_extract_all("text", F.lit(WORD + r"[\x20\x09-\x0D]*"), F.lit(0))
 
@@ -199,9 +202,11 @@ def mixed_texts(mixed: DataFrame) -> DataFrame:
         whole = F.forall("draws", lambda d: d["times"] >= k)
         return F.when(whole, F.col("text")).otherwise(F.array_join(parts, ""))
 
-    kept = [c for c in mixed.columns if c not in RESULTS]
-    rows = mixed.where("taken > 0").withColumn("_pieces", pieces)
-    rows = rows.withColumn("text", F.explode(F.array(*[passed(k) for k in range(1, MOST + 1)]))).where(F.col("text") != "")
-    if "n_chars" in kept:
-        rows = rows.withColumn("n_chars", F.length("text").cast(mixed.schema["n_chars"].dataType))
-    return rows.select(*kept)
+    def body(rows: DataFrame) -> DataFrame:
+        rows = _mixed(rows, block_words, share, seed).where("taken > 0").withColumn("_pieces", pieces)
+        rows = rows.withColumn("text", F.explode(F.array(*[passed(k) for k in range(1, MOST + 1)]))).where("text <> ''")
+        if "n_chars" not in rows.columns:
+            return rows
+        return rows.withColumn("n_chars", F.length("text").cast(rows.schema["n_chars"].dataType))
+
+    return carry(docs, ["doc_id", "text", "source", "n_chars"], [], body)

@@ -21,7 +21,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from kindred.llm.expressions import WORD, let, words_of
+from kindred.llm.expressions import WORD, carry, let, only, words_of
 
 BUCKETS = 1 << 16
 TARGET_ROWS = 20_000
@@ -75,7 +75,7 @@ def base_rules(docs: DataFrame) -> DataFrame:
             repeat_words(w).alias("n_repeat_words"),
         ),
     )
-    rows = docs.drop(*RESULTS, "_m").withColumns(
+    rows = docs.withColumns(
         {
             "_m": measured,
             "n_symbols": F.length(F.regexp_replace(text, f"[^{SYMBOLS}]+", "")).cast("long"),
@@ -97,7 +97,7 @@ def gram_buckets(text: Column) -> Column:
 
 def trusted_ids(labels: DataFrame, rows: int = TARGET_ROWS) -> DataFrame:
     """At most ``rows`` ids labelled quality 1 and not toxic, those of smallest hash."""
-    good = labels.where("quality = 1 AND coalesce(toxic, 0) = 0 AND doc_id IS NOT NULL").select("doc_id").distinct()
+    good = only(labels, "doc_id", "quality", "toxic").where("quality = 1 AND coalesce(toxic, 0) = 0 AND doc_id IS NOT NULL").select("doc_id").distinct()
     return good.orderBy(F.xxhash64("doc_id"), "doc_id").limit(rows)
 
 
@@ -119,17 +119,19 @@ def gram_weights(docs: DataFrame, labels: DataFrame) -> DataFrame:
 
 def quality_rules(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """Documents with the base counts, ``base_failed``, ``score`` and ``kept``."""
+    return carry(docs, ["doc_id", "text"], RESULTS, lambda rows: _judged(rows, labels, threshold))
+
+
+def _judged(docs: DataFrame, labels: DataFrame, threshold: float) -> DataFrame:
     weights = gram_weights(docs.select("doc_id", "text"), labels).scalar()  # named first: a subquery may not stand in a lambda
     total = lambda grams, w: F.aggregate(grams, F.lit(0.0), lambda x, g: x + F.element_at(w, g + 1))
     mean = lambda grams: F.when(F.size(grams) == 0, 0.0).otherwise(
         let(F.col("_weights"), lambda w: total(grams, w)) / F.size(grams)
     )
     rows = base_rules(docs).withColumn("_weights", weights).withColumn("score", let(gram_buckets(F.col("text")), mean))
-    rows = rows.withColumn("kept", ~F.col("base_failed") & (F.col("score") >= threshold))
-    return rows.select(*[c for c in docs.columns if c not in RESULTS], *RESULTS)
+    return rows.withColumn("kept", ~F.col("base_failed") & (F.col("score") >= threshold))
 
 
-def keep_good(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """The documents that the rules keep, with their own columns."""
-    tagged = quality_rules(docs.withColumns({f"_own_{c}": F.col(c) for c in docs.columns if c in RESULTS}), labels)
-    return tagged.where("kept").select(*[F.col(f"_own_{c}").alias(c) if c in RESULTS else F.col(c) for c in docs.columns])
+def keep_good(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
+    """The documents that the rules keep, with all their own columns."""
+    return carry(docs, ["doc_id", "text"], [], lambda rows: _judged(rows, labels, threshold).where("kept"))

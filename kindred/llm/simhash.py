@@ -28,6 +28,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from kindred.llm.components import Forest, connected_components
+from kindred.llm.expressions import carry, only
 from kindred.session import cut_lineage
 
 BUDGET = 2
@@ -182,7 +183,7 @@ def _components(prints: DataFrame, budget: int) -> DataFrame:
 
 def near_duplicates(docs: DataFrame, budget: int = BUDGET) -> DataFrame:
     """``doc_id``, ``fingerprint`` (16 hexadecimal digits) and ``component_id`` of every document."""
-    prints = cut_lineage(with_fingerprints(docs.select("doc_id", "text")))
+    prints = cut_lineage(with_fingerprints(only(docs, "doc_id", "text")))
     rows = prints.join(_components(prints, budget), "fp")
     return rows.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
@@ -192,10 +193,14 @@ def one_of_each(docs: DataFrame, budget: int = BUDGET) -> DataFrame:
 
     Of several rows with that id, the one whose text has the smallest hash stays, once.
     """
+    return carry(docs, ["doc_id", "text"], [], lambda rows: _first_of_each(rows, budget))
+
+
+def _first_of_each(docs: DataFrame, budget: int) -> DataFrame:
     prints = cut_lineage(with_fingerprints(docs.select("doc_id", "text", F.xxhash64("text").alias("_t"))))
     rows = prints.join(_components(prints, budget), "fp").where(F.col("doc_id").eqNullSafe(F.col("component_id")))
     stay = rows.groupBy("root", "doc_id").agg(F.min("_t").alias("_t")).select(F.col("doc_id").alias("_id"), "_t", F.lit(1).alias("_in"))
     keyed = docs.withColumn("_t", F.xxhash64("text"))
     found = keyed.join(stay.distinct(), F.col("doc_id").eqNullSafe(F.col("_id")) & (keyed["_t"] == stay["_t"]), "left_semi")
     first = F.row_number().over(Window.partitionBy("doc_id", "_t").orderBy(F.lit(1)))
-    return found.withColumn("_n", first).where("_n = 1").select(*docs.columns)
+    return found.withColumn("_n", first).where("_n = 1")

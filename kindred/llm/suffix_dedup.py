@@ -29,6 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from kindred.llm.expressions import only
 from kindred.session import task_count
 
 LENGTH = 200
@@ -377,7 +378,7 @@ def suffix_dedup(docs: DataFrame) -> DataFrame:
 
     ``spans`` holds the first and last byte of every removed run, one after the other.
     """
-    rows = docs.select("doc_id", "text").withColumns({"_id": F.coalesce("doc_id", F.lit(NO_ID)), "_h": F.hash("text")})
+    rows = only(docs, "doc_id", "text").withColumns({"_id": F.coalesce("doc_id", F.lit(NO_ID)), "_h": F.hash("text")})
     counted = _anchors(rows, placed=False).groupBy("a").agg(F.count(F.lit(1)).alias("n"), F.min("t").alias("low"), F.max("t").alias("high"))
     kind = F.when(F.col("low") == F.col("high"), 0).when(F.col("n") <= HOT_TOKENS, 1).otherwise(2)
     repeated = counted.where("n > 1").select("a", kind.alias("kind"))

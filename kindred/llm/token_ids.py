@@ -34,6 +34,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from kindred.llm import files
+from kindred.llm.expressions import only
 from kindred.llm.pieces import PieceCache, grouped
 from kindred.session import cut_lineage, fresh_folder, task_count
 
@@ -168,6 +169,7 @@ def write_token_ids(docs: DataFrame, path: str, folder: str | None = None, end_i
     """
     spark = docs.sparkSession
     folder = folder or fresh_folder(spark, "token-ids")
+    docs = only(docs, "doc_id", "text")
     dictionary = train_dictionary(docs, path)
     digest = hashlib.sha256(dictionary).digest()
     kept = f"{folder}/dictionary-{digest.hex()}.zdict"

@@ -33,6 +33,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from kindred.llm import files
+from kindred.llm.expressions import only
 from kindred.session import cut_lineage, fresh_folder, task_count
 
 DEDUP_BYTES = 100
@@ -139,6 +140,7 @@ class _Parts:
 
 def write_records(pages: DataFrame, folder: str) -> DataFrame:
     """Write every page as a record; a written table of captures (key, page_id, path, offset, length)."""
+    pages = only(pages, "page_id", "url", "html")
     digest = F.sha2(F.coalesce(F.col("html"), F.lit("")), 256)
     told = pages.select("page_id", digest.alias("d"), F.octet_length(F.coalesce(F.col("html"), F.lit(""))).alias("n")).where(f"n >= {DEDUP_BYTES}")
     first = told.groupBy("d").agg(F.min("page_id").alias("first"), F.count(F.lit(1)).alias("copies")).where("copies > 1 AND first IS NOT NULL")
@@ -258,7 +260,7 @@ def lookup(index: DataFrame, urls: DataFrame) -> DataFrame:
         rows = [(k, *x) for k in sorted(table["key"].to_pylist()) for x in file.captures(k)]
         return pa.Table.from_batches([_batch(rows, CAPTURES)])
 
-    wanted = urls.select("url").mapInArrow(keys, "key string").distinct()
+    wanted = only(urls, "url").mapInArrow(keys, "key string").distinct()
     return wanted.mapInArrow(route, "file string, key string").groupBy("file").applyInArrow(fetch, CAPTURES)
 
 
