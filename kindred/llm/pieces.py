@@ -28,11 +28,10 @@ class PieceCache:
 
     def __call__(self, texts: list[str]) -> list[bytes]:
         cut = [PIECES(t) for t in texts]
-        fresh = set().union(*cut).difference(self.known) if cut else set()
-        if len(self.known) + len(fresh) > CACHE_PIECES:
-            self.known = {}
-            fresh = set().union(*cut)
-        new = list(fresh)
+        every = set().union(*cut)
+        new = list(every.difference(self.known))
+        if len(self.known) + len(new) > CACHE_PIECES:  # go on with what these texts use
+            self.known = {p: self.known[p] for p in every.difference(new)}
         known = dict(zip(new, self.encode(new)))
         out = []
         if known:

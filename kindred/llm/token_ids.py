@@ -10,8 +10,8 @@ document costs few bytes and is read alone.
     dictionary  a file of its own beside the shards
 
 Ids are little-endian unsigned 16-bit in a frame where the vocabulary allows, else 32-bit.
-The dictionary is trained on a bounded sample (``SAMPLE_DOCS`` documents of smallest id hash,
-``SAMPLE_CHARS`` characters of each); every document is encoded whole.  A shard is closed at
+The dictionary is trained on a bounded sample (about ``SAMPLE_DOCS`` documents chosen by hash,
+never over twice as many, ``SAMPLE_CHARS`` characters of each); every document is encoded whole.  A shard is closed at
 ``SHARD_BYTES``, and its index is all that a task keeps in memory.
 
 Defined cases: a NULL text counts as empty and gives the end id alone; equal doc_ids are
@@ -26,6 +26,7 @@ import hashlib
 import os
 import struct
 import zlib
+from array import array
 
 import numpy as np
 import pyarrow as pa
@@ -64,7 +65,7 @@ def encoder(path: str) -> PieceCache:
 
         def encode(pieces: list[str]) -> list[bytes]:
             found = library.encode_batch_fast(pieces, add_special_tokens=False)
-            return [np.array(x.ids, dtype="<u4" if wide else "<u2").tobytes() for x in found]
+            return [array("I" if wide else "H", x.ids).tobytes() for x in found]
 
         _MADE[path] = PieceCache(encode)
         _MADE[path].width = 4 if wide else 2
@@ -73,8 +74,10 @@ def encoder(path: str) -> PieceCache:
 
 def train_dictionary(docs: DataFrame, path: str) -> bytes:
     """Dictionary for serialized ids from a bounded sample; empty where the sample is too small."""
-    sample = docs.where("text IS NOT NULL").select(F.xxhash64("doc_id").alias("h"), F.substring("text", 1, SAMPLE_CHARS).alias("text"))
-    sample = sample.orderBy("h", F.xxhash64("text")).limit(SAMPLE_DOCS)
+    texts = docs.where("text IS NOT NULL")
+    one_in = max(1, texts.count() // SAMPLE_DOCS)
+    sample = texts.where(F.pmod(F.xxhash64("doc_id", "text"), F.lit(one_in)) == 0).select("doc_id", F.substring("text", 1, SAMPLE_CHARS).alias("text"))
+    sample = sample.limit(2 * SAMPLE_DOCS)  # about SAMPLE_DOCS unless one row is repeated very often
 
     def train(batches):
         encode, samples = encoder(path), []
