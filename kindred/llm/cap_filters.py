@@ -93,7 +93,10 @@ def decode(vectors: np.ndarray, k: int) -> list[np.ndarray]:
 
 
 def _unit(column) -> np.ndarray:
-    v = np.stack(column.to_numpy(zero_copy_only=False)).astype(np.float64)
+    rows = column.to_numpy(zero_copy_only=False)
+    v = np.zeros((len(rows), max(map(len, rows), default=0)))  # zeros behind shorter vectors change no product
+    for i, x in enumerate(rows):
+        v[i, : len(x)] = x
     return v / np.linalg.norm(v, axis=1, keepdims=True)
 
 

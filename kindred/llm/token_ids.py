@@ -90,7 +90,8 @@ def train_dictionary(docs: DataFrame, path: str) -> bytes:
             trained = b""
         yield pa.RecordBatch.from_pydict({"dictionary": [trained]})
 
-    return bytes(sample.coalesce(1).mapInArrow(train, "dictionary binary").first()["dictionary"])
+    trained = sample.coalesce(1).mapInArrow(train, "dictionary binary").first()
+    return bytes(trained["dictionary"]) if trained else b""
 
 
 class ShardWriter:
