@@ -4,12 +4,10 @@ Both sides are packed into Arrow blocks of a few thousand rows, so that one
 joined row is a pair of blocks and a kernel scores it with numpy.  No pair of
 rows is ever a Spark row: a task emits at most k rows per query.
 
-* few queries (counted first): the packed queries are broadcast.  A handful
-  lets the candidates stream past without a shuffle; from some hundreds on the
-  scoring outweighs moving each candidate once, so blocks are spread evenly;
-* many queries: both sides are counted and laid out on a grid of cells whose
-  shape copies the least data, an equi-join on the cell.  Memory per task stays
-  at two blocks plus the running best lists, which are flushed when they grow.
+Both sides are counted and laid out on a grid of cells whose shape copies the
+least data, an equi-join on the cell: few queries are copied to every column while
+each candidate moves once, many queries make the grid square.  Memory per task stays
+at two blocks plus the running best lists, which are flushed when they grow.
 """
 
 from __future__ import annotations
@@ -26,8 +24,6 @@ from kindred.session import task_count
 
 QUERY_BLOCK_ROWS = 2048
 CANDIDATE_BLOCK_ROWS = 512
-BROADCAST_ROWS = 8192
-SPREAD_ROWS = 256
 RUNNING_ROWS = 2_000_000
 PREPARED_BLOCKS = 8
 
@@ -96,23 +92,16 @@ def grid_shape(n_queries: int, n_candidates: int, cells: int) -> tuple[int, int]
 
 
 def block_pairs(queries: DataFrame, candidates: DataFrame, kernel: Kernel, query_key: str, key: str) -> DataFrame:
-    """Every query block beside every candidate block it may match, by broadcast or grid."""
+    """Every query block beside every candidate block it may match, cell by cell of a grid."""
     parts = task_count(queries.sparkSession)
     left = pack_blocks(queries, query_key, QUERY_BLOCK_ROWS, kernel.length_of).toDF("q_key", "q_lo", "q_hi", "q_block")
     right = pack_blocks(candidates, key, CANDIDATE_BLOCK_ROWS, kernel.length_of).toDF("c_key", "c_lo", "c_hi", "c_block")
-    n_queries = queries.count()
-    if n_queries <= BROADCAST_ROWS:
-        left = F.broadcast(left.withColumn("cell", F.pmod("q_key", F.lit(1)).cast("int")))
-        if n_queries > SPREAD_ROWS:
-            right = right.repartition(parts, "c_key")
-        right = right.withColumn("cell", F.pmod("c_key", F.lit(1)).cast("int"))
-    else:
-        rows, columns = grid_shape(n_queries, candidates.count(), 2 * parts)
-        row, column = F.pmod(F.xxhash64("q_key"), F.lit(rows)), F.pmod(F.xxhash64("c_key"), F.lit(columns))
-        left = left.select("*", F.explode(F.sequence(F.lit(0), F.lit(columns - 1))).alias("at"))
-        left = left.withColumn("cell", (row * columns + F.col("at")).cast("int")).repartition(parts, "cell")
-        right = right.select("*", F.explode(F.sequence(F.lit(0), F.lit(rows - 1))).alias("at"))
-        right = right.withColumn("cell", (F.col("at") * columns + column).cast("int")).repartition(parts, "cell")
+    rows, columns = grid_shape(queries.count(), candidates.count(), 2 * parts)
+    row, column = F.pmod(F.xxhash64("q_key"), F.lit(rows)), F.pmod(F.xxhash64("c_key"), F.lit(columns))
+    left = left.select("*", F.explode(F.sequence(F.lit(0), F.lit(columns - 1))).alias("at"))
+    left = left.withColumn("cell", (row * columns + F.col("at")).cast("int")).repartition(parts, "cell")
+    right = right.select("*", F.explode(F.sequence(F.lit(0), F.lit(rows - 1))).alias("at"))
+    right = right.withColumn("cell", (F.col("at") * columns + column).cast("int")).repartition(parts, "cell")
     met = right.join(left, "cell").where(kernel.may_match(*[F.col(c) for c in ("q_lo", "q_hi", "c_lo", "c_hi")]))
     return met.select("q_key", "q_block", "c_block")
 

@@ -28,12 +28,10 @@ from kindred.functions.columns import present_columns
 from kindred.functions.constants import VALUE_METADATA
 from kindred.functions.text import fold_name, match_key, sorted_tokens, token_name_score
 from kindred.operators.blocks import Kernel, rank_within, top_matches
-from kindred.session import cut_lineage, spread
+from kindred.session import cut_lineage, numbered, spread
 
 NEAR = 95.0
 SPARE_SEGMENTS = 2
-HOT_SHARE = 10_000
-HOT_ROWS = 1_000
 SLACK = 1e-9
 
 # ------------------------------------------------------------- segment candidates
@@ -66,12 +64,10 @@ def _piece_length(n: Column, m: Column, i: Column) -> Column:
 
 
 def right_segments(right: DataFrame, t: float) -> DataFrame:
-    """``(r_text, seg)`` index rows; over-common pieces are dropped where enough others remain.
+    """``(r_text, seg)`` index rows without the commonest pieces of each text.
 
     Each text has ``SPARE_SEGMENTS`` pieces more than needed, so that many of
-    its pieces may be left out without losing a partner.  A common piece is held
-    by more than one text in ``HOT_SHARE``, so there are at most ``HOT_SHARE``
-    of them per piece of a text; that list is broadcast.
+    its pieces are left out without losing a partner.
     """
     n = F.length("r_text")
     m = _pieces(n, t)
@@ -82,13 +78,9 @@ def right_segments(right: DataFrame, t: float) -> DataFrame:
         "r_text", _piece_start(F.col("n"), F.col("m"), F.col("i")) + 1, _piece_length(F.col("n"), F.col("m"), F.col("i"))
     )
     rows = rows.select("r_text", "spare", F.xxhash64("n", "i", piece).alias("seg"))
-    total = right.agg(F.count(F.lit(1)).alias("n")).scalar()
-    hot = rows.groupBy("seg").agg(F.count(F.lit(1)).alias("hits")).where(
-        F.col("hits") > F.greatest(F.lit(HOT_ROWS), (total / HOT_SHARE).cast("long"))
-    )
-    marked = rows.join(F.broadcast(hot), "seg", "left")
-    commonest = F.row_number().over(Window.partitionBy("r_text").orderBy(F.desc_nulls_last("hits"), "seg"))
-    return marked.withColumn("nth", commonest).where(F.col("hits").isNull() | (F.col("nth") > F.col("spare"))).select("r_text", "seg")
+    marked = rows.join(rows.groupBy("seg").agg(F.count(F.lit(1)).alias("hits")), "seg")
+    commonest = F.row_number().over(Window.partitionBy("r_text").orderBy(F.desc("hits"), "seg"))
+    return marked.withColumn("nth", commonest).where(F.col("nth") > F.col("spare")).select("r_text", "seg")
 
 
 def left_segments(left: DataFrame, t: float) -> DataFrame:
@@ -308,9 +300,7 @@ def best_sorted_matches(left: DataFrame, right: DataFrame, threshold: float) ->
     )
     found = cut_lineage(same.unionByName(close))
     if threshold < near:
-        rest = open_texts.join(found, "l_text", "left_anti").select(
-            F.xxhash64("l_text").alias("query_id"), F.col("l_text").alias("text")
-        )
+        rest = numbered(open_texts.join(found, "l_text", "left_anti").select(F.col("l_text").alias("text")), "query_id")
         names = r_texts.select(F.col("ord").alias("row_id"), F.col("r_text").alias("text"), "r_key")
         far = best_fuzzy(rest, names, threshold, IndelKernel)
         far = far.join(names.select("row_id", "r_key"), "row_id").join(rest.withColumnRenamed("text", "l_text"), "query_id")
@@ -456,10 +446,10 @@ def resolve_names(requests: DataFrame, profiles: DataFrame) -> DataFrame:
 
 
 def last_name_dimension(names: DataFrame) -> DataFrame:
-    """Last tokens of several-word names: first name gives the order, last name the answer."""
+    """Last tokens of several-word names: the first row gives the order, the name seen last the answer."""
     last = F.element_at(F.split("name", r"\s+"), -1)
     return names.where(F.contains("name", F.lit(" "))).groupBy(last.alias("last")).agg(
-        F.min("ord").alias("last_ord"), F.max_by("row_id", "ord").alias("row_id"), F.max_by("name", "ord").alias("name")
+        F.min("ord").alias("last_ord"), F.max("row_id").alias("row_id"), F.max_by("name", "row_id").alias("name")
     )
 
 
@@ -493,7 +483,7 @@ def align_benchmark(curated: DataFrame, profiles: DataFrame, threshold: float =
     """
     names = profiles.where(F.col("player").isNotNull()).groupBy("player").agg(F.min("row_id").alias("row_id"))
     wanted = curated.select(F.col("query").alias("raw")).union(curated.select(F.col("similar").alias("raw"))).distinct()
-    wanted = wanted.select("raw", F.xxhash64("raw").alias("query_id"), F.lower("raw").alias("text"))
+    wanted = numbered(wanted.select("raw", F.lower("raw").alias("text")), "query_id")
     found = best_fuzzy(wanted, names.select("row_id", F.lower("player").alias("text")), threshold)
     mapped = cut_lineage(wanted.join(found, "query_id").join(names, "row_id").select("raw", "player"))
     both = curated.join(mapped.toDF("query", "query_player"), "query").join(mapped.toDF("similar", "similar_player"), "similar")

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from kindred.functions.constants import EVALUATION_GROUPS
 from kindred.functions.positions import evaluation_group
-from kindred.session import cut_lineage
+from kindred.session import cut_lineage, numbered
 
 METRICS = ["precision_at_k", "recall_at_k", "ndcg_at_k", "f1_at_k"]
 
@@ -120,13 +120,12 @@ def curated_queries(edges: DataFrame, profiles: DataFrame) -> tuple[DataFrame, D
     truth = edges.select(F.lower("query_player").alias("name_key"), F.col("similar_player").alias("item")).distinct()
     sizes = truth.groupBy("name_key").agg(F.count(F.lit(1)).alias("n_relevant"))
     queries = (
-        edges.select("query_player").distinct()
+        numbered(edges.select("query_player").distinct(), "query_id")
         .withColumn("name_key", F.lower("query_player"))
         .join(sizes, "name_key")
         .join(last_row_per_name(profiles), "name_key")
         .select(
-            F.xxhash64("query_player").alias("query_id"), F.col("resolved_row_id").alias("row_id"),
-            "query_player", "name_key", "n_relevant",
+            "query_id", F.col("resolved_row_id").alias("row_id"), "query_player", "name_key", "n_relevant",
         )
     )
     return queries, truth

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from itertools import combinations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -92,11 +94,13 @@ def coverage(df: DataFrame, columns: list[str]) -> DataFrame:
 def duplicate_rows(df: DataFrame, keys: list[str]) -> DataFrame:
     """Every member of a key group with more than one row.
 
-    Groups are counted with map-side combine; the join back is a left-semi
+    Missing keys are equal to each other.  Groups are counted with map-side combine; the join back is a left-semi
     join whose row side Spark may split when one key is hot.
     """
-    repeated = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > 1).drop("_n")
-    return df.join(repeated, keys, "left_semi")
+    repeated = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > 1)
+    repeated = repeated.select(*[F.col(k).alias(f"_key_{i}") for i, k in enumerate(keys)])
+    same = [F.col(k).eqNullSafe(F.col(f"_key_{i}")) for i, k in enumerate(keys)]
+    return df.join(repeated, reduce(lambda a, b: a & b, same), "left_semi")
 
 
 def bounds_violations(df: DataFrame, bounds: dict[str, tuple[float, float]] = BOUNDS) -> DataFrame:

@@ -17,7 +17,7 @@ from kindred.functions.positions import broad_group, contains_code
 from kindred.functions.vectors import cosine
 from kindred.operators import retrieval as R
 from kindred.operators.linkage import best_fuzzy, last_name_dimension
-from kindred.session import cut_lineage
+from kindred.session import cut_lineage, numbered
 
 FUZZY_FLOOR = 60.0
 TEXT_SHARE = 0.6
@@ -95,30 +95,32 @@ def mentioned_names(requests: DataFrame, names: DataFrame) -> DataFrame:
 
 
 def _distinct_texts(df: DataFrame) -> DataFrame:
-    return df.select("text").distinct().select(F.xxhash64("text").alias("query_id"), "text")
+    return numbered(df.select("text").distinct(), "query_id")
 
 
 def _sorted_names(names: DataFrame) -> DataFrame:
-    """Names with the smallest number for the alphabetically first, per lower-cased text.
+    """``(text, player, row_id)``: names numbered alphabetically, one per lower-cased text.
 
-    The reference order is alphabetical; ties between equal scores follow it.
+    Ties between equal scores follow that order.
     """
-    return names.groupBy(F.lower("player").alias("text")).agg(F.min("player").alias("player"), F.min("row_id").alias("row_id"))
+    ordered = numbered(names.select("player").distinct(), "row_id", "player")
+    return ordered.groupBy(F.lower("player").alias("text")).agg(F.min("player").alias("player"), F.min("row_id").alias("row_id"))
 
 
 def cued_names(requests: DataFrame, names: DataFrame) -> DataFrame:
     """Step B: the text after a cue such as ``like``, matched fuzzily (at least 60)."""
     def cut(number: int, cue: str) -> Column:
         found = F.regexp_extract_all("text", F.lit(f"{cue}({K.REQUEST_NAME_LETTERS})"), F.lit(1))
-        clean = F.transform(found, lambda s: F.trim(F.regexp_replace(s, r"\s+", " ")))
-        return F.transform(clean, lambda s, i: F.struct(F.lit(number).alias("cue"), i.alias("nth"), s.alias("segment")))
+        clean = F.transform(found, lambda s: F.regexp_replace(s, r"^\s+|\s+$", ""))
+        squeezed = lambda s: F.regexp_replace(s, r"\s+", " ")  # noqa: E731  for matching; the segment itself is taken out later
+        return F.transform(clean, lambda s, i: F.struct(F.lit(number).alias("cue"), i.alias("nth"), s.alias("segment"), squeezed(s).alias("text")))
 
     segments = requests.select("query_id", F.inline(F.concat(*[cut(n, cue) for n, cue in enumerate(K.REQUEST_CUES)]))).where(F.length("segment") >= 3)
     known = _sorted_names(names)
-    texts = cut_lineage(_distinct_texts(segments.select(F.col("segment").alias("text"))))
+    texts = _distinct_texts(segments)
     best = best_fuzzy(texts, known.select("row_id", "text"), FUZZY_FLOOR).join(known.select("row_id", "player"), "row_id")
-    named = texts.join(best, "query_id").select(F.col("text").alias("segment"), "player")
-    picked = segments.join(named, "segment").groupBy("query_id").agg(
+    named = texts.join(best, "query_id").select("text", "player")
+    picked = segments.join(named, "text").groupBy("query_id").agg(
         F.min_by(F.struct("player", "segment"), F.struct("cue", "nth")).alias("b")
     )
     return picked.select("query_id", F.col("b.player").alias("reference"), F.col("b.segment").alias("segment"), F.lit("cue").alias("step"))
@@ -139,9 +141,9 @@ def scanned_names(requests: DataFrame, names: DataFrame) -> DataFrame:
     """
     grams = requests.select("query_id", F.inline(F.concat(*[_word_grams(F.col("text"), n) for n in (1, 2, 3)])))
     grams = grams.where((F.length("gram") >= 3) & ~F.col("gram").isin(K.REQUEST_SKIPPED_GRAMS))
-    texts = cut_lineage(_distinct_texts(grams.select(F.col("gram").alias("text"))))
-    dimension = names.groupBy(F.lower("player").alias("name")).agg(F.min("row_id").alias("ord"), F.min("player").alias("player"))
-    last = last_name_dimension(dimension.withColumn("row_id", F.col("ord")))
+    texts = _distinct_texts(grams.select(F.col("gram").alias("text")))
+    dimension = _sorted_names(names).select(F.col("text").alias("name"), F.col("row_id").alias("ord"), "player")
+    last = last_name_dimension(dimension.withColumn("row_id", F.col("ord")))  # of one last name the alphabetically last holder
     by_last = best_fuzzy(texts, last.select(F.col("last_ord").alias("row_id"), F.col("last").alias("text")), FUZZY_FLOOR)
     by_last = by_last.withColumnRenamed("row_id", "last_ord").join(last.select("last_ord", "name"), "last_ord")
     by_last = cut_lineage(by_last.join(dimension.select("name", "player"), "name").select("query_id", "player", "score"))

@@ -10,6 +10,7 @@ import uuid
 from functools import cache
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 
 def local_session(cpus: int | str | None = None, app: str = "kindred") -> SparkSession:
@@ -61,6 +62,16 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def numbered(df: DataFrame, name: str, *order: str) -> DataFrame:
+    """``df`` with a unique number ``name`` per row, written so that it never changes.
+
+    With ``order`` the numbers follow it; rows are ranged, so no task sees them all.
+    """
+    if order:
+        df = df.repartitionByRange(task_count(df.sparkSession), *order).sortWithinPartitions(*order)
+    return cut_lineage(df.withColumn(name, F.monotonically_increasing_id()))
+
+
 @cache
 def _own_folder() -> str:
     folder = tempfile.mkdtemp(prefix="kindred-checkpoint-")

@@ -70,8 +70,7 @@ def test_best_sorted_matches_equals_brute_force(spark, threshold):
     assert got == expected
 
 
-def test_common_segments_lose_no_pair(spark, monkeypatch):
-    monkeypatch.setattr(linkage, "HOT_ROWS", 3)
+def test_common_segments_lose_no_pair(spark):
     rng = random.Random(4)
     clubs = ["manchester city", "real"]
     right = sorted({"".join(rng.choice("abcdefgh") for _ in range(14)) + " " + rng.choice(clubs) for _ in range(80)})
@@ -179,9 +178,7 @@ def brute(profiles, k, keep=None):
     return {(r.query_id, r.rank): r.row_id for r in ranked.collect()}
 
 
-@pytest.mark.parametrize("broadcast_rows", [8192, 10])
-def test_block_search_equals_pairwise_search(spark, profiles, monkeypatch, broadcast_rows):
-    monkeypatch.setattr(blocks, "BROADCAST_ROWS", broadcast_rows)
+def test_block_search_equals_pairwise_search(spark, profiles, monkeypatch):
     monkeypatch.setattr(blocks, "CANDIDATE_BLOCK_ROWS", 32)
     monkeypatch.setattr(blocks, "QUERY_BLOCK_ROWS", 50)
     monkeypatch.setattr(blocks, "RUNNING_ROWS", 400)

@@ -184,13 +184,59 @@ def test_bracketed_quantiles_equal_the_sorted_answer(spark, monkeypatch):
 
     monkeypatch.setattr(quantiles, "ACCURACY", 500)
     monkeypatch.setattr(quantiles, "MARGIN", 10.0 / 500)
-    monkeypatch.setattr(quantiles, "DIRECT_ROWS", 0)
     numbers = np.round(np.random.default_rng(5).lognormal(size=20_000), 2)
     df = spark.createDataFrame([(float(x),) for x in numbers], "v double").repartition(4)
     found = {r.prob: r.quantile for r in exact_quantiles(df, ["v"], [0.05, 0.5, 0.95]).collect()}
     assert found == {p: pytest.approx(float(np.quantile(numbers, p))) for p in (0.05, 0.5, 0.95)}
 
 
+@pytest.mark.parametrize("numbers", [[5.0], [1.0, 2.0], [1.0, 1.0, 1.0, 9.0], [float(i % 7) for i in range(50)]])
+def test_quantiles_of_few_and_tied_values(spark, numbers):
+    import numpy as np
+
+    probs = [0.0, 0.05, 0.25, 0.5, 0.75, 0.95, 1.0]
+    df = spark.createDataFrame([(x,) for x in numbers], "v double")
+    found = {r.prob: r.quantile for r in exact_quantiles(df, ["v"], probs).collect()}
+    assert found == {p: pytest.approx(float(np.quantile(numbers, p))) for p in probs}
+
+
+def test_missing_keys_are_duplicates_of_each_other(spark):
+    df = spark.createDataFrame([(1, None), (2, None), (3, "a"), (4, "a"), (5, "b")], "row_id long, player string")
+    assert values(Q.duplicate_rows(df, ["player"]).select("row_id"), "row_id") == [(1,), (2,), (3,), (4,)]
+
+
+def test_shared_last_names_go_to_the_alphabetically_last_holder(spark):
+    profiles = spark.createDataFrame([(0, "Zeta Silva"), (1, "Andre Silva"), (2, "Bernardo Silva")], "row_id long, player string")
+    asked = spark.createDataFrame([(7, "get me silvaa now")], "query_id long, query string")
+    assert parse_requests(asked, profiles).first()["reference"] == "Zeta Silva"
+
+
+def test_a_cue_over_two_lines_is_taken_out_as_written(spark):
+    profiles = spark.createDataFrame([(0, "Bernardo Costa"), (1, "Ann Other")], "row_id long, player string")
+    asked = spark.createDataFrame([(1, "someone like bernado\nkosta")], "query_id long, query string")
+    row = parse_requests(asked, profiles).first()
+    assert (row["reference"], row["style"]) == ("Bernardo Costa", "someone")
+
+
+def test_the_last_row_holds_a_shared_last_name(spark):
+    from kindred.operators.linkage import resolve_names
+
+    profiles = spark.createDataFrame([(0, "Ana Silvestre"), (1, "Bea Silvestre"), (2, "Ana Silvestre")], "row_id long, player string")
+    asked = spark.createDataFrame([(1, "silvestrre")], "query_id long, query string")
+    assert resolve_names(asked, profiles).first()["row_id"] == 2
+
+
+def test_the_task_count_follows_the_setting(spark):
+    from kindred.session import task_count
+
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "400")
+    try:
+        assert task_count(spark) == 400
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+
+
 def test_quality_reports(spark):
     df = spark.createDataFrame([(1, "a", None), (2, "a", 50.0), (3, "b", 20.0)], "row_id long, player string, age double")
     assert values(Q.missing_rates(df, ["age", "player"]), "column_name") == [("age", pytest.approx(100 / 3)), ("player", 0.0)]
