@@ -26,6 +26,7 @@ import hashlib
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -35,14 +36,14 @@ from kindred.session import task_count
 LENGTH = 200
 GRAM = 100
 HOT_TOKENS = 1 << 16
-#: Bytes of a text hashed at once, tokens a task dedups before passing on, tokens it sorts together.
-CHUNK, PASS_ON, TOGETHER = 1 << 20, 50_000, 20_000
+#: Bytes of texts hashed at once, tokens a task dedups before passing on, tokens it sorts together.
+CHUNK, PASS_ON, TOGETHER = 1 << 18, 50_000, 20_000
 NO_ID = -(1 << 63)
 FACTORS = (0x9E3779B97F4A7C15, 0xD1342543DE82EF95)  # odd, so they have inverses modulo 2^64
 #: Bits of a ranked gram that hold its place in a chunk.
 PLACE = np.uint64((1 << 21) - 1)
 _POWERS: dict[int, tuple[np.ndarray, np.ndarray]] = {}
-_BYTES = np.random.default_rng(11).integers(1, 1 << 63, (2, 256), dtype=np.uint64)
+_BYTES = np.random.default_rng(11).integers(1, 1 << 63, 256, dtype=np.uint64)
 
 
 def _powers(which: int, n: int) -> tuple[np.ndarray, np.ndarray]:
@@ -59,19 +60,28 @@ def _powers(which: int, n: int) -> tuple[np.ndarray, np.ndarray]:
     return powers[:n], inverses[:n]
 
 
+def _mixed(h: np.ndarray) -> np.ndarray:
+    h ^= h >> np.uint64(29)
+    h *= np.uint64(0xBF58476D1CE4E5B9)
+    h ^= h >> np.uint64(32)
+    return h
+
+
 class PrefixHashes:
     """Prefix polynomial hashes of bytes: the hash of any piece in constant time."""
 
-    def __init__(self, data: np.ndarray, which: int):
-        self.sums = np.zeros(len(data) + 1, dtype=np.uint64)
-        powers, self.inverses = _powers(which, len(data) + 1)
-        np.cumsum(_BYTES[which][data] * powers[: len(data)], out=self.sums[1:])
+    def __init__(self, values: np.ndarray, which: int):
+        """``values`` are the bytes' table entries, which both hashes share."""
+        self.sums = np.zeros(len(values) + 1, dtype=np.uint64)
+        powers, self.inverses = _powers(which, len(values) + 1)
+        np.cumsum(values * powers[: len(values)], out=self.sums[1:])
 
     def of(self, start: np.ndarray, length) -> np.ndarray:
-        h = (self.sums[start + length] - self.sums[start]) * self.inverses[start]
-        h ^= h >> np.uint64(29)
-        h *= np.uint64(0xBF58476D1CE4E5B9)
-        return h ^ (h >> np.uint64(32))
+        return _mixed((self.sums[start + length] - self.sums[start]) * self.inverses[start])
+
+    def of_all(self, length: int) -> np.ndarray:
+        """Hashes of all pieces of one length."""
+        return _mixed((self.sums[length:] - self.sums[:-length]) * self.inverses[: len(self.sums) - length])
 
 
 def _least_in_windows(h: np.ndarray, width: int) -> np.ndarray:
@@ -85,27 +95,49 @@ def _least_in_windows(h: np.ndarray, width: int) -> np.ndarray:
     return np.minimum(back[: len(h) - width + 1], ahead[width - 1 : len(h)])
 
 
-def anchor_runs(data: np.ndarray) -> tuple[np.ndarray, ...]:
-    """Runs of strings of one anchor: anchor hash, first and last start, token hash, anchor less first start.
-
-    The anchor of a string is the leftmost of its smallest grams by the upper bits of their hash.
+def _runs(pieces: list[tuple[int, int, bytes]]) -> tuple[np.ndarray, ...]:
+    data = np.frombuffer(b"".join(x for _, _, x in pieces), dtype=np.uint8)
+    sizes = np.array([len(x) for _, _, x in pieces])
+    piece = np.repeat(np.arange(len(pieces), dtype=np.int32), sizes)
+    values = _BYTES[data]
+    grams = PrefixHashes(values, 0).of_all(GRAM)
+    ranked = (grams & ~PLACE) | np.arange(len(grams), dtype=np.uint64)
+    anchor = (_least_in_windows(ranked, LENGTH - GRAM + 1) & PLACE).astype(np.int64)
+    first, last = piece[: len(anchor)], piece[LENGTH - 1 :]
+    whole = first == last
+    change = (anchor[1:] != anchor[:-1]) | (first[1:] != first[:-1]) | (whole[1:] != whole[:-1])
+    start = np.concatenate([[0], np.flatnonzero(change) + 1])
+    stop = np.append(start[1:], len(anchor)) - 1
+    start, stop = start[whole[start]], stop[whole[start]]
+    token = PrefixHashes(values, 1).of(start, stop - start + LENGTH)
+    at, off = piece[start], anchor[start] - start
+    owner, shift = np.array([x for x, _, _ in pieces])[at], np.array([x for _, x, _ in pieces])[at] - (np.cumsum(sizes) - sizes)[at]
+    return owner, grams[anchor[start]], start + shift, stop + shift, token, off
+
+
+def anchor_runs(texts: list[bytes]):
+    """Blocks of runs of strings of one anchor: number of the text, anchor hash, first and last
+    start, token hash, and the anchor's distance from the first start.
+
+    The anchor of a string is the leftmost of its smallest grams by the upper bits of their
+    hash.  Short texts are hashed together, long ones in overlapping pieces.
     """
-    empty = np.array([], dtype=np.int64)
-    if len(data) < LENGTH:
-        return empty.view(np.uint64), empty, empty, empty.view(np.uint64), empty
-    parts = []
-    for at in range(0, len(data) - LENGTH + 1, CHUNK):
-        piece = data[at : at + CHUNK + LENGTH - 1]
-        first, second = PrefixHashes(piece, 0), PrefixHashes(piece, 1)
-        places = np.arange(len(piece) - GRAM + 1)
-        grams = first.of(places, GRAM)
-        ranked = (grams & ~PLACE) | places.astype(np.uint64)
-        anchor = (_least_in_windows(ranked, LENGTH - GRAM + 1) & PLACE).astype(np.int64)
-        starts = np.flatnonzero(np.concatenate([[True], anchor[1:] != anchor[:-1]]))
-        stops = np.append(starts[1:], len(anchor)) - 1
-        tokens = second.of(starts, stops - starts + LENGTH)
-        parts.append((grams[anchor[starts]], starts + at, stops + at, tokens, anchor[starts] - starts))
-    return tuple(np.concatenate(x) for x in zip(*parts))
+    held: list[tuple[int, int, bytes]] = []
+    size = 0
+    for i, text in enumerate(texts):
+        if len(text) < LENGTH:
+            continue
+        if len(text) > CHUNK:
+            for at in range(0, len(text) - LENGTH + 1, CHUNK):
+                yield _runs([(i, at, text[at : at + CHUNK + LENGTH - 1])])
+            continue
+        held.append((i, 0, text))
+        size += len(text)
+        if size >= CHUNK:
+            yield _runs(held)
+            held, size = [], 0
+    if held:
+        yield _runs(held)
 
 
 # -- suffix sort of tokens -------------------------------------------------------------------
@@ -115,7 +147,7 @@ class SuffixSorter:
     """Suffixes of concatenated tokens, ordered within segments by hash-compared merging."""
 
     def __init__(self, data: np.ndarray):
-        self.data, self.hashes = data, PrefixHashes(data, 1)
+        self.data, self.hashes = data, PrefixHashes(_BYTES[data], 1)
 
     def extension(self, a: np.ndarray, b: np.ndarray, most: np.ndarray) -> np.ndarray:
         """Length of the common beginning of suffixes ``a`` and ``b``, up to ``most``, by bisection."""
@@ -188,12 +220,12 @@ def repeated_strings(groups: np.ndarray, tokens: list[bytes], offsets: np.ndarra
     owner = np.repeat(np.arange(len(tokens)), counts)
     inside = np.arange(len(owner)) - np.repeat(np.cumsum(counts) - counts, counts)
     at, shift = bases[owner] + inside, inside - offsets[owner]
-    alike = np.stack([groups[owner].astype(np.int64), shift, sorter.hashes.of(at, LENGTH).view(np.int64)], axis=1)
-    order = np.lexsort(alike.T[::-1])
-    same = (alike[order][1:] == alike[order][:-1]).all(axis=1)
+    segments = groups[owner].astype(np.int64) * (4 * LENGTH) + shift  # shifts lie between minus and plus LENGTH
+    alike = _mixed(sorter.hashes.of(at, LENGTH) ^ (segments.astype(np.uint64) * np.uint64(FACTORS[0])))
+    order = np.argsort(alike)
+    same = alike[order[1:]] == alike[order[:-1]]
     open_, done = np.zeros(len(owner), dtype=bool), np.zeros(len(owner), dtype=bool)
     open_[order[1:][same]] = open_[order[:-1][same]] = True
-    segments = np.unique(alike[:, :2], axis=0, return_inverse=True)[1].ravel()
     candidates = open_.copy()
     while open_.any():
         begins = np.flatnonzero(open_ & ~np.concatenate([[False], open_[:-1] & (owner[1:] == owner[:-1])]))
@@ -224,76 +256,84 @@ def _bytes(value) -> bytes:
 
 
 def _anchors(docs: DataFrame, placed: bool) -> DataFrame:
-    """``(a, t)`` of every anchor, or ``(a, _id, _h, o)`` with its place in its document."""
-    schema = "a long, _id long, _h int, o int" if placed else "a long, t long"
+    """``(a, t)`` of every anchor, or ``(a, _id, _h, m)`` with its run in its document.
+
+    ``m`` packs a run's first start, its length less one and the anchor's distance.
+    """
+    schema = "a long, _id long, _h int, m long" if placed else "a long, t long"
 
     def run(batches):
         for batch in batches:
-            for i, value in enumerate(batch.column(0)):
-                anchor, _, _, token, _ = anchor_runs(np.frombuffer(_bytes(value), dtype=np.uint8))
-                if not len(anchor):
-                    continue
+            texts = [_bytes(x) for x in batch.column(0)]
+            for owner, anchor, start, stop, token, off in anchor_runs(texts):
                 columns = [pa.array(anchor.view(np.int64))]
                 if placed:
-                    n = len(anchor)
-                    columns += [pa.array([batch.column(k)[i].as_py()] * n, kind) for k, kind in ((1, pa.int64()), (2, pa.int32()))]
-                    columns.append(pa.array(np.arange(n, dtype=np.int32)))
+                    own = pa.array(owner)
+                    columns += [batch.column(1).take(own), batch.column(2).take(own), pa.array(start << 18 | (stop - start) << 10 | off << 2)]
                 else:
                     columns.append(pa.array(token.view(np.int64)))
-                yield pa.RecordBatch.from_arrays(columns, names=["a", "_id", "_h", "o"] if placed else ["a", "t"])
+                yield pa.RecordBatch.from_arrays(columns, names=["a", "_id", "_h", "m"] if placed else ["a", "t"])
 
     return docs.select("text", "_id", "_h").mapInArrow(run, schema)
 
 
+def _run_of(mark: int) -> tuple[int, int]:
+    """First and last start of a packed run."""
+    start = mark >> 18
+    return start, start + (mark >> 10 & 255)
+
+
+def _tokens_of(data: bytes, marks: list[dict]):
+    """Group, hash, anchor distance, bytes and first start of the tokens at edges (kind 1), or
+    of their single strings where the anchor is hot (kind 2)."""
+    digest = xxhash.xxh3_64_intdigest
+    for mark in marks:
+        (s, e), kind = _run_of(mark["m"]), mark["m"] & 3
+        if kind == 1:
+            token = data[s : e + LENGTH]
+            yield mark["a"], digest(token) - (1 << 63), mark["m"] >> 2 & 255, token, s
+        elif kind == 2:
+            for p in range(s, e + 1):
+                token = data[p : p + LENGTH]
+                yield digest(token, 1) - (1 << 63), digest(token) - (1 << 63), 0, token, p
+
+
 def _edge_tokens(listed: DataFrame, references: bool) -> DataFrame:
-    """Tokens of the anchors marked 1 (edges) or 2 (hot, string by string).
+    """Tokens of the marked anchors of kinds 1 and 2.
 
-    Without ``references``: group, token hash, anchor offset, bytes, number of places, summed
-    up within a task.  With them: group, token hash and the place ``(_id, _h, o, first)``.
+    Without ``references``: group, token hash, anchor distance, bytes, number of places, summed
+    up within a task.  With them: group, token hash and the place ``(_id, _h, s)``.
     """
-    schema = "g long, t long, _id long, _h int, o int, first int" if references else "g long, t long, off int, bytes binary, n long"
-
-    def of(data: bytes, marks: list[int]):
-        array = np.frombuffer(data, dtype=np.uint8)
-        anchor, start, stop, token, off = anchor_runs(array)
-        hashes = PrefixHashes(array, 0), PrefixHashes(array, 1)
-        for mark in marks:
-            o, kind = mark >> 2, mark & 3
-            if kind == 1:
-                s, e = int(start[o]), int(stop[o])
-                yield int(anchor[o].view(np.int64)), int(token[o].view(np.int64)), int(off[o]), data[s : e + LENGTH], o, 0
-            elif kind == 2:
-                starts = np.arange(int(start[o]), int(stop[o]) + 1)
-                for s, x, y in zip(starts.tolist(), *(h.of(starts, LENGTH).view(np.int64).tolist() for h in hashes)):
-                    yield x, y, 0, data[s : s + LENGTH], o, s - int(start[o])
+    schema = "g long, t long, _id long, _h int, s long" if references else "g long, t long, off int, bytes binary, n long"
+    kinds = (pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int64()) if references else (pa.int64(), pa.int64(), pa.int32(), pa.binary(), pa.int64())
+    names = [x.split()[0] for x in schema.split(", ")]
+
+    def out(rows):
+        return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows), kinds)], names=names)
 
     def run(batches):
         held: dict[tuple[int, int], list] = {}
-
-        def out():
-            rows = [(g, t, *x) for (g, t), x in held.items()]
-            held.clear()
-            kinds = (pa.int64(), pa.int64(), pa.int32(), pa.binary(), pa.int64())
-            return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows), kinds)], names=["g", "t", "off", "bytes", "n"])
-
         for batch in batches:
-            for i, value in enumerate(batch.column(0)):
-                marks = [m for m in batch.column(3)[i].as_py() or () if m & 3]
+            places: list[tuple] = []
+            for i, marks in enumerate(batch.column(3).to_pylist()):
+                marks = [m for m in marks or () if m["m"] & 3]
                 if not marks:
                     continue
-                found = of(_bytes(value), marks)
-                if references:
-                    key = batch.column(1)[i].as_py(), batch.column(2)[i].as_py()
-                    rows = [(g, t, *key, o, first) for g, t, _, _, o, first in found]
-                    kinds = (pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int32())
-                    yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows), kinds)], names=["g", "t", "_id", "_h", "o", "first"])
-                    continue
-                for g, t, off, data, _, _ in found:
-                    held.setdefault((g, t), [off, data, 0])[2] += 1
-                    if len(held) >= PASS_ON:
-                        yield out()
+                for g, t, off, data, s in _tokens_of(_bytes(batch.column(0)[i]), marks):
+                    if references:
+                        places.append((g, t, batch.column(1)[i].as_py(), batch.column(2)[i].as_py(), s))
+                    else:
+                        held.setdefault((g, t), [off, data, 0])[2] += 1
+                if len(held) >= PASS_ON:
+                    yield out([(*k, *x) for k, x in held.items()])
+                    held = {}
+                if len(places) >= PASS_ON:
+                    yield out(places)
+                    places = []
+            if places:
+                yield out(places)
         if held:
-            yield out()
+            yield out([(*k, *x) for k, x in held.items()])
 
     return listed.select("text", "_id", "_h", "marks").mapInArrow(run, schema)
 
@@ -352,16 +392,13 @@ def _results(joined: DataFrame, doc_id: str) -> DataFrame:
             rows = []
             for doc, value, marks, edges in zip(*(batch.column(i) for i in range(4))):
                 data, marks, edges = _bytes(value), marks.as_py() or (), edges.as_py() or ()
-                gone, spans = np.zeros(len(data) + 1, dtype=np.int32), []
-                if marks:
-                    _, start, stop, _, _ = anchor_runs(np.frombuffer(data, dtype=np.uint8))
-                    pairs = [(int(start[m >> 2]), int(stop[m >> 2])) for m in marks if not m & 3]
-                    for e in edges:
-                        base = int(start[e["o"]]) + e["first"]
-                        pairs += [(base + a, base + b) for a, b in zip(e["ranges"][::2], e["ranges"][1::2])]
-                    for a, b in pairs:
-                        gone[a] += 1
-                        gone[b + LENGTH] -= 1
+                pairs = [_run_of(m["m"]) for m in marks if not m["m"] & 3]
+                pairs += [(e["s"] + a, e["s"] + b) for e in edges for a, b in zip(e["ranges"][::2], e["ranges"][1::2])]
+                gone = np.zeros(len(data) + 1, dtype=np.int32)
+                if pairs:
+                    at = np.array(pairs)
+                    np.add.at(gone, at[:, 0], 1)
+                    np.add.at(gone, at[:, 1] + LENGTH, -1)
                 mask = np.cumsum(gone[:-1]) > 0
                 spans = _ranges(mask)
                 kept = np.frombuffer(data, dtype=np.uint8)[~mask].tobytes()
@@ -382,9 +419,10 @@ def suffix_dedup(docs: DataFrame) -> DataFrame:
     counted = _anchors(rows, placed=False).groupBy("a").agg(F.count(F.lit(1)).alias("n"), F.min("t").alias("low"), F.max("t").alias("high"))
     kind = F.when(F.col("low") == F.col("high"), 0).when(F.col("n") <= HOT_TOKENS, 1).otherwise(2)
     repeated = counted.where("n > 1").select("a", kind.alias("kind"))
-    marks = _anchors(rows, placed=True).join(repeated, "a").groupBy("_id", "_h").agg(F.collect_list(F.col("o") * 4 + F.col("kind")).alias("marks"))
-    listed = rows.join(marks, ["_id", "_h"], "left")
-    settled = _settled(_edge_tokens(listed.where("marks IS NOT NULL"), references=False)).where(F.size("ranges") > 0)
-    places = _edge_tokens(listed.where("marks IS NOT NULL"), references=True)
-    edges = places.join(settled, ["g", "t"]).groupBy("_id", "_h").agg(F.collect_list(F.struct("o", "first", "ranges")).alias("edges"))
+    mark = F.struct((F.col("m") + F.col("kind")).alias("m"), F.when(F.col("kind") > 0, F.col("a")).alias("a"))
+    marks = _anchors(rows, placed=True).join(repeated, "a").groupBy("_id", "_h").agg(F.collect_list(mark).alias("marks"))
+    listed = rows.join(marks, ["_id", "_h"], "left")  # the same plan three times, so texts are shuffled once
+    settled = _settled(_edge_tokens(listed, references=False)).where(F.size("ranges") > 0)
+    places = _edge_tokens(listed, references=True)
+    edges = places.join(settled, ["g", "t"]).groupBy("_id", "_h").agg(F.collect_list(F.struct("s", "ranges")).alias("edges"))
     return _results(listed.join(edges, ["_id", "_h"], "left"), "doc_id")

@@ -171,8 +171,8 @@ def plain_substrings(texts):
     return out
 
 
-@pytest.mark.parametrize("hot,chunk", [(1 << 16, 1 << 20), (2, 300)])
-def test_suffix_dedup_equals_plain(spark, monkeypatch, hot, chunk):
+@pytest.mark.parametrize("hot", [1 << 16, 2])
+def test_suffix_dedup_equals_plain(spark, monkeypatch, hot):
     monkeypatch.setattr(D, "HOT_TOKENS", hot)
     rng = random.Random(5)
     passages = ["".join(rng.choice("abcdé ") for _ in range(rng.randint(150, 900))) for _ in range(12)]
@@ -187,19 +187,28 @@ def test_suffix_dedup_equals_plain(spark, monkeypatch, hot, chunk):
     rows += [(500, "a" * 1000), (501, "b" * 199), (502, "b" * 200), (503, "ab" * 300), (504, None), (505, ""), (506, rows[3][1]),
              (507, "x" * 230 + "y" * 230), (508, "z" * 201), (509, "same" * 60), (509, "same" * 60), (None, "q" * 150 + passages[0])]
     df = spark.createDataFrame(rows, "doc_id long, text string")
-    if chunk < 1 << 20:  # tasks import the module anew: chunking is tested where it happens
-        monkeypatch.setattr(D, "CHUNK", chunk)
-        data = np.frombuffer((passages[0] * 3).encode(), dtype=np.uint8)
-        runs = D.anchor_runs(data)
-        assert sum(runs[2] - runs[1] + 1) == len(data) - 199 and (runs[1][1:] == runs[2][:-1] + 1).all()
-        monkeypatch.undo()
-        monkeypatch.setattr(D, "HOT_TOKENS", hot)
     found = [(r["doc_id"], r["n_bytes"], r["n_removed"], r["n_spans"], r["kept_sha256"]) for r in D.suffix_dedup(df).collect()]
     expected = [(i, *x) for (i, _), x in zip(rows, plain_substrings([(t or "").encode() for _, t in rows]))]
     assert sorted(map(repr, found)) == sorted(map(repr, expected))
     assert D.suffix_dedup(df.limit(0)).count() == 0
 
 
+def test_runs_cover_all_strings_and_follow_their_bytes(monkeypatch):
+    rng = random.Random(7)
+    texts = [bytes(rng.choice(b"abc ") for _ in range(n)) for n in (0, 199, 200, 201, 900, 5000)] + [b"q" * 700]
+    whole = {}
+    for chunk in (1 << 18, 1000, 300):
+        monkeypatch.setattr(D, "CHUNK", chunk)
+        starts, anchors = collections.Counter(), {}
+        for owner, anchor, start, stop, _, off in D.anchor_runs(texts):
+            for o, a, s, e, d in zip(owner.tolist(), anchor.tolist(), start.tolist(), stop.tolist(), off.tolist()):
+                starts.update((o, p) for p in range(s, e + 1))
+                anchors |= {(o, p): (a, s + d) for p in range(s, e + 1)}
+        assert starts == {(i, p): 1 for i, t in enumerate(texts) for p in range(len(t) - 199)}
+        whole = whole or anchors
+        assert anchors == whole  # anchors do not depend on how texts are cut
+
+
 def test_suffix_sort_orders_and_verifies():
     rng = random.Random(6)
     data = bytes(rng.choice(b"ab") for _ in range(900))
