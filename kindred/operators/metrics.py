@@ -55,8 +55,8 @@ def ranking_metrics(queries: DataFrame, hits: DataFrame, k_values: list[int], ke
 
 
 def sample_queries(df: DataFrame, n: int, seed: int = 42, key: str = "row_id") -> DataFrame:
-    """Seeded sample without replacement: the n smallest keyed hashes, a distributed top-n."""
-    return df.orderBy(F.xxhash64(F.col(key), F.lit(seed)), key).limit(n)
+    """Seeded sample without replacement: the n smallest keyed digests, a distributed top-n."""
+    return df.orderBy(F.md5(F.concat(F.lit(f"{seed}:"), F.col(key).cast("string"))), key).limit(n)
 
 
 # -------------------------------------------------------- truth 1: position group

@@ -147,7 +147,17 @@ def eval_comparison_grouping_sets(spark, sf_dir):
     return M.summarise_levels(M.evaluate(p, retrievers, KS, edges=_edges(p)))
 
 
-@query("query_sample_seeded")
+@query(
+    "query_sample_seeded",
+    "WITH " + PROFILES_SQL + """,
+grouped AS (SELECT row_id, vec, """ + _GROUP_SQL + """ AS position_group FROM profiles),
+asked AS (SELECT * FROM grouped WHERE position_group IS NOT NULL ORDER BY md5('42:' || row_id), row_id LIMIT 100),
+scored AS (
+  SELECT q.row_id AS query_id, position_group, c.row_id, c.player, list_cosine_similarity(q.vec, c.vec) AS similarity,
+         row_number() OVER (PARTITION BY q.row_id ORDER BY round(list_cosine_similarity(q.vec, c.vec), 12) DESC, c.row_id) AS rank
+  FROM asked q JOIN profiles c ON q.row_id <> c.row_id)
+SELECT query_id, position_group, rank, row_id, player, round_even(similarity, 4) AS similarity FROM scored WHERE rank <= 5""",
+)
 def query_sample_seeded(spark, sf_dir):
     p = profiles(spark, sf_dir)
     grouped, _ = M.position_truth(p)

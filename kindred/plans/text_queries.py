@@ -388,7 +388,40 @@ def enrich_pending(spark, sf_dir):
 # --------------------------------------------------------------------- synthesis
 
 
-@query("synthetic_profiles")
+_FLAGGED = ["Customer#000000004", "Customer#000000009"]
+
+
+def _synthetic_sql() -> str:
+    def uniform(field):
+        return f"(('0x' || substr(md5(row_id || '/{field}/42'), 1, 13))::BIGINT + 0.5::DOUBLE) / {2**52}::DOUBLE"
+
+    def by_position(values, default):
+        return "CASE pos " + " ".join(f"WHEN '{p}' THEN {v!r}::DOUBLE" for p, v in values.items()) + f" ELSE {default!r}::DOUBLE END"
+
+    columns = []
+    for stat, width in K.SYNTHETIC_SPREAD.items():
+        mean = by_position({p: m[stat] for p, m in K.SYNTHETIC_MEANS.items()}, 0.0)
+        drawn = f"{width!r}::DOUBLE * sqrt(-2.0::DOUBLE * ln({uniform(stat + '/r')})) * cos(2.0::DOUBLE * 3.141592653589793::DOUBLE * {uniform(stat + '/a')})"
+        if stat == "pass_completion_pct":
+            columns.append(f"round(least(98.0::DOUBLE, greatest(45.0::DOUBLE, {mean} + {drawn})), 1) AS {stat}")
+        else:
+            columns.append(f"greatest(0.0::DOUBLE, round({mean} * factor + {drawn}, 3)) AS {stat}")
+    peak = "greatest(0.25::DOUBLE, 1.2::DOUBLE - greatest(0, age - 25) * 0.07::DOUBLE)"
+    value = f"round({by_position(K.SYNTHETIC_BASE_VALUE, 10e6)} * {peak} * (0.4::DOUBLE + 1.8::DOUBLE * {uniform('value')}), -4)"
+    return f"""
+WITH names AS (
+  SELECT c_custkey AS row_id, c_name AS player, list_extract({list(K.SQUAD_PREFIXES)!r}, (c_custkey % 4 + 1)::INTEGER) AS pos,
+         (c_custkey % 22 + 17)::INTEGER AS age, list_extract({_CODES!r}, (c_nationkey % 10 + 1)::INTEGER) AS nation,
+         c_acctbal > 9000 AS is_elite, CASE WHEN c_acctbal > 9000 THEN {K.ELITE_FACTOR}::DOUBLE ELSE 1.0::DOUBLE END AS factor FROM customer),
+made AS (
+  SELECT *, {", ".join(columns)}, floor(900 + 2400 * {uniform("minutes")})::INTEGER AS playing_time_min, {value} AS market_value_eur,
+         '202' || floor(5 + 4 * {uniform("contract")})::INTEGER AS contract_expires,
+         CASE WHEN nation IN ({", ".join(map(repr, K.FLAGGED_NATIONS))}) OR player IN ({", ".join(map(repr, _FLAGGED))}) THEN 1 ELSE 0 END AS is_world_cup
+  FROM names)
+SELECT * EXCLUDE (factor), '€' || printf('%.1f', floor(market_value_eur / 1e5 + 0.5 + 1e-9) / 10) || 'M' AS market_value_raw FROM made"""
+
+
+@query("synthetic_profiles", _synthetic_sql())
 def synthetic_profiles(spark, sf_dir):
     """Synthetic statistics for every customer."""
     codes = F.array(*[F.lit(c) for c in K.SQUAD_PREFIXES])
@@ -398,4 +431,4 @@ def synthetic_profiles(spark, sf_dir):
         F.element_at(F.array(*[F.lit(c) for c in _CODES]), (F.col("c_nationkey") % 10 + 1).cast("int")).alias("nation"),
         (F.col("c_acctbal") > 9000).alias("is_elite"),
     )
-    return synthesise(names)
+    return synthesise(names, flagged_names=_FLAGGED)

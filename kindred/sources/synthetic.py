@@ -14,8 +14,8 @@ from kindred.functions import constants as K
 
 def uniform(key: Column, field: str, seed: int) -> Column:
     """Number in (0, 1) fixed by key, field and seed."""
-    bits = F.shiftrightunsigned(F.xxhash64(key, F.lit(field), F.lit(seed)), 11)
-    return (bits.cast("double") + 0.5) / float(2**53)
+    digest = F.md5(F.concat(key.cast("string"), F.lit(f"/{field}/{seed}")))
+    return (F.conv(F.substring(digest, 1, 13), 16, 10).cast("double") + 0.5) / float(2**52)
 
 
 def normal(key: Column, field: str, seed: int) -> Column:
@@ -31,8 +31,11 @@ def _by_position(values: dict[str, float], default: float) -> Column:
     return out.otherwise(default)
 
 
-def synthesise(names: DataFrame, seed: int = 42, key: str = "row_id") -> DataFrame:
-    """Statistics, minutes, value and flag for ``names(row_id, player, pos, age, nation, is_elite)``."""
+def synthesise(names: DataFrame, seed: int = 42, key: str = "row_id", flagged_names: list[str] | None = None) -> DataFrame:
+    """Statistics, minutes, value and flag for ``names(row_id, player, pos, age, nation, is_elite)``.
+
+    The flag goes to listed names and to everyone of a listed nation.
+    """
     k = F.col(key)
     factor = F.when(F.col("is_elite"), K.ELITE_FACTOR).otherwise(1.0)
     fields = {}
@@ -52,6 +55,6 @@ def synthesise(names: DataFrame, seed: int = 42, key: str = "row_id") -> DataFra
             "market_value_eur": value,
             "market_value_raw": F.format_string("€%.1fM", value / 1e6),
             "contract_expires": F.concat(F.lit("202"), F.floor(5 + 4 * uniform(k, "contract", seed)).cast("string")),
-            "is_world_cup": F.when(F.col("nation").isin(K.FLAGGED_NATIONS), 1).otherwise(0),
+            "is_world_cup": F.when(F.col("nation").isin(K.FLAGGED_NATIONS) | F.col("player").isin(flagged_names or []), 1).otherwise(0),
         }
     )
