@@ -14,6 +14,7 @@ from kindred.functions.columns import as_double, quoted
 from kindred.functions.constants import MODEL_FEATURES
 from kindred.functions.text import profile_sentence
 from kindred.functions.vectors import l2_normalise
+from kindred.session import spread
 
 TEXT_DIMS = 384
 
@@ -34,8 +35,8 @@ def feature_moments(df: DataFrame, features: list[str] = MODEL_FEATURES) -> Data
     stats = []
     for f in features:
         c = F.col(quoted(f))
-        spread = F.stddev_pop(c)
-        stats.append(F.struct(F.lit(f).alias("feature"), F.avg(c).alias("mean"), F.when(spread == 0, 1.0).otherwise(spread).alias("scale")))
+        width = F.stddev_pop(c)
+        stats.append(F.struct(F.lit(f).alias("feature"), F.avg(c).alias("mean"), F.when(width == 0, 1.0).otherwise(width).alias("scale")))
     return flat.agg(F.array(*stats).alias("moments"))
 
 
@@ -102,6 +103,36 @@ def encode_text(df: DataFrame, model: PipelineModel, out: str = "text") -> DataF
     return encoded.drop("_tokens", "_tf", "_tfidf", "_unit")
 
 
+TERM = r"[\p{L}\p{N}.]+"
+
+
+def _term_counts(df: DataFrame, key: str, text_col: str, dims: int) -> DataFrame:
+    """``(key, bucket, tf)``; terms fall into buckets by their digest."""
+    terms = F.regexp_extract_all(F.lower(text_col), F.lit(TERM), F.lit(0))
+    bucket = F.conv(F.substring(F.md5("term"), 1, 8), 16, 10).cast("long") % dims
+    return spread(df.select(key, text_col), key).select(key, F.explode(terms).alias("term")).groupBy(key, bucket.alias("bucket")).agg(F.count(F.lit(1)).alias("tf"))
+
+
+def bucket_idf(df: DataFrame, key: str, text_col: str = "profile", dims: int = TEXT_DIMS) -> DataFrame:
+    """``(bucket, idf)``: at most ``dims`` rows, counted over all rows of ``df``."""
+    n = df.agg(F.count(F.lit(1))).scalar()
+    seen = _term_counts(df, key, text_col, dims).groupBy("bucket").agg(F.count(F.lit(1)).alias("df"))
+    return seen.select("bucket", F.log((n + 1.0) / (F.col("df") + 1.0)).alias("idf"))
+
+
+def bucket_vectors(df: DataFrame, idf: DataFrame, key: str, text_col: str = "profile", dims: int = TEXT_DIMS, out: str = "text") -> DataFrame:
+    """Unit vectors of term counts in digest buckets, weighed by ``idf``: the encoder that SQL can repeat.
+
+    A row without a weighed term gets a zero vector.
+    """
+    weighed = _term_counts(df, key, text_col, dims).join(F.broadcast(idf), "bucket").select(key, "bucket", (F.col("tf") * F.col("idf")).alias("w"))
+    held = weighed.groupBy(key).agg(F.map_from_entries(F.collect_list(F.struct("bucket", "w"))).alias("_held"))
+    spots = F.sequence(F.lit(0).cast("long"), F.lit(dims - 1).cast("long"))
+    vector = F.transform(spots, lambda i: F.coalesce(F.try_element_at("_held", i), F.lit(0.0)))
+    empty = F.transform(spots, lambda i: F.lit(0.0))
+    return df.join(held, key, "left").withColumn(out, F.when(F.col("_held").isNull(), empty).otherwise(l2_normalise(vector))).drop("_held")
+
+
 def with_profile_text(df: DataFrame) -> DataFrame:
     return df.withColumn("profile", profile_sentence(df))
 

@@ -232,18 +232,37 @@ def profile_text(spark, sf_dir):
     return s.select("row_id", profile_sentence(s).alias("profile"))
 
 
-@query("description_search")
+@query(
+    "description_search",
+    f"""
+WITH terms AS (
+  SELECT 'd' AS kind, doc_id AS id, unnest(regexp_extract_all(lower(text), '{E.TERM}')) AS term FROM documents
+  UNION ALL SELECT 'q', item_id, unnest(regexp_extract_all(lower(text), '{E.TERM}')) FROM benchmark),
+counts AS (SELECT kind, id, ('0x' || substr(md5(term), 1, 8))::BIGINT % {E.TEXT_DIMS} AS bucket, count(*) AS tf FROM terms GROUP BY ALL),
+idf AS (SELECT bucket, ln(((SELECT count(*) FROM documents) + 1.0::DOUBLE) / (count(*) + 1.0::DOUBLE)) AS idf FROM counts WHERE kind = 'd' GROUP BY bucket),
+weighed AS (SELECT kind, id, bucket, tf * idf AS w FROM counts JOIN idf USING (bucket)),
+norms AS (SELECT kind, id, sqrt(sum(w * w)) AS norm FROM weighed GROUP BY ALL),
+dots AS (SELECT q.id AS query_id, d.id AS row_id, sum(q.w * d.w) AS dot FROM weighed q JOIN weighed d USING (bucket)
+         WHERE q.kind = 'q' AND d.kind = 'd' GROUP BY ALL),
+scored AS (
+  SELECT query_id, row_id, dot / (a.norm * b.norm) AS similarity FROM dots
+  JOIN norms a ON a.kind = 'q' AND a.id = query_id JOIN norms b ON b.kind = 'd' AND b.id = row_id),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY round(similarity, 12) DESC, row_id)::INTEGER AS rank FROM scored)
+SELECT query_id, rank, row_id, source AS player, lang AS pos, round_even(round(similarity, 12), 4) AS similarity
+FROM ranked JOIN documents ON doc_id = row_id WHERE rank <= 10""",
+)
 def description_search(spark, sf_dir):
-    """Every labelled document as a profile text, benchmark items as descriptions."""
+    """Every document as a profile text, benchmark items as descriptions."""
     from kindred.operators.retrieval import description_search as search
 
     docs = table(spark, sf_dir, "documents").select(
         F.col("doc_id").alias("row_id"), F.col("source").alias("player"), F.col("lang").alias("pos"), F.col("text").alias("profile")
     )
-    model = E.text_pipeline().fit(docs)
+    idf = E.bucket_idf(docs, "row_id")
     wanted = table(spark, sf_dir, "benchmark").select(F.col("item_id").alias("query_id"), F.col("text").alias("profile"))
-    encoded = E.encode_text(docs, model).drop("profile")
-    found = search(encoded, E.encode_text(wanted, model).drop("profile"), "text", k=10, columns=["player", "pos"])
+    encoded = E.bucket_vectors(docs, idf, "row_id").drop("profile")
+    asked = E.bucket_vectors(wanted, idf, "query_id").drop("profile")
+    found = search(encoded, asked, "text", k=10, columns=["player", "pos"])
     return found.select("query_id", "rank", "row_id", "player", "pos", "similarity")
 
 
