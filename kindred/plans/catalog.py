@@ -5,6 +5,7 @@ from kindred.plans import (  # noqa: F401
     linkage_queries,
     quality_queries,
     retrieval_queries,
+    storage_queries,
     text_queries,
 )
 from kindred.plans.registry import ORACLES, QUERIES

@@ -76,11 +76,13 @@ def quality_missing_rates(spark, sf_dir):
 
 @query(
     "quality_duplicates",
-    """SELECT p_partkey, p_name, p_brand FROM (
-         SELECT *, count(*) OVER (PARTITION BY p_name, p_brand) AS n FROM part) WHERE n > 1""",
+    """WITH named AS (SELECT p_partkey, CASE WHEN p_size % 9 <> 0 THEN p_name END AS p_name, p_brand FROM part)
+       SELECT p_partkey, p_name, p_brand FROM (SELECT *, count(*) OVER (PARTITION BY p_name, p_brand) AS n FROM named) WHERE n > 1""",
 )
 def quality_duplicates(spark, sf_dir):
-    return Q.duplicate_rows(table(spark, sf_dir, "part").select("p_partkey", "p_name", "p_brand"), ["p_name", "p_brand"])
+    """Rows that share name and brand; a missing name equals another missing one."""
+    named = F.when(F.col("p_size") % 9 != 0, F.col("p_name")).alias("p_name")
+    return Q.duplicate_rows(table(spark, sf_dir, "part").select("p_partkey", named, "p_brand"), ["p_name", "p_brand"])
 
 
 _LIMITS = {"l_quantity": (5, 45), "l_discount": (0, 0.08), "l_extendedprice": (1000, 90000), "l_tax": (0.01, 1)}

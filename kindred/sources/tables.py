@@ -39,7 +39,10 @@ def read_csv(spark: SparkSession, path: str, schema: T.StructType | None = None)
 def write_table(df: DataFrame, path: str, form: str = "parquet") -> None:
     """Full overwrite as Parquet, or as CSV with header."""
     writer = df.write.mode("overwrite")
-    writer.option("header", True).csv(path) if form == "csv" else writer.parquet(path)
+    if form == "csv":  # quotes inside a value are doubled, as read_csv expects
+        writer.option("header", True).option("quote", '"').option("escape", '"').csv(path)
+    else:
+        writer.parquet(path)
 
 
 def with_row_id(df: DataFrame, *order: str) -> DataFrame:

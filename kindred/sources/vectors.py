@@ -11,8 +11,11 @@ from pyspark.sql import functions as F
 
 
 def write_vectors(vectors: DataFrame, path: str, method: str) -> None:
-    """Store ``(row_id, player, stat, text)`` of one method, replacing only that method."""
-    tagged = vectors.withColumn("method", F.lit(method))
+    """Store ``(row_id, player, stat, text)`` of one method, replacing only that method.
+
+    All methods share one table, hence one element type.
+    """
+    tagged = vectors.withColumns({"method": F.lit(method), **{b: F.col(b).cast("array<double>") for b in ("stat", "text")}})
     tagged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("method").parquet(path)
 
 
