@@ -335,7 +335,8 @@ def _edge_tokens(listed: DataFrame, references: bool) -> DataFrame:
         if held:
             yield out([(*k, *x) for k, x in held.items()])
 
-    return listed.select("text", "_id", "_h", "marks").mapInArrow(run, schema)
+    # doc_id is not read here; with it the texts' exchange is the one that the results use
+    return listed.select("text", "_id", "_h", "marks", "doc_id").mapInArrow(run, schema)
 
 
 def _ranges(mask: np.ndarray) -> list[int]:
