@@ -154,11 +154,3 @@ def indel_ratio(left: pd.Series, right: pd.Series) -> pd.Series:
     out = np.full(len(left), np.nan)
     out[known] = np.where(total == 0, 100.0, 200.0 * lcs_lengths(a, b) / np.maximum(total, 1.0))
     return pd.Series(out).astype("Float64").mask(pd.Series(~known))
-
-
-@F.pandas_udf(T.DoubleType())
-def weighted_ratio(left: pd.Series, right: pd.Series) -> pd.Series:
-    """Blended similarity 0-100 of two text columns; NULL when either is NULL."""
-    return pd.Series(
-        [None if x is None or y is None else weighted(x, y) for x, y in zip(left, right)], dtype="Float64"
-    )

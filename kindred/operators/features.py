@@ -53,11 +53,10 @@ def standardise(df: DataFrame, moments: DataFrame, features: list[str] = MODEL_F
     return df.withColumn("scaled", F.array(*cells))
 
 
-def fit_pca(standardised: DataFrame, n_components: int) -> PCAModel:
-    """PCA of the ``scaled`` column; ``n_components`` is clamped to the feature count."""
-    width = standardised.select(F.size("scaled")).first()[0]
+def fit_pca(standardised: DataFrame, n_components: int, n_features: int = len(MODEL_FEATURES)) -> PCAModel:
+    """PCA of the ``scaled`` column of ``n_features`` entries, to which ``n_components`` is clamped."""
     rows = standardised.select(array_to_vector("scaled").alias("scaled_vec"))
-    return PCA(k=min(n_components, width), inputCol="scaled_vec", outputCol="reduced_vec").fit(rows)
+    return PCA(k=min(n_components, n_features), inputCol="scaled_vec", outputCol="reduced_vec").fit(rows)
 
 
 def apply_pca(standardised: DataFrame, model: PCAModel) -> DataFrame:
@@ -161,7 +160,7 @@ def build_embeddings(
         raise ValueError(f"unknown method {method!r}")
     moments = feature_moments(df, features)
     scaled = standardise(df, moments, features)
-    stat = apply_pca(scaled, fit_pca(scaled, n_components)) if method == "pca" else scaled.withColumn("stat", F.col("scaled"))
+    stat = apply_pca(scaled, fit_pca(scaled, n_components, len(features))) if method == "pca" else scaled.withColumn("stat", F.col("scaled"))
     profiled = with_profile_text(stat)
     encoded = encoder(profiled) if encoder else encode_text(profiled, text_pipeline().fit(profiled))
     return unit_blocks(encoded.select("row_id", "player", "stat", "text"), ["stat", "text"])

@@ -6,7 +6,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from kindred.functions.columns import as_double, detect_col
-from kindred.functions.positions import contains_code
 from kindred.functions.text import label_to_code
 
 
@@ -20,14 +19,6 @@ def value_cap(value: Column, limit: Column | float) -> Column:
     return F.coalesce(as_double(value) <= limit, F.lit(False))
 
 
-def at_position(df: DataFrame, code: str, pos: str = "pos") -> DataFrame:
-    return df.where(contains_code(F.col(pos), code))
-
-
-def flagged(df: DataFrame, flag: str = "is_world_cup") -> DataFrame:
-    return df.where(F.col(flag) == 1)
-
-
 def country_filter(df: DataFrame, selected: list[str]) -> DataFrame:
     """Rows of the selected countries, given by label or code; no selection keeps all."""
     nation = detect_col(df, ["nation", "nationality_tm"])

@@ -11,6 +11,7 @@ from kindred.operators.radar import radar_profiles
 from kindred.operators.squads import append_squads
 from kindred.plans.registry import query
 from kindred.plans.tables import PART_STATS_SQL, PROFILES_SQL, part_stats, profiles, table
+from kindred.session import cut_lineage
 
 # ------------------------------------------------------------------- cleaning
 
@@ -200,9 +201,9 @@ def pca_features(spark, sf_dir):
     """Length of each full-rank component vector, which PCA must preserve."""
     from kindred.functions.vectors import norm
 
-    s = part_stats(spark, sf_dir)
+    s = cut_lineage(part_stats(spark, sf_dir))  # read by every step below
     scaled = E.standardise(s, E.feature_moments(s, _FEATURES), _FEATURES)
-    reduced = E.apply_pca(scaled, E.fit_pca(scaled, 32))
+    reduced = E.apply_pca(scaled, E.fit_pca(scaled, 32, len(_FEATURES)))
     return reduced.select("row_id", F.round(norm(F.col("stat")), 6).alias("length"))
 
 
@@ -215,7 +216,7 @@ def build_embeddings(spark, sf_dir):
     """Size and length of both blocks of every row; blocks are unit vectors."""
     from kindred.functions.vectors import norm
 
-    built = E.build_embeddings(part_stats(spark, sf_dir), method="pca", n_components=8)
+    built = E.build_embeddings(cut_lineage(part_stats(spark, sf_dir)), method="pca", n_components=8)
     return built.select(
         "row_id", "player", F.size("stat").alias("stat_dims"), F.size("text").alias("text_dims"),
         F.round(norm(F.col("stat")), 6).alias("stat_length"), F.round(norm(F.col("text")), 6).alias("text_length"),
@@ -292,7 +293,7 @@ def _radar_sql() -> str:
 
 @query("radar_profiles", _radar_sql())
 def radar(spark, sf_dir):
-    wide = radar_profiles(part_stats(spark, sf_dir))
+    wide = radar_profiles(cut_lineage(part_stats(spark, sf_dir)))
     return wide.select("row_id", "pos_group", F.inline("radar")).select(
         "row_id", "pos_group", "feature", "label", *[F.round(c, 6).alias(c) for c in ["value", "average", "raw"]]
     )

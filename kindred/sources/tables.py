@@ -7,7 +7,6 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from kindred.functions.columns import as_double
 from kindred.functions.constants import ALTERNATE_COLUMNS, MIN_MINUTES, MODEL_FEATURES
 from kindred.operators.quality import minimum_exposure, per90_rates
 from kindred.session import cut_lineage
@@ -86,7 +85,3 @@ def map_alternate(df: DataFrame, threshold: float = MIN_MINUTES) -> DataFrame:
     kept = played.select("*", *[F.col(c).alias(f"_{c}") for c in ("gls", "ast") if c in played.columns])
     rated = per90_rates(kept, "playing_time_min", ["gls", "ast"])
     return rated.drop("_gls", "_ast")
-
-
-def numeric(df: DataFrame, columns: list[str]) -> DataFrame:
-    return df.withColumns({c: as_double(c) for c in columns})

@@ -48,7 +48,7 @@ def test_pca_components_are_clamped_and_reloadable(spark, tmp_path):
     names = ["a", "b", "c"]
     moments = E.feature_moments(df, names)
     scaled = E.standardise(df, moments, names)
-    pca = E.fit_pca(scaled, 32)
+    pca = E.fit_pca(scaled, 32, len(scaled.first()["scaled"]))
     assert pca.getK() == 3
     assert sum(pca.explainedVariance) == pytest.approx(1.0)
     E.save_embedder(moments, pca, str(tmp_path))
