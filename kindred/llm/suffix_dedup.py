@@ -31,7 +31,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from kindred.llm.expressions import only
-from kindred.session import task_count
+from kindred.session import cut_lineage, task_count
 
 LENGTH = 200
 GRAM = 100
@@ -419,7 +419,7 @@ def suffix_dedup(docs: DataFrame) -> DataFrame:
     rows = only(docs, "doc_id", "text").withColumns({"_id": F.coalesce("doc_id", F.lit(NO_ID)), "_h": F.hash("text")})
     counted = _anchors(rows, placed=False).groupBy("a").agg(F.count(F.lit(1)).alias("n"), F.min("t").alias("low"), F.max("t").alias("high"))
     kind = F.when(F.col("low") == F.col("high"), 0).when(F.col("n") <= HOT_TOKENS, 1).otherwise(2)
-    repeated = counted.where("n > 1").select("a", kind.alias("kind"))
+    repeated = cut_lineage(counted.where("n > 1").select("a", kind.alias("kind")))  # written, so that Spark may split hot anchors in the join
     mark = F.struct((F.col("m") + F.col("kind")).alias("m"), F.when(F.col("kind") > 0, F.col("a")).alias("a"))
     marks = _anchors(rows, placed=True).join(repeated, "a").groupBy("_id", "_h").agg(F.collect_list(mark).alias("marks"))
     listed = rows.join(marks, ["_id", "_h"], "left")  # the same plan three times, so texts are shuffled once
