@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from kindred.llm import bpe, cap_filters, license_scan, line_dedup, mixing, quality_rules, simhash, suffix_dedup, token_ids, warc
-from kindred.llm.sql import OP4, OP7, OP8
+from kindred.llm.sql import OP4, OP7, OP8, OP9
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -89,7 +89,7 @@ def op6_cap_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cap_filters.near_duplicate_vectors(_table(spark, sf_dir, "embeddings"))
 
 
-@query("op9_suffix_dedup")
+@query("op9_suffix_dedup", OP9)
 def op9_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What is left of every document without the 200-byte strings that stand elsewhere too."""
     return suffix_dedup.suffix_dedup(_table(spark, sf_dir, "documents")).drop("spans")
