@@ -80,18 +80,20 @@ SELECT page_id, n::BIGINT AS payload_bytes, d AS payload_digest,
 FROM told LEFT JOIN first USING (d)"""
 
 OP9 = """
-WITH d AS (SELECT row_number() OVER () AS r, doc_id, hex(encode(coalesce(text, ''))) AS h FROM documents),
-starts AS (SELECT r, p, md5(substr(h, 2 * p + 1, 400)) AS s FROM (SELECT r, h, unnest(range(0, length(h) // 2 - 199)) AS p FROM d)),
-hit AS (SELECT r, p FROM starts WHERE s IN (SELECT s FROM starts GROUP BY s HAVING count(*) > 1)),
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, encode(coalesce(text, '')) AS h FROM documents),
+starts AS (
+  SELECT r, unnest(range(0, octet_length(h) - 199)) AS p,
+         unnest(list_transform(range(0, octet_length(h) - 199), lambda p: md5_number_lower(array_slice(h, p + 1, p + 200)))) AS s FROM d),
+hit AS (SELECT r, p FROM starts JOIN (SELECT s FROM starts GROUP BY s HAVING count(*) > 1) USING (s)),
 edge AS (SELECT *, CASE WHEN p > lag(p, 1, -1000) OVER (PARTITION BY r ORDER BY p) + 200 THEN 1 ELSE 0 END AS begins FROM hit),
 span AS (
   SELECT r, min(p) AS a, max(p) + 200 AS b FROM (SELECT *, sum(begins) OVER (PARTITION BY r ORDER BY p) AS k FROM edge) GROUP BY r, k),
 gap AS (
   SELECT r, coalesce(lag(b) OVER (PARTITION BY r ORDER BY a), 0) AS f, a AS t FROM span
   UNION ALL SELECT r, max(b), NULL FROM span GROUP BY r),
-kept AS (SELECT r, string_agg(CASE WHEN t IS NULL THEN substr(h, 2 * f + 1) ELSE substr(h, 2 * f + 1, 2 * (t - f)) END, '' ORDER BY f, t NULLS LAST) AS k
+kept AS (SELECT r, string_agg(hex(array_slice(h, f + 1, coalesce(t, octet_length(h)))), '' ORDER BY f, t NULLS LAST) AS k
          FROM gap JOIN d USING (r) GROUP BY r),
 gone AS (SELECT r, sum(b - a) AS n, count(*) AS spans FROM span GROUP BY r)
-SELECT doc_id, (length(h) // 2)::BIGINT AS n_bytes, coalesce(n, 0)::BIGINT AS n_removed, coalesce(spans, 0)::BIGINT AS n_spans,
-       sha256(unhex(coalesce(k, h))) AS kept_sha256
+SELECT doc_id, octet_length(h)::BIGINT AS n_bytes, coalesce(n, 0)::BIGINT AS n_removed, coalesce(spans, 0)::BIGINT AS n_spans,
+       sha256(CASE WHEN k IS NULL THEN h ELSE unhex(k) END) AS kept_sha256
 FROM d LEFT JOIN kept USING (r) LEFT JOIN gone USING (r)"""
