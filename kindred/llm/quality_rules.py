@@ -69,10 +69,15 @@ def base_rules(docs: DataFrame) -> DataFrame:
     lines = F.filter(F.split(text, "\n"), lambda x: x.rlike(WORD))
     measured = let(
         words_of(F.col("text")),
-        lambda w: F.struct(
-            F.size(w).cast("long").alias("n_words"),
-            F.length(F.array_join(w, "")).cast("long").alias("word_chars"),
-            repeat_words(w).alias("n_repeat_words"),
+        lambda w: let(
+            repeat_words(w),
+            lambda repeated: F.struct(
+                F.size(w).cast("long").alias("n_words"),
+                F.length(F.array_join(w, "")).cast("long").alias("word_chars"),
+                repeated.alias("n_repeat_words"),
+                # in the struct, so that a filter on the verdict measures a text once
+                ((F.size(w) < MIN_WORDS) | (100 * repeated > MAX_REPEAT * F.size(w))).alias("base_failed"),
+            ),
         ),
     )
     rows = docs.withColumns(
@@ -82,9 +87,7 @@ def base_rules(docs: DataFrame) -> DataFrame:
             "n_dup_lines": let(lines, lambda x: F.size(x) - F.size(F.array_distinct(x))).cast("long"),
         }
     )
-    rows = rows.select("*", "_m.*").drop("_m")
-    failed = (F.col("n_words") < MIN_WORDS) | (100 * F.col("n_repeat_words") > MAX_REPEAT * F.col("n_words"))
-    return rows.withColumn("base_failed", failed)
+    return rows.select("*", "_m.*").drop("_m")
 
 
 def gram_buckets(text: Column) -> Column:
