@@ -10,24 +10,36 @@ Bytes decide: groups are made by (hash, chunk text) with partial aggregation, so
 a third of all documents share sends one row per task.  Decisions travel by hash alone; where
 two different texts share a hash, they carry the text and the last step compares it.
 
+``line_dedup`` does this and equals its SQL twin; runs of equal lines that the boundaries cut into
+pieces of one line stay in it.  ``without_repeated_lines``, the stage of the pipeline, has no
+boundaries: it takes every window of two neighbouring lines with words (and what lies between
+them), and every line of over ``PASSAGE_WORDS`` words, and removes the lines of each window that
+stands earlier too.  So each repeated run goes from edge to edge, and every line that goes still
+stands where it came first.  Windows are grouped and compared as chunks are.
+
 Defined cases: a NULL text stays NULL and has no lines; an empty one has one empty line;
-chunks of one line, and of lines without words, never go; rows of equal doc_id count as one
+chunks of one line, and of lines without words, never go (of the windows: lone lines of few
+words; lines without words go where they stand inside a window); rows of equal doc_id count as one
 place, so repeated rows keep the same lines; a NULL doc_id comes last; an empty table gives
 an empty result; other columns are kept, one named like a result column is replaced.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from kindred.llm.expressions import WORD, carry, let
+from kindred.llm.expressions import WORD, carry, let, words_of
 from kindred.session import cut_lineage
 
 #: Lines whose hashes decide on a boundary, the factor of the polynomial, and one boundary in so many lines.
 WINDOW = 2
 FACTOR = 1099
 DIVISOR = 3
+#: A line of more words than this is a window of its own.
+PASSAGE_WORDS = 50
 RESULTS = ["n_lines", "n_chunks", "n_removed_chunks", "n_removed_lines"]
 LAST = (1 << 63) - 1
 
@@ -77,6 +89,34 @@ def line_chunks(text: Column) -> Column:
     return let(F.split(F.coalesce(text, F.lit("")), "\n"), cut)
 
 
+def line_windows(text: Column) -> Column:
+    """Windows of a text, by place: the pairs, then the long lines; first and last line (from 1), bytes."""
+
+    def cut(lines: Column) -> Column:
+        span = lambda a, b: F.struct(a.alias("first"), b.alias("last"))
+        # of so many words only if of twice as many characters: spares most lines the split
+        long = lambda x: (F.length(x) > 2 * PASSAGE_WORDS) & (F.size(words_of(x)) > PASSAGE_WORDS)
+
+        def spans(worded: Column) -> Column:
+            following = F.slice(worded, 2, F.greatest(F.size(worded) - 1, F.lit(0)))
+            alone = F.filter(worded, lambda i: long(_at(lines, i)))
+            return F.concat(F.transform(following, lambda b, k: span(F.get(worded, k), b)), F.transform(alone, lambda i: span(i, i)))
+
+        def window(s: Column, i: Column) -> Column:
+            return F.struct(
+                i.alias("ordinal"),
+                s["first"].alias("first"),
+                s["last"].alias("last"),
+                F.lit(True).alias("multi"),
+                F.array_join(F.slice(lines, s["first"], s["last"] - s["first"] + 1), "\n").alias("text"),
+            )
+
+        worded = F.filter(F.sequence(F.lit(1), F.size(lines)), lambda i: _at(lines, i).rlike(WORD))
+        return F.transform(let(worded, spans), window)
+
+    return let(F.split(F.coalesce(text, F.lit("")), "\n"), cut)
+
+
 def _decisions(keyed: DataFrame) -> DataFrame:
     """Per document key the repeated chunks it holds: hash, place, first holder, text to compare."""
     multi = lambda *more: (
@@ -104,23 +144,29 @@ def line_dedup(docs: DataFrame) -> DataFrame:
     return carry(docs, ["doc_id", "text"], RESULTS, _deduplicated)
 
 
-def _deduplicated(docs: DataFrame) -> DataFrame:
+def _found(docs: DataFrame, pieces: Callable[[Column], Column]) -> DataFrame:
+    """Documents with their keys and the repeated pieces that each holds."""
     keys = {"_id": F.coalesce("doc_id", F.lit(LAST)), "_t": F.xxhash64("text")}
     rows = docs.withColumns(keys)
-    decisions = _decisions(rows.select("_id", "_t", line_chunks(F.col("text")).alias("_chunks")))
-    rows = rows.join(decisions, ["_id", "_t"], "left")
+    decisions = _decisions(rows.select("_id", "_t", pieces(F.col("text")).alias("_chunks")))
+    return rows.join(decisions, ["_id", "_t"], "left")
 
-    def gone(chunks: Column) -> Column:
-        """Places of the chunks to remove."""
-        real = F.filter(
-            F.coalesce("_found", F.array()), lambda d: d["bytes"].isNull() | (d["bytes"] == F.get(chunks, d["ordinal"])["text"])
-        )
 
-        def later(s: Column) -> Column:
-            known = lambda d, i: (i > 0) & (F.get(s, i - 1)["h"] == d["h"]) & F.get(s, i - 1)["bytes"].eqNullSafe(d["bytes"])
-            return F.transform(F.filter(s, lambda d, i: (d["first"] != F.col("_id")) | known(d, i)), lambda d: d["ordinal"])
+def _gone(chunks: Column) -> Column:
+    """Places of the chunks to remove."""
+    real = F.filter(
+        F.coalesce("_found", F.array()), lambda d: d["bytes"].isNull() | (d["bytes"] == F.get(chunks, d["ordinal"])["text"])
+    )
+
+    def later(s: Column) -> Column:
+        known = lambda d, i: (i > 0) & (F.get(s, i - 1)["h"] == d["h"]) & F.get(s, i - 1)["bytes"].eqNullSafe(d["bytes"])
+        return F.transform(F.filter(s, lambda d, i: (d["first"] != F.col("_id")) | known(d, i)), lambda d: d["ordinal"])
+
+    return let(F.array_distinct(F.sort_array(real)), later)
 
-        return let(F.array_distinct(F.sort_array(real)), later)
+
+def _deduplicated(docs: DataFrame) -> DataFrame:
+    rows = _found(docs, line_chunks)
 
     def settled(chunks: Column) -> Column:
         places = F.sequence(F.lit(0), F.size(chunks) - 1)
@@ -139,7 +185,7 @@ def _deduplicated(docs: DataFrame) -> DataFrame:
                 ),
             )
 
-        return let(F.array_except(places, gone(chunks)), result)
+        return let(F.array_except(places, _gone(chunks)), result)
 
     rows = rows.withColumn("_r", let(line_chunks(F.col("text")), settled))
     null = F.col("text").isNull()
@@ -147,14 +193,37 @@ def _deduplicated(docs: DataFrame) -> DataFrame:
     return rows.withColumns({"text": F.when(~null, F.col("_r.text")), **results})
 
 
+def _without_windows(docs: DataFrame) -> DataFrame:
+    """Documents without the lines of repeated windows, and ``n_removed_lines``."""
+    rows = _found(docs, line_windows)
+
+    def gone(windows: Column) -> Column:
+        lines_of = lambda w: F.sequence(w["first"], w["last"])
+        return F.flatten(F.transform(_gone(windows), lambda i: lines_of(F.get(windows, i))))
+
+    def settled(lines: Column) -> Column:
+        kept = F.array_except(F.sequence(F.lit(1), F.size(lines)), let(line_windows(F.col("text")), gone))
+        return let(
+            kept,
+            lambda k: F.struct(
+                F.array_join(F.transform(k, lambda i: _at(lines, i)), "\n").alias("text"),
+                (F.size(lines) - F.size(k)).cast("long").alias("n"),
+            ),
+        )
+
+    some = F.col("_found").isNotNull() & F.col("text").isNotNull()
+    rows = rows.withColumn("_r", F.when(some, let(F.split("text", "\n"), settled)))
+    return rows.withColumns({"text": F.when(some, F.col("_r.text")).otherwise(F.col("text")), "n_removed_lines": F.when(some, F.col("_r.n")).otherwise(0)})
+
+
 def without_repeated_lines(docs: DataFrame) -> DataFrame:
-    """Documents after line dedup with their own columns; those left without a word go.
+    """Documents without the lines of repeated windows, with their own columns; those left without a word go.
 
     ``n_chars``, where present, is the new length.  A document that had no word before stays.
     """
 
     def body(rows: DataFrame) -> DataFrame:
-        rows = _deduplicated(rows).where(F.coalesce(F.col("text").rlike(WORD), F.lit(True)) | (F.col("n_removed_lines") == 0))
+        rows = _without_windows(rows).where(F.coalesce(F.col("text").rlike(WORD), F.lit(True)) | (F.col("n_removed_lines") == 0))
         if "n_chars" not in rows.columns:
             return rows
         length = F.when(F.col("n_removed_lines") > 0, F.length("text")).otherwise(F.col("n_chars"))

@@ -130,6 +130,50 @@ def test_line_dedup_stage_keeps_columns(nasty, no_docs):
     assert L.without_repeated_lines(no_docs).count() == 0 and L.line_dedup(no_docs).count() == 0
 
 
+def plain_windows(text):
+    """Lines of every window, as places from 0."""
+    lines = (text or "").split("\n")
+    worded = [i for i, x in enumerate(lines) if WORD.search(x)]
+    return lines, [range(a, b + 1) for a, b in zip(worded, worded[1:])] + [range(i, i + 1) for i in worded if len(WORD.findall(lines[i])) > 50]
+
+
+@pytest.mark.parametrize("collide", [False, True])
+def test_repeated_runs_go_from_edge_to_edge(spark, nasty, monkeypatch, collide):
+    if collide:
+        from pyspark.sql import functions as F
+
+        monkeypatch.setattr(L, "chunk_hash", lambda c: (F.length(c) % 3).cast("long"))
+    own = lambda i: "\n".join(f"line {k} of document {i} alone" for k in range(4))
+    run = "\n".join(f"shared passage, line {k}" + "\n" * (k % 4 == 0) for k in range(12))
+    wide = " ".join(f"w{k}" for k in range(51))
+    rows = [(r["doc_id"], r["text"]) for r in nasty.select("doc_id", "text").collect()]
+    rows += [(100 + i, f"{own(i)}\n{run}\n{own(-i - 1)}") for i in range(3)] + [(200 + i, f"{own(20 + i)}\n{wide}\n{own(30 + i)}") for i in range(2)]
+    rows += [(300, "a b\nc d\n" * 4)]
+    left = L.without_repeated_lines(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    key = lambda i: L.LAST if i is None else i
+    first = {}
+    for i, text in rows:
+        lines, windows = plain_windows(text)
+        for w in windows:
+            t = "\n".join(lines[k] for k in w)
+            first[t] = min(first.get(t, key(i)), key(i))
+    expected = []
+    for i, text in rows:
+        lines, windows = plain_windows(text)
+        gone, seen = set(), set()
+        for w in windows:
+            t = "\n".join(lines[k] for k in w)
+            gone |= set(w) if first[t] != key(i) or t in seen else set()
+            seen.add(t)
+        kept = "\n".join(x for k, x in enumerate(lines) if k not in gone)
+        if not gone or WORD.search(kept):
+            expected.append((i, None if text is None else kept))
+    assert sorted(((r["doc_id"], r["text"]) for r in left), key=repr) == sorted(expected, key=repr)
+    texts = {r["doc_id"]: r["text"] for r in left}
+    assert run in texts[100] and wide in texts[200]
+    assert not any("shared passage" in texts[i] for i in (101, 102)) and wide not in texts[201]
+
+
 def test_mix_meets_targets_and_limits(nasty, no_docs):
     rows = M.mix(nasty, block_words=8).collect()
     assert len(rows) == nasty.count()
