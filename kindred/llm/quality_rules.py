@@ -2,7 +2,10 @@
 
 A document's score is the mean over its tokens' unigrams and bigrams of
 ``ln(p_target / p_raw)``: both are multinomials over ``BUCKETS`` hash buckets with add-one
-smoothing, ``raw`` counted over all documents and ``target`` over the trusted ones.  A
+smoothing, ``raw`` counted over all documents and ``target`` over the trusted ones.  With a
+``prior`` the weight is ``ln((t + prior) / (e + prior))`` instead: a bucket's target count
+against the one expected from its share of ``raw``, so that a bucket of few expected n-grams
+weighs about 0 whatever the sizes of table and target; the query and the pipeline use that.  A
 document passes when its score reaches ``THRESHOLD``; nothing is drawn at random.
 
 Trusted documents are those labelled quality 1 and not toxic.  At most ``TARGET_ROWS`` of
@@ -27,6 +30,8 @@ BUCKETS = 1 << 16
 TARGET_ROWS = 20_000
 #: Nats per n-gram.  Ordinary documents lie above -0.1, such with a third of junk tokens below -0.4.
 THRESHOLD = -0.25
+#: n-grams added to a bucket's target count and to the expected one.
+PRIOR = 4.0
 MIN_WORDS = 50
 #: Highest share of repeated words, in percent.
 MAX_REPEAT = 50
@@ -104,8 +109,8 @@ def trusted_ids(labels: DataFrame, rows: int = TARGET_ROWS) -> DataFrame:
     return good.orderBy(F.xxhash64("doc_id"), "doc_id").limit(rows)
 
 
-def gram_weights(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """One row: the array ``weights`` of ``ln(p_target / p_raw)`` by bucket."""
+def gram_weights(docs: DataFrame, labels: DataFrame, prior: float | None = None) -> DataFrame:
+    """One row: the array ``weights`` of ``ln(p_target / p_raw)`` by bucket, add-one or with a ``prior``."""
     trusted = F.broadcast(trusted_ids(labels).withColumn("_trusted", F.lit(1)))
     grams = docs.select("doc_id", gram_buckets(F.col("text")).alias("grams")).join(trusted, "doc_id", "left")
     counts = (
@@ -116,17 +121,19 @@ def gram_weights(docs: DataFrame, labels: DataFrame) -> DataFrame:
     )
     every = docs.sparkSession.range(BUCKETS).join(counts.withColumn("id", F.col("id").cast("long")), "id", "left").na.fill(0, ["raw", "target"])
     sums = every.agg(F.sum("raw").alias("raw"), F.sum("target").alias("target"), F.sort_array(F.collect_list(F.struct("id", "raw", "target"))).alias("by"))
-    ratio = lambda x: F.log((x["target"] + 1.0) / (F.col("target") + BUCKETS)) - F.log((x["raw"] + 1.0) / (F.col("raw") + BUCKETS))
+    shrunk = lambda x: F.log((x["target"] + F.lit(prior)) / (F.col("target") * (x["raw"] / F.col("raw")) + F.lit(prior)))
+    plain = lambda x: F.log((x["target"] + 1.0) / (F.col("target") + BUCKETS)) - F.log((x["raw"] + 1.0) / (F.col("raw") + BUCKETS))
+    ratio = plain if prior is None else shrunk
     return sums.select(F.when(F.col("target") > 0, F.transform("by", ratio)).otherwise(F.transform("by", lambda x: F.lit(0.0))).alias("weights"))
 
 
-def quality_rules(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
+def quality_rules(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD, prior: float | None = None) -> DataFrame:
     """Documents with the base counts, ``base_failed``, ``score`` and ``kept``."""
-    return carry(docs, ["doc_id", "text"], RESULTS, lambda rows: _judged(rows, labels, threshold))
+    return carry(docs, ["doc_id", "text"], RESULTS, lambda rows: _judged(rows, labels, threshold, prior))
 
 
-def _judged(docs: DataFrame, labels: DataFrame, threshold: float) -> DataFrame:
-    weights = gram_weights(docs.select("doc_id", "text"), labels).scalar()  # named first: a subquery may not stand in a lambda
+def _judged(docs: DataFrame, labels: DataFrame, threshold: float, prior: float | None) -> DataFrame:
+    weights = gram_weights(docs.select("doc_id", "text"), labels, prior).scalar()  # named first: a subquery may not stand in a lambda
     total = lambda grams, w: F.aggregate(grams, F.lit(0.0), lambda x, g: x + F.element_at(w, g + 1))
     mean = lambda grams: F.when(F.size(grams) == 0, 0.0).otherwise(
         let(F.col("_weights"), lambda w: total(grams, w)) / F.size(grams)
@@ -135,6 +142,6 @@ def _judged(docs: DataFrame, labels: DataFrame, threshold: float) -> DataFrame:
     return rows.withColumn("kept", ~F.col("base_failed") & (F.col("score") >= threshold))
 
 
-def keep_good(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
+def keep_good(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD, prior: float | None = None) -> DataFrame:
     """The documents that the rules keep, with all their own columns."""
-    return carry(docs, ["doc_id", "text"], [], lambda rows: _judged(rows, labels, threshold).where("kept"))
+    return carry(docs, ["doc_id", "text"], [], lambda rows: _judged(rows, labels, threshold, prior).where("kept"))

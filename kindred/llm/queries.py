@@ -32,7 +32,7 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def op1_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Base counts, likelihood-ratio score and verdict of every document."""
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
-    return quality_rules.quality_rules(docs, _table(spark, sf_dir, "labels")).drop("text")
+    return quality_rules.quality_rules(docs, _table(spark, sf_dir, "labels"), prior=quality_rules.PRIOR).drop("text")
 
 
 @query("op4_source_mix", OP4)

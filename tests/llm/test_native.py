@@ -11,6 +11,7 @@ import xxhash
 from kindred.llm import line_dedup as L
 from kindred.llm import mixing as M
 from kindred.llm import quality_rules as Q
+from kindred.llm.queries import QUERIES
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 TOKEN = re.compile(r"[^\W_]+|(?:[^\w\s]|_)+")
@@ -60,6 +61,24 @@ def test_quality_rules_equal_plain_counts_and_scores(spark, nasty):
         assert r["kept"] == (not r["base_failed"] and r["score"] >= Q.THRESHOLD)
 
 
+def test_clean_documents_pass_on_a_small_table_with_few_labels(spark):
+    sf = "/root/testdata/sf0.001"
+    docs = spark.read.parquet(f"{sf}/documents.parquet").select("doc_id", "text")
+    labels = [(r["doc_id"], r["quality"], r["toxic"]) for r in spark.read.parquet(f"{sf}/labels.parquet").collect()]
+    good = [r for r in labels if r[1] == 1 and not r[2]]
+    long = {r["doc_id"] for r in docs.collect() if len(plain_grams(r["text"])) >= 120}
+    schema = "doc_id long, quality int, toxic int"
+    few = {r["doc_id"]: r["score"] for r in Q.quality_rules(docs, spark.createDataFrame(good[::2], schema), prior=Q.PRIOR).collect()}
+    held_out = [few[r[0]] < Q.THRESHOLD for r in good[1::2] if r[0] in long]
+    assert len(held_out) > 20 and sum(held_out) <= 0.05 * len(held_out)
+    bad = [few[r[0]] < Q.THRESHOLD for r in labels if r[1] == 0 and r[0] in long]
+    assert sum(bad) >= 0.9 * len(bad) > 0
+    # the query on all labels: of the unlabelled rows it rejected 58 %
+    labelled = {r[0] for r in labels}
+    scores = [r["score"] < Q.THRESHOLD for r in QUERIES["op1_quality_rules"](spark, sf).collect() if r["doc_id"] in long - labelled]
+    assert len(scores) > 100 and sum(scores) < 0.25 * len(scores)
+
+
 def test_quality_rules_without_labels_or_documents(spark, nasty, no_docs):
     labels = spark.createDataFrame([], "doc_id long, quality int, toxic int")
     assert {r["score"] for r in Q.quality_rules(nasty, labels).collect()} == {0.0}
