@@ -260,7 +260,7 @@ def _anchors(docs: DataFrame, placed: bool) -> DataFrame:
 
     ``m`` packs a run's first start, its length less one and the anchor's distance.
     """
-    schema = "a long, _id long, _h int, m long" if placed else "a long, t long"
+    schema = "a long, _id long, _h long, m long" if placed else "a long, t long"
 
     def run(batches):
         for batch in batches:
@@ -304,8 +304,8 @@ def _edge_tokens(listed: DataFrame, references: bool) -> DataFrame:
     Without ``references``: group, token hash, anchor distance, bytes, number of places, summed
     up within a task.  With them: group, token hash and the place ``(_id, _h, s)``.
     """
-    schema = "g long, t long, _id long, _h int, s long" if references else "g long, t long, off int, bytes binary, n long"
-    kinds = (pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int64()) if references else (pa.int64(), pa.int64(), pa.int32(), pa.binary(), pa.int64())
+    schema = "g long, t long, _id long, _h long, s long" if references else "g long, t long, off int, bytes binary, n long"
+    kinds = (pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.int64()) if references else (pa.int64(), pa.int64(), pa.int32(), pa.binary(), pa.int64())
     names = [x.split()[0] for x in schema.split(", ")]
 
     def out(rows):
@@ -416,7 +416,7 @@ def suffix_dedup(docs: DataFrame) -> DataFrame:
 
     ``spans`` holds the first and last byte of every removed run, one after the other.
     """
-    rows = only(docs, "doc_id", "text").withColumns({"_id": F.coalesce("doc_id", F.lit(NO_ID)), "_h": F.hash("text")})
+    rows = only(docs, "doc_id", "text").withColumns({"_id": F.coalesce("doc_id", F.lit(NO_ID)), "_h": F.xxhash64("text")})
     counted = _anchors(rows, placed=False).groupBy("a").agg(F.count(F.lit(1)).alias("n"), F.min("t").alias("low"), F.max("t").alias("high"))
     kind = F.when(F.col("low") == F.col("high"), 0).when(F.col("n") <= HOT_TOKENS, 1).otherwise(2)
     repeated = cut_lineage(counted.where("n > 1").select("a", kind.alias("kind")))  # written, so that Spark may split hot anchors in the join

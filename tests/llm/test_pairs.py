@@ -223,3 +223,11 @@ def test_suffix_sort_orders_and_verifies():
     assert (sorter.verified(start[a], start[b], common) == common).all()
     wrong = np.minimum(common + 1, most)  # as if a hash had collided
     assert (sorter.verified(start[a], start[b], wrong) == common).all()
+
+
+def test_suffix_dedup_tells_texts_of_one_id_and_one_32_bit_hash_apart(spark):
+    passage = "".join(f"passage {k:03d}, " for k in range(25))
+    rows = [(None, f"{passage}33448"), (None, "short 196485"), (1, passage)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    assert len({r[0] for r in df.where("doc_id IS NULL").selectExpr("hash(text)").collect()}) == 1
+    assert sorted((r["n_bytes"], r["n_removed"]) for r in D.suffix_dedup(df).collect()) == [(12, 0), (325, 325), (330, 325)]
