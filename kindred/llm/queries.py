@@ -7,8 +7,8 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from kindred.llm import bpe, cap_filters, license_scan, line_dedup, mixing, quality_rules, simhash, suffix_dedup, token_ids, warc
-from kindred.llm.sql import OP4, OP7, OP8, OP9
+from kindred.llm import bpe, cap_filters, license_scan, line_dedup, mixing, prefix_trie, quality_rules, simhash, suffix_dedup, token_ids, warc
+from kindred.llm.sql import OP4, OP7, OP8, OP9, OP13
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -93,3 +93,9 @@ def op6_cap_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op9_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What is left of every document without the 200-byte strings that stand elsewhere too."""
     return suffix_dedup.suffix_dedup(_table(spark, sf_dir, "documents")).drop("spans")
+
+
+@query("op13_prefix_trie", OP13)
+def op13_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Nodes of the trie of all conversations, rebuilt with borrowed heads."""
+    return prefix_trie.prefix_trie(_table(spark, sf_dir, "conversations"))

@@ -97,3 +97,27 @@ gone AS (SELECT r, sum(b - a) AS n, count(*) AS spans FROM span GROUP BY r)
 SELECT doc_id, octet_length(h)::BIGINT AS n_bytes, coalesce(n, 0)::BIGINT AS n_removed, coalesce(spans, 0)::BIGINT AS n_spans,
        sha256(CASE WHEN k IS NULL THEN h ELSE unhex(k) END) AS kept_sha256
 FROM d LEFT JOIN kept USING (r) LEFT JOIN gone USING (r)"""
+
+# Rebuilt conversations as lists of turns; a node is a list, its ancestors are its slices.
+OP13 = """
+WITH convs AS (
+  SELECT conv_id AS c, list({'r': coalesce(role, ''), 't': coalesce(text, '')} ORDER BY turn NULLS FIRST, role) AS t,
+         xor(list_reduce(list_prepend(4294967295::BIGINT, list_transform(string_split(conv_id::VARCHAR, ''), lambda ch: ascii(ch)::BIGINT)),
+                         lambda crc, b: list_reduce([xor(crc, b), 0, 0, 0, 0, 0, 0, 0, 0], lambda v, z: xor(v >> 1, (v & 1) * 3988292384))),
+             4294967295::BIGINT) % 6 AS h
+  FROM conversations WHERE conv_id IS NOT NULL GROUP BY conv_id),
+rebuilt AS (
+  SELECT a.c, list_concat(coalesce(b.t, [])[1:a.h], a.t[a.h + 1:]) AS t FROM convs a LEFT JOIN convs b ON b.c = a.c - a.c % 100),
+prefixes AS (SELECT c, len(t) AS n, unnest(range(0, len(t) + 1)) AS d, t FROM rebuilt),
+nodes AS (
+  SELECT d AS depth, t[1:d] AS seq, min(c) AS conv_id, count(*) AS n_convs, sha256(coalesce(string_agg(c::VARCHAR, ',' ORDER BY c) FILTER (n = d), '')) AS ends_sha256
+  FROM prefixes GROUP BY d, t[1:d]),
+children AS (SELECT seq[1:depth - 1] AS seq, count(*) AS n_children FROM nodes WHERE depth > 0 GROUP BY ALL),
+full_nodes AS (SELECT n.*, coalesce(n_children, 0) AS n_children FROM nodes n LEFT JOIN children k ON k.seq = n.seq),
+ways AS (
+  SELECT unnest(range(0, depth + 1)) AS k, seq, (n_children = 0)::BIGINT AS leaf,
+         CASE WHEN depth > 0 THEN (n_convs - 1) * length(seq[depth].t) ELSE 0 END AS saved FROM full_nodes),
+sums AS (SELECT k AS depth, seq[1:k] AS seq, sum(leaf)::BIGINT AS n_leaves, sum(saved)::BIGINT AS saved_tokens FROM ways GROUP BY k, seq[1:k])
+SELECT n.conv_id, n.depth, p.conv_id AS parent_conv_id, n.n_convs, n.n_children, s.n_leaves, s.saved_tokens, n.ends_sha256
+FROM full_nodes n JOIN sums s ON s.depth = n.depth AND s.seq = n.seq
+LEFT JOIN nodes p ON n.depth > 0 AND p.depth = n.depth - 1 AND p.seq = n.seq[1:n.depth - 1]"""
