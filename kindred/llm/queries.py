@@ -6,8 +6,9 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from kindred.llm import bpe, cap_filters, license_scan, line_dedup, mixing, prefix_trie, quality_rules, simhash, suffix_dedup, token_ids, warc
+from kindred.llm import alignment, bpe, cap_filters, license_scan, line_dedup, mixing, prefix_trie, quality_rules, simhash, suffix_dedup, token_ids, warc
 from kindred.llm.sql import OP4, OP7, OP8, OP9, OP13
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -95,6 +96,15 @@ def op9_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffix_dedup.suffix_dedup(_table(spark, sf_dir, "documents")).drop("spans")
 
 
+@query("op11_alignment")
+def op11_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Groups of two tokenizers' tokens that end together, and the corpus counts of their links, per document."""
+    docs = _table(spark, sf_dir, "documents")
+    aligned = alignment.align_documents(docs, public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model"))
+    digest = F.when(F.col("n_groups") > 0, F.sha2("groups", 256)).otherwise("")
+    return aligned.withColumn("groups_sha256", digest).drop("groups")
+
+
 @query("op13_prefix_trie", OP13)
 def op13_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Nodes of the trie of all conversations, rebuilt with borrowed heads."""
