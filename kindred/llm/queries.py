@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from kindred.llm import alignment, bpe, cap_filters, license_scan, line_dedup, mixing, prefix_trie, quality_rules, simhash, suffix_dedup, token_ids, warc
+from kindred.llm import alignment, bpe, cap_filters, license_scan, line_dedup, mixing, prefix_trie, quality_rules, simhash, suffix_dedup, token_ids, toxicity, warc
 from kindred.llm.sql import OP4, OP7, OP8, OP9, OP13
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -105,6 +105,12 @@ def op11_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
     return aligned.withColumn("groups_sha256", digest).drop("groups")
 
 
+@query("op12_toxicity")
+def op12_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity score and verdict of every document."""
+    return toxicity.toxicity(_table(spark, sf_dir, "documents").select("doc_id", "text"), _table(spark, sf_dir, "labels"))
+
+
 @query("op13_prefix_trie", OP13)
 def op13_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Nodes of the trie of all conversations, rebuilt with borrowed heads."""
