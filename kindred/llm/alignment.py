@@ -1,11 +1,11 @@
 """Alignment of two tokenizers' tokens: common ends cut both id lists into groups.
 
-For a piece of text, the cumulative byte ends of either tokenizer's tokens are keys of a
+For a text, the cumulative byte ends of either tokenizer's tokens are keys of a
 dictionary to token indices; the sorted common keys of both dictionaries slice the two id
 lists, and every slice links all its tokens of one side with all of the other.  Tokens of both
 vocabularies never reach across the start of a run of white space (checked when a vocabulary
-is loaded: signs that break this do not cut), so texts are cut there, pieces are aligned once
-per worker, and a document is the concatenation of its pieces.
+is loaded: signs that break this do not cut), so texts are cut there, the distinct pieces of many
+documents are joined and aligned once, and a document is the concatenation of its pieces.
 
 Counts of linked id pairs need all documents: a chunk of documents (about ``CHUNK_CHARS``) lists
 each of its pairs once, with the number of its documents that hold it.  So the commonest pair
@@ -21,9 +21,12 @@ table gives an empty result; other columns are not carried.
 from __future__ import annotations
 
 import io
+import json
 import os
 import re
 from collections.abc import Iterator
+from itertools import chain
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
@@ -35,51 +38,18 @@ from kindred.llm.expressions import only
 from kindred.llm.pieces import SPACE
 from kindred.session import cut_lineage, task_count
 
-#: Characters of a chunk, pieces of a worker's newer and older cache each, characters of a piece kept there.
-CHUNK_CHARS, CACHE_PIECES, CACHE_CHARS = 4_000_000, 120_000, 64
-#: Characters encoded by one call.
-CALL_CHARS = 500_000
+#: Characters of a chunk, and those encoded by one call.
+CHUNK_CHARS, CALL_CHARS = 4_000_000, 500_000
+#: Links from which a group's are counted by distinct ids.
+LARGE_GROUP = 4096
+#: Texts whose letters every version of Unicode classes alike, and how a byte-level vocabulary splits them.
+LATIN = re.compile("[\t-\r -~\xa1-\u024f]*").fullmatch
+PATTERN = r"'(?:[sdmt]|ll|ve|re)| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 RESULTS = ["doc_id", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", "groups"]
 SCHEMA = "doc_id long, n_a long, n_b long, n_groups long, n_links long, n_best long, count_sum long, groups string"
 _MADE: dict[tuple[str, str], Aligner] = {}
 
 
-def common_groups(a_ends: list[int], b_ends: list[int]) -> list[tuple[int, int]]:
-    """Numbers of tokens of both sides up to the end of each group."""
-    a_at = {end: i for i, end in enumerate(a_ends, 1)}  # of tokens without bytes the last counts
-    b_at = {end: i for i, end in enumerate(b_ends, 1)}
-    return [(a_at[end], b_at[end]) for end in sorted(a_at.keys() & b_at.keys())]
-
-
-class Aligned:
-    """A piece's groups as text, its numbers, and its linked id pairs with repeats."""
-
-    __slots__ = ("groups", "numbers", "pairs", "times")
-
-    def __init__(self, a: list[int], b: list[int], cuts: list[tuple[int, int]]):
-        texts, pairs, i, j, links = [], {}, 0, 0, 0
-        for to_a, to_b in cuts:
-            left, right = a[i:to_a], b[j:to_b]
-            texts.append(",".join(map(str, left)) + "|" + ",".join(map(str, right)))
-            links += len(left) * len(right)
-            if len(left) > 8:  # expanded per distinct pair
-                left, right = _counted(left), _counted(right)
-            else:
-                left, right = [(x, 1) for x in left], [(y, 1) for y in right]
-            for x, n in left:
-                for y, m in right:
-                    key = x << 32 | y
-                    pairs[key] = pairs.get(key, 0) + n * m
-            i, j = to_a, to_b
-        self.groups, self.numbers = ";".join(texts), (len(a), len(b), len(cuts), links)
-        self.pairs, self.times = list(pairs), list(pairs.values())
-
-
-def _counted(ids: list[int]) -> list[tuple[int, int]]:
-    values, counts = np.unique(ids, return_counts=True)
-    return list(zip(values.tolist(), counts.tolist()))
-
-
 class Aligner:
     """Aligned pieces of texts under a byte-level vocabulary (A) and a piece vocabulary (B)."""
 
@@ -96,83 +66,149 @@ class Aligner:
         level = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
         codes = [*range(0x800), *range(0x800, 0xD800, 0x40), *range(0x10000, 0x110000, 0x1000)]
         byte_of = {c: b for code in codes for b, c in zip(chr(code).encode(), level.pre_tokenize_str(chr(code))[0][0])}
-        self.a_bytes = {i: bytes(byte_of[c] for c in name) if all(c in byte_of for c in name) else name.encode() for name, i in self.a.get_vocab().items()}
+        vocabulary = self.a.get_vocab()
+        a_bytes = [b""] * (1 + max(vocabulary.values()))
+        for name, i in vocabulary.items():
+            a_bytes[i] = bytes(byte_of[c] for c in name) if all(c in byte_of for c in name) else name.encode()
         names = [self.b.id_to_piece(i) for i in range(len(self.b))]
-        self.b_bytes = [bytes([int(n[3:5], 16)]) if self.b.is_byte(i) else n.replace("▁", " ").encode() for i, n in enumerate(names)]
-        spelled = [x.decode("utf-8", "ignore") for x in self.a_bytes.values()] + [n.replace("▁", " ") for n in names]
+        b_bytes = [bytes([int(n[3:5], 16)]) if self.b.is_byte(i) else n.replace("▁", " ").encode() for i, n in enumerate(names)]
+        self.bytes = (a_bytes, b_bytes)
+        self.quick = _quick(path_a, vocabulary, a_bytes)
+        self.sizes = tuple(np.array([len(x) for x in side], np.int64) for side in self.bytes)
+        #: Ids as text with what follows: A's "," and "|", then B's ",", ";" and the end of a piece.
+        self.printed = [f"{i}{sign}" for side, signs in zip(self.bytes, (",|", ",;\n")) for sign in signs for i in range(len(side))]
+        self.kinds = np.cumsum([0, *[len(side) for side, n in zip(self.bytes, (2, 3)) for _ in range(n)]])
+        spelled = [x.decode("utf-8", "ignore") for x in a_bytes] + [n.replace("▁", " ") for n in names]
         inner = re.compile(f"[^{SPACE}]([{SPACE}])").findall
         crossing = "".join(sorted({c for name in spelled for c in inner(name)}))
         more = f"(?:[{re.escape(crossing)}][{SPACE}]*[^{SPACE}]*)*" if crossing else ""
         self.cut = re.compile(f"[{SPACE}]*[^{SPACE}]+{more}|[{SPACE}]+").findall
         self.ends_blank = re.compile(f"[{SPACE}]\\Z").search
-        self.new, self.old = {}, {}
-
-    def _encode(self, text: str) -> tuple[list[int], list[int]]:
-        """Ids of a text that begins with white space, as both encode it inside a longer text."""
-        if text[0] == " ":
-            return self.a.encode(text, add_special_tokens=False).ids, self.b.encode(text[1:]) if len(text) > 1 else self.b.encode(" x")[:1]
-        a = self.a.encode("x" + text, add_special_tokens=False).ids
-        return a[1:], self.b.encode("x" + text)[1:]
 
-    def _align(self, text: str, a: list[int], b: list[int]) -> Aligned | None:
+    def _ids(self, text: str) -> tuple[np.ndarray, np.ndarray] | None:
+        """Ids of a text that begins with white space, as both encode it inside a longer one; None where they do not spell it."""
+        lead = "" if text[0] == " " and len(text) > 1 else " x"  # B puts a space before a text, and has none for an empty one
+        a, b = self._a_ids(lead + text), self.b.encode((lead + text)[1:])
+        if lead:
+            a, b = a[len(self._a_ids(lead)) :], b[len(self.b.encode(lead[1:])) :]
         spelled = text.encode()
-        left, right = [self.a_bytes[i] for i in a], [self.b_bytes[i] for i in b]
-        if b"".join(left) != spelled or b"".join(right) != spelled:
-            return None
-        ends = [np.cumsum([len(x) for x in side]).tolist() for side in (left, right)]
-        return Aligned(a, b, common_groups(*ends))
-
-    def _align_all(self, pieces: list[str]) -> Iterator[Aligned | None]:
-        """Pieces that begin with white space and end otherwise, encoded together."""
-        joined = "".join(pieces)
-        if joined[:1] != " ":
-            joined = " x" + joined
-            yield from list(self._align_all([" x", *pieces]))[1:]
-            return
-        a, b = self._encode(joined)
-        ends = np.cumsum([len(p.encode()) for p in pieces])
-        cuts = []
-        for ids, sizes in ((a, self.a_bytes), (b, self.b_bytes)):
-            at = np.cumsum([len(sizes[i]) for i in ids])
-            stops = np.searchsorted(at, ends, side="right")  # tokens up to and with that end
-            cuts.append(stops.tolist() if len(at) and at[-1] == ends[-1] and np.array_equal(at[stops - 1], ends) else None)
-        if None in cuts:  # a piece that B spells otherwise moves all after it
-            for p in pieces:
-                yield self._align(p, *self._encode(p))
-            return
-        i = j = 0
-        for p, to_a, to_b in zip(pieces, *cuts):
-            yield self._align(p, a[i:to_a], b[j:to_b])
-            i, j = to_a, to_b
-
-    def learn(self, pieces: set[str]) -> dict[str, Aligned | None]:
-        """Aligned forms of distinct pieces."""
-        known, missing = {}, []
+        for ids, names in zip((a, b), self.bytes):
+            if b"".join(map(names.__getitem__, ids)) != spelled:
+                return None
+        return np.array(a, np.int64), np.array(b, np.int64)
+
+    def _a_ids(self, text: str) -> list[int]:
+        if self.quick and LATIN(text):
+            return self.quick.encode_ordinary(text)
+        return self.a.encode_batch_fast([text], add_special_tokens=False)[0].ids
+
+    def _runs(self, pieces: list[str]) -> Iterator[tuple[list[str], np.ndarray, np.ndarray]]:
+        """Runs of pieces that are spelled, with the ids of each run; others are left out."""
+        ids = self._ids("".join(pieces))
+        if ids:
+            yield pieces, *ids
+        elif len(pieces) > 1:
+            for half in (pieces[: len(pieces) // 2], pieces[len(pieces) // 2 :]):
+                yield from self._runs(half)
+
+    def align(self, pieces: list[str]) -> Iterator[Aligned]:
+        """Distinct pieces in runs that are encoded together; those that are not spelled are left out."""
+        held: dict[bool, list[str]] = {True: [], False: []}  # of Latin letters, of others
+        size = {True: 0, False: 0}
         for p in pieces:
-            if p in self.new:
-                known[p] = self.new[p]
-            elif p in self.old:
-                known[p] = self.old[p]
-            else:
-                missing.append(p)
-        together, size = [], 0
-        for p in missing:
-            if self.ends_blank(p) or len(p) > CALL_CHARS:
-                known[p] = self._align(p, *self._encode(p))
+            if self.ends_blank(p):  # would join the white space of the next
+                yield from (self._run(*run) for run in self._runs([p]))
                 continue
-            together.append(p)
-            size += len(p)
-            if size > CALL_CHARS:
-                known.update(zip(together, self._align_all(together)))
-                together, size = [], 0
-        if together:
-            known.update(zip(together, self._align_all(together)))
-        for p, aligned in known.items():
-            if len(p) <= CACHE_CHARS and p not in self.new:
-                if len(self.new) >= CACHE_PIECES:
-                    self.new, self.old = {}, self.new
-                self.new[p] = aligned
-        return known
+            kind = LATIN(p) is not None
+            held[kind].append(p)
+            size[kind] += len(p)
+            if size[kind] > CALL_CHARS:
+                yield from (self._run(*run) for run in self._runs(held[kind]))
+                held[kind], size[kind] = [], 0
+        for left in held.values():
+            if left:
+                yield from (self._run(*run) for run in self._runs(left))
+
+    def _run(self, pieces: list[str], a: np.ndarray, b: np.ndarray) -> Aligned:
+        piece_ends = np.cumsum([len(p.encode()) for p in pieces])
+        common, cuts = common_groups(*[np.cumsum(size[ids]).tolist() for size, ids in zip(self.sizes, (a, b))])
+        common = np.array(common)
+        sizes = [np.diff(c, prepend=0) for c in cuts]  # tokens per group
+        last = np.searchsorted(common, piece_ends)  # a piece's last group
+        if not np.array_equal(common[last], piece_ends):
+            raise ValueError("a token reaches across the start of white space")
+        per_piece = np.diff(last, prepend=-1)
+        piece = np.repeat(np.arange(len(pieces)), per_piece)  # of each group
+        # the groups as text: A's ids, then B's, group by group
+        group = [np.repeat(np.arange(len(common)), n) for n in sizes]
+        starts = np.cumsum(sizes[0] + sizes[1]) - sizes[0] - sizes[1]
+        codes = np.empty(len(a) + len(b), np.int64)
+        at_a = np.arange(len(a)) - (cuts[0] - sizes[0])[group[0]] + starts[group[0]]
+        at_b = np.arange(len(b)) - (cuts[1] - sizes[1])[group[1]] + (starts + sizes[0])[group[1]]
+        codes[at_a], codes[at_b] = a + self.kinds[0], b + self.kinds[2]
+        codes[at_a[cuts[0] - 1]] += self.kinds[1] - self.kinds[0]
+        codes[at_b[cuts[1] - 1]] += self.kinds[3] - self.kinds[2]
+        codes[at_b[cuts[1][last] - 1]] += self.kinds[4] - self.kinds[3]
+        texts = "".join(map(self.printed.__getitem__, codes.tolist())).split("\n")[:-1]
+        links = np.bincount(piece, sizes[0] * sizes[1], len(pieces)).astype(np.int64)
+        tokens = [np.bincount(piece, n, len(pieces)).astype(np.int64) for n in sizes]
+        return Aligned(pieces, texts, np.c_[tokens[0], tokens[1], per_piece, links], *_links(a, b, cuts, sizes, group[0], piece))
+
+
+def _quick(path: str, vocabulary: dict[str, int], names: list[bytes]):
+    """The same encoder by ranks, where the file is a plain byte-level one whose ids follow its merges; else None."""
+    with open(path, encoding="utf-8") as f:
+        spec = json.load(f)
+    level, model = spec.get("pre_tokenizer") or {}, spec["model"]
+    plain = level.get("type") == "ByteLevel" and level.get("use_regex", True) and not spec.get("normalizer") and not model.get("dropout")
+    made = [vocabulary["".join(pair) if isinstance(pair, list) else pair.replace(" ", "")] for pair in model.get("merges", [])]
+    if not plain or made != sorted(made):
+        return None
+    import tiktoken
+
+    added = {x["id"] for x in spec.get("added_tokens", [])}
+    ranks = {name: i for i, name in enumerate(names) if name and i not in added}
+    return tiktoken.Encoding("ranks", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={})
+
+
+class Aligned(NamedTuple):
+    """Aligned pieces: groups as text, numbers of tokens (A, B), groups and links, and linked id pairs with repeats by piece."""
+
+    pieces: list[str]
+    groups: list[str]
+    numbers: np.ndarray
+    pairs: np.ndarray
+    times: np.ndarray
+    piece: np.ndarray
+
+
+def common_groups(a_ends: list[int], b_ends: list[int]) -> tuple[list[int], tuple[np.ndarray, np.ndarray]]:
+    """Common ends in order, and for both sides the number of tokens up to each."""
+    a_at = dict(zip(a_ends, range(1, len(a_ends) + 1)))
+    b_at = dict(zip(b_ends, range(1, len(b_ends) + 1)))
+    common = sorted(a_at.keys() & b_at.keys())
+    return common, tuple(np.fromiter(map(at.__getitem__, common), np.int64, len(common)) for at in (a_at, b_at))
+
+
+def _links(a, b, cuts, sizes, group_a, piece) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Links of all groups as id pairs with repeats and their piece; large groups by their distinct ids."""
+    large = np.flatnonzero(sizes[0] * sizes[1] > LARGE_GROUP)
+    small_a = ~np.isin(group_a, large) if len(large) else slice(None)
+    of = group_a[small_a]
+    bounds = np.r_[0, cuts[1]]
+    fan = np.diff(bounds)[of]
+    pairs = [np.repeat(a[small_a] << 32, fan) | b[_segments(bounds, of)]]
+    times, where = [np.ones(len(pairs[0]), np.int64)], [np.repeat(piece[of], fan)]
+    for g in large:
+        (x, n), (y, m) = [np.unique(ids[cut[g] - size[g] : cut[g]], return_counts=True) for ids, cut, size in zip((a, b), cuts, sizes)]
+        pairs.append(((x << 32)[:, None] | y).ravel())
+        times.append((n[:, None] * m).ravel())
+        where.append(np.full(len(pairs[-1]), piece[g]))
+    if not len(large):
+        return pairs[0], times[0], where[0]
+    pairs, times, where = map(np.concatenate, (pairs, times, where))
+    order = np.argsort(where, kind="stable")
+    return pairs[order], times[order], where[order]
 
 
 def aligner(path_a: str, path_b: str) -> Aligner:
@@ -193,31 +229,38 @@ def _sums(values: np.ndarray, starts: np.ndarray) -> np.ndarray:
     return total[starts[1:]] - total[starts[:-1]]
 
 
+def _distinct(values: np.ndarray) -> np.ndarray:
+    values = np.sort(values)
+    return values[np.r_[True, values[1:] != values[:-1]]] if len(values) else values
+
+
 def _chunk(tool: Aligner, ids: list, texts: list[str]) -> tuple[bytes, np.ndarray, np.ndarray]:
     """A chunk's aligned documents as bytes, its id pairs, and how many documents hold each."""
     cut = [tool.cut(" " + t) if t else [] for t in texts]
-    known = tool.learn(set().union(*cut))
-    pieces = [p for p, aligned in known.items() if aligned]
-    code = {p: i for i, p in enumerate(pieces)}
-    spelled = [all(map(code.__contains__, c)) for c in cut]
-    codes = [[code[p] for p in c] if good else [] for c, good in zip(cut, spelled)]
+    runs = list(tool.align(list(set().union(*cut))))
+    code = {p: i for i, p in enumerate(p for run in runs for p in run.pieces)}
+    codes = [list(map(code.get, c)) for c in cut]
+    codes = [[] if None in c else c for c in codes]
+    del cut
     starts = np.r_[0, np.cumsum([len(c) for c in codes])].astype(np.int64)
-    codes = np.fromiter((x for c in codes for x in c), np.int32, int(starts[-1]))
-    forms = [known[p] for p in pieces]
-    pair_starts = np.r_[0, np.cumsum([len(f.pairs) for f in forms])].astype(np.int64)
-    flat = np.fromiter((x for f in forms for x in f.pairs), np.int64, int(pair_starts[-1]))
-    pairs, place = np.unique(flat, return_inverse=True)
-    times = np.fromiter((x for f in forms for x in f.times), np.int64, len(flat))
-    doc = np.repeat(np.arange(len(ids)), np.diff(starts))
-    once = np.unique(doc * max(len(pieces), 1) + codes)
-    doc, piece = once // max(len(pieces), 1), once % max(len(pieces), 1)
-    held = np.repeat(doc, np.diff(pair_starts)[piece]) * max(len(pairs), 1) + place[_segments(pair_starts, piece)]
-    counts = np.bincount(np.unique(held) % max(len(pairs), 1), minlength=len(pairs))
+    codes = np.fromiter(chain.from_iterable(codes), np.int32, int(starts[-1]))
+    n_pieces = max(len(code), 1)
+    nothing = [np.empty(0, np.int64)]
+    flat, times = (np.concatenate([nothing[0], *[getattr(run, n) for run in runs]]) for n in ("pairs", "times"))
+    per_piece = np.concatenate(nothing + [np.bincount(run.piece, minlength=len(run.pieces)) for run in runs])
+    pair_starts = np.r_[0, np.cumsum(per_piece)]
+    pairs = _distinct(flat)
+    place = np.searchsorted(pairs, flat)
+    n_pairs = max(len(pairs), 1)
+    once = _distinct(np.repeat(np.arange(len(ids)), np.diff(starts)) * n_pieces + codes)
+    doc, piece = once // n_pieces, once % n_pieces
+    held = _distinct(np.repeat(doc, per_piece[piece]) * n_pairs + place[_segments(pair_starts, piece)]) if len(once) else once
+    counts = np.bincount(held % n_pairs, minlength=len(pairs))
     out = io.BytesIO()
     np.savez(
         out, ids=np.array([i or 0 for i in ids], np.int64), no_id=np.array([i is None for i in ids]), starts=starts, codes=codes,
-        numbers=np.array([f.numbers for f in forms], np.int64).reshape(-1, 4), pair_starts=pair_starts, place=place.astype(np.int32), times=times,
-        groups=np.frombuffer("\n".join(f.groups for f in forms).encode(), np.uint8),
+        numbers=np.concatenate([np.empty((0, 4), np.int64), *[run.numbers for run in runs]]), pair_starts=pair_starts, place=place.astype(np.int32), times=times,
+        groups=np.frombuffer("\n".join(chain.from_iterable(run.groups for run in runs)).encode(), np.uint8),
     )
     return zstandard.ZstdCompressor(level=1).compress(out.getvalue()), pairs, counts
 
