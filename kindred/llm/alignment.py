@@ -21,7 +21,6 @@ table gives an empty result; other columns are not carried.
 from __future__ import annotations
 
 import io
-import json
 import os
 import re
 from collections.abc import Iterator
@@ -35,16 +34,13 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from kindred.llm.expressions import only
-from kindred.llm.pieces import SPACE
+from kindred.llm.pieces import SPACE, by_ranks, byte_names, latin
 from kindred.session import cut_lineage, task_count
 
 #: Characters of a chunk, and those encoded by one call.
 CHUNK_CHARS, CALL_CHARS = 4_000_000, 500_000
 #: Links from which a group's are counted by distinct ids.
 LARGE_GROUP = 4096
-#: Texts whose letters every version of Unicode classes alike, and how a byte-level vocabulary splits them.
-LATIN = re.compile("[\t-\r -~\xa1-\u024f]*").fullmatch
-PATTERN = r"'(?:[sdmt]|ll|ve|re)| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 RESULTS = ["doc_id", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", "groups"]
 SCHEMA = "doc_id long, n_a long, n_b long, n_groups long, n_links long, n_best long, count_sum long, groups string"
 _MADE: dict[tuple[str, str], Aligner] = {}
@@ -56,24 +52,17 @@ class Aligner:
     def __init__(self, path_a: str, path_b: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core
         import sentencepiece
-        from tokenizers import Tokenizer, pre_tokenizers
+        from tokenizers import Tokenizer
 
         self.a = Tokenizer.from_file(path_a)
         self.a.no_truncation()
         self.a.no_padding()
         self.a.encode_special_tokens = True  # their strings in a text are plain text
         self.b = sentencepiece.SentencePieceProcessor(model_file=path_b)
-        level = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
-        codes = [*range(0x800), *range(0x800, 0xD800, 0x40), *range(0x10000, 0x110000, 0x1000)]
-        byte_of = {c: b for code in codes for b, c in zip(chr(code).encode(), level.pre_tokenize_str(chr(code))[0][0])}
-        vocabulary = self.a.get_vocab()
-        a_bytes = [b""] * (1 + max(vocabulary.values()))
-        for name, i in vocabulary.items():
-            a_bytes[i] = bytes(byte_of[c] for c in name) if all(c in byte_of for c in name) else name.encode()
+        a_bytes, self.quick = byte_names(path_a), by_ranks(path_a)
         names = [self.b.id_to_piece(i) for i in range(len(self.b))]
         b_bytes = [bytes([int(n[3:5], 16)]) if self.b.is_byte(i) else n.replace("▁", " ").encode() for i, n in enumerate(names)]
         self.bytes = (a_bytes, b_bytes)
-        self.quick = _quick(path_a, vocabulary, a_bytes)
         self.sizes = tuple(np.array([len(x) for x in side], np.int64) for side in self.bytes)
         #: Ids as text with what follows: A's "," and "|", then B's ",", ";" and the end of a piece.
         self.printed = [f"{i}{sign}" for side, signs in zip(self.bytes, (",|", ",;\n")) for sign in signs for i in range(len(side))]
@@ -98,7 +87,7 @@ class Aligner:
         return np.array(a, np.int64), np.array(b, np.int64)
 
     def _a_ids(self, text: str) -> list[int]:
-        if self.quick and LATIN(text):
+        if self.quick and latin(text):
             return self.quick.encode_ordinary(text)
         return self.a.encode_batch_fast([text], add_special_tokens=False)[0].ids
 
@@ -119,7 +108,7 @@ class Aligner:
             if self.ends_blank(p):  # would join the white space of the next
                 yield from (self._run(*run) for run in self._runs([p]))
                 continue
-            kind = LATIN(p) is not None
+            kind = latin(p)
             held[kind].append(p)
             size[kind] += len(p)
             if size[kind] > CALL_CHARS:
@@ -155,22 +144,6 @@ class Aligner:
         return Aligned(pieces, texts, np.c_[tokens[0], tokens[1], per_piece, links], *_links(a, b, cuts, sizes, group[0], piece))
 
 
-def _quick(path: str, vocabulary: dict[str, int], names: list[bytes]):
-    """The same encoder by ranks, where the file is a plain byte-level one whose ids follow its merges; else None."""
-    with open(path, encoding="utf-8") as f:
-        spec = json.load(f)
-    level, model = spec.get("pre_tokenizer") or {}, spec["model"]
-    plain = level.get("type") == "ByteLevel" and level.get("use_regex", True) and not spec.get("normalizer") and not model.get("dropout")
-    made = [vocabulary["".join(pair) if isinstance(pair, list) else pair.replace(" ", "")] for pair in model.get("merges", [])]
-    if not plain or made != sorted(made):
-        return None
-    import tiktoken
-
-    added = {x["id"] for x in spec.get("added_tokens", [])}
-    ranks = {name: i for i, name in enumerate(names) if name and i not in added}
-    return tiktoken.Encoding("ranks", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={})
-
-
 class Aligned(NamedTuple):
     """Aligned pieces: groups as text, numbers of tokens (A, B), groups and links, and linked id pairs with repeats by piece."""
 

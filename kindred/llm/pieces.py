@@ -7,6 +7,7 @@ so a worker keeps the results of pieces it has seen; only new ones meet a tokeni
 
 from __future__ import annotations
 
+import json
 import re
 from collections.abc import Callable, Iterator
 
@@ -18,6 +19,10 @@ PIECES = re.compile(f"[{SPACE}]*[^{SPACE}]+|[{SPACE}]+").findall
 #: Pieces a worker remembers, the longest it does, and texts encoded together (documents, characters).
 CACHE_PIECES, CACHE_CHARS = 600_000, 64
 GROUP_DOCS, GROUP_CHARS = 256, 2_000_000
+#: Letters that every version of Unicode classes alike, runs of blanks too long to look back over, and how a byte-level vocabulary splits.
+LATIN_SIGNS = re.compile("[\t-\r -~\xa1-\u024f]*").fullmatch
+LONG_BLANKS = re.compile("[\t-\r ]{100}").search
+PATTERN = r"'(?:[sdmt]|ll|ve|re)| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 
 
 class PieceCache:
@@ -57,3 +62,64 @@ def grouped(batch: pa.RecordBatch, column: int) -> Iterator[tuple[int, list[str]
             group, chars, start = [], 0, i + 1
     if group:
         yield start, group
+
+
+class AgingCache(PieceCache):
+    """A cache of two generations: what the younger has not seen is looked up in the older before it is new."""
+
+    def __init__(self, encode: Callable[[list[str]], list[bytes]]):
+        super().__init__(encode)
+        self.older = {}
+
+    def __call__(self, texts: list[str]) -> list[bytes]:
+        cut = [PIECES(t) for t in texts]
+        every = set().union(*cut)
+        if len(self.known) + len(every) > CACHE_PIECES // 2:
+            self.known, self.older = {}, self.known
+        missing = every.difference(self.known)
+        found = {p: self.older[p] for p in missing.intersection(self.older)}
+        new = list(missing.difference(found))
+        found.update(zip(new, self.encode(new)))
+        self.known.update(found)
+        out = [b"".join(map(self.known.__getitem__, pieces)) for pieces in cut]
+        for p in new:
+            if len(p) > CACHE_CHARS:
+                del self.known[p]
+        return out
+
+
+def byte_names(path: str) -> list[bytes]:
+    """What each id of a byte-level vocabulary file spells; an added token spells its name."""
+    from tokenizers import Tokenizer, pre_tokenizers
+
+    level = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
+    codes = [*range(0x800), *range(0x800, 0xD800, 0x40), *range(0x10000, 0x110000, 0x1000)]
+    byte_of = {c: b for code in codes for b, c in zip(chr(code).encode(), level.pre_tokenize_str(chr(code))[0][0])}
+    byte_of |= {chr(b): b for b in set(range(256)).difference(byte_of.values())}  # no text has them: signs of their own number
+    library = Tokenizer.from_file(path)
+    vocabulary, added = library.get_vocab(), library.get_added_tokens_decoder()
+    names = [b""] * (1 + max(vocabulary.values()))
+    for name, i in vocabulary.items():
+        names[i] = name.encode() if i in added else bytes(byte_of[c] for c in name)
+    return names
+
+
+def latin(text: str) -> bool:
+    """Whether encoders by ranks split a text surely as the tokenizers library does."""
+    return LATIN_SIGNS(text) is not None and LONG_BLANKS(text) is None
+
+
+def by_ranks(path: str):
+    """Encoder by ranks that equals the file's own, where that is a plain byte-level one whose ids follow its merges; else None."""
+    with open(path, encoding="utf-8") as f:
+        spec = json.load(f)
+    level, model = spec.get("pre_tokenizer") or {}, spec["model"]
+    plain = level.get("type") == "ByteLevel" and level.get("use_regex", True) and not spec.get("normalizer") and not model.get("dropout")
+    made = [model["vocab"]["".join(pair) if isinstance(pair, list) else pair.replace(" ", "")] for pair in model.get("merges", [])]
+    if not plain or made != sorted(made):
+        return None
+    import tiktoken
+
+    added = {x["id"] for x in spec.get("added_tokens", [])}
+    ranks = {name: i for i, name in enumerate(byte_names(path)) if name and i not in added}
+    return tiktoken.Encoding("ranks", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={})

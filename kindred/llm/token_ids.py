@@ -11,7 +11,7 @@ document costs few bytes and is read alone.
 
 Ids are little-endian unsigned 16-bit in a frame where the vocabulary allows, else 32-bit.
 The dictionary is trained on a bounded sample (about ``SAMPLE_DOCS`` documents chosen by hash,
-never over twice as many, ``SAMPLE_CHARS`` characters of each); every document is encoded whole.  A shard is closed at
+never over twice as many, ``SAMPLE_CHARS`` characters of each from a place chosen by hash); every document is encoded whole.  A shard is closed at
 ``SHARD_BYTES``, and its index is all that a task keeps in memory.
 
 Defined cases: a NULL text counts as empty and gives the end id alone; equal doc_ids are
@@ -24,6 +24,7 @@ from __future__ import annotations
 
 import hashlib
 import os
+import re
 import struct
 import zlib
 from array import array
@@ -36,7 +37,7 @@ from pyspark.sql import functions as F
 
 from kindred.llm import files
 from kindred.llm.expressions import only
-from kindred.llm.pieces import PieceCache, grouped
+from kindred.llm.pieces import AgingCache, by_ranks, grouped, latin
 from kindred.session import cut_lineage, fresh_folder, task_count
 
 MAGIC = b"KIDS0001"
@@ -49,35 +50,51 @@ SHARD_BYTES = 64 << 20
 READ_BYTES = 4 << 20
 NO_ID = -(1 << 63)
 FOOTER = struct.Struct("<IQ8s")
-_MADE: dict[str, PieceCache] = {}
+_MADE: dict[str, Encoder] = {}
 
 
-def encoder(path: str) -> PieceCache:
-    """The worker's encoder of a vocabulary file by the tokenizers library, new pieces only."""
-    if path not in _MADE:
+class Encoder:
+    """Ids of texts as unsigned bytes of a vocabulary file, as the tokenizers library encodes them.
+
+    Texts of Latin letters without an added token's name go by ranks, which gives the same ids
+    several times as fast; others go to the library by pieces, new ones only.
+    """
+
+    def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core
         from tokenizers import Tokenizer
 
         library = Tokenizer.from_file(path)
         library.no_truncation()
         library.no_padding()
-        wide = library.get_vocab_size() > 1 << 16
+        self.kind = "I" if library.get_vocab_size() > 1 << 16 else "H"
+        self.width = array(self.kind).itemsize
+        self.cache = AgingCache(lambda pieces: [array(self.kind, x.ids).tobytes() for x in library.encode_batch_fast(pieces, add_special_tokens=False)])
+        self.ranks = by_ranks(path)
+        names = [x.content for x in library.get_added_tokens_decoder().values()]
+        self.added = re.compile("|".join(map(re.escape, names))).search if names else lambda text: None
+
+    def __call__(self, texts: list[str]) -> list[bytes]:
+        quick = [self.ranks is not None and latin(t) and not self.added(t) for t in texts]
+        others = iter(self.cache([t for t, q in zip(texts, quick) if not q]))
+        return [array(self.kind, self.ranks.encode_ordinary(t)).tobytes() if q else next(others) for t, q in zip(texts, quick)]
 
-        def encode(pieces: list[str]) -> list[bytes]:
-            found = library.encode_batch_fast(pieces, add_special_tokens=False)
-            return [array("I" if wide else "H", x.ids).tobytes() for x in found]
 
-        _MADE[path] = PieceCache(encode)
-        _MADE[path].width = 4 if wide else 2
+def encoder(path: str) -> Encoder:
+    """The worker's encoder of a vocabulary file."""
+    if path not in _MADE:
+        _MADE[path] = Encoder(path)
     return _MADE[path]
 
 
 def train_dictionary(docs: DataFrame, path: str) -> bytes:
     """Dictionary for serialized ids from a bounded sample; empty where the sample is too small."""
     texts = docs.where("text IS NOT NULL")
-    one_in = max(1, texts.count() // SAMPLE_DOCS)
-    sample = texts.where(F.pmod(F.xxhash64("doc_id", "text"), F.lit(one_in)) == 0).select("doc_id", F.substring("text", 1, SAMPLE_CHARS).alias("text"))
-    sample = sample.limit(2 * SAMPLE_DOCS)  # about SAMPLE_DOCS unless one row is repeated very often
+    one_in, order = max(1, texts.count() // SAMPLE_DOCS), F.xxhash64("doc_id", "text")
+    length = F.char_length("text")
+    start = F.when(length > SAMPLE_CHARS, F.pmod(F.xxhash64(F.lit("slice"), "doc_id", "text"), length - SAMPLE_CHARS + 1)).otherwise(0) + 1
+    sample = texts.where(F.pmod(order, F.lit(one_in)) == 0).select(order.alias("h"), F.substr("text", start, F.lit(SAMPLE_CHARS)).alias("text"))
+    sample = sample.orderBy("h", "text").limit(2 * SAMPLE_DOCS)  # about SAMPLE_DOCS unless one row is repeated very often
 
     def train(batches):
         encode, samples = encoder(path), []
@@ -203,7 +220,7 @@ def write_token_ids(docs: DataFrame, path: str, folder: str | None = None, end_i
             "path": pa.array(columns[0], pa.string()), "n_docs": pa.array(columns[1], pa.int64()), "n_tokens": pa.array(columns[2], pa.int64()),
         })
 
-    ranged = docs.select("doc_id", "text").repartitionByRange(task_count(spark), "doc_id").sortWithinPartitions("doc_id", F.xxhash64("text"))
+    ranged = docs.select("doc_id", "text").repartitionByRange(task_count(spark), "doc_id", F.xxhash64("text")).sortWithinPartitions("doc_id", F.xxhash64("text"))
     manifest = ranged.mapInArrow(write, "part long, shard long, path string, n_docs long, n_tokens long")
     return cut_lineage(manifest).withColumn("dictionary", F.lit(kept))
 

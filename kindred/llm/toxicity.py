@@ -214,6 +214,13 @@ def fit_linear(rows: list[tuple[np.ndarray, np.ndarray, float]]) -> np.ndarray:
     return w
 
 
+def fixed_rows(read: Reader) -> list[tuple[np.ndarray, np.ndarray, float]]:
+    """A word of each theme as a hostile row, and as many rows that say nothing: what decides without labels."""
+    words = [w for theme in THEMES.values() for w in theme.split()]
+    said = [(*features(np.sort(term_places({w})), read(w)[1]), 0.9) for w in words]
+    return said + [(*features(term_places(set()), 0), 0.03)] * len(words)
+
+
 class Scorer:
     """Scores texts with fitted weights; a word's share of the sum is remembered."""
 
@@ -311,11 +318,12 @@ def fit(docs: DataFrame, labels: DataFrame) -> tuple[list[str], LabelModel, np.n
 
     def learn(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held = sorted(x for batch in batches for x in zip(*[batch.column(c).to_pylist() for c in ("h", "toxic", "bits", "places")]))
-        targets = [(*features(np.frombuffer(places, np.int32), bits), posterior[bits, toxic]) for _, toxic, bits, places in held]
+        targets = fixed_rows(Reader(mined))
+        targets += [(*features(np.frombuffer(places, np.int32), bits), posterior[bits, toxic]) for _, toxic, bits, places in held]
         yield pa.RecordBatch.from_pydict({"weights": [fit_linear(targets).astype(np.float32).tobytes()]})
 
     weights = rows.coalesce(1).mapInArrow(learn, "weights binary").first()
-    return mined, model, np.frombuffer(bytes(weights["weights"]), np.float32).astype(float) if weights else fit_linear([])
+    return mined, model, np.frombuffer(bytes(weights["weights"]), np.float32).astype(float) if weights else fit_linear(fixed_rows(Reader(mined)))
 
 
 def score(docs: DataFrame, mined: list[str], weights: np.ndarray) -> DataFrame:
