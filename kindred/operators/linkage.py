@@ -33,6 +33,8 @@ from kindred.session import cut_lineage, numbered, spread
 NEAR = 95.0
 SPARE_SEGMENTS = 2
 SLACK = 1e-9
+#: Pairs of a query that are scored before its bounds are looked at again.
+FIRST_BATCH = 4
 
 # ------------------------------------------------------------- segment candidates
 
@@ -143,7 +145,8 @@ class _Texts:
         """Add token facts: a repeated token or blank makes the token bounds loose."""
         self.tokens = [set(t.split()) for t in self.texts]
         self.loose = np.array([" ".join(dict.fromkeys(t.split())) != t for t in self.texts])
-        self.sorted = [" ".join(sorted(t.split())) for t in self.texts]
+        self.forms = fuzzy.Tokens(self.texts)
+        self.sorted = self.forms.sorted
 
 
 def shared_letters(left: _Texts, right: _Texts) -> np.ndarray:
@@ -217,8 +220,9 @@ class WeightedKernel(Kernel):
     """Best blended ratio per query by branch and bound.
 
     Pairs are bounded by their shared letters, the survivors by their LCS, and
-    what is left is scored in order of its bound; a query stops once the next
-    bound is below its best score, so the result is exact.
+    what is left is scored in order of its bound, arrays of pairs at a time; a
+    query stops once the next bound is below its best score, so the result is
+    exact.
     """
 
     def __init__(self, threshold: float):
@@ -243,20 +247,18 @@ class WeightedKernel(Kernel):
         keep = bound >= start[qi]
         qi, ci, bound = qi[keep], ci[keep], bound[keep]
         order = np.lexsort((ci, -bound, qi))
-        found: list[tuple[int, int, float]] = []
-        best: dict[int, float] = {}
-        for i, j, top in zip(qi[order].tolist(), ci[order].tolist(), bound[order].tolist()):
-            least = best.get(i, start[i])
-            if top < least:
-                continue
-            score = fuzzy.weighted(q.texts[i], c.texts[j])
-            if score >= least:
-                best[i] = score
-                found.append((i, j, score))
-        if not found:
-            return none, none, np.empty(0)
-        qi, ci, score = zip(*found)
-        return np.array(qi), np.array(ci), np.array(score)
+        qi, ci, bound = qi[order], ci[order], bound[order]
+        best, found, batch = start.astype(float), [(none, none, np.empty(0))], FIRST_BATCH
+        while len(qi):  # the likeliest of every query, then more at a time of what can still win
+            first = np.flatnonzero(np.r_[True, qi[1:] != qi[:-1]])
+            now = np.arange(len(qi)) - np.repeat(first, np.diff(np.r_[first, len(qi)])) < batch
+            score = fuzzy.weighted_pairs(q.forms, c.forms, qi[now], ci[now])
+            good = score >= best[qi[now]]
+            found.append((qi[now][good], ci[now][good], score[good]))
+            np.maximum.at(best, qi[now], score)
+            rest = ~now & (bound >= best[qi])
+            qi, ci, bound, batch = qi[rest], ci[rest], bound[rest], 4 * batch
+        return tuple(np.concatenate(x) for x in zip(*found))
 
 
 def best_fuzzy(queries: DataFrame, names: DataFrame, threshold: float, kernel=WeightedKernel) -> DataFrame:
