@@ -13,6 +13,10 @@ pairs are settled before a pair is scored.
 
 from __future__ import annotations
 
+import math
+from collections import Counter
+from functools import cache
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -22,6 +26,8 @@ from kindred.session import cut_lineage, spread
 SLACK = 1e-9
 #: Lowest threshold at which every pair of lengths must share a bigram.
 LEAST_THRESHOLD = 80.0
+#: Texts per side on which the matches of a pair are measured.
+SAMPLE_TEXTS = 1000
 
 
 def _lost(a: Column, b: Column, t: float) -> tuple[Column, Column]:
@@ -93,3 +99,25 @@ class GramIndex:
         scored = pairs.withColumn("score", fuzzy.indel_ratio("text", "name")).where(F.col("score") >= self.t - SLACK)
         best = F.max_by(F.struct("row_id", "score"), F.struct(F.col("score"), -F.col("row_id")))
         return scored.groupBy("query_id").agg(best.alias("b")).select("query_id", "b.row_id", "b.score")
+
+
+def matches_per_pair(queries: DataFrame, names: DataFrame, t: float) -> float:
+    """Matches of a pair of texts on average, from the ``SAMPLE_TEXTS`` texts of smallest hash of each side."""
+    left, right = ([r["text"] for r in df.orderBy(F.xxhash64("text"), "text").select("text").limit(SAMPLE_TEXTS).collect()] for df in (queries, names))
+    cut = [[[x[i : i + 2] for i in range(len(x) - 1)] for x in side] for side in (left, right)]
+    df = Counter(g for side in cut for grams in side for g in grams)
+    held = [Counter(g for grams in side for g in sorted(grams, key=lambda g: (df[g], g))[: _indexed(len(grams) + 1, t)]) for side in cut]
+    return sum(n * held[1][g] for g, n in held[0].items()) / max(len(left) * len(right), 1)
+
+
+@cache
+def _indexed(n: int, t: float) -> int:
+    """:func:`prefix_size` of one length."""
+    grow, most = (200.0 - t) / t, 0
+    for b in range(math.ceil(n / grow - SLACK), math.floor(n * grow + SLACK) + 1):
+        edits = math.floor((n + b) * (1.0 - t / 100.0) + SLACK)
+        edits -= (edits - (n - b)) % 2
+        x, y = (edits + n - b) // 2, (edits - n + b) // 2
+        if x >= 0 and y >= 0:
+            most = max(most, 2 * x + y)
+    return most + 1

@@ -29,7 +29,7 @@ from kindred.functions.columns import present_columns
 from kindred.functions.constants import VALUE_METADATA
 from kindred.functions.text import fold_name, match_key, sorted_tokens, token_name_score
 from kindred.operators.blocks import Kernel, rank_within, top_matches
-from kindred.operators.grams import LEAST_THRESHOLD, GramIndex
+from kindred.operators.grams import LEAST_THRESHOLD, GramIndex, matches_per_pair
 from kindred.session import cut_lineage, numbered, spread
 
 NEAR = 95.0
@@ -279,14 +279,12 @@ def best_fuzzy(queries: DataFrame, names: DataFrame, threshold: float, kernel=We
 def best_indel(queries: DataFrame, names: DataFrame, threshold: float) -> DataFrame:
     """:func:`best_fuzzy` under plain indel similarity, by the cheaper of two exact ways.
 
-    The bigram index pays where bigrams tell texts apart; how many matches it would make is
-    counted first.  Texts of few letters, all alike, go through the block join, which needs
-    less work per pair.
+    The bigram index pays where bigrams tell texts apart; its matches per pair are measured
+    first on a few texts of both sides.  Texts of few letters, all alike, go through the block
+    join, which needs less work per pair.
     """
-    if threshold >= LEAST_THRESHOLD:
-        index = GramIndex(queries, names, threshold)
-        if index.matches() * MATCH_COST <= queries.count() * names.count():
-            return index.best()
+    if threshold >= LEAST_THRESHOLD and matches_per_pair(queries, names, threshold) * MATCH_COST <= 1.0:
+        return GramIndex(queries, names, threshold).best()
     return best_fuzzy(queries, names, threshold, IndelKernel)
 
 

@@ -6,7 +6,7 @@ import pytest
 
 from kindred.functions import fuzzy
 from kindred.operators import linkage
-from kindred.operators.grams import GramIndex
+from kindred.operators.grams import GramIndex, matches_per_pair
 
 
 def names(rng, n):
@@ -71,5 +71,6 @@ def test_work_grows_with_matches_not_with_pairs(spark):
         n = spark.createDataFrame(list(enumerate(texts)), "row_id long, text string")
         index = GramIndex(q, n, 85.0)
         shares.append(index.candidates().count() / size**2)
-        assert index.matches() * linkage.MATCH_COST <= size**2
+        assert matches_per_pair(q, n, 85.0) == pytest.approx(index.matches() / size**2)
+        assert matches_per_pair(q, n, 85.0) * linkage.MATCH_COST <= 1
     assert max(shares) < 0.05
