@@ -31,13 +31,19 @@ PREPARED_BLOCKS = 8
 class Kernel:
     """Scores one block of queries against one block of candidates."""
 
+    #: Labels of several best lists that one scoring of a pair of blocks serves, if any.
+    lists: list[str] | None = None
+
     def prepare(self, block: pa.Table, is_query: bool):
         """Numpy form of a block; kept for query blocks, which recur."""
         raise NotImplementedError
 
     def score(self, queries, candidates, floor: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """``(query index, candidate index, score)`` of all pairs that may rank, given
-        the k-th best score each query has so far."""
+        the k-th best score each query has so far.
+
+        With ``lists`` a query has one index per list: ``query * len(lists) + list``.
+        """
         raise NotImplementedError
 
     # Name of a text column whose shortest and longest length describe a block, if any.
@@ -135,8 +141,12 @@ def top_matches(
     query_key: str = "query_id",
     key: str = "row_id",
 ) -> DataFrame:
-    """``(query_key, key, score, rank)``: best k candidates of every query."""
+    """``(query_key, key, score, rank)``: best k candidates of every query.
+
+    A kernel with several lists gives the best k of each, told apart by ``list``.
+    """
     pairs = block_pairs(queries, candidates, kernel, query_key, key)
+    several = len(kernel.lists) if kernel.lists else 1
     none = (np.empty(0, dtype=np.int64), np.empty(0, dtype=np.int64), np.empty(0))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -145,7 +155,10 @@ def top_matches(
 
         def drain() -> Iterator[pa.RecordBatch]:
             for ids, qi, rid, score in running.values():
-                yield pa.record_batch([pa.array(ids[qi]), pa.array(rid), pa.array(score)], names=[query_key, key, "score"])
+                columns = [pa.array(ids[qi // several]), pa.array(rid), pa.array(score)]
+                if kernel.lists:
+                    columns.append(pa.array(np.array(kernel.lists, dtype=object)[qi % several], pa.string()))
+                yield pa.record_batch(columns, names=[query_key, key, "score", "list"][: len(columns)])
             running.clear()
 
         for batch in batches:
@@ -159,7 +172,7 @@ def top_matches(
                 ids, ready = prepared[q_key]
                 block = pa.ipc.open_stream(batch["c_block"][i].as_buffer()).read_all()
                 _, qi, rid, score = running.get(q_key) or (ids, *none)
-                new_q, new_c, new_s = kernel.score(ready, kernel.prepare(block, False), _floors(qi, score, len(ids), k))
+                new_q, new_c, new_s = kernel.score(ready, kernel.prepare(block, False), _floors(qi, score, len(ids) * several, k))
                 new_rid = block[key].to_numpy()[new_c]
                 merged = _best(np.r_[qi, new_q], np.r_[rid, new_rid], np.r_[score, new_s], k)
                 running[q_key] = (ids, *merged)
@@ -167,11 +180,12 @@ def top_matches(
                     yield from drain()
         yield from drain()
 
-    partials = pairs.mapInArrow(run, f"{query_key} long, {key} long, score double")
-    return rank_within(partials, query_key, F.desc("score"), F.asc(key)).where(F.col("rank") <= k)
+    partials = pairs.mapInArrow(run, f"{query_key} long, {key} long, score double" + ", list string" * bool(kernel.lists))
+    keys = [query_key, "list"] if kernel.lists else query_key
+    return rank_within(partials, keys, F.desc("score"), F.asc(key)).where(F.col("rank") <= k)
 
 
-def rank_within(df: DataFrame, query_key: str, *order: Column) -> DataFrame:
+def rank_within(df: DataFrame, query_key: str | list[str], *order: Column) -> DataFrame:
     """``rank`` from 1 within each query.
 
     A later ``rank <= k`` filter is pushed below the shuffle by Spark's window

@@ -6,6 +6,7 @@ an equi-join on the retrieved rows, curated truth an equi-join on its edges.
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -137,7 +138,7 @@ def curated_hits(retrieved: DataFrame, queries: DataFrame, truth: DataFrame) ->
 
 def evaluate(
     profiles: DataFrame,
-    retrievers: dict,
+    retrievers: dict | Callable,
     k_values: list[int],
     n_queries: int | None = None,
     edges: DataFrame | None = None,
@@ -147,8 +148,9 @@ def evaluate(
     """Evaluation records of every variant under one or both methods.
 
     ``retrievers`` maps a variant label to ``retrieve(queries(query_id,
-    row_id), k)`` giving ``query_id, rank, player``.  Each variant is searched
-    once for the queries of all methods and all k together.
+    row_id), k)`` giving ``query_id, rank, player``; or it is one search for all
+    (``retrieval.Variants``), with its ``labels``.  Each variant is searched once
+    for the queries of all methods and all k together.
     """
     methods = []
     if by_position:
@@ -157,18 +159,14 @@ def evaluate(
         methods.append(("curated_benchmark", *curated_queries(edges, profiles), curated_hits))
     rows = reduce(DataFrame.unionByName, [q.select("row_id") for _, q, _, _ in methods]).distinct()
     asked = cut_lineage(rows.select(F.col("row_id").alias("query_id"), "row_id"))
-    found = reduce(
-        DataFrame.unionByName,
-        [
-            retrieve(asked, max(k_values)).select(
-                F.lit(label).alias("embedding_type"), F.col("query_id").alias("row_id"), "rank", F.col("player").alias("item")
-            )
-            for label, retrieve in retrievers.items()
-        ],
-    )
-    retrieved = cut_lineage(found)
+    if callable(retrievers):
+        variants, found = retrievers.labels, retrievers(asked, max(k_values))
+    else:
+        searches = [retrieve(asked, max(k_values)).withColumn("embedding_type", F.lit(label)) for label, retrieve in retrievers.items()]
+        variants, found = list(retrievers), reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), searches)
+    retrieved = cut_lineage(found.select("embedding_type", F.col("query_id").alias("row_id"), "rank", F.col("player").alias("item")))
     keys = ["embedding_type", "query_id"]
-    labels = F.explode(F.array(*[F.lit(label) for label in retrievers]))
+    labels = F.explode(F.array(*[F.lit(label) for label in variants]))
     frames = []
     for name, queries, truth, find_hits in methods:
         hits = find_hits(retrieved, queries, truth).select(*keys, "rank", "item")

@@ -126,11 +126,12 @@ class CosineKernel(Kernel):
 
     def score(self, q: dict, c: dict, floor: np.ndarray):
         dots = sum(q[b] @ c[b].T for b in self.weights if q[b].shape[1] and c[b].shape[1])
-        scale = np.outer(q["norm"], c["norm"])
+        return self._ranking(dots, np.outer(q["norm"], c["norm"]), self._allowed(q, c), q, floor)
+
+    def _ranking(self, dots: np.ndarray, scale: np.ndarray, allowed: np.ndarray | None, q: dict, floor: np.ndarray):
         score = np.divide(dots, scale, out=np.zeros_like(scale), where=scale > 0)
         np.round(score, SCORE_DECIMALS, out=score)
         limit = np.fmax(floor, q["min_similarity"]) if "min_similarity" in q else floor
-        allowed = self._allowed(q, c)
         if allowed is not None:
             score[~allowed] = -np.inf
         if score.shape[1] > self.k:
@@ -140,19 +141,50 @@ class CosineKernel(Kernel):
         return qi, ci, score[qi, ci]
 
 
+class VariantKernel(CosineKernel):
+    """One best list per variant of weights; a pair of blocks is multiplied once for all."""
+
+    def __init__(self, variants: dict[str, Weights], k: int, nulls_pass: bool = True):
+        self.blocks = list(dict.fromkeys(b for weights in variants.values() for b in weights))
+        super().__init__(dict.fromkeys(self.blocks, 1.0), k, nulls_pass)
+        self.lists = list(variants)
+        self.squares = [{b: w * w for b, w in weights.items()} for weights in variants.values()]
+
+    def prepare(self, block: pa.Table, is_query: bool) -> dict:
+        ready = super().prepare(block, is_query)
+        own = {b: (ready[b] * ready[b]).sum(axis=1) for b in self.blocks}
+        ready["norms"] = [np.sqrt(sum(w * own[b] for b, w in squares.items())) for squares in self.squares]
+        return ready
+
+    def score(self, q: dict, c: dict, floor: np.ndarray):
+        dots = {b: q[b] @ c[b].T if q[b].shape[1] and c[b].shape[1] else 0.0 for b in self.blocks}
+        allowed, found = self._allowed(q, c), []
+        for at, squares in enumerate(self.squares):
+            total = sum(w * dots[b] for b, w in squares.items())
+            scale = np.outer(q["norms"][at], c["norms"][at])
+            qi, ci, score = self._ranking(np.broadcast_to(total, scale.shape), scale, allowed, q, floor[at :: len(self.lists)])
+            found.append((qi * len(self.lists) + at, ci, score))
+        return tuple(np.concatenate(x) for x in zip(*found))
+
+
 def nearest(
     profiles: DataFrame,
     queries: DataFrame,
-    weights: Weights,
+    weights: Weights | dict[str, Weights],
     k: int,
     nulls_pass: bool = True,
     flag_col: str = "is_world_cup",
 ) -> DataFrame:
     """``(query_id, row_id, score, rank)`` for queries that already hold vectors.
 
+    Labelled weights give one list per label, in column ``list``, by one pass over the pairs.
+
     Any column of ``LIMITS`` present in ``queries`` is applied per query.  Only
     the columns the kernel reads are taken from the profiles.
     """
+    several = all(isinstance(w, dict) for w in weights.values())
+    kernel = (VariantKernel if several else CosineKernel)(weights, k, nulls_pass)
+    weights = kernel.weights
     used = [c for c in LIMITS if c in queries.columns]
     readers: dict[str, Column] = {
         "pos": F.col("pos") if "pos" in profiles.columns else F.lit(None).cast("string"),
@@ -163,7 +195,7 @@ def nearest(
     needed = [LIMITS[c] for c in used if LIMITS[c]]
     candidates = profiles.select("row_id", *weights, *[readers[n].alias(n) for n in needed])
     block = queries.select("query_id", *weights, *used)
-    return top_matches(block, candidates, CosineKernel(weights, k, nulls_pass), k)
+    return top_matches(block, candidates, kernel, k)
 
 
 # ------------------------------------------------------------------- result shape
@@ -205,6 +237,19 @@ def find_similar(
     return describe(nearest(pool, block, weights, k), profiles, columns)
 
 
+class Variants:
+    """Mode 1 under several weights at once: ``(query_id, rank, player, embedding_type)`` for ``queries(query_id, row_id)``."""
+
+    def __init__(self, profiles: DataFrame, variants: dict[str, Weights]):
+        self.profiles, self.variants, self.labels = profiles, variants, list(variants)
+
+    def __call__(self, queries: DataFrame, k: int) -> DataFrame:
+        blocks = list(dict.fromkeys(b for weights in self.variants.values() for b in weights))
+        asked = with_query_profile(queries, self.profiles, blocks).withColumn("exclude_row_id", F.col("row_id"))
+        found = nearest(self.profiles, asked, self.variants, k)
+        return describe(found, self.profiles, ["player"]).withColumnRenamed("list", "embedding_type")
+
+
 def find_budget_replacement(
     profiles: DataFrame,
     queries: DataFrame,

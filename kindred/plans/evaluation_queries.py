@@ -139,12 +139,8 @@ def eval_comparison_grouping_sets(spark, sf_dir):
     from kindred.operators.features import unit_blocks
 
     p = unit_blocks(block_profiles(spark, sf_dir), ["stat", "text"])
-    retrievers = {
-        "stat": _retriever(p, {"stat": 1.0}),
-        "text": _retriever(p, {"text": 1.0}),
-        "hybrid": _retriever(p, R.stat_text_weights(0.6)),
-    }
-    return M.summarise_levels(M.evaluate(p, retrievers, KS, edges=_edges(p)))
+    variants = R.Variants(p, {"stat": {"stat": 1.0}, "text": {"text": 1.0}, "hybrid": R.stat_text_weights(0.6)})
+    return M.summarise_levels(M.evaluate(p, variants, KS, edges=_edges(p)))
 
 
 @query(
