@@ -14,7 +14,7 @@ from kindred.functions.columns import as_double, quoted
 from kindred.functions.constants import MODEL_FEATURES
 from kindred.functions.text import profile_sentence
 from kindred.functions.vectors import l2_normalise
-from kindred.session import spread
+from kindred.session import cut_lineage, spread
 
 TEXT_DIMS = 384
 
@@ -114,8 +114,12 @@ def _term_counts(df: DataFrame, key: str, text_col: str, dims: int) -> DataFrame
 
 def bucket_idf(df: DataFrame, key: str, text_col: str = "profile", dims: int = TEXT_DIMS) -> DataFrame:
     """``(bucket, idf)``: at most ``dims`` rows, counted over all rows of ``df``."""
+    return _idf(df, _term_counts(df, key, text_col, dims))
+
+
+def _idf(df: DataFrame, counts: DataFrame) -> DataFrame:
     n = df.agg(F.count(F.lit(1))).scalar()
-    seen = _term_counts(df, key, text_col, dims).groupBy("bucket").agg(F.count(F.lit(1)).alias("df"))
+    seen = counts.groupBy("bucket").agg(F.count(F.lit(1)).alias("df"))
     return seen.select("bucket", F.log((n + 1.0) / (F.col("df") + 1.0)).alias("idf"))
 
 
@@ -124,7 +128,18 @@ def bucket_vectors(df: DataFrame, idf: DataFrame, key: str, text_col: str = "pro
 
     A row without a weighed term gets a zero vector.
     """
-    weighed = _term_counts(df, key, text_col, dims).join(F.broadcast(idf), "bucket").select(key, "bucket", (F.col("tf") * F.col("idf")).alias("w"))
+    return _vectors(df, _term_counts(df, key, text_col, dims), idf, key, dims, out)
+
+
+def bucket_encode(df: DataFrame, key: str, text_col: str = "profile", dims: int = TEXT_DIMS, out: str = "text") -> tuple[DataFrame, DataFrame]:
+    """:func:`bucket_idf` of ``df`` and its :func:`bucket_vectors`, both written; terms are cut and counted once."""
+    counts = cut_lineage(_term_counts(df, key, text_col, dims))
+    idf = cut_lineage(_idf(df, counts))
+    return idf, cut_lineage(_vectors(df, counts, idf, key, dims, out).drop(text_col))
+
+
+def _vectors(df: DataFrame, counts: DataFrame, idf: DataFrame, key: str, dims: int, out: str) -> DataFrame:
+    weighed = counts.join(F.broadcast(idf), "bucket").select(key, "bucket", (F.col("tf") * F.col("idf")).alias("w"))
     held = weighed.groupBy(key).agg(F.map_from_entries(F.collect_list(F.struct("bucket", "w"))).alias("_held"))
     spots = F.sequence(F.lit(0).cast("long"), F.lit(dims - 1).cast("long"))
     vector = F.transform(spots, lambda i: F.coalesce(F.try_element_at("_held", i), F.lit(0.0)))

@@ -261,9 +261,8 @@ def description_search(spark, sf_dir):
     docs = table(spark, sf_dir, "documents").select(
         F.col("doc_id").alias("row_id"), F.col("source").alias("player"), F.col("lang").alias("pos"), F.col("text").alias("profile")
     )
-    idf = E.bucket_idf(docs, "row_id")
+    idf, encoded = E.bucket_encode(docs, "row_id")
     wanted = table(spark, sf_dir, "benchmark").select(F.col("item_id").alias("query_id"), F.col("text").alias("profile"))
-    encoded = E.bucket_vectors(docs, idf, "row_id").drop("profile")
     asked = E.bucket_vectors(wanted, idf, "query_id").drop("profile")
     found = search(encoded, asked, "text", k=10, columns=["player", "pos"])
     return found.select("query_id", "rank", "row_id", "player", "pos", "similarity")
