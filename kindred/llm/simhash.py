@@ -19,6 +19,7 @@ never the smallest unless a component has no other; an empty table gives an empt
 from __future__ import annotations
 
 import math
+from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
@@ -123,8 +124,7 @@ def _leaves(a, b, al, ah, bl, bh, budget, alone):
 
 def _node_pairs(nodes: DataFrame, depth: int, budget: int) -> DataFrame:
     """Pairs ``(a, b)`` of nodes of one depth within the budget, each once."""
-    masks = [0, *(1 << i for i in range(depth)), *((1 << i) | (1 << j) for i in range(depth) for j in range(i))]
-    masks = [m for m in masks if bin(m).count("1") <= budget]
+    masks = [sum(1 << i for i in bits) for n in range(min(budget, depth) + 1) for bits in combinations(range(depth), n)]
     flipped = nodes.select(F.col("node").alias("a"), F.col("n").alias("na"), F.explode(F.array(*[F.lit(m).cast("long") for m in masks])).alias("m"))
     flipped = flipped.withColumn("b", F.col("a").bitwiseXOR(F.col("m"))).where("a <= b").drop("m")
     return flipped.join(nodes.select(F.col("node").alias("b"), F.col("n").alias("nb")), "b").select("a", "b", "na", "nb")

@@ -96,6 +96,15 @@ def test_crowded_trie_nodes_are_split(spark, monkeypatch):
     assert all((of(i) == of(j)) == (expected[i] == expected[j]) for i in range(len(fps)) for j in range(i))
 
 
+def test_links_beyond_two_bits(spark):
+    top = [0, 0b111 << 61, 0b111 << 40, 0b1111 << 60, 0b11011 << 59]
+    df = spark.createDataFrame([(x - (1 << 64) if x >> 63 else x,) for x in top], "fp long")
+    got = {r["node"]: r["root"] for r in connected_components(S.fingerprint_links(df, 5, budget=3)).collect()}
+    of = lambda x: got.get(x - (1 << 64) if x >> 63 else x, x - (1 << 64) if x >> 63 else x)
+    expected = roots(5, [(i, j) for i in range(5) for j in range(i) if (top[i] ^ top[j]).bit_count() <= 3])
+    assert all((of(top[i]) == of(top[j])) == (expected[i] == expected[j]) for i in range(5) for j in range(i))
+
+
 def test_one_document_of_each_group_stays(nasty, no_docs):
     kept = S.one_of_each(nasty)
     assert kept.columns == nasty.columns
