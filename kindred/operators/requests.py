@@ -12,7 +12,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from kindred.functions import constants as K
-from kindred.functions.text import drop_phrases, whole_word
+from kindred.functions.columns import detect_col
+from kindred.functions.text import drop_phrases, label_to_code, whole_word
 from kindred.functions.positions import broad_group, contains_code
 from kindred.functions.vectors import cosine
 from kindred.operators import retrieval as R
@@ -169,12 +170,20 @@ def reference_names(requests: DataFrame, profiles: DataFrame) -> DataFrame:
 
 
 def parse_requests(requests: DataFrame, profiles: DataFrame | None = None) -> DataFrame:
-    """All criteria of every request; without profiles no reference name is sought."""
+    """All criteria of every request; without profiles no reference name is sought.
+
+    A column ``chosen`` names the reference beside the text; where it is given, the text is not
+    searched for one (``step`` is then ``chosen``).
+    """
     text = F.lower("query")
     if profiles is None:
         named = requests.withColumns({c: F.lit(None).cast("string") for c in ["reference", "segment", "step"]})
     else:
-        named = requests.join(reference_names(requests, profiles), "query_id", "left")
+        open_requests = requests.where("chosen IS NULL") if "chosen" in requests.columns else requests
+        named = requests.join(reference_names(open_requests, profiles), "query_id", "left")
+    if "chosen" in requests.columns:
+        given = {"reference": F.col("chosen"), "segment": F.lower("chosen"), "step": F.lit("chosen")}
+        named = named.withColumns({c: F.when(F.col("chosen").isNotNull(), value).otherwise(F.col(c)) for c, value in given.items()})
     parsed = named.withColumns(
         {
             "budget": budget(text),
@@ -207,9 +216,13 @@ def answer_requests(
 
     ``encode_style`` adds the vector ``text_col`` to a frame with ``profile``.
     Rows after the first cut are filtered, not refilled, and keep their rank
-    unless the style text re-ranks them.
+    unless the style text re-ranks them.  An array ``countries`` of labels or
+    codes selects last, before the first ``shown`` are shown; empty or NULL
+    keeps all, as do profiles without a nation column.
     """
-    columns = ["player", "pos", "is_world_cup"]
+    nation = detect_col(profiles, ["nation", "nationality_tm"])
+    selects = nation is not None and "countries" in parsed.columns
+    columns = ["player", "pos", "is_world_cup", *([nation] if selects else [])]
     names = profiles.groupBy(F.lower("player").alias("name_key")).agg(F.max("row_id").alias("row_id"))
     # Style of a reference request, else the description with its fixed default.
     wording = F.when(F.col("style") != "", F.col("style")).when(F.col("route") == "description", K.DEFAULT_DESCRIPTION)
@@ -246,4 +259,8 @@ def answer_requests(
     found = R.description_search(profiles, described, text_col, 10, columns)
     result = ["query_id", "rank", "row_id", "similarity", *columns]
     stacked = reduce(DataFrame.unionByName, [x.select(*result) for x in (restyled, plain, found)])
-    return R.first_shown(stacked, F.lit(True), shown)
+    keep = F.lit(True)
+    if selects:
+        stacked = stacked.join(parsed.select("query_id", F.transform("countries", label_to_code).alias("_codes")), "query_id")
+        keep = (F.coalesce(F.size("_codes"), F.lit(0)) <= 0) | F.coalesce(F.array_contains("_codes", F.upper(nation)), F.lit(False))
+    return R.first_shown(stacked, keep, shown).select(*result)

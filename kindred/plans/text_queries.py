@@ -13,7 +13,7 @@ from kindred.operators import requests as Q
 from kindred.operators.features import encode_text, text_pipeline, unit_blocks
 from kindred.operators.retrieval import stat_text_weights
 from kindred.plans.registry import query
-from kindred.plans.tables import PEOPLE_SQL, block_profiles, people, table
+from kindred.plans.tables import PEOPLE_SQL, PROFILES_SQL, block_profiles, people, profiles, table
 from kindred.session import cut_lineage, spread
 from kindred.sources import html as H
 from kindred.sources.synthetic import synthesise
@@ -353,6 +353,38 @@ def request_answers(spark, sf_dir):
     )
 
 
+_NATIONS = ["ENG", "FRA", "BRA", "ESP", "GER"]
+
+
+@query(
+    "request_chosen",
+    "WITH " + PROFILES_SQL + f""",
+people AS (SELECT *, list_extract({_NATIONS!r}, (row_id % 5 + 1)::INTEGER) AS nation FROM profiles),
+asked AS (
+  SELECT q.row_id AS query_id, r.row_id, r.vec, CASE q.row_id % 3 WHEN 1 THEN ['ENG'] WHEN 2 THEN ['FRA', 'BRA'] END AS codes
+  FROM people q JOIN people r ON r.row_id = (q.row_id * 7 + 3) % (SELECT count(*) FROM people)),
+ranked AS (
+  SELECT query_id, codes, c.row_id, c.player, c.nation, round(list_cosine_similarity(a.vec, c.vec), 12) AS score,
+         row_number() OVER (PARTITION BY query_id ORDER BY round(list_cosine_similarity(a.vec, c.vec), 12) DESC, c.row_id)::INTEGER AS rank
+  FROM asked a JOIN people c ON c.row_id <> a.row_id),
+kept AS (
+  SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY rank) AS shown FROM ranked
+  WHERE rank <= 25 AND (codes IS NULL OR list_contains(codes, nation)))
+SELECT query_id, rank, row_id, player, nation, round_even(score, 4) AS similarity FROM kept WHERE shown <= 5""",
+)
+def request_chosen(spark, sf_dir):
+    """Requests with a reference chosen beside the text, and with countries selected after the cut."""
+    p = profiles(spark, sf_dir).withColumn("nation", F.element_at(F.array(*[F.lit(x) for x in _NATIONS]), (F.col("row_id") % 5).cast("int") + 1))
+    n = p.agg(F.count(F.lit(1))).scalar()
+    kind, nobody = F.col("row_id") % 3, F.lit(None).cast("array<string>")
+    countries = F.when(kind == 1, F.array(F.lit("eng"))).when(kind == 2, F.array(F.lit("France"), F.lit("BRA"))).otherwise(nobody)
+    wanted = p.select(F.col("row_id").alias("query_id"), countries.alias("countries"), ((F.col("row_id") * 7 + 3) % n).alias("row_id"))
+    asked = wanted.join(p.select("row_id", F.col("player").alias("chosen")), "row_id").select("query_id", "countries", "chosen", F.lower("chosen").alias("query"))
+    parsed = cut_lineage(Q.parse_requests(asked, p))
+    answered = Q.answer_requests(parsed, p, {"vec": 1.0}, "vec", lambda d: d.withColumn("vec", F.lit(None).cast("array<double>")))
+    return answered.select("query_id", "rank", "row_id", "player", "nation", "similarity")
+
+
 # ------------------------------------------------------------------- enrichment
 
 

@@ -286,3 +286,12 @@ def test_requests(spark, query, expected):
     # Without names for the requests that mention none: a scan of all word runs may find a weak match.
     parsed = parse_requests(asked, names if expected[0] else None).first()
     assert (parsed.reference, parsed.budget, parsed.position, parsed.wants_flag, parsed.route) == expected
+
+
+def test_chosen_reference_is_not_searched_for(spark):
+    people = spark.createDataFrame([(1, "Zeta Silva"), (2, "Ana Costa")], "row_id long, player string")
+    asked = spark.createDataFrame(
+        [(1, "quick like Ana Costa", "Zeta Silva"), (2, "quick like Ana Costa", None)], "query_id long, query string, chosen string"
+    )
+    found = {r["query_id"]: (r["reference"], r["step"]) for r in parse_requests(asked, people).collect()}
+    assert found == {1: ("Zeta Silva", "chosen"), 2: ("Ana Costa", "mention")}
