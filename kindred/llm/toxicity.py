@@ -56,7 +56,7 @@ THEMES = {
 MINED_LISTS = 4
 PATTERNS = 6
 VOTERS = len(THEMES) + MINED_LISTS + PATTERNS
-SHOUT = re.compile(r"!{2,}|\b[A-Z]{4,}\b").search
+CAPITALS, SHOUT = re.compile("[A-Z]{4}").search, re.compile(r"\b[A-Z]{4,}\b").search
 #: Agreement given the class (as a correlation) from which two voters are modelled together, and voters of one block.
 CORRELATED, BLOCK = 0.15, 6
 #: How far a given label is trusted at least, in either class.
@@ -99,7 +99,7 @@ class Reader:
         distinct = set(words)
         self._look(distinct - self.seen)
         found, at = self.hostile.keys() & distinct, len(self.lists)
-        bits = (SHOUT(text) is not None) << at + 5
+        bits = ("!!" in text or CAPITALS(text) is not None and SHOUT(text) is not None) << at + 5
         if found:
             said = sum(w in found for w in words)
             for w in found:
@@ -225,20 +225,20 @@ class Scorer:
     """Scores texts with fitted weights; a word's share of the sum is remembered."""
 
     def __init__(self, mined: list[str], weights: np.ndarray):
-        self.read, self.weights, self.known = Reader(mined), weights, {}
+        self.read, self.weights = Reader(mined), weights.tolist()
+        self.share, self.count = {}, {}  # of each word: its weights' sum, its terms
         self.dense = weights[WEIGHTS:].tolist()
 
     def __call__(self, text: str) -> float:
         words, bits = self.read(text)
-        new = words.difference(self.known)
-        if len(self.known) + len(new) > CACHE_WORDS:
-            self.known, new = {}, words
+        new = words.difference(self.share)
+        if len(self.share) + len(new) > CACHE_WORDS:
+            self.share, self.count, new = {}, {}, words
         for w in new:
-            places = [crc(t) & (WEIGHTS - 1) for t in terms_of(w)]
-            self.known[w] = (math.fsum(self.weights[places]), len(places))
-        total, n = 0.0, 0
-        shares = list(map(self.known.__getitem__, words))
-        total, n = math.fsum(x for x, _ in shares), sum(k for _, k in shares)
+            terms = terms_of(w)
+            self.share[w] = math.fsum([self.weights[crc(t) & (WEIGHTS - 1)] for t in terms])
+            self.count[w] = len(terms)
+        total, n = math.fsum(map(self.share.__getitem__, words)), sum(map(self.count.__getitem__, words))
         return _sigmoid(total / math.sqrt(max(n, 1)) + sum(x for j, x in enumerate(self.dense[:-1]) if bits >> j & 1) + self.dense[-1])
 
 
