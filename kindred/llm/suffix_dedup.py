@@ -4,16 +4,17 @@ Which strings can be equal is found by anchors.  A string's anchor is the place
 smallest hash among its ``GRAM``-byte pieces, so equal strings have equal anchors at equal
 places.  Anchors of all documents are counted by hash; strings whose anchor hash occurs once
 are done.  The strings of one anchor stand next to each other and make up its *token*
-(``LENGTH`` bytes and a few more); an anchor hash with one token only, met twice or more, is
-repeated as a whole (two 64-bit hashes of it agree, over the gram and over the whole).
+(``LENGTH`` bytes and a few more); a token met twice or more is repeated as a whole (two 64-bit
+hashes of it agree, over the anchor's gram and over the whole).
 
-The other tokens, which lie at the edges of what is repeated, are sorted: their suffixes are
-compared by prefix polynomial hashes and bisection for the common extension, merged bottom-up,
-and each pair of neighbours with an extension of ``LENGTH`` or more is verified byte by byte.
+Tokens met once under an anchor that has others, which lie at the edges of what is repeated, are
+sorted with one representative of each of those others: their suffixes are compared by prefix
+polynomial hashes and bisection for the common extension, merged bottom-up, and each pair of
+neighbours with an extension of ``LENGTH`` or more is verified byte by byte.
 
 Spark does the counting, joins and grouping; tasks see documents one by one, or the tokens of
-some anchors.  An anchor met more than ``HOT_TOKENS`` times with different tokens is dealt
-string by string instead, so no group is larger than that.
+some anchors.  Copies add to counts only, so a group holds different tokens; an anchor with more
+than ``HOT_TOKENS`` different ones is dealt string by string instead.
 
 Defined cases: a NULL text counts as empty; texts under ``LENGTH`` bytes keep every byte;
 rows of equal doc_id and repeated rows are separate texts, so repeated rows of ``LENGTH``
@@ -39,6 +40,8 @@ HOT_TOKENS = 1 << 16
 #: Bytes of texts hashed at once, tokens a task dedups before passing on, tokens it sorts together.
 CHUNK, PASS_ON, TOGETHER = 1 << 18, 50_000, 20_000
 NO_ID = -(1 << 63)
+#: Low bits of a mark: how its token is sorted (0: it is repeated as a whole), and whether it only represents its copies.
+EDGE, HOT, HOW, SHOWN = 1, 2, 3, 4
 FACTORS = (0x9E3779B97F4A7C15, 0xD1342543DE82EF95)  # odd, so they have inverses modulo 2^64
 #: Bits of a ranked gram that hold its place in a chunk.
 PLACE = np.uint64((1 << 21) - 1)
@@ -256,53 +259,53 @@ def _bytes(value) -> bytes:
 
 
 def _anchors(docs: DataFrame, placed: bool) -> DataFrame:
-    """``(a, t)`` of every anchor, or ``(a, _id, _h, m)`` with its run in its document.
+    """``(a, t)`` of every anchor, or ``(a, t, _id, _h, m)`` with its run in its document.
 
     ``m`` packs a run's first start, its length less one and the anchor's distance.
     """
-    schema = "a long, _id long, _h long, m long" if placed else "a long, t long"
+    schema = "a long, t long, _id long, _h long, m long" if placed else "a long, t long"
+    names = [x.split()[0] for x in schema.split(", ")]
 
     def run(batches):
         for batch in batches:
             texts = [_bytes(x) for x in batch.column(0)]
             for owner, anchor, start, stop, token, off in anchor_runs(texts):
-                columns = [pa.array(anchor.view(np.int64))]
+                columns = [pa.array(anchor.view(np.int64)), pa.array(token.view(np.int64))]
                 if placed:
                     own = pa.array(owner)
-                    columns += [batch.column(1).take(own), batch.column(2).take(own), pa.array(start << 18 | (stop - start) << 10 | off << 2)]
-                else:
-                    columns.append(pa.array(token.view(np.int64)))
-                yield pa.RecordBatch.from_arrays(columns, names=["a", "_id", "_h", "m"] if placed else ["a", "t"])
+                    columns += [batch.column(1).take(own), batch.column(2).take(own), pa.array(start << 19 | (stop - start) << 11 | off << 3)]
+                yield pa.RecordBatch.from_arrays(columns, names=names)
 
     return docs.select("text", "_id", "_h").mapInArrow(run, schema)
 
 
 def _run_of(mark: int) -> tuple[int, int]:
     """First and last start of a packed run."""
-    start = mark >> 18
-    return start, start + (mark >> 10 & 255)
+    start = mark >> 19
+    return start, start + (mark >> 11 & 255)
 
 
 def _tokens_of(data: bytes, marks: list[dict]):
-    """Group, hash, anchor distance, bytes and first start of the tokens at edges (kind 1), or
-    of their single strings where the anchor is hot (kind 2)."""
+    """Group, hash, anchor distance, bytes and first start of the tokens to sort (``EDGE``), or
+    of their single strings where the anchor is hot (``HOT``)."""
     digest = xxhash.xxh3_64_intdigest
     for mark in marks:
-        (s, e), kind = _run_of(mark["m"]), mark["m"] & 3
-        if kind == 1:
+        (s, e), kind = _run_of(mark["m"]), mark["m"] & HOW
+        if kind == EDGE:
             token = data[s : e + LENGTH]
-            yield mark["a"], digest(token) - (1 << 63), mark["m"] >> 2 & 255, token, s
-        elif kind == 2:
+            yield mark["a"], digest(token) - (1 << 63), mark["m"] >> 3 & 255, token, s
+        elif kind == HOT:
             for p in range(s, e + 1):
                 token = data[p : p + LENGTH]
                 yield digest(token, 1) - (1 << 63), digest(token) - (1 << 63), 0, token, p
 
 
 def _edge_tokens(listed: DataFrame, references: bool) -> DataFrame:
-    """Tokens of the marked anchors of kinds 1 and 2.
+    """Tokens of the marks to sort.
 
     Without ``references``: group, token hash, anchor distance, bytes, number of places, summed
-    up within a task.  With them: group, token hash and the place ``(_id, _h, s)``.
+    up within a task.  With them: group, token hash and the place ``(_id, _h, s)``, but for the
+    representatives, whose places are settled.
     """
     schema = "g long, t long, _id long, _h long, s long" if references else "g long, t long, off int, bytes binary, n long"
     kinds = (pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.int64()) if references else (pa.int64(), pa.int64(), pa.int32(), pa.binary(), pa.int64())
@@ -316,7 +319,7 @@ def _edge_tokens(listed: DataFrame, references: bool) -> DataFrame:
         for batch in batches:
             places: list[tuple] = []
             for i, marks in enumerate(batch.column(3).to_pylist()):
-                marks = [m for m in marks or () if m["m"] & 3]
+                marks = [m for m in marks or () if m["m"] & HOW and not (references and m["m"] & SHOWN)]
                 if not marks:
                     continue
                 for g, t, off, data, s in _tokens_of(_bytes(batch.column(0)[i]), marks):
@@ -385,7 +388,7 @@ RESULT = "n_bytes long, n_removed long, n_spans long, kept_sha256 string, spans
 
 
 def _results(joined: DataFrame, doc_id: str) -> DataFrame:
-    """Digest of every document from its whole runs (marks 0) and its settled ranges."""
+    """Digest of every document from its whole runs (marks without a kind) and its settled ranges."""
     schema = f"doc_id long, {RESULT}"
 
     def run(batches):
@@ -393,7 +396,7 @@ def _results(joined: DataFrame, doc_id: str) -> DataFrame:
             rows = []
             for doc, value, marks, edges in zip(*(batch.column(i) for i in range(4))):
                 data, marks, edges = _bytes(value), marks.as_py() or (), edges.as_py() or ()
-                pairs = [_run_of(m["m"]) for m in marks if not m["m"] & 3]
+                pairs = [_run_of(m["m"]) for m in marks if not m["m"] & HOW]
                 pairs += [(e["s"] + a, e["s"] + b) for e in edges for a, b in zip(e["ranges"][::2], e["ranges"][1::2])]
                 gone = np.zeros(len(data) + 1, dtype=np.int32)
                 if pairs:
@@ -417,13 +420,28 @@ def suffix_dedup(docs: DataFrame) -> DataFrame:
     ``spans`` holds the first and last byte of every removed run, one after the other.
     """
     rows = only(docs, "doc_id", "text").withColumns({"_id": F.coalesce("doc_id", F.lit(NO_ID)), "_h": F.xxhash64("text")})
-    counted = _anchors(rows, placed=False).groupBy("a").agg(F.count(F.lit(1)).alias("n"), F.min("t").alias("low"), F.max("t").alias("high"))
-    kind = F.when(F.col("low") == F.col("high"), 0).when(F.col("n") <= HOT_TOKENS, 1).otherwise(2)
-    repeated = cut_lineage(counted.where("n > 1").select("a", kind.alias("kind")))  # written, so that Spark may split hot anchors in the join
-    mark = F.struct((F.col("m") + F.col("kind")).alias("m"), F.when(F.col("kind") > 0, F.col("a")).alias("a"))
-    marks = _anchors(rows, placed=True).join(repeated, "a").groupBy("_id", "_h").agg(F.collect_list(mark).alias("marks"))
+    # sets: rows of one id and text hold the same marks
+    marks = _marks(rows).groupBy("_id", "_h").agg(F.collect_set(F.struct("m", "a")).alias("marks"))
     listed = rows.join(marks, ["_id", "_h"], "left")  # the same plan three times, so texts are shuffled once
     settled = _settled(_edge_tokens(listed, references=False)).where(F.size("ranges") > 0)
     places = _edge_tokens(listed, references=True)
     edges = places.join(settled, ["g", "t"]).groupBy("_id", "_h").agg(F.collect_list(F.struct("s", "ranges")).alias("edges"))
     return _results(listed.join(edges, ["_id", "_h"], "left"), "doc_id")
+
+
+def _marks(rows: DataFrame) -> DataFrame:
+    """``(_id, _h, m, a)``: runs repeated as a whole, and those to sort with their anchor.
+
+    Tables are written where Spark is to split hot anchors or tokens in the next join.
+    """
+    counted = _anchors(rows, placed=False).groupBy("a").agg(F.count(F.lit(1)).alias("n"), F.min("t").alias("low"), F.max("t").alias("high"))
+    repeated = cut_lineage(counted.where("n > 1").select("a", (F.col("low") != F.col("high")).alias("mixed")))
+    hits = cut_lineage(_anchors(rows, placed=True).join(repeated, "a"))
+    mixed = hits.where("mixed")
+    # one place of each token: of a token met once its only one, else any, all of one row
+    tokens = cut_lineage(mixed.groupBy("a", "t").agg(F.count(F.lit(1)).alias("n"), *[F.first(c).alias(c) for c in ("_id", "_h", "m")]))
+    crowded = tokens.groupBy("a").agg(F.count(F.lit(1)).alias("k")).where(F.col("k") > HOT_TOKENS)
+    kind = F.when(F.col("k").isNull(), EDGE).otherwise(HOT) + F.when(F.col("n") > 1, SHOWN).otherwise(0)
+    sorted_ = tokens.join(crowded, "a", "left").select("_id", "_h", (F.col("m") + kind).alias("m"), "a")
+    whole = hits.where("not mixed").unionByName(mixed.join(tokens.where("n > 1").select("a", "t"), ["a", "t"]))
+    return whole.select("_id", "_h", "m", F.lit(None).cast("long").alias("a")).unionByName(sorted_)

@@ -240,3 +240,22 @@ def test_suffix_dedup_tells_texts_of_one_id_and_one_32_bit_hash_apart(spark):
     df = spark.createDataFrame(rows, "doc_id long, text string")
     assert len({r[0] for r in df.where("doc_id IS NULL").selectExpr("hash(text)").collect()}) == 1
     assert sorted((r["n_bytes"], r["n_removed"]) for r in D.suffix_dedup(df).collect()) == [(12, 0), (325, 325), (330, 325)]
+
+
+def test_suffix_dedup_of_many_equal_rows_and_of_near_copies(spark):
+    rng = random.Random(8)
+    word = lambda: "".join(rng.choice("abcdefgh") for _ in range(6))
+    equal = " ".join(word() for _ in range(300))
+    base = [word() for _ in range(90)]
+    rows = [(None, equal)] * 1500 + [(7, equal)] * 500
+    for i in range(150):
+        near = list(base)
+        near[rng.randrange(90)] = word()
+        rows.append((1000 + i, " ".join(near)))
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(8)
+    found = collections.Counter((r["doc_id"], r["n_bytes"], r["n_removed"], r["n_spans"], r["kept_sha256"]) for r in D.suffix_dedup(df).collect())
+    # two of the equal rows are as good as all to the plain search
+    few = rows[:2] + rows[2000:]
+    expected = [(i, *x) for (i, _), x in zip(few, plain_substrings([t.encode() for _, t in few]))]
+    assert found.pop(expected[0]) == 1500 and found.pop((7, *expected[0][1:])) == 500
+    assert found == collections.Counter(expected[2:])
