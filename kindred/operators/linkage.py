@@ -386,7 +386,8 @@ def fuzzy_join(left: DataFrame, right: DataFrame, threshold: float = 85.0, metad
 
 # ---------------------------------------------------------------- name resolution
 
-GRAM_SIZES = (1, 2, 3)
+#: First letters under which queries and places in names are brought together.
+HEAD = 3
 
 
 def name_dimension(profiles: DataFrame) -> DataFrame:
@@ -396,37 +397,26 @@ def name_dimension(profiles: DataFrame) -> DataFrame:
     )
 
 
-def _grams(text: Column, sizes: tuple[int, ...]) -> Column:
-    """Distinct substrings of the given sizes."""
-
-    def of_size(k: int) -> Column:
-        last = F.length(text) - k
-        cut = F.transform(F.sequence(F.lit(0), F.greatest(last, F.lit(0))), lambda i: F.substring(text, i + 1, F.lit(k)))
-        return F.when(last >= 0, cut).otherwise(F.array().cast("array<string>"))
-
-    return F.array_distinct(F.concat(*[of_size(k) for k in sizes]))
-
-
 def containing_names(queries: DataFrame, names: DataFrame) -> DataFrame:
     """``(query_id, ord, hits)``: first name that contains the query text, and how many do.
 
-    Every gram of a contained text is a gram of the name, so a query meets
-    names through its rarest gram only; a gram no name has ends the query.
+    Every place of a name begins a suffix.  A suffix is cut to the lengths of the query texts that
+    begin with its first ``HEAD`` letters, and the cuts are counted by their letters, each name once,
+    before any query sees them: a text then meets one row, its own, however many names hold it.
+    Equal query texts are answered once; an empty text has no row.
     """
-    spaced = spread(names.select("ord", "name"), "ord")
-    index = spaced.select("ord", "name", F.explode(_grams(F.col("name"), GRAM_SIZES)).alias("gram"))
-    frequency = index.groupBy("gram").agg(F.count(F.lit(1)).alias("df"))
-    own = F.when(F.length("text") >= 3, _grams(F.col("text"), (3,))).when(
-        F.length("text") == 2, _grams(F.col("text"), (2,))
-    ).otherwise(_grams(F.col("text"), (1,)))
-    asked = queries.where(F.length("text") > 0).select("query_id", "text", F.explode(own).alias("gram"))
-    rarest = (
-        asked.join(frequency, "gram", "left")
-        .groupBy("query_id", "text")
-        .agg(F.min_by("gram", F.struct(F.coalesce("df", F.lit(0)), F.col("gram"))).alias("gram"))
-    )
-    met = rarest.join(index, "gram").where(F.contains(F.col("name"), F.col("text")))
-    return met.groupBy("query_id").agg(F.min("ord").alias("ord"), F.count(F.lit(1)).alias("hits"))
+    asked = cut_lineage(queries.where(F.length("text") > 0).select("query_id", "text"))
+    # texts shorter than a head are heads of their own size
+    heads = asked.groupBy(F.substring("text", 1, HEAD).alias("head")).agg(F.collect_set(F.length("text")).alias("lengths"))
+    size, name = F.length("name"), F.col("name")
+    spaced = spread(names.select("ord", "name"), "ord").where(size > 0)
+    places = spaced.select("ord", "name", F.explode(F.sequence(F.lit(1), size)).alias("at"))
+    sizes = F.explode(F.sequence(F.lit(1), F.least(F.lit(HEAD), size - F.col("at") + 1)))
+    begun = places.select("ord", "name", "at", sizes.alias("k")).withColumn("head", F.substring(name, F.col("at"), F.col("k")))
+    cuts = begun.join(heads, "head").select("ord", "name", "at", F.explode("lengths").alias("n")).where(F.col("at") + F.col("n") - 1 <= size)
+    cuts = cuts.withColumn("text", F.substring(name, F.col("at"), F.col("n"))).where(F.position("text", "name") == F.col("at"))
+    found = cuts.groupBy("text").agg(F.min("ord").alias("ord"), F.count(F.lit(1)).alias("hits"))
+    return asked.join(found, "text").select("query_id", "ord", "hits")
 
 
 def resolve_names(requests: DataFrame, profiles: DataFrame) -> DataFrame:

@@ -225,3 +225,23 @@ def test_filters_after_the_cut_keep_ranks(spark):
     scores = spark.createDataFrame([(1, 12, 1.0)], "query_id long, row_id long, text_score double")
     again = [(r.rank, r.row_id, r.similarity) for r in R.blend_rerank(cut, scores).orderBy("rank").collect()]
     assert again == [(1, 10, 0.9), (2, 12, 0.82), (3, 11, 0.8)]
+
+
+def test_containing_names_equal_plain(spark):
+    rng = random.Random(9)
+    letters = "aab é😀"
+    names = [(i, "".join(rng.choice(letters) for _ in range(rng.randint(0, 14)))) for i in range(150)] + [(500, "a" * 30)]
+    asked = ["".join(rng.choice(letters) for _ in range(rng.randint(0, 6))) for _ in range(80)] + ["a", "a", "aa", "zz", "z", "a" * 31, None]
+    asked += [n[k : k + 9] for _, n in names[:40] for k in (0, 3)]
+    queries = spark.createDataFrame(list(enumerate(asked)), "query_id long, text string")
+    dimension = spark.createDataFrame(names, "ord long, name string")
+    found = linkage.containing_names(queries, dimension)
+    expected = {}
+    for q, text in enumerate(asked):
+        hits = [o for o, n in names if text and text in n]
+        if hits:
+            expected[q] = (min(hits), len(hits))
+    assert {r["query_id"]: (r["ord"], r["hits"]) for r in found.collect()} == expected
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert "Contains" not in plan and "contains(" not in plan
+    assert linkage.containing_names(queries.limit(0), dimension).count() == linkage.containing_names(queries, dimension.limit(0)).count() == 0
