@@ -133,7 +133,8 @@ def _decisions(keyed: DataFrame) -> DataFrame:
     if not collided.isEmpty():
         held = held.unionByName(groups.where("n > 1").join(collided, "h").select("h", "first", "bytes"))
     found = multi("_id", "_t", F.col("c.ordinal").alias("ordinal")).join(held, "h")
-    return found.groupBy("_id", "_t").agg(F.collect_list(F.struct("h", "bytes", "ordinal", "first")).alias("_found"))
+    # a set: rows of one id and text bring the same decisions
+    return found.groupBy("_id", "_t").agg(F.collect_set(F.struct("h", "bytes", "ordinal", "first")).alias("_found"))
 
 
 def line_dedup(docs: DataFrame) -> DataFrame:

@@ -39,18 +39,24 @@ def plain_grams(text):
     return [spark_hash(t) % Q.BUCKETS for t in tokens] + [spark_hash(a, b) % Q.BUCKETS for a, b in zip(tokens, tokens[1:])]
 
 
-def test_quality_rules_equal_plain_counts_and_scores(spark, nasty):
+@pytest.mark.parametrize("prior", [None, Q.PRIOR])
+def test_quality_rules_equal_plain_counts_and_scores(spark, nasty, prior):
     labels = spark.createDataFrame(
         [(3, 1, 0), (7, 0, 0), (20, 1, None), (21, 1, 1), (None, 1, 0), (22, 1, 0), (22, 1, 0)], "doc_id long, quality int, toxic int"
     )
     rows = nasty
-    found = Q.quality_rules(rows, labels).collect()
+    found = Q.quality_rules(rows, labels, prior=prior).collect()
     raw, target = collections.Counter(), collections.Counter()
     for r in rows.collect():
         raw.update(plain_grams(r["text"]))
         if r["doc_id"] in (3, 20, 22):
             target.update(plain_grams(r["text"]))
-    weight = lambda b: math.log((target[b] + 1) / (target.total() + Q.BUCKETS)) - math.log((raw[b] + 1) / (raw.total() + Q.BUCKETS))
+
+    def weight(b):
+        if prior is None:
+            return math.log((target[b] + 1) / (target.total() + Q.BUCKETS)) - math.log((raw[b] + 1) / (raw.total() + Q.BUCKETS))
+        return math.log((target[b] + prior) / (target.total() * raw[b] / raw.total() + prior))
+
     assert len(found) == rows.count()
     for r in found:
         base = plain_base(r["text"])
@@ -149,6 +155,16 @@ def test_line_dedup_stage_keeps_columns(nasty, no_docs):
     assert L.without_repeated_lines(no_docs).count() == 0 and L.line_dedup(no_docs).count() == 0
 
 
+def test_line_dedup_of_many_equal_rows(spark):
+    text = "\n".join(f"line {k} of one text" for k in range(40))
+    rows = [(None, text)] * 1500 + [(7, text)] * 500
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(8)
+    # one row of each id is as good as all to the plain search
+    expected = collections.Counter({row: n for row, n in zip(plain_line_dedup([(None, text), (7, text)]), (1500, 500))})
+    assert collections.Counter((r["doc_id"], r["text"], r["n_removed_lines"]) for r in L.line_dedup(df).collect()) == expected
+    assert collections.Counter(map(tuple, L.without_repeated_lines(df).collect())) == {(7, text): 500}
+
+
 def plain_windows(text):
     """Lines of every window, as places from 0."""
     lines = (text or "").split("\n")
