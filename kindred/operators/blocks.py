@@ -97,18 +97,26 @@ def grid_shape(n_queries: int, n_candidates: int, cells: int) -> tuple[int, int]
     return rows, -(-cells // rows)
 
 
-def block_pairs(queries: DataFrame, candidates: DataFrame, kernel: Kernel, query_key: str, key: str) -> DataFrame:
-    """Every query block beside every candidate block it may match, cell by cell of a grid."""
-    parts = task_count(queries.sparkSession)
-    left = pack_blocks(queries, query_key, QUERY_BLOCK_ROWS, kernel.length_of).toDF("q_key", "q_lo", "q_hi", "q_block")
-    right = pack_blocks(candidates, key, CANDIDATE_BLOCK_ROWS, kernel.length_of).toDF("c_key", "c_lo", "c_hi", "c_block")
-    rows, columns = grid_shape(queries.count(), candidates.count(), 2 * parts)
+def on_grid(left: DataFrame, right: DataFrame, n_queries: int, n_candidates: int) -> DataFrame:
+    """Every query block (``q_key``) beside every candidate block (``c_key``), cell by cell of a grid."""
+    parts = task_count(left.sparkSession)
+    rows, columns = grid_shape(n_queries, n_candidates, 2 * parts)
     row, column = F.pmod(F.xxhash64("q_key"), F.lit(rows)), F.pmod(F.xxhash64("c_key"), F.lit(columns))
     left = left.select("*", F.explode(F.sequence(F.lit(0), F.lit(columns - 1))).alias("at"))
-    left = left.withColumn("cell", (row * columns + F.col("at")).cast("int")).repartition(parts, "cell")
+    left = left.withColumn("cell", (row * columns + F.col("at")).cast("int")).drop("at").repartition(parts, "cell")
     right = right.select("*", F.explode(F.sequence(F.lit(0), F.lit(rows - 1))).alias("at"))
-    right = right.withColumn("cell", (F.col("at") * columns + column).cast("int")).repartition(parts, "cell")
-    met = right.join(left, "cell").where(kernel.may_match(*[F.col(c) for c in ("q_lo", "q_hi", "c_lo", "c_hi")]))
+    right = right.withColumn("cell", (F.col("at") * columns + column).cast("int")).drop("at").repartition(parts, "cell")
+    return right.join(left, "cell")
+
+
+def block_pairs(
+    queries: DataFrame, candidates: DataFrame, kernel: Kernel, query_key: str, key: str, sizes: tuple[int, int] | None = None
+) -> DataFrame:
+    """Every query block beside every candidate block it may match; ``sizes`` are the row counts, where known."""
+    left = pack_blocks(queries, query_key, QUERY_BLOCK_ROWS, kernel.length_of).toDF("q_key", "q_lo", "q_hi", "q_block")
+    right = pack_blocks(candidates, key, CANDIDATE_BLOCK_ROWS, kernel.length_of).toDF("c_key", "c_lo", "c_hi", "c_block")
+    met = on_grid(left, right, *(sizes or (queries.count(), candidates.count())))
+    met = met.where(kernel.may_match(*[F.col(c) for c in ("q_lo", "q_hi", "c_lo", "c_hi")]))
     return met.select("q_key", "q_block", "c_block")
 
 
@@ -140,12 +148,17 @@ def top_matches(
     k: int,
     query_key: str = "query_id",
     key: str = "row_id",
+    sizes: tuple[int, int] | None = None,
 ) -> DataFrame:
     """``(query_key, key, score, rank)``: best k candidates of every query.
 
     A kernel with several lists gives the best k of each, told apart by ``list``.
     """
-    pairs = block_pairs(queries, candidates, kernel, query_key, key)
+    return best_of(block_pairs(queries, candidates, kernel, query_key, key, sizes), kernel, k, query_key, key)
+
+
+def best_of(pairs: DataFrame, kernel: Kernel, k: int, query_key: str = "query_id", key: str = "row_id") -> DataFrame:
+    """:func:`top_matches` of pairs of blocks ``(q_key, q_block, c_block)``."""
     several = len(kernel.lists) if kernel.lists else 1
     none = (np.empty(0, dtype=np.int64), np.empty(0, dtype=np.int64), np.empty(0))
 

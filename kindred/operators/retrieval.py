@@ -21,6 +21,7 @@ from kindred.functions.columns import as_double
 from kindred.functions.constants import BROAD_POSITIONS
 from kindred.functions.positions import broad_group, contains_code
 from kindred.operators.blocks import Kernel, rank_within, top_matches
+from kindred.operators.cells import pruned_matches
 
 Weights = dict[str, float]
 SCORE_DECIMALS = 12
@@ -91,6 +92,17 @@ class CosineKernel(Kernel):
     def __init__(self, weights: Weights, k: int, nulls_pass: bool = True):
         self.weights, self.k, self.nulls_pass = weights, k, nulls_pass
 
+    def units(self, block: pa.Table) -> np.ndarray:
+        """Blended vectors of a block at unit length; zero vectors stay zero."""
+        rows = np.hstack([_matrix(block[c]) * w for c, w in self.weights.items()])
+        norm = np.sqrt((rows * rows).sum(axis=1))
+        return rows / np.where(norm > 0, norm, 1.0)[:, None]
+
+    @staticmethod
+    def take(ready: dict, rows: np.ndarray) -> dict:
+        """Some queries of a prepared block."""
+        return {n: (v[0], v[1][rows]) if isinstance(v, tuple) else v[rows] for n, v in ready.items()}
+
     def prepare(self, block: pa.Table, is_query: bool) -> dict:
         ready = {c: _matrix(block[c]) * w for c, w in self.weights.items()}
         ready["norm"] = np.sqrt(sum((m * m).sum(axis=1) for m in ready.values()))
@@ -174,9 +186,14 @@ def nearest(
     k: int,
     nulls_pass: bool = True,
     flag_col: str = "is_world_cup",
+    method: str = "auto",
 ) -> DataFrame:
     """``(query_id, row_id, score, rank)`` for queries that already hold vectors.
 
+    ``method`` is ``grid`` (all pairs of blocks), ``cells`` (pivot bounds leave pairs out, with
+    the same rows) or ``auto``, which takes cells beyond ``cells.MANY_PAIRS`` pairs.  Labelled
+    weights always take the grid.
+
     Labelled weights give one list per label, in column ``list``, by one pass over the pairs.
 
     Any column of ``LIMITS`` present in ``queries`` is applied per query.  Only
@@ -195,7 +212,7 @@ def nearest(
     needed = [LIMITS[c] for c in used if LIMITS[c]]
     candidates = profiles.select("row_id", *weights, *[readers[n].alias(n) for n in needed])
     block = queries.select("query_id", *weights, *used)
-    return top_matches(block, candidates, kernel, k)
+    return top_matches(block, candidates, kernel, k) if several else pruned_matches(block, candidates, kernel, k, method)
 
 
 # ------------------------------------------------------------------- result shape
