@@ -186,9 +186,14 @@ def best_of(pairs: DataFrame, kernel: Kernel, k: int, query_key: str = "query_id
                 block = pa.ipc.open_stream(batch["c_block"][i].as_buffer()).read_all()
                 _, qi, rid, score = running.get(q_key) or (ids, *none)
                 new_q, new_c, new_s = kernel.score(ready, kernel.prepare(block, False), _floors(qi, score, len(ids) * several, k))
+                if not len(new_q):
+                    continue
                 new_rid = block[key].to_numpy()[new_c]
-                merged = _best(np.r_[qi, new_q], np.r_[rid, new_rid], np.r_[score, new_s], k)
-                running[q_key] = (ids, *merged)
+                touched = np.zeros(len(ids) * several, dtype=bool)
+                touched[new_q] = True
+                again = touched[qi]
+                merged = _best(np.r_[qi[again], new_q], np.r_[rid[again], new_rid], np.r_[score[again], new_s], k)
+                running[q_key] = (ids, *(np.r_[old[~again], new] for old, new in zip((qi, rid, score), merged)))
                 if sum(len(r[1]) for r in running.values()) > RUNNING_ROWS:
                     yield from drain()
         yield from drain()
