@@ -25,7 +25,8 @@ from kindred.session import task_count
 QUERY_BLOCK_ROWS = 2048
 CANDIDATE_BLOCK_ROWS = 512
 RUNNING_ROWS = 2_000_000
-PREPARED_BLOCKS = 8
+#: Stream bytes of the query blocks that a task keeps prepared.
+PREPARED_BYTES = 64 << 20
 
 
 class Kernel:
@@ -165,6 +166,7 @@ def best_of(pairs: DataFrame, kernel: Kernel, k: int, query_key: str = "query_id
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         running: dict[int, tuple] = {}
         prepared: dict[int, tuple] = {}
+        kept: dict[int, int] = {}
 
         def drain() -> Iterator[pa.RecordBatch]:
             for ids, qi, rid, score in running.values():
@@ -178,9 +180,12 @@ def best_of(pairs: DataFrame, kernel: Kernel, k: int, query_key: str = "query_id
             for i in range(batch.num_rows):
                 q_key = batch["q_key"][i].as_py()
                 if q_key not in prepared:
-                    if len(prepared) == PREPARED_BLOCKS:
-                        prepared.pop(next(iter(prepared)))
-                    table = pa.ipc.open_stream(batch["q_block"][i].as_buffer()).read_all()
+                    stream = batch["q_block"][i].as_buffer()
+                    while prepared and sum(kept.values()) + stream.size > PREPARED_BYTES:
+                        oldest = next(iter(prepared))
+                        del prepared[oldest], kept[oldest]
+                    kept[q_key] = stream.size
+                    table = pa.ipc.open_stream(stream).read_all()
                     prepared[q_key] = (table[query_key].to_numpy(), kernel.prepare(table, True))
                 ids, ready = prepared[q_key]
                 block = pa.ipc.open_stream(batch["c_block"][i].as_buffer()).read_all()

@@ -35,8 +35,6 @@ from kindred.session import cut_lineage, task_count
 FEWEST_PIVOTS, MOST_PIVOTS = 16, 1024
 #: Nearest cells that the first and the second round meet; the third meets all others.
 ROUNDS = (4, 32)
-#: Pairs from which ``auto`` takes cells: below, a plain grid ends before the rounds have begun.
-MANY_PAIRS = 4_000_000_000
 #: Allowance for rounding in angles; it only ever adds pairs.
 SLACK = 1e-7
 
@@ -223,13 +221,7 @@ def cell_matches(
     return best
 
 
-def pruned_matches(queries: DataFrame, candidates: DataFrame, kernel, k: int, method: str = "auto") -> DataFrame:
-    """Best k by ``grid``, by ``cells`` or by whichever the number of pairs suggests; the rows are the same."""
-    if method not in ("auto", "grid", "cells"):
-        raise ValueError(f"unknown method {method!r}")
-    if method == "grid":
-        return top_matches(queries, candidates, kernel, k)
-    sizes = queries.count(), candidates.count()
-    if method == "cells" or sizes[0] * sizes[1] > MANY_PAIRS:
-        return cell_matches(cut_lineage(queries), cut_lineage(candidates), kernel, k, sizes)
-    return top_matches(queries, candidates, kernel, k, sizes=sizes)
+def pruned_matches(queries: DataFrame, candidates: DataFrame, kernel, k: int) -> DataFrame:
+    """:func:`cell_matches` of any two tables, which are written and counted first."""
+    queries, candidates = cut_lineage(queries), cut_lineage(candidates)
+    return cell_matches(queries, candidates, kernel, k, (queries.count(), candidates.count()))

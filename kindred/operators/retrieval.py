@@ -186,19 +186,20 @@ def nearest(
     k: int,
     nulls_pass: bool = True,
     flag_col: str = "is_world_cup",
-    method: str = "auto",
+    method: str = "grid",
 ) -> DataFrame:
     """``(query_id, row_id, score, rank)`` for queries that already hold vectors.
 
-    ``method`` is ``grid`` (all pairs of blocks), ``cells`` (pivot bounds leave pairs out, with
-    the same rows) or ``auto``, which takes cells beyond ``cells.MANY_PAIRS`` pairs.  Labelled
-    weights always take the grid.
+    ``method`` is ``grid`` (all pairs of blocks) or ``cells`` (pivot bounds leave pairs out, with
+    the same rows).  Labelled weights always take the grid.
 
     Labelled weights give one list per label, in column ``list``, by one pass over the pairs.
 
     Any column of ``LIMITS`` present in ``queries`` is applied per query.  Only
     the columns the kernel reads are taken from the profiles.
     """
+    if method not in ("grid", "cells"):
+        raise ValueError(f"unknown method {method!r}")
     several = all(isinstance(w, dict) for w in weights.values())
     kernel = (VariantKernel if several else CosineKernel)(weights, k, nulls_pass)
     weights = kernel.weights
@@ -212,7 +213,8 @@ def nearest(
     needed = [LIMITS[c] for c in used if LIMITS[c]]
     candidates = profiles.select("row_id", *weights, *[readers[n].alias(n) for n in needed])
     block = queries.select("query_id", *weights, *used)
-    return top_matches(block, candidates, kernel, k) if several else pruned_matches(block, candidates, kernel, k, method)
+    search = pruned_matches if method == "cells" and not several else top_matches
+    return search(block, candidates, kernel, k)
 
 
 # ------------------------------------------------------------------- result shape
@@ -243,15 +245,16 @@ def find_similar(
     k: int = 10,
     position_filter: str | None = None,
     columns: list[str] | None = None,
+    method: str = "grid",
 ) -> DataFrame:
     """Mode 1.  ``queries(query_id, row_id[, want_pos])``; the query itself is left out.
 
-    A fixed ``position_filter`` is an ordinary filter on the profile scan; a
+    ``method`` as in :func:`nearest`.  A fixed ``position_filter`` is an ordinary filter on the profile scan; a
     ``want_pos`` column restricts each query on its own.
     """
     block = with_query_profile(queries, profiles, list(weights)).withColumn("exclude_row_id", F.col("row_id"))
     pool = profiles if position_filter is None else profiles.where(contains_code(F.col("pos"), position_filter))
-    return describe(nearest(pool, block, weights, k), profiles, columns)
+    return describe(nearest(pool, block, weights, k, method=method), profiles, columns)
 
 
 class Variants:

@@ -35,6 +35,13 @@ def similar_topk(spark, sf_dir):
     return R.find_similar(p, _self_queries(p), VEC, k=10, columns=["player"]).select(*RESULT)
 
 
+@query("similar_topk_cells", "WITH " + PROFILES_SQL + ", " + _SCORED.format(on="q.row_id <> c.row_id", where="", k=10))
+def similar_topk_cells(spark, sf_dir):
+    """The rows of ``similar_topk`` by pivots and rings."""
+    p = profiles(spark, sf_dir)
+    return R.find_similar(p, _self_queries(p), VEC, k=10, columns=["player"], method="cells").select(*RESULT)
+
+
 @query(
     "similar_topk_position",
     "WITH " + PROFILES_SQL + ", " + _SCORED.format(on="q.row_id <> c.row_id AND upper(c.pos) LIKE '%LW%'", where="", k=10),
