@@ -9,8 +9,9 @@ best score found so far are never scored.
 Cells are met best first: the nearest few, then some more, then all others, and the k-th scores
 of one round are written and given to the next.  Pairs of blocks that no query of a block can
 need are left out by the join itself, before Python; inside a pair only the queries that need
-the ring are multiplied.  Where vectors have no clusters the last round scores nearly all pairs,
-which costs the two short rounds more than the plain grid.
+the ring are multiplied.  Where vectors have no clusters nearly all pairs are scored, and the
+rounds cost more than the plain grid; the README has figures.  Scores may differ from the grid's
+at the last decimal kept, since products of other block shapes are summed in another order.
 
 Defined cases: zero and NULL vectors score 0 against everything and form a cell of their own,
 which is met only where 0 may still rank; queries with such a vector meet every cell; equal
