@@ -29,7 +29,8 @@ def good_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 def fresh_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without the lines of repeated runs that stand earlier; those left without a word go.
 
-    Runs are found by windows of two neighbouring lines and by long lines, not by chunks.
+    Repeated content-defined chunks go as in ``op8_line_dedup``; windows of two neighbouring lines and
+    long lines carry the removal on to the edges of the repeated run.
     """
     return line_dedup.without_repeated_lines(docs)
 

@@ -11,15 +11,16 @@ a third of all documents share sends one row per task.  Decisions travel by hash
 two different texts share a hash, they carry the text and the last step compares it.
 
 ``line_dedup`` does this and equals its SQL twin; runs of equal lines that the boundaries cut into
-pieces of one line stay in it.  ``without_repeated_lines``, the stage of the pipeline, has no
-boundaries: it takes every window of two neighbouring lines with words (and what lies between
-them), and every line of over ``PASSAGE_WORDS`` words, and removes the lines of each window that
-stands earlier too.  So each repeated run goes from edge to edge, and every line that goes still
-stands where it came first.  Windows are grouped and compared as chunks are.
+pieces of one line stay in it.  ``without_repeated_lines``, the stage of the pipeline, removes the
+same chunks and then what of a repeated run lies beyond them: beside the chunks it takes every window
+of two neighbouring lines with words (and what lies between them), and every line of over
+``PASSAGE_WORDS`` words, and removes the lines of each that stands earlier too.  So each repeated run
+goes from edge to edge, and every line that goes still stands where it came first.  Windows are
+grouped and compared as chunks are.
 
 Defined cases: a NULL text stays NULL and has no lines; an empty one has one empty line;
 chunks of one line, and of lines without words, never go (of the windows: lone lines of few
-words; lines without words go where they stand inside a window); rows of equal doc_id count as one
+words; lines without words go where they stand inside a window or a repeated chunk); rows of equal doc_id count as one
 place, so repeated rows keep the same lines; a NULL doc_id comes last; an empty table gives
 an empty result; other columns are kept, one named like a result column is replaced.
 """
@@ -52,26 +53,32 @@ def chunk_hash(text: Column) -> Column:
     return F.xxhash64(text)
 
 
-def line_chunks(text: Column) -> Column:
-    """Chunks of a text in order: first line (from 1), number of lines, lines with words, bytes."""
+def chunk_ends(lines: Column) -> Column:
+    """Last lines (from 1) of the chunks of ``lines``."""
 
     def rolled(h: Column, i: Column) -> Column:
         terms = [F.when(i > k, F.get(h, i - 1 - k) * FACTOR**k).otherwise(F.lit(0)) for k in range(WINDOW)]
         return sum(terms[1:], terms[0])
 
-    def cut(lines: Column) -> Column:
-        hashes = F.transform(lines, lambda x: F.conv(F.substring(F.md5(x), 1, 8), 16, 10).cast("long"))
+    def ends(h: Column) -> Column:
+        return F.filter(
+            F.sequence(F.lit(1), F.size(h)), lambda i: (i == F.size(h)) | (F.floor(rolled(h, i) / 4096) % DIVISOR == 0)
+        )
 
-        def ends(h: Column) -> Column:
-            return F.filter(
-                F.sequence(F.lit(1), F.size(h)), lambda i: (i == F.size(h)) | (F.floor(rolled(h, i) / 4096) % DIVISOR == 0)
-            )
+    return let(F.transform(lines, lambda x: F.conv(F.substring(F.md5(x), 1, 8), 16, 10).cast("long")), ends)
 
-        def spans(e: Column) -> Column:
-            first = lambda i: F.when(i == 0, 1).otherwise(F.get(e, i - 1) + 1)
 
+def _chunk_start(e: Column, i: Column) -> Column:
+    return F.when(i == 0, 1).otherwise(F.get(e, i - 1) + 1)
+
+
+def line_chunks(text: Column) -> Column:
+    """Chunks of a text in order: first line (from 1), number of lines, lines with words, bytes."""
+
+    def cut(lines: Column) -> Column:
+        def spans(e: Column) -> Column:
             def chunk(end: Column, i: Column) -> Column:
-                part = lambda: F.slice(lines, first(i), end - first(i) + 1)
+                part = lambda: F.slice(lines, _chunk_start(e, i), end - _chunk_start(e, i) + 1)
                 return let(
                     part(),
                     lambda p: F.struct(
@@ -84,25 +91,30 @@ def line_chunks(text: Column) -> Column:
 
             return F.transform(e, chunk)
 
-        return let(let(hashes, ends), spans)
+        return let(chunk_ends(lines), spans)
 
     return let(F.split(F.coalesce(text, F.lit("")), "\n"), cut)
 
 
-def line_windows(text: Column) -> Column:
-    """Windows of a text, by place: the pairs, then the long lines; first and last line (from 1), bytes."""
+def line_pieces(text: Column) -> Column:
+    """Chunks of two or more lines with words, then windows: the pairs and the long lines; first and last line (from 1), bytes."""
 
     def cut(lines: Column) -> Column:
         span = lambda a, b: F.struct(a.alias("first"), b.alias("last"))
         # of so many words only if of twice as many characters: spares most lines the split
         long = lambda x: (F.length(x) > 2 * PASSAGE_WORDS) & (F.size(words_of(x)) > PASSAGE_WORDS)
 
+        def chunks(worded: Column) -> Column:
+            multi = lambda s: F.size(F.filter(worded, lambda i: (i >= s["first"]) & (i <= s["last"]))) > 1
+            return F.filter(let(chunk_ends(lines), lambda e: F.transform(e, lambda end, i: span(_chunk_start(e, i), end))), multi)
+
         def spans(worded: Column) -> Column:
             following = F.slice(worded, 2, F.greatest(F.size(worded) - 1, F.lit(0)))
             alone = F.filter(worded, lambda i: long(_at(lines, i)))
-            return F.concat(F.transform(following, lambda b, k: span(F.get(worded, k), b)), F.transform(alone, lambda i: span(i, i)))
+            pairs = F.transform(following, lambda b, k: span(F.get(worded, k), b))
+            return F.array_distinct(F.concat(chunks(worded), pairs, F.transform(alone, lambda i: span(i, i))))
 
-        def window(s: Column, i: Column) -> Column:
+        def piece(s: Column, i: Column) -> Column:
             return F.struct(
                 i.alias("ordinal"),
                 s["first"].alias("first"),
@@ -112,7 +124,7 @@ def line_windows(text: Column) -> Column:
             )
 
         worded = F.filter(F.sequence(F.lit(1), F.size(lines)), lambda i: _at(lines, i).rlike(WORD))
-        return F.transform(let(worded, spans), window)
+        return F.transform(let(worded, spans), piece)
 
     return let(F.split(F.coalesce(text, F.lit("")), "\n"), cut)
 
@@ -194,16 +206,16 @@ def _deduplicated(docs: DataFrame) -> DataFrame:
     return rows.withColumns({"text": F.when(~null, F.col("_r.text")), **results})
 
 
-def _without_windows(docs: DataFrame) -> DataFrame:
-    """Documents without the lines of repeated windows, and ``n_removed_lines``."""
-    rows = _found(docs, line_windows)
+def _without_pieces(docs: DataFrame) -> DataFrame:
+    """Documents without the lines of repeated chunks and windows, and ``n_removed_lines``."""
+    rows = _found(docs, line_pieces)
 
-    def gone(windows: Column) -> Column:
-        lines_of = lambda w: F.sequence(w["first"], w["last"])
-        return F.flatten(F.transform(_gone(windows), lambda i: lines_of(F.get(windows, i))))
+    def gone(pieces: Column) -> Column:
+        lines_of = lambda p: F.sequence(p["first"], p["last"])
+        return F.flatten(F.transform(_gone(pieces), lambda i: lines_of(F.get(pieces, i))))
 
     def settled(lines: Column) -> Column:
-        kept = F.array_except(F.sequence(F.lit(1), F.size(lines)), let(line_windows(F.col("text")), gone))
+        kept = F.array_except(F.sequence(F.lit(1), F.size(lines)), let(line_pieces(F.col("text")), gone))
         return let(
             kept,
             lambda k: F.struct(
@@ -218,13 +230,13 @@ def _without_windows(docs: DataFrame) -> DataFrame:
 
 
 def without_repeated_lines(docs: DataFrame) -> DataFrame:
-    """Documents without the lines of repeated windows, with their own columns; those left without a word go.
+    """Documents without the lines of repeated chunks and windows, with their own columns; those left without a word go.
 
     ``n_chars``, where present, is the new length.  A document that had no word before stays.
     """
 
     def body(rows: DataFrame) -> DataFrame:
-        rows = _without_windows(rows).where(F.coalesce(F.col("text").rlike(WORD), F.lit(True)) | (F.col("n_removed_lines") == 0))
+        rows = _without_pieces(rows).where(F.coalesce(F.col("text").rlike(WORD), F.lit(True)) | (F.col("n_removed_lines") == 0))
         if "n_chars" not in rows.columns:
             return rows
         length = F.when(F.col("n_removed_lines") > 0, F.length("text")).otherwise(F.col("n_chars"))

@@ -3,6 +3,7 @@
 import collections
 import hashlib
 import math
+import random
 import re
 
 import pytest
@@ -209,6 +210,17 @@ def test_repeated_runs_go_from_edge_to_edge(spark, nasty, monkeypatch, collide):
     assert not any("shared passage" in texts[i] for i in (101, 102)) and wide not in texts[201]
 
 
+def test_pipeline_stage_removes_the_repeated_chunks_whole(spark):
+    rng = random.Random(5)
+    line = lambda i: rng.choice(["", "", f"line {rng.random()} of {i}"])
+    runs = ["\n".join(line(i) for _ in range(12)) for i in range(30)]
+    rows = [(100 * k + i, f"own start {k} {i}\n{run}\nown end {k} {i}") for i, run in enumerate(runs) for k in range(2)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    lines = lambda out: {r["doc_id"]: r["text"].count("\n") + 1 for r in out.collect()}
+    chunks, stage = lines(L.line_dedup(df)), lines(L.without_repeated_lines(df))
+    assert all(stage[i] <= n for i, n in chunks.items()) and sum(stage.values()) < sum(chunks.values())
+
+
 def test_mix_meets_targets_and_limits(nasty, no_docs):
     rows = M.mix(nasty, block_words=8).collect()
     assert len(rows) == nasty.count()
