@@ -21,7 +21,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from kindred.functions import fuzzy
-from kindred.session import cut_lineage, spread
+from kindred.session import cut_lineage, shuffled, spread
 
 SLACK = 1e-9
 #: Lowest threshold at which every pair of lengths must share a bigram.
@@ -89,13 +89,13 @@ class GramIndex:
         right = self.right.select("row_id", "gram", F.col("n").alias("b"), F.col("pos").alias("j"))
         x, y = _lost(F.col("a"), F.col("b"), self.t)
         moved = F.col("j") - F.col("i")
-        near = left.join(right, "gram").where((x >= 0) & (y >= 0) & (moved >= -x) & (moved <= y))
+        near = left.join(shuffled(right), "gram").where((x >= 0) & (y >= 0) & (moved >= -x) & (moved <= y))
         return near.select("query_id", "row_id").distinct()
 
     def best(self) -> DataFrame:
         """``(query_id, row_id, score)``: best name of every query that reaches the threshold, the lower row_id on ties."""
-        pairs = self.candidates().join(self.queries.select("query_id", "text"), "query_id")
-        pairs = pairs.join(self.names.select("row_id", F.col("text").alias("name")), "row_id")
+        pairs = self.candidates().join(shuffled(self.queries.select("query_id", "text")), "query_id")
+        pairs = pairs.join(shuffled(self.names.select("row_id", F.col("text").alias("name"))), "row_id")
         scored = pairs.withColumn("score", fuzzy.indel_ratio("text", "name")).where(F.col("score") >= self.t - SLACK)
         best = F.max_by(F.struct("row_id", "score"), F.struct(F.col("score"), -F.col("row_id")))
         return scored.groupBy("query_id").agg(best.alias("b")).select("query_id", "b.row_id", "b.score")

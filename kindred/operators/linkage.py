@@ -30,10 +30,12 @@ from kindred.functions.constants import VALUE_METADATA
 from kindred.functions.text import fold_name, match_key, sorted_tokens, token_name_score
 from kindred.operators.blocks import Kernel, rank_within, top_matches
 from kindred.operators.grams import LEAST_THRESHOLD, GramIndex, matches_per_pair
-from kindred.session import cut_lineage, numbered, spread
+from kindred.session import cut_lineage, numbered, shuffled, spread
 
 NEAR = 95.0
 SPARE_SEGMENTS = 2
+#: Letters of a piece below which no spare pieces are cut: shorter ones meet too many texts.
+LEAST_PIECE = 6
 SLACK = 1e-9
 #: Pairs that the block join settles in the time of one match of the bigram index.
 MATCH_COST = 10
@@ -57,7 +59,8 @@ def _edits(total: Column, t: float) -> Column:
 def _pieces(n: Column, t: float) -> Column:
     """Number of pieces a right text of length ``n`` is cut into."""
     needed = _edits(n + _length_range(n, t)[1], t) + 1
-    return F.least(n, needed + SPARE_SEGMENTS)
+    spare = F.least(F.lit(SPARE_SEGMENTS), F.floor(n / LEAST_PIECE).cast("int") - needed)
+    return F.least(n, needed + F.greatest(spare, F.lit(0)))
 
 
 def _piece_start(n: Column, m: Column, i: Column) -> Column:
@@ -72,7 +75,7 @@ def _piece_length(n: Column, m: Column, i: Column) -> Column:
 def right_segments(right: DataFrame, t: float) -> DataFrame:
     """``(r_text, seg)`` index rows without the commonest pieces of each text.
 
-    Each text has ``SPARE_SEGMENTS`` pieces more than needed, so that many of
+    Each text has up to ``SPARE_SEGMENTS`` pieces more than needed, so that many of
     its pieces are left out without losing a partner.
     """
     n = F.length("r_text")
@@ -84,21 +87,21 @@ def right_segments(right: DataFrame, t: float) -> DataFrame:
         "r_text", _piece_start(F.col("n"), F.col("m"), F.col("i")) + 1, _piece_length(F.col("n"), F.col("m"), F.col("i"))
     )
     rows = rows.select("r_text", "spare", F.xxhash64("n", "i", piece).alias("seg"))
-    marked = rows.join(rows.groupBy("seg").agg(F.count(F.lit(1)).alias("hits")), "seg")
+    marked = rows.join(shuffled(rows.groupBy("seg").agg(F.count(F.lit(1)).alias("hits"))), "seg")
     commonest = F.row_number().over(Window.partitionBy("r_text").orderBy(F.desc("hits"), "seg"))
     return marked.withColumn("nth", commonest).where(F.col("nth") > F.col("spare")).select("r_text", "seg")
 
 
-def left_segments(left: DataFrame, t: float) -> DataFrame:
+def left_segments(left: DataFrame, t: float, sizes: DataFrame) -> DataFrame:
     """``(l_text, seg)`` probes: every substring that could equal a right piece.
 
     A piece may be shifted by ``s`` only if ``|s| + |s - (a - b)|`` edits are
-    allowed, where a and b are the two lengths.
+    allowed, where a and b are the two lengths.  ``sizes(n)`` are the lengths of right texts.
     """
     a = F.length("l_text")
     low, high = _length_range(a, t)
     by_length = left.where(a > 0).select("l_text", a.alias("a"), F.explode(F.sequence(low, high)).alias("n"))
-    by_length = by_length.withColumn("m", _pieces(F.col("n"), t)).where(F.col("n") > 0)
+    by_length = by_length.join(sizes, "n").withColumn("m", _pieces(F.col("n"), t)).where(F.col("n") > 0)
     d = _edits(F.col("a") + F.col("n"), t)
     gap = F.col("a") - F.col("n")
     by_piece = by_length.where(F.abs(gap) <= d).select(
@@ -119,7 +122,9 @@ def left_segments(left: DataFrame, t: float) -> DataFrame:
 
 def near_pairs(left: DataFrame, right: DataFrame, t: float) -> DataFrame:
     """``(l_text, r_text, score)`` of all pairs with similarity at least ``t``."""
-    met = left_segments(left, t).join(right_segments(right, t), "seg").select("l_text", "r_text").distinct()
+    # probes are cut for lengths that occur; there are no more of them than letters in the longest text
+    sizes = F.broadcast(right.select(F.length("r_text").alias("n")).distinct())
+    met = left_segments(left, t, sizes).join(shuffled(right_segments(right, t)), "seg").select("l_text", "r_text").distinct()
     return met.withColumn("score", fuzzy.indel_ratio("l_text", "r_text")).where(F.col("score") >= t - SLACK)
 
 
@@ -276,6 +281,27 @@ def best_fuzzy(queries: DataFrame, names: DataFrame, threshold: float, kernel=We
     return top_matches(q, n, kernel(threshold), 1).drop("rank")
 
 
+def near_best(queries: DataFrame, names: DataFrame) -> DataFrame:
+    """:func:`best_fuzzy` of the queries with a name over ``NEAR`` similar, written.
+
+    Under the blended ratio token forms weigh .95 and partial ones .9 at most, so a plain similarity
+    over ``NEAR`` is the score itself, and no pair below it comes near.
+    """
+    asked = queries.select("query_id", F.col("text").alias("l_text")).where(F.col("text").isNotNull())
+    known = names.where(F.col("text").isNotNull()).groupBy(F.col("text").alias("r_text")).agg(F.min("row_id").alias("row_id"))
+    pairs = near_pairs(spread(asked.select("l_text").distinct(), "l_text"), spread(known.select("r_text"), "r_text"), NEAR)
+    found = pairs.where(F.col("score") > NEAR + SLACK).join(shuffled(known), "r_text").join(shuffled(asked), "l_text")
+    best = F.max_by(F.struct("row_id", "score"), F.struct(F.col("score"), -F.col("row_id")))
+    return cut_lineage(found.groupBy("query_id").agg(best.alias("b")).select("query_id", "b.row_id", "b.score"))
+
+
+def best_blended(queries: DataFrame, names: DataFrame, threshold: float) -> DataFrame:
+    """:func:`best_fuzzy` in two steps: near texts by their pieces, only what is open then by the block join."""
+    near = near_best(queries, names)
+    rest = queries.join(shuffled(near), "query_id", "left_anti")
+    return near.unionByName(best_fuzzy(rest, names, threshold))
+
+
 def best_indel(queries: DataFrame, names: DataFrame, threshold: float) -> DataFrame:
     """:func:`best_fuzzy` under plain indel similarity, by the cheaper of two exact ways.
 
@@ -303,27 +329,27 @@ def best_sorted_matches(left: DataFrame, right: DataFrame, threshold: float) ->
         .agg(F.min_by("r_key", "ord").alias("r_key"), F.min("ord").alias("ord"))
     )
     open_texts = l_texts.select("l_text").distinct()
-    same = open_texts.join(r_texts, F.col("l_text") == F.col("r_text")).select(
+    same = open_texts.join(shuffled(r_texts), F.col("l_text") == F.col("r_text")).select(
         "l_text", "r_key", F.lit(100.0).alias("score")
     )
-    unequal = open_texts.join(r_texts.select(F.col("r_text").alias("l_text")), "l_text", "left_anti")
+    unequal = open_texts.join(shuffled(r_texts.select(F.col("r_text").alias("l_text"))), "l_text", "left_anti")
     near = max(threshold, NEAR)
     best = F.max_by(F.struct("r_key", "score"), F.struct(F.col("score"), -F.col("ord")))
     close = (
         near_pairs(unequal, r_texts.select("r_text"), near)
-        .join(r_texts, "r_text")
+        .join(shuffled(r_texts), "r_text")
         .groupBy("l_text")
         .agg(best.alias("b"))
         .select("l_text", "b.r_key", "b.score")
     )
     found = cut_lineage(same.unionByName(close))
     if threshold < near:
-        rest = numbered(open_texts.join(found, "l_text", "left_anti").select(F.col("l_text").alias("text")), "query_id")
+        rest = numbered(open_texts.join(shuffled(found), "l_text", "left_anti").select(F.col("l_text").alias("text")), "query_id")
         names = r_texts.select(F.col("ord").alias("row_id"), F.col("r_text").alias("text"), "r_key")
         far = best_indel(rest, names, threshold)
-        far = far.join(names.select("row_id", "r_key"), "row_id").join(rest.withColumnRenamed("text", "l_text"), "query_id")
+        far = far.join(shuffled(names.select("row_id", "r_key")), "row_id").join(shuffled(rest.withColumnRenamed("text", "l_text")), "query_id")
         found = found.unionByName(far.select("l_text", "r_key", "score"))
-    return l_texts.join(found, "l_text").select("l_key", "r_key", "score")
+    return l_texts.join(shuffled(found), "l_text").select("l_key", "r_key", "score")
 
 
 # ----------------------------------------------------------------------- the join
@@ -352,10 +378,10 @@ def _right_keys(right: DataFrame, key: str) -> DataFrame:
 def _pass(left: DataFrame, right: DataFrame, key: str, threshold: float, strategy: str) -> DataFrame:
     keys = _right_keys(right, key)
     matched = best_sorted_matches(left.select(F.col(key).alias("l_key")).distinct(), keys.select("r_key", "ord"), threshold)
-    matched = matched.join(keys.select("r_key", "right_row_id"), "r_key")
+    matched = matched.join(shuffled(keys.select("r_key", "right_row_id")), "r_key")
     return (
         left.select("row_id", F.col(key).alias("l_key"))
-        .join(matched, "l_key")
+        .join(shuffled(matched), "l_key")
         .select("row_id", "right_row_id", F.col("score").alias("match_score"), F.lit(strategy).alias("match_strategy"))
     )
 
@@ -368,7 +394,7 @@ def fuzzy_links(left: DataFrame, right: DataFrame, threshold: float = 85.0) -> D
     """
     keyed_left, keyed_right = _keyed(left, LEFT_CLUBS), _keyed(right, RIGHT_CLUBS)
     full = cut_lineage(_pass(keyed_left, keyed_right, "full_key", threshold, "full_key"))
-    rest = keyed_left.join(full.select("row_id"), "row_id", "left_anti")
+    rest = keyed_left.join(shuffled(full.select("row_id")), "row_id", "left_anti")
     return full.unionByName(_pass(rest, keyed_right, "name_key", max(threshold + 5.0, 90.0), "name_only"))
 
 
@@ -379,7 +405,7 @@ def fuzzy_join(left: DataFrame, right: DataFrame, threshold: float = 85.0, metad
     """
     links = fuzzy_links(left, right, threshold)
     brought = right.select(F.col("row_id").alias("right_row_id"), *present_columns(right, metadata))
-    out = left.join(links, "row_id", "left").join(brought, "right_row_id", "left").drop("right_row_id")
+    out = left.join(shuffled(links), "row_id", "left").join(shuffled(brought), "right_row_id", "left").drop("right_row_id")
     out = out.withColumn("match_strategy", F.coalesce("match_strategy", F.lit("no_match")))
     return out.withColumn("out_order", F.struct((F.col("match_strategy") == "no_match").alias("unlinked"), "row_id"))
 
@@ -416,7 +442,7 @@ def containing_names(queries: DataFrame, names: DataFrame) -> DataFrame:
     cuts = begun.join(heads, "head").select("ord", "name", "at", F.explode("lengths").alias("n")).where(F.col("at") + F.col("n") - 1 <= size)
     cuts = cuts.withColumn("text", F.substring(name, F.col("at"), F.col("n"))).where(F.position("text", "name") == F.col("at"))
     found = cuts.groupBy("text").agg(F.min("ord").alias("ord"), F.count(F.lit(1)).alias("hits"))
-    return asked.join(found, "text").select("query_id", "ord", "hits")
+    return asked.join(shuffled(found), "text").select("query_id", "ord", "hits")
 
 
 def resolve_names(requests: DataFrame, profiles: DataFrame) -> DataFrame:
@@ -427,28 +453,28 @@ def resolve_names(requests: DataFrame, profiles: DataFrame) -> DataFrame:
     """
     names = name_dimension(profiles)
     asked = requests.select("query_id", "query", F.lower(F.trim("query")).alias("text"))
-    exact = asked.join(names.select(F.col("name").alias("text"), "row_id"), "text").select(
+    exact = asked.join(shuffled(names.select(F.col("name").alias("text"), "row_id")), "text").select(
         "query_id", F.lit("exact").alias("stage"), "row_id", F.lit(100.0).alias("score"), F.lit(1).cast("long").alias("candidates")
     )
-    open_1 = asked.join(exact, "query_id", "left_anti")
+    open_1 = asked.join(shuffled(exact), "query_id", "left_anti")
     # An empty text is contained in every name: one aggregate row answers it.
     all_names = names.agg(F.min_by("row_id", "ord").alias("row_id"), F.count(F.lit(1)).alias("candidates"))
     blank = open_1.where(F.col("text") == "").join(F.broadcast(all_names.withColumn("text", F.lit(""))), "text").select(
         "query_id", F.lit("contained").alias("stage"), "row_id", F.lit(None).cast("double").alias("score"), "candidates"
     )
-    inside = containing_names(open_1, names).join(names.select("ord", "row_id"), "ord").select(
+    inside = containing_names(open_1, names).join(shuffled(names.select("ord", "row_id")), "ord").select(
         "query_id", F.lit("contained").alias("stage"), "row_id", F.lit(None).cast("double").alias("score"), F.col("hits").alias("candidates")
     )
     settled = cut_lineage(exact.unionByName(inside).unionByName(blank))
-    open_2 = asked.join(settled, "query_id", "left_anti")
+    open_2 = asked.join(shuffled(settled), "query_id", "left_anti")
     by_last = fuzzy_last_names(open_2, names, 60.0, "fuzzy_last_name")
-    open_3 = open_2.join(by_last, "query_id", "left_anti")
-    by_full = best_fuzzy(open_3, names.select(F.col("ord").alias("row_id"), F.col("name").alias("text")), 55.0)
-    by_full = by_full.withColumnRenamed("row_id", "ord").join(names.select("ord", "row_id"), "ord").select(
+    open_3 = open_2.join(shuffled(by_last), "query_id", "left_anti")
+    by_full = best_blended(open_3, names.select(F.col("ord").alias("row_id"), F.col("name").alias("text")), 55.0)
+    by_full = by_full.withColumnRenamed("row_id", "ord").join(shuffled(names.select("ord", "row_id")), "ord").select(
         "query_id", F.lit("fuzzy_full_name").alias("stage"), "row_id", "score", F.lit(1).cast("long").alias("candidates")
     )
     found = reduce(DataFrame.unionByName, [settled, by_last, by_full])
-    return requests.select("query_id", "query").join(found, "query_id", "left").withColumn(
+    return requests.select("query_id", "query").join(shuffled(found), "query_id", "left").withColumn(
         "stage", F.coalesce("stage", F.lit("not_found"))
     )
 
@@ -463,8 +489,8 @@ def last_name_dimension(names: DataFrame) -> DataFrame:
 
 def fuzzy_last_names(queries: DataFrame, names: DataFrame, threshold: float, stage: str) -> DataFrame:
     last = last_name_dimension(names)
-    found = best_fuzzy(queries, last.select(F.col("last_ord").alias("row_id"), F.col("last").alias("text")), threshold)
-    joined = found.withColumnRenamed("row_id", "last_ord").join(last.select("last_ord", "row_id"), "last_ord")
+    found = best_blended(queries, last.select(F.col("last_ord").alias("row_id"), F.col("last").alias("text")), threshold)
+    joined = found.withColumnRenamed("row_id", "last_ord").join(shuffled(last.select("last_ord", "row_id")), "last_ord")
     joined = joined.select("query_id", F.lit(stage).alias("stage"), "row_id", "score", F.lit(1).cast("long").alias("candidates"))
     return cut_lineage(joined)
 
@@ -473,11 +499,11 @@ def lookup_profiles(requests: DataFrame, profiles: DataFrame) -> DataFrame:
     """First row with the name (any case), else the first row containing it, else ``not_found``."""
     names = profiles.where(F.col("player").isNotNull()).groupBy(F.lower("player").alias("name")).agg(F.min("row_id").alias("ord"))
     asked = requests.select("query_id", F.lower("query").alias("text"))
-    exact = asked.join(names.withColumnRenamed("name", "text"), "text").select("query_id", F.lit("exact").alias("status"), F.col("ord").alias("row_id"))
-    inside = containing_names(asked.join(exact, "query_id", "left_anti"), names).select(
+    exact = asked.join(shuffled(names.withColumnRenamed("name", "text")), "text").select("query_id", F.lit("exact").alias("status"), F.col("ord").alias("row_id"))
+    inside = containing_names(asked.join(shuffled(exact), "query_id", "left_anti"), names).select(
         "query_id", F.lit("contained").alias("status"), F.col("ord").alias("row_id")
     )
-    found = requests.join(exact.unionByName(inside), "query_id", "left")
+    found = requests.join(shuffled(exact.unionByName(inside)), "query_id", "left")
     return found.withColumn("status", F.coalesce("status", F.lit("not_found")))
 
 
@@ -492,9 +518,9 @@ def align_benchmark(curated: DataFrame, profiles: DataFrame, threshold: float =
     names = profiles.where(F.col("player").isNotNull()).groupBy("player").agg(F.min("row_id").alias("row_id"))
     wanted = curated.select(F.col("query").alias("raw")).union(curated.select(F.col("similar").alias("raw"))).distinct()
     wanted = numbered(wanted.select("raw", F.lower("raw").alias("text")), "query_id")
-    found = best_fuzzy(wanted, names.select("row_id", F.lower("player").alias("text")), threshold)
-    mapped = cut_lineage(wanted.join(found, "query_id").join(names, "row_id").select("raw", "player"))
-    both = curated.join(mapped.toDF("query", "query_player"), "query").join(mapped.toDF("similar", "similar_player"), "similar")
+    found = best_blended(wanted, names.select("row_id", F.lower("player").alias("text")), threshold)
+    mapped = cut_lineage(wanted.join(shuffled(found), "query_id").join(shuffled(names), "row_id").select("raw", "player"))
+    both = curated.join(shuffled(mapped.toDF("query", "query_player")), "query").join(shuffled(mapped.toDF("similar", "similar_player")), "similar")
     kept = both.where(F.col("query_player") != F.col("similar_player"))
     return rank_within(kept, "query", F.asc("ord")).select("query", "query_player", "similar_player", F.col("rank").alias("tm_rank"))
 

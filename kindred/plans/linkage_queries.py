@@ -12,6 +12,7 @@ from kindred.functions.text import fold_plain, search_variants
 from kindred.operators import linkage as L
 from kindred.plans.registry import query
 from kindred.plans.tables import PEOPLE_SQL, people
+from kindred.session import shuffled
 
 # Row number modulo 6 decides the change of spelling on the right side:
 # 0 none, 1 words swapped, 2 last letter lost, 3 other club, 4 absent, 5 two letters lost in both words.
@@ -122,7 +123,7 @@ def benchmark_alignment(spark, sf_dir):
     misspelt = p.select("row_id", F.concat(F.substring("player", 1, 6), F.substring("player", 8, 20)).alias("name"))
     pairs = misspelt.select(F.col("name").alias("query"), "row_id", F.explode(F.array(F.lit(1), F.lit(2))).alias("ord"))
     pairs = pairs.withColumn("target", (F.col("row_id") * 7 + F.col("ord")) % n)
-    curated = pairs.join(misspelt.select(F.col("row_id").alias("target"), F.col("name").alias("similar")), "target")
+    curated = pairs.join(shuffled(misspelt.select(F.col("row_id").alias("target"), F.col("name").alias("similar"))), "target")
     return L.align_benchmark(curated.select("query", "similar", "ord"), p).select("query_player", "similar_player", "tm_rank")
 
 

@@ -79,6 +79,15 @@ def _own_folder() -> str:
     return folder
 
 
+def shuffled(df: DataFrame) -> DataFrame:
+    """``df`` for a join that must not broadcast it, whatever size Spark guesses.
+
+    Guesses come from files; derived texts and exploded rows can be a hundred times as large,
+    and a broadcast passes whole through the driver.
+    """
+    return df.hint("merge")
+
+
 def task_count(spark: SparkSession) -> int:
     """Tasks for heavy work: what the cluster sets for shuffles, one per core at least."""
     return max(spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")))

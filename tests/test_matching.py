@@ -1,6 +1,7 @@
 """Kernels and pruned joins against brute force."""
 
 import random
+import re
 
 import numpy as np
 import pytest
@@ -245,3 +246,50 @@ def test_containing_names_equal_plain(spark):
     plan = found._jdf.queryExecution().optimizedPlan().toString()
     assert "Contains" not in plan and "contains(" not in plan
     assert linkage.containing_names(queries.limit(0), dimension).count() == linkage.containing_names(queries, dimension.limit(0)).count() == 0
+
+
+def test_near_texts_are_settled_before_the_block_join(spark, monkeypatch):
+    rng = random.Random(11)
+    word = lambda n: "".join(rng.choice("abcdefgh") for _ in range(n))
+    names = [f"{word(10)} {word(12)}" for _ in range(60)]
+    names += names[:5] + ["aa bb", "", "abab"]
+    asked = [x[:6] + x[7:] for x in names[:50]] + ["aa bb", "", "bb aa", names[0][11:], "zzz"]
+    q = spark.createDataFrame(list(enumerate(asked)), "query_id long, text string")
+    n = spark.createDataFrame(list(enumerate(names)), "row_id long, text string")
+    expected = {}
+    for i, x in enumerate(asked):
+        score, j = max((fuzzy.weighted(x, y), -j) for j, y in enumerate(names))
+        if score >= 55.0:
+            expected[i] = (-j, round(score, 9))
+    open_texts, block_join = [], linkage.best_fuzzy
+    monkeypatch.setattr(linkage, "best_fuzzy", lambda q, *rest: open_texts.extend(r["text"] for r in q.collect()) or block_join(q, *rest))
+    assert {r.query_id: (r.row_id, round(r.score, 9)) for r in linkage.best_blended(q, n, 55.0).collect()} == expected
+    assert sorted(open_texts) == sorted(x for x in asked if max(fuzzy.ratio(x, y) if x and y else 0 for y in names) <= 95.0)
+
+
+def test_requests_with_a_near_name_compare_nothing_else(spark, monkeypatch):
+    from kindred.operators import requests as Q
+
+    rng = random.Random(12)
+    word = lambda n: "".join(rng.choice("bcdfghjk") for _ in range(n))
+    people = [f"{word(9)} {word(12)}" for _ in range(30)]
+    profiles = spark.createDataFrame(list(enumerate(people)), "row_id long, player string")
+    typo = lambda x: x[:13] + x[14:]
+    asked = [(i, f"get me {typo(x).split()[1]} now") for i, x in enumerate(people[:10])]
+    asked += [(20 + i, f"someone like {x[:4] + x[5:]}e") for i, x in enumerate(people[:10])]
+    met, block_join = [], Q.best_fuzzy
+    monkeypatch.setattr(Q, "best_fuzzy", lambda q, *rest: met.append(q.count()) or block_join(q, *rest))
+    found = Q.reference_names(spark.createDataFrame(asked, "query_id long, query string"), profiles).collect()
+    assert {r.query_id: (r.reference, r.step) for r in found} == {i: (people[i % 20], "scan" if i < 20 else "cue") for i, _ in asked}
+    assert sum(met) == 0
+
+
+def test_joins_on_derived_texts_are_not_broadcast(spark, tmp_path):
+    rows = [(i, f"first{i} last{i}", "club", float(i)) for i in range(50)]
+    path = str(tmp_path / "people")
+    spark.createDataFrame(rows, "row_id long, player string, squad string, market_value_eur double").write.parquet(path)
+    people = spark.read.parquet(path)  # so small that Spark would broadcast whatever comes of it
+    asked = people.selectExpr("row_id AS query_id", "substr(player, 3, 6) AS query")
+    keys = r"BroadcastHashJoin \[(?!head)\w+#"  # heads of the asked texts are an aggregate
+    for df in (linkage.lookup_profiles(asked, people), linkage.fuzzy_join(people, people)):
+        assert not re.search(keys, df._jdf.queryExecution().executedPlan().toString())
