@@ -14,7 +14,7 @@ from kindred.operators.features import encode_text, text_pipeline, unit_blocks
 from kindred.operators.retrieval import stat_text_weights
 from kindred.plans.registry import query
 from kindred.plans.tables import PEOPLE_SQL, PROFILES_SQL, block_profiles, people, profiles, table
-from kindred.session import cut_lineage, spread
+from kindred.session import cut_lineage, shuffled, spread
 from kindred.sources import html as H
 from kindred.sources.synthetic import synthesise
 from kindred.sources.tables import map_alternate
@@ -300,7 +300,7 @@ def _about_people(spark, sf_dir, clause):
     p = people(spark, sf_dir)
     n = p.agg(F.count(F.lit(1))).scalar()
     turns = _user_requests(spark, sf_dir, lambda number: F.lit("")).withColumn("row_id", (F.col("query_id") * 31) % n)
-    return turns.join(p.select("row_id", "first", "last", "player"), "row_id").select("query_id", clause.alias("query")), p
+    return turns.join(shuffled(p.select("row_id", "first", "last", "player")), "row_id").select("query_id", clause.alias("query")), p
 
 
 @query(
@@ -379,7 +379,7 @@ def request_chosen(spark, sf_dir):
     kind, nobody = F.col("row_id") % 3, F.lit(None).cast("array<string>")
     countries = F.when(kind == 1, F.array(F.lit("eng"))).when(kind == 2, F.array(F.lit("France"), F.lit("BRA"))).otherwise(nobody)
     wanted = p.select(F.col("row_id").alias("query_id"), countries.alias("countries"), ((F.col("row_id") * 7 + 3) % n).alias("row_id"))
-    asked = wanted.join(p.select("row_id", F.col("player").alias("chosen")), "row_id").select("query_id", "countries", "chosen", F.lower("chosen").alias("query"))
+    asked = wanted.join(shuffled(p.select("row_id", F.col("player").alias("chosen"))), "row_id").select("query_id", "countries", "chosen", F.lower("chosen").alias("query"))
     parsed = cut_lineage(Q.parse_requests(asked, p))
     answered = Q.answer_requests(parsed, p, {"vec": 1.0}, "vec", lambda d: d.withColumn("vec", F.lit(None).cast("array<double>")))
     return answered.select("query_id", "rank", "row_id", "player", "nation", "similarity")
