@@ -216,9 +216,9 @@ def test_pipeline_stage_removes_the_repeated_chunks_whole(spark):
     runs = ["\n".join(line(i) for _ in range(12)) for i in range(30)]
     rows = [(100 * k + i, f"own start {k} {i}\n{run}\nown end {k} {i}") for i, run in enumerate(runs) for k in range(2)]
     df = spark.createDataFrame(rows, "doc_id long, text string")
-    lines = lambda out: {r["doc_id"]: r["text"].count("\n") + 1 for r in out.collect()}
+    lines = lambda out: {r["doc_id"]: collections.Counter(r["text"].split("\n")) for r in out.collect()}
     chunks, stage = lines(L.line_dedup(df)), lines(L.without_repeated_lines(df))
-    assert all(stage[i] <= n for i, n in chunks.items()) and sum(stage.values()) < sum(chunks.values())
+    assert all(stage[i] <= left for i, left in chunks.items()) and any(stage[i] < left for i, left in chunks.items())
 
 
 def test_mix_meets_targets_and_limits(nasty, no_docs):
