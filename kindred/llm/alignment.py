@@ -20,11 +20,14 @@ table gives an empty result; other columns are not carried.
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
 import io
 import os
 import re
+from array import array
+from collections import defaultdict
 from collections.abc import Iterator
-from itertools import chain
 from typing import NamedTuple
 
 import numpy as np
@@ -38,7 +41,9 @@ from kindred.llm.pieces import SPACE, by_ranks, byte_names, latin
 from kindred.session import cut_lineage, task_count
 
 #: Characters of a chunk, and those encoded by one call.
-CHUNK_CHARS, CALL_CHARS = 4_000_000, 500_000
+CHUNK_CHARS, CALL_CHARS = 4_000_000, 150_000
+#: Pieces of the documents whose links are listed together.
+SLICE_PIECES = 100_000
 #: Links from which a group's are counted by distinct ids.
 LARGE_GROUP = 4096
 RESULTS = ["doc_id", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", "groups"]
@@ -207,35 +212,73 @@ def _distinct(values: np.ndarray) -> np.ndarray:
     return values[np.r_[True, values[1:] != values[:-1]]] if len(values) else values
 
 
+def _coded(tool: Aligner, texts: list[str]) -> tuple[dict[str, int], np.ndarray, np.ndarray]:
+    """Distinct pieces with numbers, the numbers text after text, and where each text begins; a text's pieces are dropped at once."""
+    number: defaultdict[str, int] = defaultdict()
+    number.default_factory = number.__len__
+    codes, starts = array("i"), np.zeros(len(texts) + 1, np.int64)
+    for i, t in enumerate(texts):
+        if t:
+            codes.extend(map(number.__getitem__, tool.cut(" " + t)))
+        starts[i + 1] = len(codes)
+    number.default_factory = None  # it refers to its owner, which would outlive the chunk
+    return number, np.frombuffer(codes, np.int32), starts
+
+
+def _documents_per_pair(codes: np.ndarray, starts: np.ndarray, pair_starts: np.ndarray, place: np.ndarray, n_pairs: int) -> np.ndarray:
+    """How many documents hold each pair; a run of documents of about ``SLICE_PIECES`` pieces at a time, so that lists of links stay short."""
+    counts, n_pieces, begin = np.zeros(n_pairs, np.int64), max(len(pair_starts) - 1, 1), 0
+    while begin < len(starts) - 1:
+        end = max(int(np.searchsorted(starts, starts[begin] + SLICE_PIECES, "right")) - 1, begin + 1)
+        once = _distinct(np.repeat(np.arange(end - begin), np.diff(starts[begin : end + 1])) * n_pieces + codes[starts[begin] : starts[end]])
+        doc, piece = once // n_pieces, once % n_pieces
+        if len(once):
+            held = np.repeat(doc * n_pairs, np.diff(pair_starts)[piece]) + place[_segments(pair_starts, piece)]
+            counts += np.bincount(_distinct(held) % n_pairs, minlength=n_pairs)
+        begin = end
+    return counts
+
+
 def _chunk(tool: Aligner, ids: list, texts: list[str]) -> tuple[bytes, np.ndarray, np.ndarray]:
     """A chunk's aligned documents as bytes, its id pairs, and how many documents hold each."""
-    cut = [tool.cut(" " + t) if t else [] for t in texts]
-    runs = list(tool.align(list(set().union(*cut))))
-    code = {p: i for i, p in enumerate(p for run in runs for p in run.pieces)}
-    codes = [list(map(code.get, c)) for c in cut]
-    codes = [[] if None in c else c for c in codes]
-    del cut
-    starts = np.r_[0, np.cumsum([len(c) for c in codes])].astype(np.int64)
-    codes = np.fromiter(chain.from_iterable(codes), np.int32, int(starts[-1]))
-    n_pieces = max(len(code), 1)
-    nothing = [np.empty(0, np.int64)]
-    flat, times = (np.concatenate([nothing[0], *[getattr(run, n) for run in runs]]) for n in ("pairs", "times"))
-    per_piece = np.concatenate(nothing + [np.bincount(run.piece, minlength=len(run.pieces)) for run in runs])
+    number, codes, starts = _coded(tool, texts)
+    parts: dict[str, list[np.ndarray]] = {n: [np.empty(0, np.int64)] for n in ("pairs", "times", "per_piece")}
+    numbers, groups, at = [np.empty((0, 4), np.int64)], [], np.full(len(number) + 1, -1, np.int32)
+    aligned = 0
+    for run in tool.align(list(number)):
+        at[[number[p] for p in run.pieces]] = np.arange(aligned, aligned + len(run.pieces))
+        aligned += len(run.pieces)
+        numbers.append(run.numbers)
+        groups.append("\n".join(run.groups).encode())
+        parts["pairs"].append(run.pairs)
+        parts["times"].append(run.times)
+        parts["per_piece"].append(np.bincount(run.piece, minlength=len(run.pieces)))
+    del number
+    codes = at[codes]
+    lengths = np.diff(starts)
+    spelled = _sums((codes < 0).astype(np.int64), starts) == 0  # else a document has no tokens
+    codes = codes[np.repeat(spelled, lengths)]
+    starts = np.r_[0, np.cumsum(lengths * spelled)]
+    flat, times, per_piece = (np.concatenate(parts.pop(n)) for n in ("pairs", "times", "per_piece"))
     pair_starts = np.r_[0, np.cumsum(per_piece)]
     pairs = _distinct(flat)
-    place = np.searchsorted(pairs, flat)
-    n_pairs = max(len(pairs), 1)
-    once = _distinct(np.repeat(np.arange(len(ids)), np.diff(starts)) * n_pieces + codes)
-    doc, piece = once // n_pieces, once % n_pieces
-    held = _distinct(np.repeat(doc, per_piece[piece]) * n_pairs + place[_segments(pair_starts, piece)]) if len(once) else once
-    counts = np.bincount(held % n_pairs, minlength=len(pairs))
+    place = np.searchsorted(pairs, flat).astype(np.int32)
+    del flat
+    counts = _documents_per_pair(codes, starts, pair_starts, place, len(pairs))
     out = io.BytesIO()
     np.savez(
         out, ids=np.array([i or 0 for i in ids], np.int64), no_id=np.array([i is None for i in ids]), starts=starts, codes=codes,
-        numbers=np.concatenate([np.empty((0, 4), np.int64), *[run.numbers for run in runs]]), pair_starts=pair_starts, place=place.astype(np.int32), times=times,
-        groups=np.frombuffer("\n".join(chain.from_iterable(run.groups for run in runs)).encode(), np.uint8),
+        numbers=np.concatenate(numbers), pair_starts=pair_starts, place=place, times=times,
+        groups=np.frombuffer(b"\n".join(groups), np.uint8),
     )
-    return zstandard.ZstdCompressor(level=1).compress(out.getvalue()), pairs, counts
+    return zstandard.ZstdCompressor(level=1).compress(out.getbuffer()), pairs, counts
+
+
+def _give_back() -> None:
+    """Return freed memory to the system: workers live on beside the next stage's."""
+    pa.default_memory_pool().release_unused()
+    with contextlib.suppress(OSError, AttributeError):  # other C libraries than glibc
+        ctypes.CDLL("libc.so.6").malloc_trim(0)
 
 
 def align_chunks(docs: DataFrame, path_a: str, path_b: str) -> DataFrame:
@@ -259,8 +302,11 @@ def align_chunks(docs: DataFrame, path_a: str, path_b: str) -> DataFrame:
                 if size >= CHUNK_CHARS or len(ids) >= 50_000:
                     yield close()
                     done, ids, texts, size = done + 1, [], [], 0
+                    _give_back()
         if ids:
             yield close()
+            ids, texts = [], []
+            _give_back()
 
     return cut_lineage(only(docs, "doc_id", "text").mapInArrow(run, "chunk long, block binary, pairs array<long>, counts array<long>"))
 
@@ -294,6 +340,8 @@ def align_documents(docs: DataFrame, path_a: str, path_b: str) -> DataFrame:
             groups = x["groups"].tobytes().decode().split("\n")
             texts = [";".join([groups[c] for c in codes[s:e].tolist()]) for s, e in zip(starts[:-1], starts[1:])]
             ids = pa.array(x["ids"], mask=x["no_id"])
+        del groups, codes, place, times, per_piece, n, best, at
+        _give_back()
         return pa.table([ids, *[pa.array(c) for c in columns], pa.array(texts, pa.string())], names=RESULTS)
 
     parts = task_count(docs.sparkSession)

@@ -65,6 +65,24 @@ def aligned_plainly(rows, libraries):
         yield doc_id, n_a, n_b, len(groups), len(links), sum(held[k] == most[k[0]] for k in links), sum(held[k] for k in links), text
 
 
+def test_alignment_chunk_keeps_distinct_pieces_only(libraries, monkeypatch):
+    """Memory of a chunk: not a string per word, nor all links of all documents at once."""
+    import tracemalloc
+
+    tool, words = alignment.Aligner(A, B), [f"wonderful{i}" for i in range(40)]
+    texts = [" ".join(words[(d + i) % 40] for i in range(400)) for d in range(1000)]
+    alignment._chunk(tool, [0], texts[:1])
+    tracemalloc.start()
+    _, pairs, counts = alignment._chunk(tool, list(range(1000)), texts)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 40e6  # 400,000 words
+    for pieces in (1, 700):
+        monkeypatch.setattr(alignment, "SLICE_PIECES", pieces)
+        _, again, n = alignment._chunk(tool, list(range(1000)), texts)
+        assert again.tolist() == pairs.tolist() and n.tolist() == counts.tolist()
+
+
 def test_alignment_equals_whole_texts(spark, nasty, no_docs, libraries, monkeypatch):
     odd = [t for t in odd_texts() if len(t) < 4000][::4] + ["a▁b", "x\ry \r\n z", "<s> <unk> <|endoftext|>", "\n\nlead", "tail  ", "\r", " ", "日本 語", "ﬁ Å"]
     rows = [(r["doc_id"], r["text"]) for r in nasty.collect()] + [(1000 + i, t) for i, t in enumerate(odd)]
