@@ -127,3 +127,39 @@ def test_deduplication_combines_before_the_shuffle(spark):
     orders = spark.read.parquet(f"{SF}/orders.parquet")
     text = plan(Q.keep_max(orders, ["o_custkey"], "o_totalprice", "o_orderkey"))
     assert "partial_max_by" in text and "Window" not in text
+
+
+def test_plain_pages_equal_the_standard_parser():
+    """Random token soup: where the pattern gives a tree, it is the standard parser's."""
+    import random
+
+    rng, plain = random.Random(11), 0
+    signs = ["<table>", "</table>", "<tr>", "</tr>", '<td class="a b">', "<TD>", "</td>", "<th colspan=\"2\">", "<p>", "</p >", "<br>", "<br/>", "<div/>", '<a HREF="x" id>',
+             "</a>", " text ", "a &amp; b", "&lt", "<!-- c -->", "<!DOCTYPE html>", "</q>", '<img alt="-" alt="y" />']
+    odd = ["<", "a<b", "<td class=x>", "<a href='x'>", "<!-->", "<script>", "</script>", '<a b="&amp;">', "<title>", "<![CDATA[x]]>", "</td x>", "<a b=\"1\"c>", "&am", "<?x>", "<!-- a --!>"]
+
+    def shown(tree):
+        return [(n.tag, n.attrs, n.at, n.stop, n.text(), n.tight_text()) for n in tree.nodes]
+
+    for i in range(3000):
+        html = "".join(rng.choices(signs + odd * (i % 3 == 0), k=rng.randint(0, 14)))
+        tree = H._plain_tree(html)
+        if tree is not None:
+            plain += 1
+            tree._close(0)
+            other = H._Tree()
+            parser = H._Parser(other)
+            parser.feed(html)
+            parser.close()
+            other._close(0)
+            assert shown(tree) == shown(other), html
+    assert plain > 2000
+
+
+def test_deep_pages_and_pages_without_id(spark):
+    """A page nested deeper than Python's stack (failed before), and a missing page_id."""
+    deep = "<div>" * 3000 + LISTING
+    pages = spark.createDataFrame([(None, "L", deep), (2**53 + 1, "L", LISTING)], "page_id long, league string, html string")
+    found = H.value_listings(pages).groupBy("page_id").count().collect()
+    one = H.value_listings(pages.where("page_id > 0")).count()
+    assert sorted((repr(r["page_id"]), r["count"]) for r in found) == [(str(2**53 + 1), one), ("None", one)]
