@@ -26,6 +26,8 @@ from kindred.session import shuffled
 
 Weights = dict[str, float]
 SCORE_DECIMALS = 12
+#: Most that a product of unit vectors in single precision may be off, and pairs scored exactly at a time.
+NEAR_SLACK, EXACT_PAIRS = 1e-4, 16_384
 
 # Optional per-query limits the kernel understands, with the candidate column each reads.
 LIMITS = {
@@ -106,7 +108,10 @@ class CosineKernel(Kernel):
 
     def prepare(self, block: pa.Table, is_query: bool) -> dict:
         ready = {c: _matrix(block[c]) * w for c, w in self.weights.items()}
-        ready["norm"] = np.sqrt(sum((m * m).sum(axis=1) for m in ready.values()))
+        norm = np.sqrt(sum((m * m).sum(axis=1) for m in ready.values()))
+        if not self.lists:
+            ready |= {f"unit {c}": _single(ready[c], norm) for c in self.weights}
+        ready["norm"] = norm
         names = set(block.column_names)
         readers = {
             "want_pos": _upper_codes, "pos": _upper_codes,
@@ -121,8 +126,6 @@ class CosineKernel(Kernel):
 
     def _allowed(self, q: dict, c: dict) -> np.ndarray | None:
         masks = []
-        if "exclude_row_id" in q:
-            masks.append(c["row_id"][None, :] != q["exclude_row_id"][:, None])
         if "want_pos" in q:
             masks.append(_holds_code(q, c))
         if "want_group" in q:
@@ -138,20 +141,52 @@ class CosineKernel(Kernel):
         return np.logical_and.reduce(masks) if masks else None
 
     def score(self, q: dict, c: dict, floor: np.ndarray):
-        dots = sum(q[b] @ c[b].T for b in self.weights if q[b].shape[1] and c[b].shape[1])
-        return self._ranking(dots, np.outer(q["norm"], c["norm"]), self._allowed(q, c), q, floor)
+        units = [{b: side[f"unit {b}"] for b in self.weights} for side in (q, c)]
+        return self._ranking(q, c, (q["norm"], c["norm"]), units, dict.fromkeys(self.weights, 1.0), self._allowed(q, c), floor)
 
-    def _ranking(self, dots: np.ndarray, scale: np.ndarray, allowed: np.ndarray | None, q: dict, floor: np.ndarray):
-        score = np.divide(dots, scale, out=np.zeros_like(scale), where=scale > 0)
-        np.round(score, SCORE_DECIMALS, out=score)
+    def _ranking(self, q, c, norms, units, squares: Weights, allowed: np.ndarray | None, floor: np.ndarray):
+        """Pairs that may rank: single-precision products leave out what cannot, the rest is scored in double precision."""
         limit = np.fmax(floor, q["min_similarity"]) if "min_similarity" in q else floor
+        used = [b for b in squares if q[b].shape[1] and c[b].shape[1]]
+        near = sum((units[0][b] @ units[1][b].T for b in used), np.zeros((len(norms[0]), len(norms[1])), np.float32))
+        unsure = any(_extreme(n).any() for n in norms)
+        if unsure:
+            np.nan_to_num(near, copy=False, nan=2.0)
         if allowed is not None:
-            score[~allowed] = -np.inf
-        if score.shape[1] > self.k:
-            kth = np.partition(score, score.shape[1] - self.k, axis=1)[:, score.shape[1] - self.k]
-            limit = np.maximum(limit, kth)
-        qi, ci = np.nonzero((score >= limit[:, None]) & (score > -np.inf))
-        return qi, ci, score[qi, ci]
+            np.copyto(near, -np.inf, where=~allowed)
+        if "exclude_row_id" in q:
+            own = np.flatnonzero(np.isin(c["row_id"], q["exclude_row_id"]))
+            near[:, own] = np.where(c["row_id"][own] == q["exclude_row_id"][:, None], -np.inf, near[:, own])
+        least = np.fmax(limit - NEAR_SLACK, -2.0).astype(np.float32)
+        keep = near >= least[:, None]
+        if near.shape[1] > self.k and not unsure:
+            many = np.flatnonzero(np.count_nonzero(keep, axis=1) > 4 * self.k)
+            if len(many):  # what is below the k-th by twice the slack cannot rank
+                rows = near[many]
+                kth = np.partition(rows, near.shape[1] - self.k, axis=1)[:, near.shape[1] - self.k]
+                keep[many] = rows >= np.fmax(least[many], kth - np.float32(2 * NEAR_SLACK))[:, None]
+        qi, ci = np.divmod(np.flatnonzero(keep), max(near.shape[1], 1))
+        score = np.empty(len(qi))
+        for start in range(0, len(qi), EXACT_PAIRS):
+            at = slice(start, start + EXACT_PAIRS)
+            scale = norms[0][qi[at]] * norms[1][ci[at]]
+            dots = sum((squares[b] * np.einsum("ij,ij->i", q[b][qi[at]], c[b][ci[at]]) for b in used), np.zeros(len(scale)))
+            score[at] = np.divide(dots, scale, out=np.zeros_like(scale), where=scale > 0)
+        np.round(score, SCORE_DECIMALS, out=score)
+        kept = (score >= limit[qi]) & (score > -np.inf)
+        return qi[kept], ci[kept], score[kept]
+
+
+def _extreme(norm: np.ndarray) -> np.ndarray:
+    """Lengths whose products may leave the range of doubles: such rows are always scored exactly."""
+    return ~((norm == 0) | (norm > 1e-100) & (norm < 1e100))
+
+
+def _single(rows: np.ndarray, norm: np.ndarray) -> np.ndarray:
+    """Rows over their length in single precision; those of extreme length are NaN."""
+    unit = (rows / np.where(norm > 0, norm, 1.0)[:, None]).astype(np.float32)
+    unit[_extreme(norm)] = np.nan
+    return unit
 
 
 class VariantKernel(CosineKernel):
@@ -167,15 +202,16 @@ class VariantKernel(CosineKernel):
         ready = super().prepare(block, is_query)
         own = {b: (ready[b] * ready[b]).sum(axis=1) for b in self.blocks}
         ready["norms"] = [np.sqrt(sum(w * own[b] for b, w in squares.items())) for squares in self.squares]
+        ready["units"] = [
+            {b: _single(ready[b] * np.sqrt(w), norm) for b, w in squares.items()} for squares, norm in zip(self.squares, ready["norms"])
+        ]
         return ready
 
     def score(self, q: dict, c: dict, floor: np.ndarray):
-        dots = {b: q[b] @ c[b].T if q[b].shape[1] and c[b].shape[1] else 0.0 for b in self.blocks}
         allowed, found = self._allowed(q, c), []
         for at, squares in enumerate(self.squares):
-            total = sum(w * dots[b] for b, w in squares.items())
-            scale = np.outer(q["norms"][at], c["norms"][at])
-            qi, ci, score = self._ranking(np.broadcast_to(total, scale.shape), scale, allowed, q, floor[at :: len(self.lists)])
+            norms, units = (q["norms"][at], c["norms"][at]), (q["units"][at], c["units"][at])
+            qi, ci, score = self._ranking(q, c, norms, units, squares, allowed, floor[at :: len(self.lists)])
             found.append((qi * len(self.lists) + at, ci, score))
         return tuple(np.concatenate(x) for x in zip(*found))
 
