@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from kindred.functions.constants import EVALUATION_GROUPS
 from kindred.functions.positions import evaluation_group
-from kindred.session import cut_lineage, numbered
+from kindred.session import cut_lineage, numbered, shuffled
 
 METRICS = ["precision_at_k", "recall_at_k", "ndcg_at_k", "f1_at_k"]
 
@@ -46,7 +46,7 @@ def ranking_metrics(queries: DataFrame, hits: DataFrame, k_values: list[int], ke
     ideal = ideal_gain(F.col("n_relevant"), F.col("k"))
     p, r = F.col("precision_at_k"), F.col("recall_at_k")
     return (
-        expanded.join(counted, [*keys, "k"], "left")
+        expanded.join(shuffled(counted), [*keys, "k"], "left")
         .withColumn("precision_at_k", F.when(F.col("k") == 0, 0.0).otherwise(n_hits / F.when(F.col("k") != 0, F.col("k"))))
         .withColumn("recall_at_k", F.when(F.col("n_relevant") == 0, 0.0).otherwise(n_hits / F.when(F.col("n_relevant") != 0, F.col("n_relevant"))))
         .withColumn("ndcg_at_k", F.when(ideal == 0, 0.0).otherwise(gain / ideal))
@@ -91,12 +91,12 @@ def position_queries(
     sizes = names.groupBy("position_group").agg(F.count(F.lit(1)).alias("n_names"))
     own = names.withColumnRenamed("copies", "own_copies")
     queries = (
-        asked.join(own, ["position_group", "player"])
+        asked.join(shuffled(own), ["position_group", "player"])
         .join(F.broadcast(sizes), "position_group")
         .withColumn("n_relevant", F.col("n_names") - F.when(F.col("own_copies") == 1, 1).otherwise(0))
         .where(F.col("n_relevant") > 0)
         .withColumn("name_key", F.lower("player"))
-        .join(last_row_per_name(profiles), "name_key")
+        .join(shuffled(last_row_per_name(profiles)), "name_key")
         .select(
             F.col("row_id").alias("query_id"), F.col("resolved_row_id").alias("row_id"),
             F.col("player").alias("query_player"), "position_group", "own_copies", "n_relevant",
@@ -107,8 +107,8 @@ def position_queries(
 
 def position_hits(retrieved: DataFrame, queries: DataFrame, names: DataFrame) -> DataFrame:
     return (
-        retrieved.join(queries, "row_id")
-        .join(names.select("position_group", F.col("player").alias("item")), ["position_group", "item"], "left_semi")
+        retrieved.join(shuffled(queries), "row_id")
+        .join(shuffled(names.select("position_group", F.col("player").alias("item"))), ["position_group", "item"], "left_semi")
         .where((F.col("item") != F.col("query_player")) | (F.col("own_copies") > 1))
     )
 
@@ -123,8 +123,8 @@ def curated_queries(edges: DataFrame, profiles: DataFrame) -> tuple[DataFrame, D
     queries = (
         numbered(edges.select("query_player").distinct(), "query_id")
         .withColumn("name_key", F.lower("query_player"))
-        .join(sizes, "name_key")
-        .join(last_row_per_name(profiles), "name_key")
+        .join(shuffled(sizes), "name_key")
+        .join(shuffled(last_row_per_name(profiles)), "name_key")
         .select(
             "query_id", F.col("resolved_row_id").alias("row_id"), "query_player", "name_key", "n_relevant",
         )
@@ -133,7 +133,7 @@ def curated_queries(edges: DataFrame, profiles: DataFrame) -> tuple[DataFrame, D
 
 
 def curated_hits(retrieved: DataFrame, queries: DataFrame, truth: DataFrame) -> DataFrame:
-    return retrieved.join(queries, "row_id").join(truth, ["name_key", "item"], "left_semi")
+    return retrieved.join(shuffled(queries), "row_id").join(shuffled(truth), ["name_key", "item"], "left_semi")
 
 
 def evaluate(

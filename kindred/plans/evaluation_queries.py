@@ -8,6 +8,7 @@ from kindred.operators import metrics as M
 from kindred.operators import retrieval as R
 from kindred.plans.registry import query
 from kindred.plans.tables import BLOCK_PROFILES_SQL, PROFILES_SQL, block_profiles, profiles
+from kindred.session import shuffled
 
 KS = [3, 5, 10]
 
@@ -81,7 +82,7 @@ def _edges(p):
     targets = p.select("row_id", F.col("player").alias("query_player"), F.explode(F.array(*[F.lit(j) for j in (1, 2, 3)])).alias("tm_rank"))
     targets = targets.withColumn("target", (F.col("row_id") * 7 + F.col("tm_rank")) % n.scalar())
     named = p.select(F.col("row_id").alias("target"), F.col("player").alias("similar_player"))
-    return targets.join(named, "target").where(F.col("target") != F.col("row_id")).select("query_player", "similar_player", "tm_rank")
+    return targets.join(shuffled(named), "target").where(F.col("target") != F.col("row_id")).select("query_player", "similar_player", "tm_rank")
 
 
 _EDGES_SQL = """edges AS (
