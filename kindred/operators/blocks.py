@@ -25,8 +25,8 @@ from kindred.session import task_count
 QUERY_BLOCK_ROWS = 2048
 CANDIDATE_BLOCK_ROWS = 512
 RUNNING_ROWS = 2_000_000
-#: Stream bytes of the query blocks that a task keeps prepared.
-PREPARED_BYTES = 64 << 20
+#: Bytes of the query blocks that a task keeps prepared, in their numpy form.
+PREPARED_BYTES = 160 << 20
 
 
 class Kernel:
@@ -121,6 +121,13 @@ def block_pairs(
     return met.select("q_key", "q_block", "c_block")
 
 
+def _held(ready) -> int:
+    """Bytes of the arrays of a prepared block."""
+    if isinstance(ready, dict):
+        return sum(map(_held, ready.values()))
+    return sum(map(_held, ready)) if isinstance(ready, (list, tuple)) else getattr(ready, "nbytes", 0)
+
+
 def _best(qi: np.ndarray, rid: np.ndarray, score: np.ndarray, k: int):
     """Best k per query, by score descending then row id."""
     order = np.lexsort((rid, -score, qi))
@@ -180,13 +187,13 @@ def best_of(pairs: DataFrame, kernel: Kernel, k: int, query_key: str = "query_id
             for i in range(batch.num_rows):
                 q_key = batch["q_key"][i].as_py()
                 if q_key not in prepared:
-                    stream = batch["q_block"][i].as_buffer()
-                    while prepared and sum(kept.values()) + stream.size > PREPARED_BYTES:
+                    table = pa.ipc.open_stream(batch["q_block"][i].as_buffer()).read_all()
+                    made = (table[query_key].to_numpy().copy(), kernel.prepare(table, True))  # a view would hold the whole batch
+                    size = _held(made)
+                    while prepared and sum(kept.values()) + size > PREPARED_BYTES:
                         oldest = next(iter(prepared))
                         del prepared[oldest], kept[oldest]
-                    kept[q_key] = stream.size
-                    table = pa.ipc.open_stream(stream).read_all()
-                    prepared[q_key] = (table[query_key].to_numpy(), kernel.prepare(table, True))
+                    kept[q_key], prepared[q_key] = size, made
                 ids, ready = prepared[q_key]
                 block = pa.ipc.open_stream(batch["c_block"][i].as_buffer()).read_all()
                 _, qi, rid, score = running.get(q_key) or (ids, *none)
