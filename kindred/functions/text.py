@@ -4,9 +4,10 @@ from __future__ import annotations
 
 import re
 import unicodedata
+from collections.abc import Callable
 from functools import reduce
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -30,15 +31,25 @@ def _fold(text: str | None, compatible: bool) -> str:
     return plain.lower()
 
 
-@F.pandas_udf(T.StringType())
-def fold_name(names: pd.Series) -> pd.Series:
+#: Texts folded together; long ones are never all Python strings at once.
+FOLDED_ROWS = 128
+
+
+def _each(texts: pa.Array, fold: Callable[[str | None], str]) -> pa.Array:
+    """``fold`` of every text, some rows at a time."""
+    parts = [texts.slice(i, FOLDED_ROWS) for i in range(0, len(texts), FOLDED_ROWS)]
+    return pa.concat_arrays([pa.array(map(fold, part.to_pylist()), pa.string()) for part in parts] or [pa.array([], pa.string())])
+
+
+@F.arrow_udf(T.StringType())
+def fold_name(names: pa.Array) -> pa.Array:
     """Drop diacritics (canonical decomposition), lower-case, trim; missing text is ''."""
-    return pd.Series([_fold(x, False).strip() for x in names], dtype="object")
+    return _each(names, lambda x: _fold(x, False).strip())
 
 
-@F.pandas_udf(T.StringType())
-def _fold_marks(names: pd.Series) -> pd.Series:
-    return pd.Series([_fold(x, True) for x in names], dtype="object")
+@F.arrow_udf(T.StringType())
+def _fold_marks(names: pa.Array) -> pa.Array:
+    return _each(names, lambda x: _fold(x, True))
 
 
 def fold_plain(name: Column) -> Column:
