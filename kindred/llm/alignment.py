@@ -20,8 +20,6 @@ table gives an empty result; other columns are not carried.
 
 from __future__ import annotations
 
-import contextlib
-import ctypes
 import io
 import os
 import re
@@ -37,7 +35,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from kindred.llm.expressions import only
-from kindred.llm.pieces import SPACE, by_ranks, byte_names, latin
+from kindred.llm.pieces import SPACE, by_ranks, byte_names, give_back, latin
 from kindred.session import cut_lineage, task_count
 
 #: Characters of a chunk, and those encoded by one call.
@@ -274,13 +272,6 @@ def _chunk(tool: Aligner, ids: list, texts: list[str]) -> tuple[bytes, np.ndarra
     return zstandard.ZstdCompressor(level=1).compress(out.getbuffer()), pairs, counts
 
 
-def _give_back() -> None:
-    """Return freed memory to the system: workers live on beside the next stage's."""
-    pa.default_memory_pool().release_unused()
-    with contextlib.suppress(OSError, AttributeError):  # other C libraries than glibc
-        ctypes.CDLL("libc.so.6").malloc_trim(0)
-
-
 def align_chunks(docs: DataFrame, path_a: str, path_b: str) -> DataFrame:
     """``(chunk, block, pairs, counts)``, written: aligned documents and the documents per id pair."""
 
@@ -302,11 +293,11 @@ def align_chunks(docs: DataFrame, path_a: str, path_b: str) -> DataFrame:
                 if size >= CHUNK_CHARS or len(ids) >= 50_000:
                     yield close()
                     done, ids, texts, size = done + 1, [], [], 0
-                    _give_back()
+                    give_back()
         if ids:
             yield close()
             ids, texts = [], []
-            _give_back()
+            give_back()
 
     return cut_lineage(only(docs, "doc_id", "text").mapInArrow(run, "chunk long, block binary, pairs array<long>, counts array<long>"))
 
@@ -341,7 +332,7 @@ def align_documents(docs: DataFrame, path_a: str, path_b: str) -> DataFrame:
             texts = [";".join([groups[c] for c in codes[s:e].tolist()]) for s, e in zip(starts[:-1], starts[1:])]
             ids = pa.array(x["ids"], mask=x["no_id"])
         del groups, codes, place, times, per_piece, n, best, at
-        _give_back()
+        give_back()
         return pa.table([ids, *[pa.array(c) for c in columns], pa.array(texts, pa.string())], names=RESULTS)
 
     parts = task_count(docs.sparkSession)
