@@ -5,9 +5,12 @@ joined row is a pair of blocks and a kernel scores it with numpy.  No pair of
 rows is ever a Spark row: a task emits at most k rows per query.
 
 Both sides are counted and laid out on a grid of cells whose shape copies the
-least data, an equi-join on the cell: few queries are copied to every column while
-each candidate moves once, many queries make the grid square.  Memory per task stays
-at two blocks plus the running best lists, which are flushed when they grow.
+least data: few queries are copied to every column while each candidate moves once,
+many queries make the grid square.  A task is one cell: it takes in the query blocks of
+the cell, of which the grid gives it no more than fit its bound, and then meets each
+candidate block once with all of them.  So a block is read and prepared once per cell, not
+once per pair.  Memory per task stays at those blocks plus the running best lists, which
+are flushed when they grow.
 """
 
 from __future__ import annotations
@@ -16,9 +19,10 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from kindred.session import task_count
 
@@ -47,29 +51,28 @@ class Kernel:
         """
         raise NotImplementedError
 
-    # Name of a text column whose shortest and longest length describe a block, if any.
-    length_of: str | None = None
+    #: Blocks of queries and of candidates are so many times as long as usual.
+    longer: tuple[int, int] = (1, 1)
 
-    def may_match(self, q_lo: Column, q_hi: Column, c_lo: Column, c_hi: Column) -> Column:
-        """Whether blocks of these lengths can hold a match; others never reach Python."""
-        return F.lit(True)
+    def prepared_bytes(self, raw: float) -> float:
+        """Bytes of a prepared query of ``raw`` bytes."""
+        return 2.5 * raw
 
 
-def pack_blocks(df: DataFrame, key: str, block_rows: int, length_of: str | None = None) -> DataFrame:
-    """One row per block: ``first_key``, the range of text lengths, the block as Arrow stream bytes."""
+def pack_blocks(df: DataFrame, block_rows: int) -> DataFrame:
+    """One row per block: a number ``nth`` that goes up evenly over all tasks, the block as Arrow stream bytes."""
 
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        nth = TaskContext.get().partitionId()
+
         def encode(parts: list[pa.RecordBatch]) -> pa.RecordBatch:
+            nonlocal nth
+            nth += 1
             table = pa.Table.from_batches(parts).combine_chunks()
             sink = pa.BufferOutputStream()
             with pa.ipc.new_stream(sink, table.schema) as writer:
                 writer.write_table(table)
-            sizes = pc.min_max(pc.utf8_length(table[length_of])).as_py() if length_of else {"min": 0, "max": 0}
-            values = [(table[key][0].as_py(), pa.int64()), (sizes["min"], pa.int32()), (sizes["max"], pa.int32())]
-            return pa.record_batch(
-                [*[pa.array([v], t) for v, t in values], pa.array([sink.getvalue().to_pybytes()], pa.binary())],
-                names=["first_key", "lo", "hi", "block"],
-            )
+            return pa.record_batch([pa.array([nth], pa.int64()), pa.array([sink.getvalue().to_pybytes()], pa.binary())], names=["nth", "block"])
 
         held: list[pa.RecordBatch] = []
         rows = 0
@@ -85,16 +88,16 @@ def pack_blocks(df: DataFrame, key: str, block_rows: int, length_of: str | None
         if held:
             yield encode(held)
 
-    return df.mapInArrow(pack, "first_key long, lo int, hi int, block binary")
+    return df.mapInArrow(pack, "nth long, block binary")
 
 
-def grid_shape(n_queries: int, n_candidates: int, cells: int) -> tuple[int, int]:
+def grid_shape(n_queries: int, n_candidates: int, cells: int, least_rows: int = 1) -> tuple[int, int]:
     """Rows and columns of a grid of about ``cells`` cells that copies the least data.
 
     Queries are copied once per column and candidates once per row.
     """
     rows = round((cells * n_queries / max(n_candidates, 1)) ** 0.5)
-    rows = min(max(rows, 1), cells)
+    rows = max(min(max(rows, 1), cells), least_rows)
     return rows, -(-cells // rows)
 
 
@@ -110,15 +113,30 @@ def on_grid(left: DataFrame, right: DataFrame, n_queries: int, n_candidates: int
     return right.join(left, "cell")
 
 
-def block_pairs(
-    queries: DataFrame, candidates: DataFrame, kernel: Kernel, query_key: str, key: str, sizes: tuple[int, int] | None = None
-) -> DataFrame:
-    """Every query block beside every candidate block it may match; ``sizes`` are the row counts, where known."""
-    left = pack_blocks(queries, query_key, QUERY_BLOCK_ROWS, kernel.length_of).toDF("q_key", "q_lo", "q_hi", "q_block")
-    right = pack_blocks(candidates, key, CANDIDATE_BLOCK_ROWS, kernel.length_of).toDF("c_key", "c_lo", "c_hi", "c_block")
-    met = on_grid(left, right, *(sizes or (queries.count(), candidates.count())))
-    met = met.where(kernel.may_match(*[F.col(c) for c in ("q_lo", "q_hi", "c_lo", "c_hi")]))
-    return met.select("q_key", "q_block", "c_block")
+def _raw_bytes(df: DataFrame) -> Column:
+    """Bytes of a row's arrays and texts."""
+    sizes = {T.ArrayType: lambda c: 8 * F.coalesce(F.size(c), F.lit(0)), T.StringType: lambda c: F.coalesce(F.length(c), F.lit(0))}
+    return sum((sizes[type(f.dataType)](F.col(f.name)) for f in df.schema if type(f.dataType) in sizes), F.lit(8 * len(df.columns)))
+
+
+def in_cells(queries: DataFrame, candidates: DataFrame, kernel: Kernel, sizes: tuple[int, int] | None = None) -> DataFrame:
+    """``(cell, side, block)``: of every cell of the grid its query blocks (``side`` 0), then its candidate blocks.
+
+    ``sizes`` are the row counts, where known.  A cell's queries take ``PREPARED_BYTES`` when prepared.
+    """
+    n_queries, raw = queries.agg(F.count(F.lit(1)), F.sum(_raw_bytes(queries).cast("double"))).first()
+    n_candidates = sizes[1] if sizes else candidates.count()
+    all_bytes = n_queries * kernel.prepared_bytes((raw or 0) / max(n_queries, 1))
+    parts = task_count(queries.sparkSession)
+    rows, columns = grid_shape(n_queries, n_candidates, 2 * parts, int(-(-all_bytes // PREPARED_BYTES)))
+    left = pack_blocks(queries, QUERY_BLOCK_ROWS * kernel.longer[0])
+    right = pack_blocks(candidates, CANDIDATE_BLOCK_ROWS * kernel.longer[1])
+    row, column = F.pmod("nth", F.lit(rows)), F.pmod("nth", F.lit(columns))
+    left = left.select(F.explode(F.sequence(F.lit(0), F.lit(columns - 1))).alias("at"), row.alias("row"), "block")
+    right = right.select(F.explode(F.sequence(F.lit(0), F.lit(rows - 1))).alias("at"), column.alias("column"), "block")
+    left = left.select((F.col("row") * columns + F.col("at")).cast("int").alias("cell"), F.lit(0).alias("side"), "block")
+    right = right.select((F.col("at") * columns + F.col("column")).cast("int").alias("cell"), F.lit(1).alias("side"), "block")
+    return left.unionByName(right).repartitionById(rows * columns, F.col("cell")).sortWithinPartitions("cell", "side")
 
 
 def _held(ready) -> int:
@@ -162,32 +180,103 @@ def top_matches(
 
     A kernel with several lists gives the best k of each, told apart by ``list``.
     """
-    return best_of(block_pairs(queries, candidates, kernel, query_key, key, sizes), kernel, k, query_key, key)
+    return best_in_cells(in_cells(queries, candidates, kernel, sizes), kernel, k, query_key, key)
+
+
+class _Best:
+    """Best k candidates so far of every query of a block, and the k-th best score of each."""
+
+    def __init__(self, ids: np.ndarray, several: int, k: int):
+        self.ids, self.several, self.k = ids, several, k
+        self.floor = np.full(len(ids) * several, -np.inf)
+        self.empty()
+
+    def empty(self) -> None:
+        """Rows are handed on; what is below the k-th best of them cannot rank any more."""
+        self.qi, self.rid, self.score = np.empty(0, dtype=np.int64), np.empty(0, dtype=np.int64), np.empty(0)
+
+    def add(self, qi: np.ndarray, rid: np.ndarray, score: np.ndarray) -> None:
+        if not len(qi):
+            return
+        touched = np.zeros(len(self.floor), dtype=bool)
+        touched[qi] = True
+        again = touched[self.qi]
+        merged = _best(np.r_[self.qi[again], qi], np.r_[self.rid[again], rid], np.r_[self.score[again], score], self.k)
+        np.maximum(self.floor, _floors(merged[0], merged[2], len(self.floor), self.k), out=self.floor)
+        self.qi, self.rid, self.score = (np.r_[old[~again], new] for old, new in zip((self.qi, self.rid, self.score), merged))
+
+    def rows(self, lists: list[str] | None, names: list[str]) -> pa.RecordBatch:
+        columns = [pa.array(self.ids[self.qi // self.several]), pa.array(self.rid), pa.array(self.score)]
+        if lists:
+            columns.append(pa.array(np.array(lists, dtype=object)[self.qi % self.several], pa.string()))
+        return pa.record_batch(columns, names=names[: len(columns)])
+
+
+def _ranked(partials: Iterator, pairs: DataFrame, kernel: Kernel, k: int, query_key: str, key: str) -> DataFrame:
+    found = pairs.mapInArrow(partials, f"{query_key} long, {key} long, score double" + ", list string" * bool(kernel.lists))
+    keys = [query_key, "list"] if kernel.lists else query_key
+    return rank_within(found, keys, F.desc("score"), F.asc(key)).where(F.col("rank") <= k)
+
+
+def _opened(block: pa.Scalar) -> pa.Table:
+    return pa.ipc.open_stream(block.as_buffer()).read_all()
+
+
+def best_in_cells(cells: DataFrame, kernel: Kernel, k: int, query_key: str = "query_id", key: str = "row_id") -> DataFrame:
+    """:func:`top_matches` of the blocks of :func:`in_cells`."""
+    several, names = len(kernel.lists) if kernel.lists else 1, [query_key, key, "score", "list"]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[tuple] = []
+        cell = None
+
+        def drain() -> Iterator[pa.RecordBatch]:
+            for _, best in held:
+                if len(best.qi):
+                    yield best.rows(kernel.lists, names)
+                    best.empty()
+
+        for batch in batches:
+            for i in range(batch.num_rows):
+                if (here := batch["cell"][i].as_py()) != cell:
+                    yield from drain()
+                    held, cell = [], here
+                table = _opened(batch["block"][i])
+                if batch["side"][i].as_py() == 0:
+                    ids = table[query_key].to_numpy().copy()  # a view would hold the whole batch
+                    held.append((kernel.prepare(table, True), _Best(ids, several, k)))
+                    continue
+                ready, rid = kernel.prepare(table, False), table[key].to_numpy()
+                for asked, best in held:
+                    qi, ci, score = kernel.score(asked, ready, best.floor)
+                    best.add(qi, rid[ci], score)
+                if sum(len(best.qi) for _, best in held) > RUNNING_ROWS:
+                    yield from drain()
+        yield from drain()
+
+    return _ranked(run, cells, kernel, k, query_key, key)
 
 
 def best_of(pairs: DataFrame, kernel: Kernel, k: int, query_key: str = "query_id", key: str = "row_id") -> DataFrame:
     """:func:`top_matches` of pairs of blocks ``(q_key, q_block, c_block)``."""
-    several = len(kernel.lists) if kernel.lists else 1
-    none = (np.empty(0, dtype=np.int64), np.empty(0, dtype=np.int64), np.empty(0))
+    several, names = len(kernel.lists) if kernel.lists else 1, [query_key, key, "score", "list"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        running: dict[int, tuple] = {}
+        running: dict[int, _Best] = {}
         prepared: dict[int, tuple] = {}
         kept: dict[int, int] = {}
 
         def drain() -> Iterator[pa.RecordBatch]:
-            for ids, qi, rid, score in running.values():
-                columns = [pa.array(ids[qi // several]), pa.array(rid), pa.array(score)]
-                if kernel.lists:
-                    columns.append(pa.array(np.array(kernel.lists, dtype=object)[qi % several], pa.string()))
-                yield pa.record_batch(columns, names=[query_key, key, "score", "list"][: len(columns)])
+            for best in running.values():
+                if len(best.qi):
+                    yield best.rows(kernel.lists, names)
             running.clear()
 
         for batch in batches:
             for i in range(batch.num_rows):
                 q_key = batch["q_key"][i].as_py()
                 if q_key not in prepared:
-                    table = pa.ipc.open_stream(batch["q_block"][i].as_buffer()).read_all()
+                    table = _opened(batch["q_block"][i])
                     made = (table[query_key].to_numpy().copy(), kernel.prepare(table, True))  # a view would hold the whole batch
                     size = _held(made)
                     while prepared and sum(kept.values()) + size > PREPARED_BYTES:
@@ -195,24 +284,18 @@ def best_of(pairs: DataFrame, kernel: Kernel, k: int, query_key: str = "query_id
                         del prepared[oldest], kept[oldest]
                     kept[q_key], prepared[q_key] = size, made
                 ids, ready = prepared[q_key]
-                block = pa.ipc.open_stream(batch["c_block"][i].as_buffer()).read_all()
-                _, qi, rid, score = running.get(q_key) or (ids, *none)
-                new_q, new_c, new_s = kernel.score(ready, kernel.prepare(block, False), _floors(qi, score, len(ids) * several, k))
-                if not len(new_q):
+                block = _opened(batch["c_block"][i])
+                best = running.get(q_key) or _Best(ids, several, k)
+                qi, ci, score = kernel.score(ready, kernel.prepare(block, False), best.floor)
+                if not len(qi):
                     continue
-                new_rid = block[key].to_numpy()[new_c]
-                touched = np.zeros(len(ids) * several, dtype=bool)
-                touched[new_q] = True
-                again = touched[qi]
-                merged = _best(np.r_[qi[again], new_q], np.r_[rid[again], new_rid], np.r_[score[again], new_s], k)
-                running[q_key] = (ids, *(np.r_[old[~again], new] for old, new in zip((qi, rid, score), merged)))
-                if sum(len(r[1]) for r in running.values()) > RUNNING_ROWS:
+                best.add(qi, block[key].to_numpy()[ci], score)
+                running[q_key] = best
+                if sum(len(r.qi) for r in running.values()) > RUNNING_ROWS:
                     yield from drain()
         yield from drain()
 
-    partials = pairs.mapInArrow(run, f"{query_key} long, {key} long, score double" + ", list string" * bool(kernel.lists))
-    keys = [query_key, "list"] if kernel.lists else query_key
-    return rank_within(partials, keys, F.desc("score"), F.asc(key)).where(F.col("rank") <= k)
+    return _ranked(run, pairs, kernel, k, query_key, key)
 
 
 def rank_within(df: DataFrame, query_key: str | list[str], *order: Column) -> DataFrame:

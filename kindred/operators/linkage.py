@@ -171,32 +171,133 @@ def shared_letters(left: _Texts, right: _Texts) -> np.ndarray:
     return (a[:, slot] >= level).astype(np.float32) @ (b[:, slot] >= level).astype(np.float32).T
 
 
+class _Signed:
+    """A block of texts in order of length, with letter counts and the bits of their bigrams."""
+
+    def __init__(self, texts: list[str], is_query: bool):
+        length = np.fromiter((len(t) for t in texts), dtype=np.int64, count=len(texts))
+        self.order = np.argsort(length, kind="stable")
+        self.texts, self.length = [texts[i] for i in self.order.tolist()], length[self.order]
+        self.counts = np.minimum(_letter_counts(self.texts), 255).astype(np.uint8)
+        self.grams = _gram_bits(self.texts, self.length)
+        if is_query:
+            self.slots, self.levels = _telling_counts(self.counts)
+            self.bits = self.signs(self.slots, self.levels)
+        sizes, self.first = np.unique(self.length, return_index=True)
+        self.runs = list(zip(sizes.tolist(), self.first.tolist(), [*self.first[1:].tolist(), len(texts)]))
+
+    def signs(self, slots: np.ndarray, levels: np.ndarray) -> np.ndarray:
+        """One bit per text and chosen count: whether the text has the letter so many times."""
+        return np.packbits(np.take(self.counts, slots, axis=1) >= levels, axis=1, bitorder="little").view(np.uint64).ravel()
+
+    @property
+    def nbytes(self) -> int:
+        return self.counts.nbytes + self.grams.nbytes
+
+
+#: Signs of a text that stand in one word, and words of bigram bits.
+_SIGNS, _GRAM_WORDS = 64, 4
+#: Pairs whose signs are compared at a time, and pairs held for the next bounds.
+_TILE, _HELD = 1 << 16, 1 << 18
+
+
+def _telling_counts(counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Letter slots with a count each, those that divide the texts most evenly, as many as a word has bits."""
+    top = counts.max(axis=0, initial=0).astype(np.int64)
+    slots, levels = np.repeat(np.arange(_SLOTS), top), np.concatenate([np.arange(1, n + 1) for n in top.tolist()] or [np.empty(0)])
+    share = np.concatenate([(counts[:, s, None] >= np.arange(1, top[s] + 1)).mean(axis=0) for s in np.flatnonzero(top)] or [np.empty(0)])
+    best = np.argsort(-share * (1 - share), kind="stable")[:_SIGNS]
+    # a letter that no text has 255 times fills up the word
+    fill = _SIGNS - len(best)
+    return np.r_[slots[best], np.zeros(fill, np.int64)].astype(np.int64), np.r_[levels[best], np.full(fill, 256)].astype(np.int16)
+
+
+def _gram_bits(texts: list[str], length: np.ndarray) -> np.ndarray:
+    """Words whose bits are the hashed bigrams of each text."""
+    codes = np.frombuffer("".join(texts).encode("utf-32-le"), dtype=np.uint32).astype(np.uint64)
+    row = np.repeat(np.arange(len(texts)), length)
+    inside = np.flatnonzero(row[1:] == row[:-1])
+    mixed = (codes[inside] * np.uint64(0x9E3779B97F4A7C15) ^ codes[inside + 1] * np.uint64(0xC2B2AE3D27D4EB4F)) >> np.uint64(40)
+    flags = np.zeros((len(texts), 64 * _GRAM_WORDS), dtype=bool)
+    flags[row[inside], (mixed % np.uint64(64 * _GRAM_WORDS)).astype(np.int64)] = True
+    return np.packbits(flags, axis=1, bitorder="little").view(np.uint64)
+
+
+def _missing(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Bits of the rows of ``a`` that those of ``b`` lack."""
+    return np.bitwise_count(a & ~b).sum(axis=1, dtype=np.int64)
+
+
+def _true_places(flags: np.ndarray, n: int) -> np.ndarray:
+    """Places of the few true ones among the first ``n`` flags, eight at a time; there are eight more flags to write on."""
+    flags[n : n + 8] = False
+    eights = flags[: n + -n % 8].reshape(-1, 8)
+    some = np.flatnonzero(eights.view(np.uint64).ravel())
+    at, place = np.nonzero(eights[some])
+    return 8 * some[at] + place
+
+
 class IndelKernel(Kernel):
-    """Best indel similarity; pairs below the threshold by the letter bound are never scored."""
+    """Best indel similarity; pairs below the threshold by their letters or bigrams are never scored.
 
-    length_of = "text"
+    A similarity fixes how many letters either text may have outside the common subsequence.  Its
+    letters beyond the other's are so many at most, which one word of signs per text tells for most
+    pairs; its bigrams that the other lacks are bounded as in module ``grams``.
+    """
+
+    longer = (4, 8)
 
     def __init__(self, threshold: float):
         self.threshold = threshold
 
-    def may_match(self, q_lo: Column, q_hi: Column, c_lo: Column, c_hi: Column) -> Column:
-        """Lengths may differ at most by the factor ``(200 - t) / t``."""
-        grow = (200.0 - self.threshold) / self.threshold + SLACK
-        return (q_hi * grow >= c_lo) & (c_hi * grow >= q_lo)
-
-    def prepare(self, block: pa.Table, is_query: bool) -> _Texts:
-        return _Texts(block["text"].to_pylist())
-
-    def score(self, q: _Texts, c: _Texts, floor: np.ndarray):
-        total = q.length[:, None] + c.length[None, :]
-        least = np.maximum(floor, self.threshold) - 1e-4
-        met = 200.0 * shared_letters(q, c) >= least[:, None].astype(np.float32) * total
-        qi, ci = np.nonzero(met)
-        lcs = fuzzy.lcs_pairs(q.texts, c.texts, qi, ci)
-        size = total[qi, ci].astype(np.float64)
+    def prepared_bytes(self, raw: float) -> float:
+        return 300 + 6 * raw
+
+    def prepare(self, block: pa.Table, is_query: bool) -> _Signed:
+        return _Signed(block["text"].to_pylist(), is_query)
+
+    def score(self, q: _Signed, c: _Signed, floor: np.ndarray):
+        least = np.maximum(floor, self.threshold)[q.order]
+        bits = c.signs(q.slots, q.levels)
+        own, theirs = np.bitwise_count(q.bits).astype(np.int64), np.bitwise_count(bits).astype(np.int64)
+        found = [(np.empty(0, np.int64), np.empty(0, np.int64), np.empty(0))]
+        for size, begin, end in c.runs:
+            common = np.ceil(least * (q.length + size) / 200.0 - 1e-6).astype(np.int64)
+            asked = np.flatnonzero(common <= np.minimum(q.length, size))
+            mine, other, wide = q.bits[asked], bits[begin:end], end - begin
+            # letters of either text that may stand outside the common subsequence
+            x, y = (q.length - common)[asked], (size - common)[asked]
+            need = np.maximum(own[asked] - x, 0).astype(np.uint8)
+            step = max(1, _TILE // wide)
+            word, count, met = np.empty((step, wide), np.uint64), np.empty((step, wide), np.uint8), np.empty(step * wide + 8, bool)
+            near, held = [], 0
+            for at in range(0, len(asked), step):
+                n = min(step, len(asked) - at)
+                np.bitwise_and(mine[at : at + n, None], other, out=word[:n])
+                np.bitwise_count(word[:n], out=count[:n])
+                np.greater_equal(count[:n], need[at : at + n, None], out=met[: n * wide].reshape(n, wide))
+                places = _true_places(met, n * wide)
+                near.append((places + at * wide, count.ravel()[places]))
+                held += len(places)
+                if held > _HELD or at + step >= len(asked):
+                    places, shared = (np.concatenate(v) for v in zip(*near))
+                    i, j = np.divmod(places, wide)
+                    keep = theirs[begin + j] - shared <= y[i]
+                    i, j = i[keep], begin + j[keep]
+                    found.append(self._scored(q, c, asked[i], j, x[i], y[i]))
+                    near, held = [], 0
+        return tuple(np.concatenate(v) for v in zip(*found))
+
+    def _scored(self, q: _Signed, c: _Signed, qi: np.ndarray, ci: np.ndarray, x: np.ndarray, y: np.ndarray):
+        """Scores of the pairs that miss no more bigrams of each other than ``x`` and ``y`` letters outside the subsequence explain."""
+        keep = _missing(q.grams[qi], c.grams[ci]) <= 2 * x + y
+        keep &= _missing(c.grams[ci], q.grams[qi]) <= x + 2 * y
+        qi, ci = qi[keep], ci[keep]
+        lcs = fuzzy.lcs_lengths([q.texts[i] for i in qi.tolist()], [c.texts[i] for i in ci.tolist()])
+        size = (q.length[qi] + c.length[ci]).astype(np.float64)
         score = np.where(size == 0, 100.0, 200.0 * lcs / np.maximum(size, 1.0))
         keep = score >= self.threshold - SLACK
-        return qi[keep], ci[keep], score[keep]
+        return q.order[qi[keep]], c.order[ci[keep]], score[keep]
 
 
 def _blend_bound(plain, sorted_, short, long, token_free):
@@ -237,6 +338,9 @@ class WeightedKernel(Kernel):
     def __init__(self, threshold: float):
         self.threshold = threshold
 
+    def prepared_bytes(self, raw: float) -> float:
+        return 2000 + 20 * raw  # token sets and numbers are Python objects
+
     def prepare(self, block: pa.Table, is_query: bool) -> _Texts:
         ready = _Texts(block["text"].to_pylist())
         ready.words()
