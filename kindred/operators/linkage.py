@@ -642,7 +642,7 @@ def link_candidates(searches: DataFrame, candidates: DataFrame) -> DataFrame:
     with a good enough candidate; a later candidate must be strictly better.
     """
     usable = candidates.where((F.col("cand_no") <= CANDIDATES_READ) & F.startswith("url", F.lit("http")))
-    scored = usable.join(searches, "row_id").withColumn("score", token_name_score(F.col("plain"), F.col("candidate_plain")))
+    scored = usable.join(shuffled(searches), "row_id").withColumn("score", token_name_score(F.col("plain"), F.col("candidate_plain")))
     reached = F.col("score") >= GOOD_ENOUGH
     order = F.struct(
         reached.alias("reached"), F.when(reached, -F.col("variant_no")).otherwise(0).alias("first_variant"),
@@ -652,4 +652,4 @@ def link_candidates(searches: DataFrame, candidates: DataFrame) -> DataFrame:
         F.max_by(F.struct("candidate_plain", "url", "score", "variant_no"), order).alias("best")
     )
     kept = best.select("row_id", "best.*").where(F.col("score") >= ACCEPTED)
-    return searches.join(kept, "row_id", "left")
+    return searches.join(shuffled(kept), "row_id", "left")
