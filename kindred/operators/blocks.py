@@ -146,6 +146,15 @@ def _held(ready) -> int:
     return sum(map(_held, ready)) if isinstance(ready, (list, tuple)) else getattr(ready, "nbytes", 0)
 
 
+def true_places(flags: np.ndarray, n: int) -> np.ndarray:
+    """Places of the few true ones among the first ``n`` flags, eight at a time; there are eight more flags to write on."""
+    flags[n : n + 8] = False
+    eights = flags[: n + -n % 8].reshape(-1, 8)
+    some = np.flatnonzero(eights.view(np.uint64).ravel())
+    at, place = np.nonzero(eights[some])
+    return 8 * some[at] + place
+
+
 def _best(qi: np.ndarray, rid: np.ndarray, score: np.ndarray, k: int):
     """Best k per query, by score descending then row id."""
     order = np.lexsort((rid, -score, qi))
@@ -194,10 +203,24 @@ class _Best:
     def empty(self) -> None:
         """Rows are handed on; what is below the k-th best of them cannot rank any more."""
         self.qi, self.rid, self.score = np.empty(0, dtype=np.int64), np.empty(0, dtype=np.int64), np.empty(0)
+        self.new, self.waiting = [], 0
+
+    def __len__(self) -> int:
+        return len(self.qi) + self.waiting
 
     def add(self, qi: np.ndarray, rid: np.ndarray, score: np.ndarray) -> None:
-        if not len(qi):
+        """Take in scored pairs; they are ranked once they are many beside the rows kept, or at once where one row is kept."""
+        if len(qi):
+            self.new.append((qi, rid, score))
+            self.waiting += len(qi)
+            if self.k == 1 or 2 * self.waiting > len(self.qi):
+                self.settle()
+
+    def settle(self) -> None:
+        if not self.new:
             return
+        qi, rid, score = (np.concatenate(x) for x in zip(*self.new))
+        self.new, self.waiting = [], 0
         touched = np.zeros(len(self.floor), dtype=bool)
         touched[qi] = True
         again = touched[self.qi]
@@ -206,6 +229,7 @@ class _Best:
         self.qi, self.rid, self.score = (np.r_[old[~again], new] for old, new in zip((self.qi, self.rid, self.score), merged))
 
     def rows(self, lists: list[str] | None, names: list[str]) -> pa.RecordBatch:
+        self.settle()
         columns = [pa.array(self.ids[self.qi // self.several]), pa.array(self.rid), pa.array(self.score)]
         if lists:
             columns.append(pa.array(np.array(lists, dtype=object)[self.qi % self.several], pa.string()))
@@ -232,7 +256,7 @@ def best_in_cells(cells: DataFrame, kernel: Kernel, k: int, query_key: str = "qu
 
         def drain() -> Iterator[pa.RecordBatch]:
             for _, best in held:
-                if len(best.qi):
+                if len(best):
                     yield best.rows(kernel.lists, names)
                     best.empty()
 
@@ -250,7 +274,7 @@ def best_in_cells(cells: DataFrame, kernel: Kernel, k: int, query_key: str = "qu
                 for asked, best in held:
                     qi, ci, score = kernel.score(asked, ready, best.floor)
                     best.add(qi, rid[ci], score)
-                if sum(len(best.qi) for _, best in held) > RUNNING_ROWS:
+                if sum(len(best) for _, best in held) > RUNNING_ROWS:
                     yield from drain()
         yield from drain()
 
@@ -268,7 +292,7 @@ def best_of(pairs: DataFrame, kernel: Kernel, k: int, query_key: str = "query_id
 
         def drain() -> Iterator[pa.RecordBatch]:
             for best in running.values():
-                if len(best.qi):
+                if len(best):
                     yield best.rows(kernel.lists, names)
             running.clear()
 
@@ -285,13 +309,13 @@ def best_of(pairs: DataFrame, kernel: Kernel, k: int, query_key: str = "query_id
                     kept[q_key], prepared[q_key] = size, made
                 ids, ready = prepared[q_key]
                 block = _opened(batch["c_block"][i])
-                best = running.get(q_key) or _Best(ids, several, k)
+                best = running[q_key] if q_key in running else _Best(ids, several, k)
                 qi, ci, score = kernel.score(ready, kernel.prepare(block, False), best.floor)
                 if not len(qi):
                     continue
                 best.add(qi, block[key].to_numpy()[ci], score)
                 running[q_key] = best
-                if sum(len(r.qi) for r in running.values()) > RUNNING_ROWS:
+                if sum(len(r) for r in running.values()) > RUNNING_ROWS:
                     yield from drain()
         yield from drain()
 

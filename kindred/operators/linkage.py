@@ -28,7 +28,7 @@ from kindred.functions import fuzzy
 from kindred.functions.columns import present_columns
 from kindred.functions.constants import VALUE_METADATA
 from kindred.functions.text import fold_name, match_key, sorted_tokens, token_name_score
-from kindred.operators.blocks import Kernel, rank_within, top_matches
+from kindred.operators.blocks import Kernel, rank_within, top_matches, true_places
 from kindred.operators.grams import LEAST_THRESHOLD, GramIndex, matches_per_pair
 from kindred.session import cut_lineage, numbered, shuffled, spread
 
@@ -228,15 +228,6 @@ def _missing(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return np.bitwise_count(a & ~b).sum(axis=1, dtype=np.int64)
 
 
-def _true_places(flags: np.ndarray, n: int) -> np.ndarray:
-    """Places of the few true ones among the first ``n`` flags, eight at a time; there are eight more flags to write on."""
-    flags[n : n + 8] = False
-    eights = flags[: n + -n % 8].reshape(-1, 8)
-    some = np.flatnonzero(eights.view(np.uint64).ravel())
-    at, place = np.nonzero(eights[some])
-    return 8 * some[at] + place
-
-
 class IndelKernel(Kernel):
     """Best indel similarity; pairs below the threshold by their letters or bigrams are never scored.
 
@@ -276,7 +267,7 @@ class IndelKernel(Kernel):
                 np.bitwise_and(mine[at : at + n, None], other, out=word[:n])
                 np.bitwise_count(word[:n], out=count[:n])
                 np.greater_equal(count[:n], need[at : at + n, None], out=met[: n * wide].reshape(n, wide))
-                places = _true_places(met, n * wide)
+                places = true_places(met, n * wide)
                 near.append((places + at * wide, count.ravel()[places]))
                 held += len(places)
                 if held > _HELD or at + step >= len(asked):

@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 from kindred.functions.columns import as_double
 from kindred.functions.constants import BROAD_POSITIONS
 from kindred.functions.positions import broad_group, contains_code
-from kindred.operators.blocks import Kernel, rank_within, top_matches
+from kindred.operators.blocks import Kernel, rank_within, top_matches, true_places
 from kindred.operators.cells import pruned_matches
 from kindred.session import shuffled
 
@@ -28,6 +28,8 @@ Weights = dict[str, float]
 SCORE_DECIMALS = 12
 #: Most that a product of unit vectors in single precision may be off, and pairs scored exactly at a time.
 NEAR_SLACK, EXACT_PAIRS = 1e-4, 16_384
+#: Pairs multiplied at a time, so that the products stay in a core's cache.
+NEAR_PAIRS = 1 << 18
 
 # Optional per-query limits the kernel understands, with the candidate column each reads.
 LIMITS = {
@@ -78,15 +80,23 @@ def _upper_codes(column: pa.ChunkedArray) -> tuple[list, np.ndarray]:
     return _codes([v and v.upper() for v in column.to_pylist()])
 
 
-def _same_group(q: dict, c: dict) -> np.ndarray:
+def _held_groups(q: dict, c: dict) -> np.ndarray:
+    """Number among the wanted groups of each group code of the candidates, -2 where nobody wants it."""
     wanted = {g: i for i, g in enumerate(q["want_group"][0])}
-    held = np.array([wanted.get(g, -2) for g in c["pos_group"][0]] + [-2])
-    return (q["want_group"][1][:, None] == held[c["pos_group"][1]][None, :]) | (q["want_group"][1] < 0)[:, None]
+    return np.array([wanted.get(g, -2) for g in c["pos_group"][0]] + [-2])
+
+
+def _same_group(q: dict, c: dict) -> np.ndarray:
+    return (q["want_group"][1][:, None] == _held_groups(q, c)[c["pos_group"][1]][None, :]) | (q["want_group"][1] < 0)[:, None]
+
+
+def _code_table(q: dict, c: dict) -> np.ndarray:
+    """Whether each position holds each wanted code; nothing wanted is held by all."""
+    return np.array([[code in pos for pos in c["pos"][0]] + [False] for code in q["want_pos"][0]] + [[True] * (len(c["pos"][0]) + 1)])
 
 
 def _holds_code(q: dict, c: dict) -> np.ndarray:
-    table = np.array([[code in pos for pos in c["pos"][0]] + [False] for code in q["want_pos"][0]] + [[True] * (len(c["pos"][0]) + 1)])
-    return table[q["want_pos"][1]][:, c["pos"][1]]
+    return _code_table(q, c)[q["want_pos"][1]][:, c["pos"][1]]
 
 
 class CosineKernel(Kernel):
@@ -110,7 +120,7 @@ class CosineKernel(Kernel):
         ready = {c: _matrix(block[c]) * w for c, w in self.weights.items()}
         norm = np.sqrt(sum((m * m).sum(axis=1) for m in ready.values()))
         if not self.lists:
-            ready |= {f"unit {c}": _single(ready[c], norm) for c in self.weights}
+            ready["unit"] = _units([_single(ready[c], norm) for c in self.weights])
         ready["norm"] = norm
         names = set(block.column_names)
         readers = {
@@ -140,32 +150,65 @@ class CosineKernel(Kernel):
             masks.append(c["flag"][None, :] | ~q["want_flag"][:, None])
         return np.logical_and.reduce(masks) if masks else None
 
+    def _permits(self, q: dict, c: dict, qi: np.ndarray, ci: np.ndarray) -> np.ndarray:
+        """:meth:`_allowed` of listed pairs."""
+        permitted = np.ones(len(qi), dtype=bool)
+        if "want_pos" in q:
+            permitted &= _code_table(q, c)[q["want_pos"][1][qi], c["pos"][1][ci]]
+        if "want_group" in q:
+            wanted = q["want_group"][1][qi]
+            permitted &= (wanted == _held_groups(q, c)[c["pos_group"][1][ci]]) | (wanted < 0)
+        if "max_value" in q:
+            cap, value = q["max_value"][qi], c["value"][ci]
+            permitted &= (value <= cap) | np.isnan(cap) | (self.nulls_pass & np.isnan(value))
+        if "want_flag" in q:
+            permitted &= c["flag"][ci] | ~q["want_flag"][qi]
+        return permitted
+
     def score(self, q: dict, c: dict, floor: np.ndarray):
-        units = [{b: side[f"unit {b}"] for b in self.weights} for side in (q, c)]
-        return self._ranking(q, c, (q["norm"], c["norm"]), units, dict.fromkeys(self.weights, 1.0), self._allowed(q, c), floor)
+        return self._ranking(q, c, (q["norm"], c["norm"]), (q["unit"], c["unit"]), dict.fromkeys(self.weights, 1.0), floor)
 
-    def _ranking(self, q, c, norms, units, squares: Weights, allowed: np.ndarray | None, floor: np.ndarray):
+    def _ranking(self, q, c, norms, units, squares: Weights, floor: np.ndarray):
         """Pairs that may rank: single-precision products leave out what cannot, the rest is scored in double precision."""
         limit = np.fmax(floor, q["min_similarity"]) if "min_similarity" in q else floor
         used = [b for b in squares if q[b].shape[1] and c[b].shape[1]]
-        near = sum((units[0][b] @ units[1][b].T for b in used), np.zeros((len(norms[0]), len(norms[1])), np.float32))
         unsure = any(_extreme(n).any() for n in norms)
-        if unsure:
-            np.nan_to_num(near, copy=False, nan=2.0)
-        if allowed is not None:
-            np.copyto(near, -np.inf, where=~allowed)
-        if "exclude_row_id" in q:
-            own = np.flatnonzero(np.isin(c["row_id"], q["exclude_row_id"]))
-            near[:, own] = np.where(c["row_id"][own] == q["exclude_row_id"][:, None], -np.inf, near[:, own])
-        least = np.fmax(limit - NEAR_SLACK, -2.0).astype(np.float32)
-        keep = near >= least[:, None]
-        if near.shape[1] > self.k and not unsure:
-            many = np.flatnonzero(np.count_nonzero(keep, axis=1) > 4 * self.k)
-            if len(many):  # what is below the k-th by twice the slack cannot rank
-                rows = near[many]
-                kth = np.partition(rows, near.shape[1] - self.k, axis=1)[:, near.shape[1] - self.k]
-                keep[many] = rows >= np.fmax(least[many], kth - np.float32(2 * NEAR_SLACK))[:, None]
-        qi, ci = np.divmod(np.flatnonzero(keep), max(near.shape[1], 1))
+        limits = {n: q[n] for n in ("want_pos", "want_group", "max_value", "want_flag") if n in q}
+        own = np.flatnonzero(np.isin(c["row_id"], q["exclude_row_id"])) if "exclude_row_id" in q else []
+        least, wide = np.fmax(limit - NEAR_SLACK, -2.0).astype(np.float32), len(norms[1])
+        narrowed = wide > self.k and not unsure  # what is below the k-th by twice the slack cannot rank
+        step = max(1, NEAR_PAIRS // max(wide, 1))
+        flags = np.empty(step * wide + 8, dtype=bool)
+        found = [(np.empty(0, np.int64), np.empty(0, np.int64))]
+        for start in range(0, len(limit), step):
+            rows = slice(start, start + step)
+            near = _products(units[0], units[1], rows)
+            if unsure:
+                np.nan_to_num(near, copy=False, nan=2.0)
+            if len(own):
+                near[:, own] = np.where(c["row_id"][own] == q["exclude_row_id"][rows, None], -np.inf, near[:, own])
+            fresh = np.flatnonzero(least[rows] <= -2.0) if narrowed else []
+            if len(fresh):  # queries without a floor yet
+                part = near[fresh]
+                if limits:
+                    np.copyto(part, -np.inf, where=~self._allowed(self.take(limits, start + fresh), c))
+                    near[fresh] = part
+                least[start + fresh] = np.fmax(np.partition(part, wide - self.k, axis=1)[:, wide - self.k] - 2 * NEAR_SLACK, -2.0)
+            np.greater_equal(near, least[rows, None], out=flags[: near.size].reshape(near.shape))
+            qi, ci = np.divmod(true_places(flags, near.size), max(wide, 1))
+            if limits and len(qi):
+                kept = self._permits(q, c, start + qi, ci)
+                qi, ci = qi[kept], ci[kept]
+            many = np.bincount(qi, minlength=len(near)) > 4 * self.k
+            if narrowed and many.any():
+                of, at = np.cumsum(many) - 1, many[qi]
+                ranked = np.full((int(many.sum()), wide), -np.inf, np.float32)
+                ranked[of[qi[at]], ci[at]] = near[qi[at], ci[at]]
+                kth = np.partition(ranked, wide - self.k, axis=1)[:, wide - self.k] - np.float32(2 * NEAR_SLACK)
+                at[at] = near[qi[at], ci[at]] < kth[of[qi[at]]]
+                qi, ci = qi[~at], ci[~at]
+            found.append((start + qi, ci))
+        qi, ci = (np.concatenate(x) for x in zip(*found))
         score = np.empty(len(qi))
         for start in range(0, len(qi), EXACT_PAIRS):
             at = slice(start, start + EXACT_PAIRS)
@@ -189,6 +232,21 @@ def _single(rows: np.ndarray, norm: np.ndarray) -> np.ndarray:
     return unit
 
 
+def _units(parts: list[np.ndarray]) -> tuple[tuple[int, ...], np.ndarray]:
+    """Unit blocks side by side, with their widths."""
+    return tuple(p.shape[1] for p in parts), np.hstack(parts)
+
+
+def _products(q: tuple, c: tuple, rows: slice) -> np.ndarray:
+    """Products of some queries with all candidates; a block that one side has not adds nothing."""
+    if q[0] == c[0]:
+        return q[1][rows] @ c[1].T
+    near, (a, b) = np.zeros((len(q[1][rows]), len(c[1])), np.float32), (np.cumsum([0, *side[0]]) for side in (q, c))
+    for i in np.flatnonzero(np.minimum(q[0], c[0])):
+        near += q[1][rows, a[i] : a[i + 1]] @ c[1][:, b[i] : b[i + 1]].T
+    return near
+
+
 class VariantKernel(CosineKernel):
     """One best list per variant of weights; a pair of blocks is multiplied once for all."""
 
@@ -203,15 +261,15 @@ class VariantKernel(CosineKernel):
         own = {b: (ready[b] * ready[b]).sum(axis=1) for b in self.blocks}
         ready["norms"] = [np.sqrt(sum(w * own[b] for b, w in squares.items())) for squares in self.squares]
         ready["units"] = [
-            {b: _single(ready[b] * np.sqrt(w), norm) for b, w in squares.items()} for squares, norm in zip(self.squares, ready["norms"])
+            _units([_single(ready[b] * np.sqrt(w), norm) for b, w in squares.items()]) for squares, norm in zip(self.squares, ready["norms"])
         ]
         return ready
 
     def score(self, q: dict, c: dict, floor: np.ndarray):
-        allowed, found = self._allowed(q, c), []
+        found = []
         for at, squares in enumerate(self.squares):
             norms, units = (q["norms"][at], c["norms"][at]), (q["units"][at], c["units"][at])
-            qi, ci, score = self._ranking(q, c, norms, units, squares, allowed, floor[at :: len(self.lists)])
+            qi, ci, score = self._ranking(q, c, norms, units, squares, floor[at :: len(self.lists)])
             found.append((qi * len(self.lists) + at, ci, score))
         return tuple(np.concatenate(x) for x in zip(*found))
 
