@@ -2,13 +2,18 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+import hashlib
+from collections.abc import Callable, Iterator
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.ml.feature import IDF, PCA, HashingTF, Normalizer, PCAModel, RegexTokenizer
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.pipeline import Pipeline, PipelineModel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from kindred.functions.columns import as_double, quoted
 from kindred.functions.constants import MODEL_FEATURES
@@ -17,6 +22,8 @@ from kindred.functions.vectors import l2_normalise
 from kindred.session import cut_lineage, shuffled, spread
 
 TEXT_DIMS = 384
+#: Terms whose buckets a task keeps, and vectors that it makes at a time.
+KNOWN_TERMS, VECTORS_AT_ONCE = 400_000, 2048
 
 
 # ----------------------------------------------------------- statistics vectors
@@ -132,10 +139,99 @@ def bucket_vectors(df: DataFrame, idf: DataFrame, key: str, text_col: str = "pro
 
 
 def bucket_encode(df: DataFrame, key: str, text_col: str = "profile", dims: int = TEXT_DIMS, out: str = "text") -> tuple[DataFrame, DataFrame]:
-    """:func:`bucket_idf` of ``df`` and its :func:`bucket_vectors`, both written; terms are cut and counted once."""
-    counts = cut_lineage(_term_counts(df, key, text_col, dims))
-    idf = cut_lineage(_idf(df, counts))
-    return idf, cut_lineage(_vectors(df, counts, idf, key, dims, out).drop(text_col))
+    """:func:`bucket_idf` of ``df`` and its :func:`bucket_vectors`, both written; terms are cut and counted once.
+
+    Counts of a text are one row, two arrays; no term is ever a row.
+    """
+    counted = cut_lineage(_counted(df, key, text_col, dims))
+    idf = cut_lineage(_idf(df, counted.select(F.explode("buckets").alias("bucket"))))
+    weights = np.zeros(dims)
+    for r in idf.collect():  # one number per bucket
+        weights[r["bucket"]] = r["idf"]
+    return idf, cut_lineage(df.drop(text_col).join(shuffled(_weighed(counted, weights, key, out)), key, "left").withColumn(
+        out, F.coalesce(out, F.array_repeat(F.lit(0.0), dims))
+    ))
+
+
+def _counted(df: DataFrame, key: str, text_col: str, dims: int) -> DataFrame:
+    """``(key, buckets, counts)``: the counts of :func:`_term_counts`, one row per key with a term."""
+    kind = df.schema[key].dataType
+    schema = T.StructType([T.StructField(key, kind), T.StructField("buckets", T.ArrayType(T.IntegerType())), T.StructField("counts", T.ArrayType(T.LongType()))])
+    terms = F.regexp_extract_all(F.lower(text_col), F.lit(TERM), F.lit(0))
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known: dict[str, int] = {}
+        for batch in batches:
+            lists = batch["terms"]
+            sizes = np.asarray(pc.fill_null(pc.list_value_length(lists), 0)).astype(np.int64)
+            coded = pc.list_flatten(lists).dictionary_encode()
+            words = coded.dictionary.to_pylist()
+            if len(known) > KNOWN_TERMS:
+                known.clear()
+            known.update((w, int.from_bytes(hashlib.md5(w.encode()).digest()[:4]) % dims) for w in words if w not in known)
+            number = np.fromiter((known[w] for w in words), np.int64, len(words))
+            some = sizes > 0
+            place = np.repeat(np.cumsum(some) - 1, sizes) * dims + number[coded.indices.to_numpy()]
+            counts = np.bincount(place)
+            places = np.flatnonzero(counts)
+            yield _sparse(batch[key].filter(pa.array(some)), places, counts[places], dims, schema)
+
+    def merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Rows of one key, which follow one another, become one."""
+        held = None
+        for batch in batches:
+            table = pa.Table.from_batches([batch] if held is None else [held, batch]).combine_chunks()
+            keys = table[key].combine_chunks()
+            new = np.r_[True, ~_same_as_before(keys)]
+            at = np.cumsum(new) - 1
+            buckets, counts = (table[c].combine_chunks() for c in ("buckets", "counts"))
+            place = np.repeat(at, np.asarray(pc.list_value_length(buckets))) * dims + pc.list_flatten(buckets).to_numpy()
+            places, back = np.unique(place, return_inverse=True)
+            total = np.zeros(len(places), np.int64)
+            np.add.at(total, back, pc.list_flatten(counts).to_numpy())
+            done = _sparse(keys.filter(pa.array(new)), places, total, dims, schema)
+            held = done.slice(done.num_rows - 1)  # its key may go on in the next batch
+            if done.num_rows > 1:
+                yield done.slice(0, done.num_rows - 1)
+        if held is not None:
+            yield held
+
+    cut = df.select(key, terms.alias("terms"))  # a filter on the terms would cut them twice
+    return spread(cut.mapInArrow(count, schema), key).sortWithinPartitions(key).mapInArrow(merge, schema)
+
+
+def _same_as_before(keys: pa.Array) -> np.ndarray:
+    """Whether each key but the first equals the one before it; an unknown key equals an unknown key."""
+    a, b = keys[1:], keys[:-1]
+    return np.asarray(pc.fill_null(pc.equal(a, b), False) if not keys.null_count else pc.or_(pc.fill_null(pc.equal(a, b), False), pc.and_(pc.is_null(a), pc.is_null(b))))
+
+
+def _sparse(keys: pa.Array, places: np.ndarray, counts: np.ndarray, dims: int, schema: T.StructType) -> pa.RecordBatch:
+    """Rows ``(key, buckets, counts)`` of sorted places ``row * dims + bucket``."""
+    row, bucket = np.divmod(places, dims)
+    bounds = pa.array(np.searchsorted(row, np.arange(len(keys) + 1)).astype(np.int32))
+    lists = [pa.ListArray.from_arrays(bounds, pa.array(v)) for v in (bucket.astype(np.int32), counts.astype(np.int64))]
+    return pa.record_batch([keys, *lists], names=schema.names)
+
+
+def _weighed(counted: DataFrame, weights: np.ndarray, key: str, out: str) -> DataFrame:
+    """Unit vectors ``out`` of sparse counts."""
+    schema = T.StructType([counted.schema[key], T.StructField(out, T.ArrayType(T.DoubleType()))])
+
+    def weigh(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for whole in batches:
+            for start in range(0, whole.num_rows, VECTORS_AT_ONCE):
+                batch = whole.slice(start, VECTORS_AT_ONCE)
+                bucket = pc.list_flatten(batch["buckets"]).to_numpy().astype(np.int64)
+                row = np.repeat(np.arange(batch.num_rows), np.asarray(pc.list_value_length(batch["buckets"])))
+                rows = np.zeros((batch.num_rows, len(weights)))
+                rows[row, bucket] = pc.list_flatten(batch["counts"]).to_numpy() * weights[bucket]
+                norm = np.sqrt((rows * rows).cumsum(axis=1)[:, -1])
+                rows /= np.where(norm == 0, 1.0, norm)[:, None]
+                bounds = pa.array(np.arange(0, rows.size + 1, len(weights), dtype=np.int32))
+                yield pa.record_batch([batch[key], pa.ListArray.from_arrays(bounds, pa.array(rows.ravel()))], names=schema.names)
+
+    return counted.where(F.col(key).isNotNull()).mapInArrow(weigh, schema)
 
 
 def _vectors(df: DataFrame, counts: DataFrame, idf: DataFrame, key: str, dims: int, out: str) -> DataFrame:
