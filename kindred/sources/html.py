html_statistics_table: page trees are lists, a tag is read once, maps are made from flat lists

Symptom: Nine tenths of the CPU time went to Python, 0.22 ms a page, most of it on building the page's tree; shuffle and growth had no part in it.
Evidence: 600,000 line items took 36.8 CPU seconds (Python 32.9, JVM 3.6, GC 0.2), shuffle 17 MB, executor peak 1200 MB. Over copies, 2 and 10 times as many took 2993 CPU seconds a GB at the larger, with powers of growth 0.97 (CPU) and 1.01 (shuffle, which is that of the exchange that builds the pages). The profile showed an object, two calls and a six-part match for every tag, cells cleaned into a dict per row, and maps converted pair by pair.
Fix: A page is cut at its brackets; equal tags share what was read of them; elements are entries of lists and no longer hold each other, so a page is freed without garbage collection. Column names are cleaned once per table, and map columns are built from flat keys and values. Anything odd still goes to the standard parser.
Effect, together with 2 more commits on this code: at 1 GB of input CPU 2508 -> 1535 s, shuffle 1.12 -> 1.12 GB, spill 0.00 -> 0.00 GB, read 0.73 -> 0.73 GB, longest task 16 -> 12 s, most memory of a task 0 -> 0 MB; at 6 GB of input CPU 14515 -> 8406 s, shuffle 7.00 -> 7.00 GB, spill 0.00 -> 0.00 GB, read 5.16 -> 5.16 GB, longest task 79 -> 47 s, most memory of a task 0 -> 0 MB.

@@ -1,16 +1,18 @@
 """HTML pages to rows, as a job over a table of pages.
 
-A page becomes a tree from which its tables, headings and marked sections are read: by one
-pattern where all its tokens are plain ones, by the standard library's parser otherwise.  Selecting, cleaning and typing is left to Spark.
+A page becomes a tree from which its tables, headings and marked sections are read: cut at its
+angle brackets where all its tags are plain ones, by the standard library's parser otherwise.  Selecting, cleaning and typing is left to Spark.
 """
 
 from __future__ import annotations
 
 import re
-from collections.abc import Callable, Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator, Sequence
 from functools import lru_cache
 from html import unescape
 from html.parser import HTMLParser
+from itertools import accumulate
+from typing import NamedTuple
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -25,78 +27,122 @@ _VOID = {"br", "img", "hr", "meta", "link", "input", "col", "wbr", "area", "base
 
 #: Elements whose content the standard parser reads by other rules.
 _RAW = {"script", "style", "xmp", "iframe", "noembed", "noframes", "noscript", "textarea", "title", "plaintext"}
-#: Tokens on which a pattern and the standard parser agree; the last group is anything else.
-_TOKENS = re.compile(
-    r"""([^<]+)|<(/?)([a-zA-Z][a-zA-Z0-9]*)((?:[ \t\n]+[a-zA-Z_][a-zA-Z0-9_-]*(?:="[^"<>&]*"(?=[ \t\n/>]))?)*+)[ \t\n]*(/?)>"""
-    r"""|<!--(?!-?>)[^-]*+(?:-[^-]+)*+-->|<![dD][oO][cC][tT][yY][pP][eE][ ][a-zA-Z ]*>|(<)"""
-).findall
+#: What stands between the angle brackets of tags on which a pattern and the standard parser agree, and of a document type.
+_TAG = re.compile(r"""(/?)([a-zA-Z][a-zA-Z0-9]*)((?:[ \t\n]+[a-zA-Z_][a-zA-Z0-9_-]*(?:="[^"<>&]*"(?=[ \t\n/]|\Z))?)*+)[ \t\n]*(/?)""").fullmatch
+_DOCTYPE = re.compile(r"![dD][oO][cC][tT][yY][pP][eE][ ][a-zA-Z ]*").fullmatch
+_COMMENTS = re.compile(r"<!--(?!-?>)[^-]*+(?:-[^-]+)*+-->").split
 _ATTRIBUTES = re.compile(r"""([a-zA-Z_][a-zA-Z0-9_-]*)(?:="([^"]*)")?""").findall
+#: Tags longer than this are not remembered.
+_TAG_LETTERS = 200
 _KINDS = {"long": pa.int64(), "int": pa.int32(), "string": pa.string(), "map": pa.map_(pa.string(), pa.string())}
 #: Pages whose rows are packed together.
 PAGES = 1000
 _CLOSED_BY = {"td": {"td", "th"}, "th": {"td", "th"}, "tr": {"td", "th", "tr"}}
 
 
-class _Node:
-    """An element with its attributes; descendants and text parts are ranges of its page's lists."""
+class _Tag(NamedTuple):
+    """A tag as written; ``attrs`` belongs to all elements that it opens and is never changed."""
 
-    __slots__ = ("page", "tag", "given", "at", "stop", "first", "last")
+    name: str
+    attrs: dict[str, str]
+    opens: bool
+    stays_open: bool
 
-    def __init__(self, page: _Tree, tag: str, given: str | dict[str, str]):
-        self.page, self.tag, self.given, self.at = page, tag, given, len(page.nodes)
-        self.stop, self.first, self.last = self.at + 1, len(page.parts), len(page.parts)
 
-    @property
-    def attrs(self) -> dict[str, str]:
-        if isinstance(self.given, str):
-            self.given = {k.lower(): v for k, v in _ATTRIBUTES(self.given)}
-        return self.given
-
-    def walk(self, *tags: str) -> Iterator[_Node]:
-        for node in self.page.nodes[self.at + 1 : self.stop]:
-            if node.tag in tags:
-                yield node
-
-    def text(self) -> str:
-        return "".join(self.page.parts[self.first : self.last]).strip()
-
-    def tight_text(self) -> str:
-        return "".join(p.strip() for p in self.page.parts[self.first : self.last])
-
-    def classes(self) -> list[str]:
-        return self.attrs.get("class", "").split()
+@lru_cache(4096)
+def _tag(written: str) -> _Tag | None:
+    """The tag that is written between angle brackets; None where the standard parser has to decide."""
+    found = _TAG(written)
+    if found is None:
+        return _Tag("!doctype", {}, False, False) if _DOCTYPE(written) else None
+    closing, name, given, closed = found.groups()
+    name = name.lower()
+    if name in _RAW or closing and (given or closed):
+        return None
+    return _Tag(name, {k.lower(): v for k, v in _ATTRIBUTES(given)}, not closing, not (closing or closed or name in _VOID))
 
 
 class _Tree:
-    """Elements and text parts of a page in document order, built by its tags."""
+    """Elements and text parts of a page in document order, built by its tags.
+
+    Element ``i`` has a tag and attributes; its descendants are the elements up to ``stops[i]``, its
+    text parts those from ``firsts[i]`` up to ``lasts[i]``.  Element 0 is the root, above all others.
+    """
 
     def __init__(self):
-        self.nodes: list[_Node] = []
-        self.parts: list[str] = []
-        self.root = _Node(self, "", {})
-        self.nodes.append(self.root)
-        self.open = [self.root]
+        self.tags, self.attrs, self.stops = [""], [{}], [1]
+        self.firsts, self.lasts, self.parts = [0], [0], []
+        self.open = [0]
 
-    def start(self, tag: str, given: str | dict[str, str]) -> None:
+    def start(self, tag: str, attrs: dict[str, str]) -> None:
         if tag in _CLOSED_BY:
-            while self.open[-1].tag in _CLOSED_BY[tag]:
-                self._close(len(self.open) - 1)
-        node = _Node(self, tag, given)
-        self.nodes.append(node)
+            self.close_before(tag)
+        at, part = len(self.tags), len(self.parts)
+        self.tags.append(tag)
+        self.attrs.append(attrs)
+        self.stops.append(at + 1)
+        self.firsts.append(part)
+        self.lasts.append(part)
         if tag not in _VOID:
-            self.open.append(node)
+            self.open.append(at)
+
+    def close_before(self, tag: str) -> None:
+        """Ends the cells and rows that a new cell or row ends."""
+        while self.tags[self.open[-1]] in _CLOSED_BY[tag]:
+            self._close(len(self.open) - 1)
 
     def end(self, tag: str) -> None:
-        for i in range(len(self.open) - 1, 0, -1):
-            if self.open[i].tag == tag:
-                self._close(i)
+        for depth in range(len(self.open) - 1, 0, -1):
+            if self.tags[self.open[depth]] == tag:
+                self._close(depth)
                 return
 
     def _close(self, depth: int) -> None:
-        for node in self.open[depth:]:
-            node.stop, node.last = len(self.nodes), len(self.parts)
+        for at in self.open[depth:]:
+            self.stops[at], self.lasts[at] = len(self.tags), len(self.parts)
         del self.open[depth:]
 
+    def walk(self, above: int, *tags: str) -> list[int]:
+        """Elements below ``above`` that have one of the tags."""
+        own = self.tags
+        return [i for i in range(above + 1, self.stops[above]) if own[i] in tags]
+
+    def text(self, at: int) -> str:
+        return "".join(self.parts[self.firsts[at] : self.lasts[at]]).strip()
+
+    def tight_text(self, at: int) -> str:
+        return "".join([p.strip() for p in self.parts[self.firsts[at] : self.lasts[at]]])
+
+    def texts(self, above: int, *tags: str) -> list[str]:
+        """Texts of the elements below ``above`` that have one of the tags."""
+        firsts, lasts, parts = self.firsts, self.lasts, self.parts
+        return ["".join(parts[firsts[i] : lasts[i]]).strip() for i in self.walk(above, *tags)]
+
+    def classes(self, at: int) -> list[str]:
+        return self.attrs[at].get("class", "").split()
+
+    @property
+    def nodes(self) -> list[_Node]:
+        """Every element as an object, for looking at a page."""
+        return [_Node(self, at) for at in range(len(self.tags))]
+
+
+class _Node(NamedTuple):
+    """An element of a page."""
+
+    page: _Tree
+    at: int
+
+    tag = property(lambda self: self.page.tags[self.at])
+    attrs = property(lambda self: self.page.attrs[self.at])
+    stop = property(lambda self: self.page.stops[self.at])
+
+    def text(self) -> str:
+        return self.page.text(self.at)
+
+    def tight_text(self) -> str:
+        return self.page.tight_text(self.at)
+
 
 class _Parser(HTMLParser):
     def __init__(self, tree: _Tree):
@@ -114,29 +160,47 @@ class _Parser(HTMLParser):
 
 
 def _plain_tree(html: str) -> _Tree | None:
-    """The tree of a page of plain tokens; None where the standard parser has to decide."""
+    """The tree of a page of plain tags; None where the standard parser has to decide.
+
+    The tree's ``start`` and ``end`` are written out: calls would take as long as all the rest.
+    """
     tree = _Tree()
-    start, end, add = tree.start, tree.end, tree.parts.append
-    for text, closing, tag, given, closed, odd in _TOKENS(html):
+    tags, attrs, stops, firsts, lasts, parts, open_ = tree.tags, tree.attrs, tree.stops, tree.firsts, tree.lasts, tree.parts, tree.open
+    for stretch in _COMMENTS(html) if "<!--" in html else [html]:
+        text, *pieces = stretch.split("<")
         if text:
-            add(unescape(text) if "&" in text else text)
-        elif tag:
-            tag = tag.lower()
-            if tag in _RAW or closing and (given or closed):
+            parts.append(unescape(text) if "&" in text else text)
+        for piece in pieces:
+            written, bracket, text = piece.partition(">")
+            if not bracket:
                 return None
-            if closing:
-                end(tag)
+            tag = _tag(written) if len(written) <= _TAG_LETTERS else _tag.__wrapped__(written)
+            if tag is None:
+                return None
+            name, given, opens, stays_open = tag
+            if opens:
+                if name in _CLOSED_BY:
+                    tree.close_before(name)
+                at, part = len(tags), len(parts)
+                tags.append(name)
+                attrs.append(given)
+                stops.append(at + 1)
+                firsts.append(part)
+                lasts.append(part)
+                if stays_open:
+                    open_.append(at)
+            elif tags[open_[-1]] == name:
+                at = open_.pop()
+                stops[at], lasts[at] = len(tags), len(parts)
             else:
-                start(tag, given)
-                if closed:
-                    end(tag)
-        elif odd:
-            return None
+                tree.end(name)
+            if text:
+                parts.append(unescape(text) if "&" in text else text)
     return tree
 
 
-def _page(html: str) -> _Node:
-    """The root of a page, above all its elements."""
+def _page(html: str) -> _Tree:
+    """The tree of a page."""
     tree = _plain_tree(html)
     if tree is None:
         tree = _Tree()
@@ -144,7 +208,16 @@ def _page(html: str) -> _Node:
         parser.feed(html)
         parser.close()
     tree._close(0)
-    return tree.root
+    return tree
+
+
+def _array(values: Sequence, kind: pa.DataType) -> pa.Array:
+    """Values as Arrow; a map is given as its keys and its values."""
+    if not pa.types.is_map(kind):
+        return pa.array(values, kind)
+    ends = list(accumulate((len(keys) for keys, _ in values), initial=0))
+    keys, items = (pa.array([x for pair in values for x in pair[i]], pa.string()) for i in (0, 1))
+    return pa.MapArray.from_arrays(pa.array(ends, pa.int32()), keys, items)
 
 
 def _parsed(pages: DataFrame, columns: list[str], rows: Callable[..., Iterable[tuple]], kinds: list[str], schema: str) -> DataFrame:
@@ -158,7 +231,7 @@ def _parsed(pages: DataFrame, columns: list[str], rows: Callable[..., Iterable[t
                 part = batch.slice(start, PAGES)
                 out = [row for page in zip(*(c.to_pylist() for c in part.columns)) for row in rows(*page[:-1], page[-1] or "")]
                 made = list(zip(*out)) if out else [()] * len(names)
-                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(made, types)], names=names)
+                yield pa.RecordBatch.from_arrays([_array(c, t) for c, t in zip(made, types)], names=names)
 
     return pages.select(*columns, "html").mapInArrow(run, schema)
 
@@ -168,22 +241,34 @@ def _clean(name: str) -> str:
     return clean_name(name)
 
 
-def _spanned(row: _Node) -> list[str]:
+def _spanned(page: _Tree, row: int) -> list[str]:
     """Cell texts of a header row, repeated over their column span."""
     out: list[str] = []
-    for cell in row.walk("th", "td"):
-        out += [cell.text()] * int(cell.attrs.get("colspan") or 1)
+    for cell in page.walk(row, "th", "td"):
+        out += [page.text(cell)] * int(page.attrs[cell].get("colspan") or 1)
     return out
 
 
-def _statistics_rows(html: str, id_part: str) -> list[dict[str, str]]:
-    table = next((t for t in _page(html).walk("table") if id_part in t.attrs.get("id", "")), None)
-    rows = list(table.walk("tr")) if table else []
+def _statistics_rows(html: str, id_part: str) -> Iterator[tuple[int, list[str], list[str]]]:
+    """Number, cleaned column names and texts of every row that is no repeated header."""
+    page = _page(html)
+    table = next((t for t in page.walk(0, "table") if id_part in page.attrs[t].get("id", "")), None)
+    rows = page.walk(table, "tr") if table else []
     if len(rows) < 2:
-        return []
-    top, low = _spanned(rows[0]), _spanned(rows[1])
+        return
+    top, low = _spanned(page, rows[0]), _spanned(page, rows[1])
     names = [f"{top[i] if i < len(top) and top[i] else f'Unnamed: {i}_level_0'}_{name}".strip() for i, name in enumerate(low)]
-    return [dict(zip(names, (c.text() for c in row.walk("td", "th")))) for row in rows[2:]]
+    by_width: dict[int, tuple[int | None, list[str], list[int]]] = {}  # of rows with so many named cells
+    for n, row in enumerate(rows[2:]):
+        texts = page.texts(row, "td", "th")
+        width = min(len(texts), len(names))
+        if width not in by_width:
+            last = {name: i for i, name in enumerate(names[:width])}  # of columns with one name the last counts
+            cleaned = {_clean(name): i for name, i in last.items()}
+            by_width[width] = last.get("Unnamed: 0_level_0_Rk", last.get("Rk")), list(cleaned), list(cleaned.values())
+        rank, keys, places = by_width[width]
+        if rank is None or texts[rank] != "Rk":
+            yield n, keys, [texts[i] for i in places]
 
 
 def statistics_tables(pages: DataFrame, id_part: str = "stats_standard") -> DataFrame:
@@ -194,28 +279,27 @@ def statistics_tables(pages: DataFrame, id_part: str = "stats_standard") -> Data
     """
 
     def parse(page_id, league, html) -> Iterator[tuple]:
-        for n, row in enumerate(_statistics_rows(html, id_part)):
-            if row.get("Unnamed: 0_level_0_Rk", row.get("Rk")) != "Rk":
-                yield page_id, league, n, list({_clean(k): v for k, v in row.items()}.items())
+        return ((page_id, league, n, (keys, texts)) for n, keys, texts in _statistics_rows(html, id_part))
 
     return _parsed(pages, ["page_id", "league"], parse, ["long", "string", "int", "map"], "page_id long, league string, row_no int, stats map<string,string>")
 
 
 def _listing_rows(html: str) -> list[tuple]:
-    table = next((t for t in _page(html).walk("table") if "items" in t.classes()), None)
+    page = _page(html)
+    table = next((t for t in page.walk(0, "table") if "items" in page.classes(t)), None)
     out = []
-    for row in table.walk("tr") if table else []:
-        cells = list(row.walk("td"))
-        if not {"odd", "even"} & set(row.classes()) or len(cells) < 5:
+    for row in page.walk(table, "tr") if table else []:
+        cells = page.walk(row, "td")
+        if not {"odd", "even"} & set(page.classes(row)) or len(cells) < 5:
             continue
 
-        def first(nodes) -> str | None:
-            return next((n.text() for n in nodes), None)
+        def first(found: Iterable[int]) -> str | None:
+            return next((page.text(at) for at in found), None)
 
-        name = first(a for a in row.walk("a") if "spielprofil_tooltip" in a.classes())
-        pos = first(c for c in cells if "posrela" in c.classes())
-        age = first(c for c in cells if c.classes() == ["zentriert"])
-        value = first(c for c in cells if c.attrs.get("class") == "rechts hauptlink")
+        name = first(a for a in page.walk(row, "a") if "spielprofil_tooltip" in page.classes(a))
+        pos = first(c for c in cells if "posrela" in page.classes(c))
+        age = first(c for c in cells if page.classes(c) == ["zentriert"])
+        value = first(c for c in cells if page.attrs[c].get("class") == "rechts hauptlink")
         out.append((name, pos, age, value))
     return out
 
@@ -253,17 +337,17 @@ def link_texts(pages: DataFrame, section_class: str | None = None, keep: int = 1
 
 def _section_rows(html: str) -> list[tuple]:
     page = _page(html)
-    tables = [t for t in page.walk("table") if "wikitable" in t.classes()]
+    tables = [t for t in page.walk(0, "table") if "wikitable" in page.classes(t)]
     cells_of: dict[int, list[list[str]]] = {}  # several headings may stand before one table
     out = []
-    for heading in page.walk("h2", "h3"):
-        title = heading.tight_text()
+    for heading in page.walk(0, "h2", "h3"):
+        title = page.tight_text(heading)
         if title in SKIPPED_HEADINGS or title.startswith("Group "):
             continue
-        table = next((t for t in tables if t.at > heading.at), None)
-        if table and table.at not in cells_of:
-            cells_of[table.at] = [[c.tight_text() for c in row.walk("td", "th")] for row in list(table.walk("tr"))[1:]]
-        for n, cells in enumerate(cells_of[table.at] if table else []):
+        table = next((t for t in tables if t > heading), None)
+        if table and table not in cells_of:
+            cells_of[table] = [[page.tight_text(c) for c in page.walk(row, "td", "th")] for row in page.walk(table, "tr")[1:]]
+        for n, cells in enumerate(cells_of[table] if table else []):
             anchor = next((i for i, c in enumerate(cells) if c in SQUAD_POSITIONS), None)
             if len(cells) < 3 or anchor is None:
                 continue
