@@ -47,3 +47,30 @@ def test_odd_statistics_tables(spark):
         (1, None, 0, {"0_rk": "1", "a_x": "q"}), (1, None, 1, {"0_rk": "2", "a_x": "q"}), (1, None, 2, {}),
         (1, None, 4, {"0_rk": "3", "a_x": "q"}), (2, "L", 0, {"a_rk": "Rk"}), (2, "L", 1, {"a_rk": "4 <"}),
     ]
+
+
+def test_squad_rows_leave_python_only_under_countries(spark):
+    """Headings without a country code make no rows that Spark would drop later (they did before)."""
+    squad = '<table class="wikitable"><tr><th>No.</th></tr>{}</table>'
+    row = "<tr><td>1</td><td>{}</td><td>{}</td><td>30</td><td>{}</td></tr>"
+    html = (
+        "<h2>Brazil</h2><h3>Atlantis</h3><h3>Group A</h3><h2>Notes</h2><h3> <b>France</b> </h3>"
+        + squad.format(row.format("1GK", "Ann (c)", "X") + row.format("zz", "Bob", "Y") + "<tr><td>DF</td><td>Cy</td></tr>" + "<tr><td>x</td><td>DF</td><td>Di</td></tr>")
+        + "<table></table><h2>Spain</h2>" + squad.format("") + "<h2>Atlantis</h2>" + squad.format(row.format("DF", "Eve", "Z")) + "<h2>Brazil</h2>"
+    )
+    assert list(H._section_rows(html)) == [
+        ("Brazil", 0, "1GK", "Ann (c)", "X"), ("Brazil", 3, "DF", "Di", ""), ("France", 0, "1GK", "Ann (c)", "X"), ("France", 3, "DF", "Di", ""),
+    ]
+    pages = spark.createDataFrame([(1, html), (None, html), (2, None), (3, "<h2>Brazil</h2>")], "page_id long, html string")
+    found = [tuple(r) for r in H.squad_sections(pages).where("page_id = 1").orderBy("nation", "row_no").collect()]
+    assert found == [
+        (1, 0, "Ann", "GK", "BRA", "X", "Brazil", 1), (1, 3, "Di", "DF", "BRA", "", "Brazil", 1),
+        (1, 0, "Ann", "GK", "FRA", "X", "France", 1), (1, 3, "Di", "DF", "FRA", "", "France", 1),
+    ]
+    assert H.squad_sections(pages).where("page_id IS NULL").count() == 4
+
+
+def test_each_heading_takes_the_next_table():
+    section = '<h2>Brazil</h2><table class="wikitable"><tr></tr><tr><td>{0}</td><td>GK</td><td>P{0}</td></tr></table>'
+    rows = list(H._section_rows("".join(section.format(i) for i in range(500))))
+    assert [r[3] for r in rows] == [f"P{i}" for i in range(500)]
