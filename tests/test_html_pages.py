@@ -74,3 +74,19 @@ def test_each_heading_takes_the_next_table():
     section = '<h2>Brazil</h2><table class="wikitable"><tr></tr><tr><td>{0}</td><td>GK</td><td>P{0}</td></tr></table>'
     rows = list(H._section_rows("".join(section.format(i) for i in range(500))))
     assert [r[3] for r in rows] == [f"P{i}" for i in range(500)]
+
+
+def test_unnamed_listing_rows_stay_in_python(spark):
+    """Rows without a name count, but are not handed to Spark (they were); the first cell of a kind counts, an empty one too."""
+    row = '<tr class="{}"><td>{}</td><td class="x posrela">{}</td><td class="posrela">late</td><td class=" zentriert ">{}</td><td class="{}">€1m</td></tr>'
+    name = '<a href="#">no</a><a class="spielprofil_tooltip"> {} </a>'
+    html = (
+        '<table class="item"></table><table class="big items"><tr class="odd"><td>short</td></tr>'
+        + row.format("odd", "nobody", "p", "1", "rechts hauptlink") + row.format("even", name.format(""), "p", "2", "rechts hauptlink")
+        + row.format("x even", name.format("Ann"), "", "3", "rechts hauptlink") + row.format("plain", name.format("Bob"), "p", "4", "rechts hauptlink")
+        + row.format("odd", name.format("Cy"), "p", "5", "hauptlink rechts") + "</table>"
+    )
+    assert list(H._listing_rows(html)) == [(2, "Ann", "", "3", "€1m"), (3, "Cy", "p", "5", None)]
+    pages = spark.createDataFrame([(1, None, html), (2, "L", None), (3, "L", "<p>")], "page_id long, league string, html string")
+    found = [tuple(r) for r in H.value_listings(pages).orderBy("row_no").collect()]
+    assert found == [(1, None, 2, "Ann", "", "3", "€1m", 1e6), (1, None, 3, "Cy", "p", "5", None, None)]
